@@ -1,10 +1,12 @@
 """The queries over the corpus tables and their DuckDB SQL."""
 
-from greensward.llm import line_dedup, mixing
+from greensward.llm import line_dedup, mixing, pii, quality_rules
 
 QUERIES = {
+    "op2_quality_rules": quality_rules.op2_quality_rules,
     "op6_line_dedup": line_dedup.op6_line_dedup,
     "op7_mixing": mixing.op7_mixing,
+    "op8_pii": pii.op8_pii,
 }
 SQL = {
     "op6_line_dedup": line_dedup.OP6_SQL,

@@ -1,9 +1,11 @@
 """The queries over the corpus tables and their DuckDB SQL."""
 
-from greensward.llm import line_dedup, mixing, pii, quality_rules
+from greensward.llm import line_dedup, mixing, packing, pii, quality_rules, token_archive
 
 QUERIES = {
     "op2_quality_rules": quality_rules.op2_quality_rules,
+    "op3_packing": packing.op3_packing,
+    "op4_token_archive": token_archive.op4_token_archive,
     "op6_line_dedup": line_dedup.op6_line_dedup,
     "op7_mixing": mixing.op7_mixing,
     "op8_pii": pii.op8_pii,

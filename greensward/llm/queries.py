@@ -1,6 +1,6 @@
 """The queries over the corpus tables and their DuckDB SQL."""
 
-from greensward.llm import line_dedup, mixing, packing, pii, quality_rules, token_archive
+from greensward.llm import line_dedup, mixing, packing, pii, quality_model, quality_rules, token_archive, token_counts
 
 QUERIES = {
     "op2_quality_rules": quality_rules.op2_quality_rules,
@@ -9,6 +9,8 @@ QUERIES = {
     "op6_line_dedup": line_dedup.op6_line_dedup,
     "op7_mixing": mixing.op7_mixing,
     "op8_pii": pii.op8_pii,
+    "op9_token_counts": token_counts.op9_token_counts,
+    "op10_quality_model": quality_model.op10_quality_model,
 }
 SQL = {
     "op6_line_dedup": line_dedup.OP6_SQL,

@@ -9,6 +9,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from greensward.llm.sampling import hashed_sample
+
 #: Fixed values of the contract.
 SPACES, SYMBOLS = b" \t\n\x0b\x0c\r", b"#*$%&|<>"
 WINDOW, MIN_WORDS, MAX_REPEAT_PERCENT = 8, 20, 30
@@ -171,8 +173,7 @@ def viterbi(docs: list[np.ndarray], w: np.ndarray, t: np.ndarray) -> list[np.nda
 def fit_line_crf(docs: DataFrame, text: str = "text", sample_docs: int = SAMPLE_DOCS, sample_chars: int = SAMPLE_CHARS) -> tuple[np.ndarray, np.ndarray]:
     """Fit the CRF to the ``sample_docs`` texts of at most ``sample_chars`` characters with the smallest hashes."""
     t = docs.select(docs[text].alias("t")).where(F.length("t").between(1, sample_chars))
-    rows = t.orderBy(F.xxhash64("t"), "t").limit(sample_docs).collect()
-    x = [line_features(r.t.encode())[0] for r in rows]
+    x = [line_features(r.v.encode())[0] for r in hashed_sample(t, "t", sample_docs).collect()]
     return fit_crf(x, [seed_labels(a) for a in x])
 
 

@@ -25,6 +25,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from greensward.llm.sampling import hashed_sample
 from greensward.llm.token_ids import default_tokenizer, encoder
 from greensward.plans.scratch import Scratch
 
@@ -39,8 +40,8 @@ BLOCK_DDL = "shard int, block int, first_doc bigint, last_doc bigint, doc_ids ar
 
 def train_dictionary(docs: DataFrame, tokenizer: str, end_id: int | None) -> bytes:
     """A dictionary over the id arrays of the ``SAMPLE_DOCS`` short texts with the smallest hashes; empty if they are too few to train on."""
-    rows = docs.where(F.length("text").between(1, SAMPLE_CHARS)).orderBy(F.xxhash64("text"), "text").limit(SAMPLE_DOCS).select("text").collect()
-    ids = [a.astype("<u4").tobytes() for a in encoder(tokenizer, end_id).documents(pa.array([r.text for r in rows], pa.string()))]
+    rows = hashed_sample(docs.where(F.length("text").between(1, SAMPLE_CHARS)), "text", SAMPLE_DOCS).collect()
+    ids = [a.astype("<u4").tobytes() for a in encoder(tokenizer, end_id).documents(pa.array([r.v for r in rows], pa.string()))]
     try:
         return zstandard.train_dictionary(DICT_BYTES, ids, level=LEVEL).as_bytes()
     except (zstandard.ZstdError, ValueError):

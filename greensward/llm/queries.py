@@ -1,12 +1,13 @@
 """The queries over the corpus tables and their DuckDB SQL."""
 
-from greensward.llm import line_dedup, mixing, ngram_join, packing, pii, quality_model, quality_rules, token_archive, token_counts
+from greensward.llm import embedding_dedup, line_dedup, mixing, ngram_join, packing, pii, quality_model, quality_rules, token_archive, token_counts
 
 QUERIES = {
     "op1_ngram_join": ngram_join.op1_ngram_join,
     "op2_quality_rules": quality_rules.op2_quality_rules,
     "op3_packing": packing.op3_packing,
     "op4_token_archive": token_archive.op4_token_archive,
+    "op5_embedding_dedup": embedding_dedup.op5_embedding_dedup,
     "op6_line_dedup": line_dedup.op6_line_dedup,
     "op7_mixing": mixing.op7_mixing,
     "op8_pii": pii.op8_pii,

@@ -1,4 +1,6 @@
 """All queries of the vegetation-change engine by name, and their DuckDB SQL."""
 
-QUERIES: dict = {}
-SQL: dict = {}
+from greensward.plans import pixel, space, temporal
+
+QUERIES: dict = pixel.QUERIES | space.QUERIES | temporal.QUERIES
+SQL: dict = pixel.SQL | space.SQL | temporal.SQL

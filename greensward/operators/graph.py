@@ -12,9 +12,10 @@ def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst") -
     """``(id, component)`` for every endpoint of ``edges``; component is its smallest id.
 
     Each round points every node at the smallest of itself and its neighbours,
-    renames both ends of every edge to the node pointed at, and drops loops and
-    repeats. The graph shrinks geometrically; the pointers of all rounds are
-    then followed backwards. Aggregations combine before the shuffle and the
+    follows the pointers to local minima by doubling, renames both ends of
+    every edge to these, and drops loops and repeats. At least half of the
+    nodes go in a round; the pointers of all rounds are then followed
+    backwards. Aggregations combine before the shuffle and the
     joins are plain equi-joins, so a node with very many edges is dealt with by
     partial aggregation and by splitting skewed joins. Null ends and loops are
     left out; an empty input gives an empty result.
@@ -28,9 +29,14 @@ def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst") -
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
         step = both.groupBy("u").agg(F.min("v").alias("v"))
         step = scratch.put(step.select(F.col("u").alias("id"), F.least("u", "v").alias("up")), "pointers")
-        # one jump: what the parent points at
-        hop = step.select(F.col("id").alias("up"), F.col("up").alias("top"))
-        step = scratch.put(step.join(hop, "up", "left").select("id", F.coalesce("top", "up").alias("up")), "jumped")
+        moved = True
+        while moved:  # pointers lead down to a local minimum; the length halves each time
+            hop = step.select(F.col("id").alias("up"), F.col("up").alias("top"))
+            far = step.join(hop, "up", "left").select("id", F.coalesce("top", "up").alias("up"), (F.col("top") != F.col("up")).alias("moved"))
+            far = scratch.put(far, "jumped")
+            moved = not far.where("moved").isEmpty()
+            scratch.drop(step)
+            step = far
         a = step.select(F.col("id").alias("u"), F.col("up").alias("a"))
         b = step.select(F.col("id").alias("v"), F.col("up").alias("b"))
         new = e.join(a, "u").join(b, "v").where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))

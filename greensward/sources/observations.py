@@ -72,8 +72,8 @@ SERIES_SQL = """series AS (SELECT user_id AS series_id, CAST(ts AS DATE) AS date
 def monthly_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Mean order price by customer segment of 10 and month, as a monthly series: ``series_id, date, value``."""
     o = table(spark, sf_dir, "orders")
-    return o.groupBy((F.col("o_custkey") % 10).alias("series_id"), F.trunc(F.col("o_orderdate").cast("date"), "month").alias("date")).agg(F.round(F.avg("o_totalprice") / 1000.0, 4).alias("value"))
+    return o.groupBy((F.col("o_custkey") % 10).alias("series_id"), F.trunc(F.col("o_orderdate").cast("date"), "month").alias("date")).agg((F.avg("o_totalprice") / 997.0).alias("value"))
 
 
 MONTHLY_SQL = """monthly AS (SELECT o_custkey % 10 AS series_id, CAST(date_trunc('month', o_orderdate) AS DATE) AS date,
-  round(avg(o_totalprice) / 1000.0::DOUBLE, 4) AS value FROM orders GROUP BY 1, 2)"""
+  avg(o_totalprice) / 997.0::DOUBLE AS value FROM orders GROUP BY 1, 2)"""

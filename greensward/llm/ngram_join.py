@@ -9,13 +9,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from greensward.llm.memory import give_back, text_batches
 from greensward.llm.prefix_trie import linked_forest
 from greensward.llm.shingles import Shingler, set_key
 from greensward.operators.graph import connected_components
 from greensward.plans.scratch import Scratch
 
 #: Shingles that one group of the count holds, the least number of groups, and shingles that a task deals out at a time.
-GROUP_SHINGLES, MIN_GROUPS, FLUSH_SHINGLES = 8 << 20, 64, 4 << 20
+GROUP_SHINGLES, MIN_GROUPS, FLUSH_SHINGLES = 8 << 20, 64, 1 << 20
 #: Sets in a block of a large candidate group, and rounds of linking to a hub before blocks meet.
 BLOCK_SETS, HUB_ROUNDS = 64, 2
 
@@ -40,6 +41,7 @@ def signatures(docs: DataFrame, words: int) -> DataFrame:
                 rows.append((i, len(s), *set_key(s)))
             cols = list(zip(*rows, strict=True)) if rows else [[]] * 4
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], schema=SIG)
+        give_back()
 
     return docs.select("doc_id", "text").mapInArrow(sign, SIG_DDL)
 
@@ -89,6 +91,8 @@ def shared_counts(docs: DataFrame, words: int, groups: int) -> DataFrame:
                     sets, keys, held = [], [], 0
         if sets:
             yield flush()
+        sets.clear()
+        give_back()
 
     def count(table: pa.Table) -> pa.Table:
         doc = np.concatenate([np.frombuffer(x.as_py(), np.int64) for x in table.column("docs")])
@@ -102,7 +106,10 @@ def shared_counts(docs: DataFrame, words: int, groups: int) -> DataFrame:
         same = token[1:] == token[:-1]
         shared = np.concatenate([same, [False]]) | np.concatenate([[False], same])
         n = np.bincount((both[shared] & np.uint64(0xFFFFFFFF)).astype(np.int64), minlength=len(key))
-        return pa.table({"a": pa.array(key[n > 0], pa.int64()), "shared": pa.array(n[n > 0], pa.int64())})
+        out = pa.table({"a": pa.array(key[n > 0], pa.int64()), "shared": pa.array(n[n > 0], pa.int64())})
+        del doc, each, rest, both, token, same, shared, code
+        give_back()
+        return out
 
     dealt = docs.select("text").mapInArrow(deal, ddl)
     return dealt.groupBy("grp").applyInArrow(count, "a bigint, shared bigint").groupBy("a").agg(F.sum("shared").alias("shared"))
@@ -237,6 +244,7 @@ def jaccard_components(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "
     doc_id are each judged by their own text. An empty table gives an empty
     result; other columns are ignored, whatever their names.
     """
+    text_batches(docs.sparkSession)
     scratch = Scratch(docs.sparkSession, "jaccard")
     docs = docs.select(docs[doc_id].cast("long").alias("doc_id"), docs[text].alias("text"))
     sig = scratch.put(signatures(docs, words), "signatures")

@@ -11,6 +11,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from greensward.llm.memory import give_back, text_batches
 from greensward.llm.token_ids import default_tokenizer, encoder
 from greensward.plans.scratch import Scratch
 
@@ -105,6 +106,7 @@ def token_pieces(docs: DataFrame, max_tokens: int, *, doc_id: str = "doc_id", te
                     seen[n] += 1
             cols = list(zip(*rows, strict=True)) if rows else [[]] * len(PIECE)
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(cols, PIECE, strict=True)], schema=PIECE)
+        give_back()
 
     return docs.select(docs[doc_id].cast("long").alias("doc_id"), docs[text].alias("text")).mapInArrow(pieces, PIECE_DDL)
 
@@ -121,6 +123,7 @@ def pack(docs: DataFrame, max_tokens: int = 1024, *, max_docs: int | None = None
     one id, the end; without an ``end_id`` they have no piece. Repeated rows
     are packed again; an empty table gives an empty result.
     """
+    text_batches(docs.sparkSession)
     scratch = Scratch(docs.sparkSession, "packing")
     pieces = scratch.put(token_pieces(docs, max_tokens, **tokens), "pieces")
     counts = scratch.put(pieces.groupBy("shard", "length").agg(F.count(F.lit(1)).alias("n")), "counts")

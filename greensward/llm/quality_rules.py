@@ -9,6 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from greensward.llm.memory import give_back, text_batches
 from greensward.llm.sampling import hashed_sample
 
 #: Fixed values of the contract.
@@ -192,6 +193,7 @@ def quality_rules(docs: DataFrame, text: str = "text", *, min_content: float = M
     null or empty text has no words and isn't kept, with a share of 0. An
     empty table gives an empty result. A column named ``quality`` is replaced.
     """
+    text_batches(docs.sparkSession)
     w, t = crf if crf is not None else fit_line_crf(docs, text)
 
     @F.arrow_udf(VERDICT)
@@ -210,6 +212,7 @@ def quality_rules(docs: DataFrame, text: str = "text", *, min_content: float = M
             cols = [pa.array([r[i] for r in base], pa.int64()) for i in range(5)]
             fail = np.array([r[5] for r in base], bool)
             cols += [pa.array(fail), pa.array(share, pa.float64()), pa.array(~fail & (np.array(share) >= min_content))]
+            give_back()
             yield pa.StructArray.from_arrays(cols, ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "content_share", "kept"])
 
     return docs.withColumn("quality", judge.asNondeterministic()(docs[text]))

@@ -25,6 +25,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from greensward.llm.memory import text_batches
 from greensward.llm.sampling import hashed_sample
 from greensward.llm.token_ids import default_tokenizer, encoder
 from greensward.plans.scratch import Scratch
@@ -60,6 +61,7 @@ def write_archive(docs: DataFrame, where: str, *, doc_id: str = "doc_id", text:
     only id is ``end_id``. An empty table makes an archive without blocks.
     """
     spark = docs.sparkSession
+    text_batches(spark)
     path = tokenizer or default_tokenizer()
     slim = docs.select(docs[doc_id].cast("long").alias("doc_id"), docs[text].alias("text"))
     content = train_dictionary(slim, path, end_id)

@@ -12,7 +12,7 @@ from greensward.operators.graph import connected_components
 from greensward.plans.scratch import Scratch
 
 #: Vectors of a cell about, cells of each vector, centres in all at most, sampled vectors for each centre.
-CELL, OVERLAP, MAX_CENTRES, PER_CENTRE = 1500, 2, 4096, 16
+CELL, OVERLAP, MAX_CENTRES, PER_CENTRE = 300, 2, 4096, 16
 #: Larger cells are cut into blocks of half so many vectors.
 MAX_GROUP = 4096
 

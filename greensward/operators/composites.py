@@ -56,3 +56,20 @@ def mosaic(obs: DataFrame, value: Column, rank: Column, by: list[str], last: boo
     """The first (or last) value that is there, by rank."""
     pick = F.max if last else F.min
     return obs.where(value.isNotNull()).groupBy(*by).agg(pick(F.struct(rank.alias("r"), value.alias("v"))).alias("p")).select(*by, F.col("p.v").alias("value"))
+
+
+def cap_dates(obs: DataFrame, value: str, by: str, limit: float = 1.0) -> DataFrame:
+    """Clip ``value`` to [-limit, limit] on the dates that have one above it; other dates stay as they are.
+
+    The dates' maxima, a row each, are joined back, so no date is gathered in one task.
+    """
+    over = obs.groupBy(F.col(by).alias("cap_key")).agg(F.max(value).alias("top")).where(F.col("top") > limit)
+    v = F.col(value)
+    clipped = F.when(F.col("top").isNotNull() & v.isNotNull(), F.greatest(F.least(v, F.lit(limit)), F.lit(-limit))).otherwise(v)
+    return obs.join(over, F.col(by) == F.col("cap_key"), "left").withColumn(value, clipped).drop("cap_key", "top")
+
+
+def coverage(base: DataFrame, n: str, by: str, grid_cells: int) -> DataFrame:
+    """Most observations of a cell, and the share of the whole grid that has one."""
+    seen = 100.0 * F.count_if(F.col(n) > 0) / F.lit(grid_cells)
+    return base.groupBy(by).agg(F.max(n).alias("max_obs"), F.round(seen, 6).alias("pct_covered"))

@@ -80,3 +80,8 @@ def commission_error(verdicts: DataFrame, tier: str = "tier", verdict: str = "ve
     """FP / (TP + FP) by tier."""
     fp, tp = F.count_if(F.col(verdict) == "FP"), F.count_if(F.col(verdict) == "TP")
     return verdicts.groupBy(tier).agg(F.try_divide(fp, tp + fp).alias("commission_error"))
+
+
+def histogram(values: DataFrame, value: str, low: float, high: float, bins: int) -> DataFrame:
+    """``bucket, n``: exact counts of equal bins; 0 is below the range, ``bins + 1`` above it, nulls are left out."""
+    return values.where(F.col(value).isNotNull()).groupBy(F.width_bucket(F.col(value), F.lit(low), F.lit(high), F.lit(bins)).alias("bucket")).agg(F.count(F.lit(1)).alias("n"))

@@ -268,3 +268,9 @@ def stl(series: DataFrame, period: int = config.STL_PERIOD, outer: int = 15) ->
         return pd.DataFrame({"series_id": d["series_id"], "date": d["date"], "trend": t, "seasonal": s, "residual": r})
 
     return series.select("series_id", "date", "value").groupBy("series_id").applyInPandas(kernel, "series_id long, date date, trend double, seasonal double, residual double")
+
+
+def current_spi(monthly: DataFrame) -> DataFrame:
+    """``series_id, spi3`` without the months behind each series' last known value; gaps inside stay."""
+    last = F.max(F.when(F.col("value").isNotNull(), F.col("date"))).over(Window.partitionBy("series_id"))
+    return spi3(monthly.withColumn("last", last).where(F.col("date") <= F.col("last")))

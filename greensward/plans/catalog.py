@@ -1,6 +1,6 @@
 """All queries of the vegetation-change engine by name, and their DuckDB SQL."""
 
-from greensward.plans import pixel, space, temporal
+from greensward.plans import pixel, records, space, temporal
 
-QUERIES: dict = pixel.QUERIES | space.QUERIES | temporal.QUERIES
-SQL: dict = pixel.SQL | space.SQL | temporal.SQL
+QUERIES: dict = pixel.QUERIES | space.QUERIES | temporal.QUERIES | records.QUERIES
+SQL: dict[str, str] = pixel.SQL | space.SQL | temporal.SQL | records.SQL

@@ -86,3 +86,26 @@ def as_geojson(alerts: DataFrame, properties: list[str]) -> DataFrame:
     ring = F.array(corner("x0", "y0"), corner("x1", "y0"), corner("x1", "y1"), corner("x0", "y1"), corner("x0", "y0"))
     feature = F.struct(F.lit("Feature").alias("type"), F.struct(*properties).alias("properties"), F.struct(F.lit("Polygon").alias("type"), F.array(ring).alias("coordinates")).alias("geometry"))
     return alerts.select(F.to_json(feature).alias("value"))
+
+
+def files_by_date(names: DataFrame, first_year: int | None = None, last_year: int | None = None) -> DataFrame:
+    """``date, n_files, names`` of the files whose names start with eight digits; both years are included."""
+    year = F.substring("name", 1, 4).cast("int")
+    found = names.where(F.col("name").rlike(r"^\d{8}"))
+    if first_year is not None:
+        found = found.where(year >= first_year)
+    if last_year is not None:
+        found = found.where(year <= last_year)
+    return found.groupBy(F.substring("name", 1, 8).alias("date")).agg(F.count(F.lit(1)).alias("n_files"), F.array_join(F.sort_array(F.collect_list("name")), ",").alias("names"))
+
+
+def merge_lines(stored: DataFrame, new: DataFrame) -> DataFrame:
+    """Every distinct line once; a changed value is another line."""
+    return stored.union(new).distinct()
+
+
+def month_range(precipitation: DataFrame, first: str, last: str, by: str = "series_id") -> DataFrame:
+    """A row for each series and month from ``first`` to ``last``, both included; null where nothing is known."""
+    months = F.explode(F.sequence(F.lit(first).cast("date"), F.lit(last).cast("date"), F.expr("interval 1 month")))
+    spine = precipitation.select(by).distinct().select(by, months.alias("date"))
+    return spine.join(precipitation.select(by, "date", "value"), [by, "date"], "left")

@@ -57,11 +57,11 @@ def aoi_clip(spark, d) -> DataFrame:
 
 
 def _mean_baseline(spark, d) -> DataFrame:
-    obs = observations(spark, d).where(F.col("obs_date") < F.lit("1995-01-01").cast("date"))
+    obs = observations(spark, d).where(F.col("obs_date") < F.lit("2000-01-01").cast("date"))
     return composites.monthly_baseline(obs, {"ndmi": ix.masked(ix.index_column("ndmi"), ix.clear_scl(F.col("scl")))}, center="mean")
 
 
-_MEAN_SQL = f"base AS (SELECT month(obs_date)::INT AS month, pixel, avg({_NDMI}) AS center, CASE WHEN count({_NDMI}) >= 2 THEN stddev_pop({_NDMI}) END AS std, count({_NDMI}) AS n_obs FROM obs WHERE obs_date < DATE '1995-01-01' GROUP BY 1, 2)"
+_MEAN_SQL = f"base AS (SELECT month(obs_date)::INT AS month, pixel, avg({_NDMI}) AS center, CASE WHEN count({_NDMI}) >= 2 THEN stddev_pop({_NDMI}) END AS std, count({_NDMI}) AS n_obs FROM obs WHERE obs_date < DATE '2000-01-01' GROUP BY 1, 2)"
 
 
 @query("baseline_mean", f"WITH {OBS_SQL}, {_MEAN_SQL} SELECT month, pixel, round(center, 6) AS center, round(std, 6) AS std, n_obs FROM base")

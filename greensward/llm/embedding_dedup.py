@@ -7,12 +7,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from greensward.llm.flat_graph import k_means, nearest, range_pairs
+from greensward.llm.flat_graph import BATCH, k_means, nearest, range_pairs
 from greensward.operators.graph import connected_components
 from greensward.plans.scratch import Scratch
 
-#: Vectors of a cell about, cells of each vector, centres in all at most, sampled vectors for each centre.
-CELL, OVERLAP, MAX_CENTRES, PER_CENTRE = 300, 2, 4096, 16
+#: Vectors of a cell about, centres in all at most, sampled vectors for each centre, bisectors held against the link radius.
+CELL, MAX_CENTRES, PER_CENTRE, BISECTORS = 300, 4096, 16, 4
 #: Larger cells are cut into blocks of half so many vectors.
 MAX_GROUP = 4096
 
@@ -40,12 +40,13 @@ def embedding_components(vectors: DataFrame, *, vec_id: str = "vec_id", embeddin
 
     Vectors with the same label and length are linked when their cosine is
     found to be ``least`` or more. Equal vectors are one node with a count, so
-    any number of copies costs one vector. The vectors of a large label go to
-    the ``OVERLAP`` nearest of its cells, whose centres are fitted to a bounded
-    sample; each cell (or pair of blocks of a large cell) is one group, where
+    any number of copies costs one vector. The vectors of a large label live in
+    the nearest of its cells, whose centres are fitted to a bounded sample, and
+    visit every other cell that the link radius can reach, so each linked pair
+    meets. Centres closer than that radius make one dense cell. In a plain cell
     shard graphs are built, pruned, united, searched from medoids and audited
-    (``flat_graph``). Every link is verified in double precision. A pair that
-    shares two cells is counted in the smaller one only.
+    (``flat_graph``); visitors, dense cells and pairs of blocks of a large cell
+    are scored in full. Every link is verified in double precision.
 
     Vectors without a label, null, zero, or with null or non-finite components,
     and rows with a null id, have no links and are components of their own.
@@ -60,7 +61,7 @@ def embedding_components(vectors: DataFrame, *, vec_id: str = "vec_id", embeddin
     rows = v.select("vec_id", F.when(F.col("v").isNotNull(), F.xxhash64("label", "v")).alias("a"), F.when(F.col("v").isNotNull(), F.xxhash64("v", "label", F.lit(1))).alias("b"))
     nodes = v.where("v is not null").groupBy(F.xxhash64("label", "v").alias("a"), F.xxhash64("v", "label", F.lit(1)).alias("b"))
     nodes = scratch.put(nodes.agg(F.min("vec_id").alias("id"), F.count(F.lit(1)).alias("copies"), F.first("part").alias("part"), F.first("v").alias("v")), "nodes")
-    placed = _cells(nodes, scratch)
+    placed = _cells(nodes, least, scratch)
     found = scratch.put(_search(placed, least, scratch), "found")
     links = found.where("links is not null").groupBy("id").agg(F.sum("links").alias("links"))
     roots = connected_components(found.where("dst is not null").select(F.col("id").alias("src"), "dst"))
@@ -72,44 +73,97 @@ def embedding_components(vectors: DataFrame, *, vec_id: str = "vec_id", embeddin
     return out.withColumn("kept", F.col("vec_id").eqNullSafe(F.col("component_id")))
 
 
-def _cells(nodes: DataFrame, scratch: Scratch) -> DataFrame:
-    """Each node with the cells that it goes to: ``id, copies, part, v, cells``."""
+def reach(x: np.ndarray, centres: np.ndarray, radius: float) -> tuple[np.ndarray, np.ndarray]:
+    """The nearest centre of each row, and whether a point within ``radius`` of the row can have each centre as its nearest.
+
+    Such a point lies on the centre's side of its bisector with any other
+    centre, so the row lies no further than ``radius`` beyond that bisector.
+    The bisectors with the ``BISECTORS`` nearest centres are looked at.
+    """
+    sim = x @ centres.T
+    top = nearest(x, centres, BISECTORS)
+    inside = np.ones(sim.shape, bool)
+    rows = np.arange(len(x))
+    for c in top.T:
+        apart = np.sqrt(np.maximum(2 - 2 * (centres[c] @ centres.T), 1e-12))
+        inside &= sim[rows, c][:, None] - sim <= (radius + 1e-9) * apart
+    return top[:, 0], inside
+
+
+def merged(centres: np.ndarray, least: float) -> np.ndarray:
+    """For each centre the smallest one that it joins over steps of at least ``least``."""
+    low = np.arange(len(centres))
+    for i in range(len(centres)):
+        for t in np.unique(low[np.flatnonzero(centres @ centres[i] >= least)]):
+            a, b = sorted((low[i], t))
+            low[low == b] = a
+    return low
+
+
+def _cells(nodes: DataFrame, least: float, scratch: Scratch) -> DataFrame:
+    """Each node with its cell and those that it visits: ``id, copies, part, v, home, dense, visits``."""
     sizes = scratch.put(nodes.groupBy("part").agg(F.count(F.lit(1)).alias("m")), "parts")
     large = sizes.where(F.col("m") > 2 * CELL)
     total = large.agg(F.sum("m")).first()[0] or 0
     if not total:
-        return nodes.withColumn("cells", F.array(F.lit(0)))
+        return nodes.withColumns({"home": F.lit(0), "dense": F.lit(0), "visits": F.array().cast("array<int>")})
     # about m / CELL centres for a part, MAX_CENTRES in all; their sample is a share of the part's rows by hash
     scale = max(CELL, -(-total // MAX_CENTRES))
     share = int(min(1.0, PER_CENTRE / scale) * (1 << 30))
     sample = nodes.where(F.pmod(F.xxhash64("id", F.lit(2)), F.lit(1 << 30)) < share).join(large, "part")
     found = sample.groupBy("part", "m").agg(F.sort_array(F.collect_list(F.struct("id", "v"))).alias("s")).collect()
-    centres = {tuple(r.part): k_means(np.array([x.v for x in r.s]), max(1, min(len(r.s), round(r.m / scale)))) for r in found}
+    centres = {}
+    for r in found:
+        c = k_means(np.array([x.v for x in r.s]), max(1, min(len(r.s), round(r.m / scale))))
+        low = merged(c, least)
+        centres[tuple(r.part)] = c, low, np.bincount(low, minlength=len(low)) > 1
+    radius = float(np.sqrt(max(0.0, 2 - 2 * least)))
 
     @F.arrow_udf("array<int>")
     def near(label: pa.Array, dim: pa.Array, v: pa.Array) -> pa.Array:
         keys = list(zip(label.to_pylist(), dim.to_pylist(), strict=True))
         off, flat = np.asarray(v.offsets), v.values.to_numpy(zero_copy_only=False)
-        out: list[list[int]] = [[0]] * len(keys)
+        out: list[list[int]] = [[0, 0]] * len(keys)
         for key in set(keys) & set(centres):
             at = [i for i, k in enumerate(keys) if k == key]
-            cells = nearest(np.stack([flat[off[i] : off[i + 1]] for i in at]), centres[key], OVERLAP)
-            for i, c in zip(at, np.sort(cells, axis=1).tolist(), strict=True):
-                out[i] = c
+            c, low, dense = centres[key]
+            for s in range(0, len(at), 512):
+                part = at[s : s + 512]
+                home, inside = reach(np.stack([flat[off[i] : off[i + 1]] for i in part]), c, radius)
+                for i, h, row in zip(part, low[home], inside, strict=True):
+                    visits = np.unique(low[row])
+                    out[i] = [int(h), int(dense[h]), *visits[visits != h].tolist()]
         return pa.array(out, pa.list_(pa.int32()))
 
-    return scratch.put(nodes.withColumn("cells", near("part.label", "part.dim", "v")), "cells")
+    placed = scratch.put(nodes.withColumn("cells", near("part.label", "part.dim", "v")), "cells")
+    return placed.withColumns({"home": F.get("cells", F.lit(0)), "dense": F.get("cells", F.lit(1)), "visits": F.slice("cells", 3, F.greatest(F.size("cells") - 2, F.lit(0)))}).drop("cells")
+
+
+def _blocks(n: str) -> Column:
+    return F.when(F.col(n) > MAX_GROUP, F.ceil(F.col(n) / (MAX_GROUP / 2))).otherwise(F.signum(n)).cast("int")
 
 
 def _search(placed: DataFrame, least: float, scratch: Scratch) -> DataFrame:
-    """For each group a row with the links of each node, and rows of links that join up its components."""
-    each = placed.select("id", "copies", "part", "v", "cells", F.explode("cells").alias("cell"))
-    sizes = scratch.put(each.groupBy("part", "cell").agg(F.count(F.lit(1)).alias("m")), "sizes")
-    each = each.join(scratch.small(sizes), ["part", "cell"])
-    blocks = F.when(F.col("m") > MAX_GROUP, F.ceil(F.col("m") / (MAX_GROUP / 2))).otherwise(1).cast("int")
-    each = each.withColumn("nb", blocks).withColumn("blk", F.pmod(F.xxhash64("id"), F.col("nb")).cast("int"))
-    other = F.explode(F.sequence(F.lit(0), F.col("nb") - 1))
-    each = each.select("*", other.alias("o")).select("*", F.least("blk", "o").alias("i"), F.greatest("blk", "o").alias("j"))
+    """For each group a row with the links of each node, and rows of links that join up its components.
+
+    Groups ``i <= j < nb`` are blocks of a cell's own nodes. Groups ``j >= nb``
+    hold a block of them against one of the visitors, and count for the cell's
+    own nodes only: the visitors count the same links in their cells.
+    """
+    own = placed.select("id", "copies", "part", "v", "dense", F.col("home").alias("cell"))
+    visit = placed.select("id", "copies", "part", "v", F.explode("visits").alias("cell"))
+    sizes = own.groupBy("part", "cell").agg(F.count(F.lit(1)).alias("m"))
+    guests = visit.groupBy("part", "cell").agg(F.count(F.lit(1)).alias("g"))
+    sizes = sizes.join(guests, ["part", "cell"], "left").withColumn("g", F.coalesce("g", F.lit(0)))
+    sizes = scratch.small(scratch.put(sizes.select("part", "cell", _blocks("m").alias("nb"), _blocks("g").alias("ng")), "sizes"))
+    block = lambda n: F.pmod(F.xxhash64("id"), F.col(n)).cast("int")
+    own = own.join(sizes, ["part", "cell"]).withColumn("blk", block("nb"))
+    own = own.select("*", F.explode(F.sequence(F.lit(0), F.col("nb") + F.col("ng") - 1)).alias("o"))
+    own = own.withColumns({"i": F.when(F.col("o") < F.col("nb"), F.least("blk", "o")).otherwise(F.col("blk")), "j": F.greatest("blk", "o")})
+    visit = visit.join(sizes, ["part", "cell"]).withColumns({"blk": F.lit(-1), "j": F.col("nb") + block("ng"), "dense": F.lit(0)})
+    visit = visit.withColumn("i", F.explode(F.sequence(F.lit(0), F.col("nb") - 1)))
+    fields = ["part", "cell", "i", "j", "nb", "id", "copies", "v", "blk", "dense"]
+    each = own.select(fields).unionByName(visit.select(fields))
 
     def search(table: pa.Table) -> pa.Table:
         table = table.combine_chunks()
@@ -117,23 +171,20 @@ def _search(placed: DataFrame, least: float, scratch: Scratch) -> DataFrame:
         ids, copies, blk = (table.column(c).to_numpy()[order] for c in ("id", "copies", "blk"))
         v = table.column("v").combine_chunks()
         x = v.flatten().to_numpy(zero_copy_only=False).reshape(len(v), -1)[order]
-        cell, cross = table.column("cell")[0].as_py(), table.column("i")[0] != table.column("j")[0]
-        cells = table.column("cells").to_pylist()
-        width = max(map(len, cells))
-        both = np.array([c + [-1] * (width - len(c)) for c in cells])[order]
-        # the smallest cell that two nodes share: a node's earlier cells must not hold the other
-        earlier = np.where(both < cell, both, -1)
+        i, j, nb = (table.column(c)[0].as_py() for c in ("i", "j", "nb"))
+        if j >= nb or i != j or table.column("dense").to_numpy().any():
+            found = ((s, x[s : s + BATCH] @ x.T >= least) for s in range(0, len(x), BATCH))
+        else:
+            found = range_pairs(x, least)
         links, label = np.zeros(len(ids), np.int64), np.arange(len(ids))
         src, dst = [], []
-        for s, hit in range_pairs(x, least):
+        for s, hit in found:
             q = np.arange(s, s + len(hit))
             hit[np.arange(len(hit)), q] = False
-            if cross:
+            if i != j:
                 hit &= blk[q][:, None] != blk[None, :]
-            for c in earlier.T:
-                if (c >= 0).any():
-                    owned = (c[q][:, None, None] == both[None, :, :]).any(2) & (c[q] >= 0)[:, None]
-                    hit &= ~owned
+            if j >= nb:
+                hit &= (blk[q] >= 0)[:, None]
             links[q] = hit @ copies
             for a in np.flatnonzero(hit.any(1)):
                 near = np.flatnonzero(hit[a])

@@ -229,6 +229,32 @@ def test_embedding_links(spark, monkeypatch, cell, group):
     assert (got.component_id == pd.Series(component)).mean() > 0.98 and (got.kept == (got.index == got.component_id)).all()
 
 
+def test_embedding_links_of_large_groups(spark):
+    """Thousands of distinct near copies in one label, and looser ones that straddle cells."""
+    rng = np.random.default_rng(3)
+    far = rng.normal(size=(3000, 64))
+    near = rng.normal(size=64) + 0.07 * rng.normal(size=(3000, 64))
+    loose = np.repeat(rng.normal(size=(200, 64)), 4, axis=0) + 0.09 * rng.normal(size=(800, 64))
+    x = np.concatenate([far, near, loose])
+    df = spark.createDataFrame([(k, v.tolist(), 0) for k, v in enumerate(x)], "vec_id long, embedding array<double>, label int")
+    got = embedding_dedup.embedding_components(df).toPandas().set_index("vec_id").sort_index()
+    links, component = brute_links(list(range(len(x))), x, np.zeros(len(x)))
+    assert sum(links.values()) > 5_000_000
+    assert got.n_links[3000:6000].tolist() == [links[k] for k in range(3000, 6000)]
+    assert got.n_links.sum() >= 0.999 * sum(links.values()) and (got.component_id == pd.Series(component)).all()
+
+
+def test_reach_covers_the_radius():
+    rng = np.random.default_rng(4)
+    unit = lambda v: v / np.linalg.norm(v, axis=1, keepdims=True)
+    c, x = unit(rng.normal(size=(30, 8))), unit(rng.normal(size=(3000, 8)))
+    home, inside = embedding_dedup.reach(x, c, 0.2)
+    other = unit(x + unit(rng.normal(size=x.shape)) * rng.uniform(0, 0.19, (len(x), 1)))
+    ok = np.linalg.norm(other - x, axis=1) <= 0.2
+    there = embedding_dedup.reach(other, c, 0.2)[0]
+    assert (there != home)[ok].sum() > 100 and inside[np.arange(len(x)), there][ok].all() and not inside.all()
+
+
 def test_graph_search_recall():
     x, _ = cluster_vectors(9, 3000)
     x = x / np.linalg.norm(x, axis=1, keepdims=True)

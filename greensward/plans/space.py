@@ -137,17 +137,14 @@ two AS (SELECT box.date, box.id, (1 + coalesce(max(one.persistence_count), 0))::
 
 @query("persist_streak", f"WITH {_STREAK_SQL} SELECT * FROM two")
 def persist_streak(spark, d) -> DataFrame:
-    """Two steps: streaks without and then with the counts of the observation before."""
-    b = boxes(spark, d)
-    return persistence.streaks(b, persistence.streaks(b))
+    """Streaks over all dates; the SQL has two steps."""
+    return persistence.chained_streaks(boxes(spark, d))
 
 
 @query("persist_tiers", f"WITH {_STREAK_SQL} SELECT date, id, CASE WHEN persistence_count * 6 >= 15 THEN 'confirmed' WHEN persistence_count >= 2 THEN 'candidate' ELSE 'first_observation' END AS tier FROM two")
 def persist_tiers(spark, d) -> DataFrame:
-    """Streaks of three stand for the 15 sightings of the highest tier."""
-    b = boxes(spark, d)
-    n = F.col("persistence_count")
-    return persistence.streaks(b, persistence.streaks(b)).select("date", "id", persistence_tier(F.when(n * 6 >= 15, 15).otherwise(n)).alias("tier"))
+    """Tiers of the streaks over all dates; in the SQL three sightings stand for the 15 of the highest tier."""
+    return persistence.chained_streaks(boxes(spark, d)).select("date", "id", persistence_tier(F.col("persistence_count")).alias("tier"))
 
 
 @query("track_fold")

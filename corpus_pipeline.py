@@ -35,17 +35,23 @@ def drop_common_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of documents joined up by links, the one with the smallest id stays; of rows repeating id and text, one."""
-    found = ngram_join.jaccard_components(docs, words=SHINGLE_WORDS, percent=SIMILAR_PERCENT)
-    gone = found.where("doc_id <> component_id").select("doc_id")
+    found = ngram_join.jaccard_components(docs, words=SHINGLE_WORDS, percent=SIMILAR_PERCENT, digests=True)
     scratch = Scratch(spark, "pipeline")
-    gone = scratch.small(scratch.put(gone.distinct(), "copies"))
-    left = docs.join(gone, "doc_id", "left_anti").select(docs.columns)
     again = scratch.put(found.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").select("doc_id"), "repeated")
+    gone = found.where("doc_id <> component_id").select("doc_id").distinct()
     if again.isEmpty():
-        return left
+        return docs.join(scratch.small(scratch.put(gone, "copies")), "doc_id", "left_anti").select(docs.columns)
     again = scratch.small(again)
-    once = left.join(again, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])
-    return left.join(again, "doc_id", "left_anti").unionByName(once).select(docs.columns)
+    # rows that share an id are told apart by the digests of their texts
+    gone = scratch.small(scratch.put(gone.join(again, "doc_id", "left_anti"), "copies"))
+    copies = found.join(again, "doc_id", "left_semi").where("doc_id <> component_id").select("doc_id", "a", "b").distinct()
+    copies = scratch.small(scratch.put(copies, "repeated_copies"))
+    once = docs.join(again, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"]).withColumn("row", F.xxhash64("doc_id", "text"))
+    once = scratch.put(once, "once")
+    key = ngram_join.signatures(once.select(F.col("row").alias("doc_id"), "text"), SHINGLE_WORDS).select(F.col("doc_id").alias("row"), "a", "b")
+    once = once.join(key.distinct(), "row").join(copies, ["doc_id", "a", "b"], "left_anti")
+    rest = docs.join(again, "doc_id", "left_anti").join(gone, "doc_id", "left_anti")
+    return rest.select(docs.columns).unionByName(once.select(docs.columns))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -116,19 +116,21 @@ def shared_counts(docs: DataFrame, words: int, groups: int) -> DataFrame:
 
 
 def set_arrays(docs: DataFrame, words: int) -> DataFrame:
-    """``doc_id, n, toks`` with the whole set of each document."""
-    schema = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("toks", pa.list_(pa.int64()))])
+    """``a, b, n, toks`` with the digest and the whole set of each document."""
+    schema = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("n", pa.int64()), ("toks", pa.list_(pa.int64()))])
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingle = Shingler(words)
         for batch in batches:
-            sets = [shingle((t.as_py() or "").encode()).view(np.int64) for t in batch.column("text")]
+            sets = [shingle((t.as_py() or "").encode()) for t in batch.column("text")]
+            a, b = zip(*map(set_key, sets), strict=True) if sets else ((), ())
+            sets = [s.view(np.int64) for s in sets]
             n = [len(s) for s in sets]
             flat = np.concatenate(sets) if sets else np.zeros(0, np.int64)
             toks = pa.ListArray.from_arrays(np.concatenate([[0], np.cumsum(n)]).astype(np.int32), pa.array(flat, pa.int64()))
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id").cast(pa.int64()), pa.array(n, pa.int64()), toks], schema=schema)
+            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(n, pa.int64()), toks], schema=schema)
 
-    return docs.select("doc_id", "text").mapInArrow(build, "doc_id bigint, n bigint, toks array<bigint>")
+    return docs.select("text").mapInArrow(build, "a bigint, b bigint, n bigint, toks array<bigint>")
 
 
 def candidate_prefixes(sets: DataFrame, percent: int) -> DataFrame:
@@ -227,8 +229,8 @@ def _trie_join(rows: DataFrame, percent: int) -> DataFrame:
     return rows.groupBy("c", "i", "j").applyInArrow(join, "src bigint, dst bigint")
 
 
-def jaccard_components(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", words: int = 5, percent: int = 80) -> DataFrame:
-    """``doc_id, n_shingles, component_id``, a row for each row of ``docs``.
+def jaccard_components(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", words: int = 5, percent: int = 80, digests: bool = False) -> DataFrame:
+    """``doc_id, n_shingles, component_id``, a row for each row of ``docs``; with ``digests`` also its set's ``a, b``.
 
     Documents are linked when the Jaccard similarity of their sets of
     ``words``-word shingles is at least ``percent`` / 100; ``component_id`` is
@@ -241,7 +243,8 @@ def jaccard_components(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "
 
     Texts without a word, null or not, have no shingles and no links; nor have
     rows whose doc_id is null (their component is null). Rows that repeat a
-    doc_id are each judged by their own text. An empty table gives an empty
+    doc_id are each judged by their own text: classes have numbers of their own,
+    and doc_ids only name the components. An empty table gives an empty
     result; other columns are ignored, whatever their names.
     """
     text_batches(docs.sparkSession)
@@ -249,22 +252,27 @@ def jaccard_components(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "
     docs = docs.select(docs[doc_id].cast("long").alias("doc_id"), docs[text].alias("text"))
     sig = scratch.put(signatures(docs, words), "signatures")
     classes = sig.where("n_shingles > 0 and doc_id is not null").groupBy("a", "b", "n_shingles")
-    classes = scratch.put(classes.agg(F.min("doc_id").alias("id"), F.count(F.lit(1)).alias("copies")), "classes")
+    classes = classes.agg(F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("copies"))
+    classes = scratch.put(classes.withColumn("id", F.monotonically_increasing_id()), "classes")
     total = classes.agg(F.sum("n_shingles")).first()[0] or 0
     shared = shared_counts(docs, words, max(MIN_GROUPS, -(-total // GROUP_SHINGLES)))
-    some = classes.join(shared, "a").where(F.col("shared") >= least_overlap(F.col("n_shingles"), percent)).select(F.col("id").alias("doc_id")).distinct()
+    some = classes.join(shared, "a").where(F.col("shared") >= least_overlap(F.col("n_shingles"), percent)).select("id", "first", classes["a"], "b")
     some = scratch.small(scratch.put(some, "candidates"))
-    sets = scratch.put(set_arrays(docs.join(some, "doc_id", "left_semi"), words).dropDuplicates(["doc_id"]), "sets")
+    arrays = set_arrays(docs.join(some, F.col("doc_id") == F.col("first"), "left_semi"), words)
+    sets = arrays.join(some, ["a", "b"]).select(F.col("id").alias("doc_id"), "n", "toks").dropDuplicates(["doc_id"])
+    sets = scratch.put(sets, "sets")
     prefixes = scratch.put(candidate_prefixes(sets, percent), "prefixes")
     groups = connected_components(star(prefixes.select("id", "tok"), "tok"))
     centre = prefixes.groupBy("id").agg(F.first("centre").alias("centre"))
     links = scratch.put(links_in_groups(sets, groups.join(centre, "id"), percent, scratch), "links")
     found = connected_components(links)
-    named = classes.join(found, "id", "left").where("copies > 1 or component is not null")
-    named = named.select(F.col("a").alias("ka"), F.col("b").alias("kb"), F.coalesce("component", "id").alias("root"))
+    named = scratch.put(classes.join(found, "id", "left").where("copies > 1 or component is not null"), "linked")
+    lowest = named.where("component is not null").groupBy("component").agg(F.min("first").alias("low"))
+    named = named.join(lowest, "component", "left")
+    named = named.select(F.col("a").alias("ka"), F.col("b").alias("kb"), F.coalesce("low", "first").alias("root"))
     named = scratch.small(scratch.put(named, "named"))
     out = sig.join(named, (F.col("a") == F.col("ka")) & (F.col("b") == F.col("kb")) & (F.col("n_shingles") > 0) & F.col("doc_id").isNotNull(), "left")
-    return out.select("doc_id", "n_shingles", F.coalesce("root", "doc_id").alias("component_id"))
+    return out.select("doc_id", "n_shingles", F.coalesce("root", "doc_id").alias("component_id"), *(["a", "b"] if digests else []))
 
 
 def op1_ngram_join(spark, sf_dir: str) -> DataFrame:

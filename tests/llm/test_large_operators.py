@@ -123,6 +123,18 @@ def test_jaccard_edges(spark):
 # tokens ---------------------------------------------------------------------------------
 
 
+def test_repeated_ids_with_other_texts(spark):
+    """Two texts under one id, each with a near copy; a clean text under the id of a copy."""
+    a, b, c = (" ".join(f"{p}{k}" for k in range(60)) for p in "abc")
+    rows = [(5, a), (5, b), (7, a + " more"), (3, b + " more"), (9, c), (9, a + " again")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    for parts in (1, 3):
+        got = ngram_join.jaccard_components(df.repartition(parts), words=5, percent=80, digests=True).collect()
+        assert sorted((r.doc_id, r.n_shingles, r.component_id) for r in got) == [(3, 57, 3), (5, 56, 3), (5, 56, 5), (7, 57, 5), (9, 56, 9), (9, 57, 5)]
+    kept = corpus_pipeline.drop_near_copies(spark, df, "")
+    assert sorted(map(tuple, kept.collect())) == sorted([(5, a), (3, b + " more"), (9, c)])
+
+
 def test_chunks_encode_like_whole_texts():
     e, rng = ChunkEncoder(default_tokenizer(), 2), random.Random(0)
     texts = ["".join(rng.choice("ab' .,1é\n\t   \x1c!s<|endoftext|> ") for _ in range(rng.randint(0, 30))) for _ in range(3000)]

@@ -120,6 +120,20 @@ def harmonic_fit(series: DataFrame, harmonics: int = config.HARMONICS) -> DataFr
     return series.select("series_id", "date", "value").groupBy("series_id").applyInPandas(fit, "series_id long, n long, coefficients array<double>, rmse double")
 
 
+def detect_breaks_harmonic(series: DataFrame, history_end: str, harmonics: int = config.HARMONICS) -> DataFrame:
+    """``series_id, break_date, value, expected, anomaly``: breaks after ``history_end`` relative to the waves fitted up to it; none without a fit."""
+    day = F.col("date") <= F.lit(history_end).cast("date")
+    fit = harmonic_fit(series.where(day), harmonics).where("rmse is not null").select("series_id", "coefficients", "rmse")
+    t = F.dayofyear("date") / F.lit(365.25)
+    expected = F.col("coefficients")[0]
+    for k in range(1, harmonics + 1):
+        for j, f in enumerate((F.cos, F.sin)):
+            expected = expected + F.col("coefficients")[2 * k - 1 + j] * f(2 * math.pi * k * t)
+    later = series.where(~day).join(fit, "series_id").withColumn("expected", expected).withColumn("residual", F.col("value") - F.col("expected"))
+    found = break_points(later).withColumnRenamed("break_date", "date")
+    return found.join(later, ["series_id", "date"]).select("series_id", F.col("date").alias("break_date"), "value", "expected", F.col("residual").alias("anomaly"))
+
+
 def normal_cdf(z: Column) -> Column:
     """Standard normal distribution function; Spark has no erf."""
 

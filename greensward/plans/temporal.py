@@ -96,6 +96,13 @@ def breaks(spark, d) -> DataFrame:
     return series.break_points(s)
 
 
+@query("breaks_harmonic")
+def breaks_harmonic(spark, d) -> DataFrame:
+    """Each user's first 20 days are the history."""
+    out = series.detect_breaks_harmonic(daily_series(spark, d), "2024-01-20")
+    return out.select("series_id", "break_date", *[F.round(c, 4).alias(c) for c in ("value", "expected", "anomaly")])
+
+
 _PAIRS = f"{MONTHLY_SQL}, p AS (SELECT a.series_id, a.date AS di, b.date AS dj, a.value AS vi, b.value AS vj FROM monthly a JOIN monthly b ON a.series_id = b.series_id AND a.date < b.date)"
 
 

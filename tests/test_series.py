@@ -89,3 +89,24 @@ def test_sample_and_commission(spark):
     assert {r.g: r["count"] for r in got.groupBy("g").count().collect()} == {"a": 15, None: 15}
     v = spark.createDataFrame([("x", "TP"), ("x", "FP"), ("y", None)], "tier string, verdict string")
     assert {r.tier: r.commission_error for r in quality.commission_error(v).collect()} == {"x": 0.5, "y": None}
+
+
+def test_breaks_relative_to_a_harmonic_history(spark):
+    """Seasonal swings are no breaks; a shift of six points after the history is two, and one of two points none."""
+    import datetime
+
+    import numpy as np
+
+    from greensward.operators import series
+
+    start, rows = datetime.date(2019, 1, 1), []
+    for i in range(200):
+        d = start + datetime.timedelta(10 * i)
+        wave = 0.5 + 0.3 * np.cos(2 * np.pi * d.timetuple().tm_yday / 365.25) + 0.01 * (-1) ** i
+        for s, shifted in ((1, range(0)), (2, range(150, 156)), (3, range(150, 152))):
+            rows.append((s, d, float(wave - 0.2 * (i in shifted))))
+    rows += [(4, start, 1.0), (4, datetime.date(2023, 1, 1), 9.0)]
+    got = series.detect_breaks_harmonic(spark.createDataFrame(rows, "series_id long, date date, value double"), "2022-01-01").collect()
+    want = [(2, start + datetime.timedelta(10 * i)) for i in (150, 153)]
+    assert sorted((r.series_id, r.break_date) for r in got) == want
+    assert all(abs(r.anomaly + 0.2) < 0.03 and abs(r.value - r.expected - r.anomaly) < 1e-12 for r in got)

@@ -128,7 +128,7 @@ def trend_analysis(spark, d) -> DataFrame:
 
 @query("stl")
 def stl(spark, d) -> DataFrame:
-    out = series.stl(monthly_totals(spark, d), period=12, outer=5)
+    out = series.stl(monthly_totals(spark, d), period=12)
     return out.select("series_id", "date", *[F.round(c, 5).alias(c) for c in ("trend", "seasonal", "residual")])
 
 

@@ -132,3 +132,11 @@ def test_baselines_of_all_observations(spark, tmp_path):
     spark.createDataFrame(rows, ddl).write.parquet(str(tmp_path / "lineitem.parquet"))
     got = {(r.index_name, r.month) for r in catalog.QUERIES["baseline_missing"](spark, str(tmp_path)).collect()}
     assert got == {(n, m) for n in ("ndmi", "nbr", "evi2") for m in range(1, 13) if n == "evi2" or m not in (2, 3, 11)}
+
+
+def test_stl_has_the_default_rounds(spark, orders, monkeypatch):
+    from greensward.operators import series
+
+    seen, real = [], series.stl
+    monkeypatch.setattr(series, "stl", lambda s, period, outer=15: seen.append(outer) or real(s, period, outer))
+    assert catalog.QUERIES["stl"](spark, orders[0]).count() > 0 and seen == [15]

@@ -62,6 +62,6 @@ class Scratch:
                 path, fs = _path(self.spark, t._scratch_path)
                 fs.delete(path, True)
 
-    def small(self, table: DataFrame, most: int = BROADCAST_BYTES) -> DataFrame:
-        """Mark a written table for broadcast if its files are small, else leave it to AQE."""
-        return F.broadcast(table) if self.bytes(table) <= most else table
+    def small(self, table: DataFrame, most: int = BROADCAST_BYTES, of: DataFrame | None = None) -> DataFrame:
+        """Mark a written table, or a projection ``of`` one, for broadcast if its files are small, else leave it to AQE."""
+        return F.broadcast(table) if self.bytes(table if of is None else of) <= most else table

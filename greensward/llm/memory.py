@@ -7,8 +7,8 @@ import ctypes
 import pyarrow as pa
 from pyspark.sql import SparkSession
 
-#: Rows of an Arrow batch of whole texts, in place of Spark's default.
-TEXT_ROWS, DEFAULT_ROWS = 1000, "10000"
+#: Bytes of an Arrow batch of whole texts, in place of Spark's default.
+TEXT_BYTES = "4m"
 
 
 def give_back() -> None:
@@ -20,7 +20,7 @@ def give_back() -> None:
 
 
 def text_batches(spark: SparkSession) -> None:
-    """Send texts to Python in smaller batches, unless the session sets a size of its own."""
-    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if spark.conf.get(key) == DEFAULT_ROWS:
-        spark.conf.set(key, TEXT_ROWS)
+    """Send texts to Python in batches of a few megabytes, unless the session sets a size of its own, in bytes or rows."""
+    mine = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if all(spark.conf.get(k, None) is None for k in (mine, "spark.sql.execution.arrow.maxRecordsPerBatch")):
+        spark.conf.set(mine, TEXT_BYTES)

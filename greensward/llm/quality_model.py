@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from greensward.llm.quality_rules import LOWER, SPACES, UPPER, _count, repeated_words
-from greensward.llm.sampling import hashed_sample
+from greensward.llm.sampling import hashed_rows
 
 #: Labelled documents to learn from at most; shape of the ensemble.
 TRAIN_DOCS, TREES, DEPTH, BINS, RATE, LAMBDA, MIN_ROWS = 20_000, 80, 4, 64, 0.15, 1.0, 20
@@ -110,16 +110,21 @@ def train(docs: DataFrame, labels: DataFrame, most: int = TRAIN_DOCS) -> Trees:
     """Fit on the documents of at most ``most`` labelled ids, those with the smallest hashes.
 
     ``docs`` has doc_id and text, ``labels`` doc_id and label (0 or 1, others
-    are left out). The sampled ids, at most ``most``, are broadcast.
+    are left out); other columns, clashing or not, are ignored. Null ids have no
+    label. A null or empty text has the statistics of no words; a text of any
+    length is read whole. An id that is labelled twice counts with each label,
+    repeated rows once, and an id with several texts with the smallest of them,
+    so reruns agree. Without labels the score is 0.5 for all. The sampled ids,
+    at most ``most``, are broadcast.
     """
-    ids = hashed_sample(labels.where(F.col("label").isin(0, 1)).select(F.struct("doc_id", F.col("label").cast("int").alias("label")).alias("pair")), "pair", most)
-    ids = docs.sparkSession.createDataFrame([(r.v.doc_id, r.v.label) for r in ids.collect()], "doc_id bigint, label int")
+    some = labels.where(F.col("label").isin(0, 1) & F.col("doc_id").isNotNull()).select("doc_id", F.col("label").cast("int").alias("label"))
+    ids = docs.sparkSession.createDataFrame([(r.doc_id, r.label) for r in hashed_rows(some, "doc_id", most).collect()], "doc_id bigint, label int")
 
     @F.arrow_udf("array<double>")
     def features(text: pa.Array) -> pa.Array:
         return pa.array(table(text.to_pylist()).tolist(), pa.list_(pa.float64()))
 
-    few = docs.join(F.broadcast(ids), "doc_id").dropDuplicates(["doc_id", "label"])
+    few = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(ids), "doc_id").groupBy("doc_id", "label").agg(F.min("text").alias("text"))
     rows = few.select("doc_id", "label", features("text").alias("x")).collect()
     rows.sort(key=lambda r: (r.doc_id, r.label))
     return fit(np.array([r.x for r in rows], np.float64).reshape(-1, len(STATISTICS)), np.array([r.label for r in rows], np.float64))

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from greensward.llm.memory import give_back, text_batches
-from greensward.llm.sampling import hashed_sample
+from greensward.llm.sampling import hashed_rows
 
 #: Fixed values of the contract.
 SPACES, SYMBOLS = b" \t\n\x0b\x0c\r", b"#*$%&|<>"
@@ -18,13 +18,20 @@ WINDOW, MIN_WORDS, MAX_REPEAT_PERCENT = 8, 20, 30
 
 UPPER, LOWER = bytes(range(65, 91)), bytes(range(97, 123))
 DIGITS, STOPS = b"0123456789", (b".", b"?", b"!", b":", b'"', b"\xe2\x80\xa6")
-#: Words that mark a line as licence, cookie or navigation text when the first labels are set.
-CUES = (b"copyright", b"licensed under", b"all rights reserved", b"cookie", b"terms of use", b"privacy policy", b"subscribe", b"click here")
+#: Phrases that mark a line as licence, cookie or navigation text when the first labels are set, in four languages.
+CUES = tuple(x.encode() for x in (
+    "copyright", "licensed under", "all rights reserved", "cookie", "terms of use", "privacy policy", "subscribe", "click here",
+    "alle rechte vorbehalten", "datenschutzerklärung", "nutzungsbedingungen", "impressum", "hier klicken", "abonnieren",
+    "tous droits réservés", "politique de confidentialité", "conditions d'utilisation", "mentions légales", "cliquez ici", "abonnez-vous",
+    "todos los derechos reservados", "política de privacidad", "términos de uso", "condiciones de uso", "haga clic aquí", "suscríbete",
+))
 #: Feature names, in the order of the columns of ``line_features``.
 FEATURES = ("bias", "log_bytes", "symbols", "upper", "digits", "pipes", "bangs", "stop", "repeats", "cue", "short", "word_length", "stutter", "first")
-CONTENT, BOILERPLATE = 0, 1
-#: Documents used to fit the CRF, the longest text among them, and the share of content below which a document goes.
-SAMPLE_DOCS, SAMPLE_CHARS, MIN_CONTENT = 1000, 10_000, 0.3
+CONTENT, BOILERPLATE, UNKNOWN = 0, 1, -1
+#: Documents used to fit the CRF, lines that each of them lends, and the share of content below which a document goes.
+SAMPLE_DOCS, SAMPLE_LINES, MIN_CONTENT = 1000, 48, 0.3
+#: Lines whose features are held at a time, and cells of lines that Viterbi decodes together.
+CHUNK_LINES, DECODE_LINES = 4096, 1 << 17
 
 _RANDOM = np.random.default_rng(8).integers(1, 1 << 63, 4096, dtype=np.uint64) | np.uint64(1)
 
@@ -66,102 +73,127 @@ def text_counts(b: bytes) -> tuple[int, int, int, int, int]:
     return len(words), chars - _count(b, SPACES), _count(b, SYMBOLS), len(lines) - len(set(lines)), repeated_words(words)
 
 
-def line_features(b: bytes) -> tuple[np.ndarray, np.ndarray]:
-    """Features and UTF-8 lengths of the lines with a word; a row for each."""
+def line_features(b: bytes) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Features and UTF-8 lengths of the lines with a word, a row for each, ``CHUNK_LINES`` at a time; whole lines of any length."""
     seen: set[bytes] = set()
-    rows, sizes = [], []
+    rows, sizes, first = [], [], 1.0
     for x in b.split(b"\n"):
         words = x.split()
         if not words:
             continue
         n, up, low = len(x), _count(x, UPPER), _count(x, LOWER)
-        small = x.lower() if n < 400 else b""
+        small = x.lower()
         rows.append((
             1.0, np.log1p(n) / 8, min(1.0, 5 * _count(x, b"#*$%&<>") / n), up / (up + low) if up + low else 0.5, _count(x, DIGITS) / n,
             min(1.0, 4 * x.count(b"|") / len(words)), min(1.0, 2 * x.count(b"!!") / len(words)), float(x.rstrip(SPACES).endswith(STOPS)),
             float(x in seen), float(any(c in small for c in CUES)), float(len(words) < 4), min(2.0, n / len(words) / 10),
-            sum(map(bytes.__eq__, words, words[1:])) / len(words), float(not rows),
+            sum(map(bytes.__eq__, words, words[1:])) / len(words), first,
         ))
         sizes.append(n)
         seen.add(x)
-    return np.array(rows, np.float64).reshape(-1, len(FEATURES)), np.array(sizes, np.int64)
+        first = 0.0
+        if len(rows) == CHUNK_LINES:
+            yield np.array(rows, np.float64), np.array(sizes, np.int64)
+            rows, sizes = [], []
+    if rows:
+        yield np.array(rows, np.float64), np.array(sizes, np.int64)
+
+
+def line_emissions(b: bytes, w: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Scores ``(lines, 2)`` of the labels of a text's lines, and their lengths."""
+    parts = [(x @ w, n) for x, n in line_features(b)]
+    if not parts:
+        return np.zeros((0, 2)), np.zeros(0, np.int64)
+    return np.concatenate([e for e, _ in parts]), np.concatenate([n for _, n in parts])
 
 
 def seed_labels(x: np.ndarray) -> np.ndarray:
-    """First labels of lines by plain rules on their features; the CRF is fitted to these."""
+    """First labels by plain rules, where these are sure: noise and stock phrases, and sentences without either. Other lines stay unknown."""
     f = {k: x[:, i] for i, k in enumerate(FEATURES)}
     noisy = (f["symbols"] > 0.25) | (f["pipes"] > 0.5) | (f["bangs"] > 0.5)
-    return (noisy | (f["stutter"] > 0.4) | (f["repeats"] > 0) | (f["cue"] > 0)).astype(np.int64)
+    bad = noisy | (f["stutter"] > 0.4) | (f["repeats"] > 0) | (f["cue"] > 0)
+    good = ~bad & (f["stop"] > 0) & (f["short"] == 0) & (f["symbols"] < 0.05) & (f["upper"] < 0.3) & (f["digits"] < 0.2)
+    return np.where(bad, BOILERPLATE, np.where(good, CONTENT, UNKNOWN))
 
 
 def _pad(seqs: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     n = np.array([len(s) for s in seqs])
-    out = np.zeros((len(seqs), int(n.max()), seqs[0].shape[1]))
+    out = np.zeros((len(seqs), int(n.max()), *seqs[0].shape[1:]))
     for i, s in enumerate(seqs):
         out[i, : len(s)] = s
     return out, n
 
 
-def fit_crf(docs: list[np.ndarray], labels: list[np.ndarray], steps: int = 200, rate: float = 0.25, decay: float = 1e-5) -> tuple[np.ndarray, np.ndarray]:
-    """Maximum-likelihood weights ``(features, 2)`` and transitions ``(2, 2)``, by Adam on forward-backward."""
+def _expected(e: np.ndarray, t: np.ndarray, there: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Label probabilities ``(lines, docs, 2)`` and expected transitions of scores ``e``, by scaled forward-backward."""
+    m = len(e)
+    g, step = np.exp(e - e.max(2, keepdims=True)), np.exp(t - t.max())
+    a, b = g.copy(), np.ones_like(g)
+    for k in range(1, m):
+        v = (a[k - 1] @ step) * g[k]
+        a[k] = v / v.sum(1, keepdims=True)
+    for k in range(m - 2, -1, -1):
+        v = (g[k + 1] * b[k + 1]) @ step.T
+        b[k] = np.where(there[k + 1, :, None], v / v.sum(1, keepdims=True), 1.0)
+    p = a * b
+    p *= there[..., None] / p.sum(2, keepdims=True)
+    q = a[:-1, :, :, None] * step * (g * b)[1:, :, None, :]
+    q *= (there[1:] / q.sum((2, 3)))[..., None, None]
+    return p, q.sum((0, 1))
+
+
+def fit_crf(docs: list[np.ndarray], labels: list[np.ndarray], steps: int = 60, rate: float = 0.25, decay: float = 1e-4) -> tuple[np.ndarray, np.ndarray]:
+    """Weights ``(features, 2)`` and transitions ``(2, 2)`` that make the known labels likeliest, by Adam.
+
+    Unknown labels are summed over: the gradient is what forward-backward
+    expects with the known labels held, less what it expects freely, so a line
+    that no rule labels is learned from its features and its neighbours.
+    """
     w, t = np.zeros((len(FEATURES), 2)), np.zeros((2, 2))
     both = [(x, y) for x, y in zip(docs, labels, strict=True) if len(x)]
     if not both:
         return w, t
     x, n = _pad([a for a, _ in both])
-    d, m = x.shape[:2]
-    y = np.zeros((d, m), np.int64)
+    x = np.ascontiguousarray(x.transpose(1, 0, 2))
+    y = np.full(x.shape[:2], UNKNOWN)
     for i, (_, b) in enumerate(both):
-        y[i, : len(b)] = b
-    there = np.arange(m) < n[:, None]
-    pair = there[:, 1:]
-    hot = np.eye(2)[y] * there[..., None]
-    seen_t = np.einsum("dmi,dmj->ij", hot[:, :-1], hot[:, 1:] * pair[..., None])
-    seen_w = np.einsum("dmf,dmk->fk", x, hot)
+        y[: len(b), i] = b
+    there = np.arange(len(x))[:, None] < n
+    held = np.where((y[..., None] == UNKNOWN) | (np.arange(2) == y[..., None]), 0.0, -200.0)
     total, mom = there.sum(), [np.zeros_like(w), np.zeros_like(t), np.zeros_like(w), np.zeros_like(t)]
     for step in range(1, steps + 1):
         e = x @ w
-        a, b = np.zeros((d, m, 2)), np.zeros((d, m, 2))
-        a[:, 0] = e[:, 0]
-        for k in range(1, m):
-            v = np.logaddexp(a[:, k - 1, :1] + t[0], a[:, k - 1, 1:] + t[1]) + e[:, k]
-            a[:, k] = np.where(there[:, k, None], v, a[:, k - 1])
-        for k in range(m - 2, -1, -1):
-            z = e[:, k + 1] + b[:, k + 1]
-            v = np.logaddexp(z[:, :1] + t[:, 0], z[:, 1:] + t[:, 1])
-            b[:, k] = np.where(there[:, k + 1, None], v, 0)
-        z = np.logaddexp(a[:, -1, 0], a[:, -1, 1])[:, None, None]
-        p = np.exp(a + b - z) * there[..., None]
-        q = np.exp(a[:, :-1, :, None] + t + (e + b)[:, 1:, None, :] - z[..., None]) * pair[..., None, None]
-        for i, (v, g) in enumerate(((w, (seen_w - np.einsum("dmf,dmk->fk", x, p)) / total - decay * w), (t, (seen_t - q.sum((0, 1))) / total - decay * t))):
+        p, q = _expected(e + held, t, there)
+        free_p, free_q = _expected(e, t, there)
+        for i, (v, g) in enumerate(((w, np.tensordot(x, p - free_p, ((0, 1), (0, 1))) / total - decay * w), (t, (q - free_q) / total - decay * t))):
             mom[i] = 0.9 * mom[i] + 0.1 * g
             mom[i + 2] = 0.99 * mom[i + 2] + 0.01 * g * g
             v += rate * (mom[i] / (1 - 0.9**step)) / (np.sqrt(mom[i + 2] / (1 - 0.99**step)) + 1e-9)
     return w, t
 
 
-def viterbi(docs: list[np.ndarray], w: np.ndarray, t: np.ndarray) -> list[np.ndarray]:
-    """The likeliest labels of each document's lines; documents of like length go together."""
+def viterbi(docs: list[np.ndarray], t: np.ndarray) -> list[np.ndarray]:
+    """The likeliest labels of each document's lines from their scores; documents of like length go together, ``DECODE_LINES`` cells (or one document) at a time."""
     out: list[np.ndarray] = [np.zeros(0, np.int64)] * len(docs)
     order = sorted((i for i in range(len(docs)) if len(docs[i])), key=lambda i: len(docs[i]))
     at = 0
     while at < len(order):
-        most = max(16, int(len(docs[order[at]]) * 1.25))
-        group = [i for i in order[at : at + 512] if len(docs[i]) <= most]
+        n = len(docs[order[at]])
+        most = max(16, int(n * 1.25))
+        group = [i for i in order[at : at + max(1, min(512, DECODE_LINES // most))] if len(docs[i]) <= most]
         at += len(group)
-        x, n = _pad([docs[i] for i in group])
-        e = x @ w
-        score, back = e[:, 0], np.zeros((len(group), x.shape[1], 2), np.int8)
+        e, n = _pad([docs[i] for i in group])
+        score, back = e[:, 0], np.zeros((*e.shape[:2], 2), np.int8)
         final = score.copy()
-        for k in range(1, x.shape[1]):
+        for k in range(1, e.shape[1]):
             stay = score[:, :, None] + t
             back[:, k] = stay.argmax(1)
             score = stay.max(1) + e[:, k]
             live = n > k
             final[live] = score[live]
         label = final.argmax(1)
-        path = np.zeros(x.shape[:2], np.int64)
-        for k in range(x.shape[1] - 1, -1, -1):
+        path = np.zeros(e.shape[:2], np.int64)
+        for k in range(e.shape[1] - 1, -1, -1):
             live = n > k
             path[live, k] = label[live]
             if k:
@@ -171,10 +203,31 @@ def viterbi(docs: list[np.ndarray], w: np.ndarray, t: np.ndarray) -> list[np.nda
     return out
 
 
-def fit_line_crf(docs: DataFrame, text: str = "text", sample_docs: int = SAMPLE_DOCS, sample_chars: int = SAMPLE_CHARS) -> tuple[np.ndarray, np.ndarray]:
-    """Fit the CRF to the ``sample_docs`` texts of at most ``sample_chars`` characters with the smallest hashes."""
-    t = docs.select(docs[text].alias("t")).where(F.length("t").between(1, sample_chars))
-    x = [line_features(r.v.encode())[0] for r in hashed_sample(t, "t", sample_docs).collect()]
+def fit_line_crf(docs: DataFrame, text: str = "text", sample_docs: int = SAMPLE_DOCS) -> tuple[np.ndarray, np.ndarray]:
+    """Fit the CRF to runs of lines of the ``sample_docs`` distinct texts with the smallest hashes.
+
+    Copies count once, so a text that fills most of the table doesn't crowd the
+    others out. A text of any length takes part, by ``SAMPLE_LINES`` lines in a row from a
+    place that the hash chooses; only these lines' features reach the driver.
+    """
+    k = len(FEATURES)
+
+    def runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = []
+            for h, t in zip(batch.column("h").to_pylist(), batch.column("t"), strict=True):
+                b = t.as_py().encode()
+                lines = sum(1 for x in b.split(b"\n") if x.strip(SPACES))
+                at, seen, rows = h % max(1, lines - SAMPLE_LINES + 1), 0, []
+                for x, _ in line_features(b):
+                    rows.append(x[max(0, at - seen) : max(0, at + SAMPLE_LINES - seen)])
+                    seen += len(x)
+                out.append((h, np.concatenate(rows or [np.zeros((0, k))]).astype("<f4").tobytes()))
+            yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in out], pa.int64()), pa.array([x[1] for x in out], pa.binary())], names=["h", "x"])
+
+    some = docs.select(docs[text].alias("t")).where("t <> ''").withColumn("i", F.xxhash64("t"))
+    found = hashed_rows(some, "i", sample_docs).select("h", "t").mapInArrow(runs, "h bigint, x binary").collect()
+    x = [np.frombuffer(b, "<f4").astype(float).reshape(-1, k) for b in sorted(bytes(r.x) for r in found)]
     return fit_crf(x, [seed_labels(a) for a in x])
 
 
@@ -189,9 +242,12 @@ def quality_rules(docs: DataFrame, text: str = "text", *, min_content: float = M
     labels each line with a word as content or boilerplate (Viterbi);
     ``content_share`` is the share of content in the bytes of these lines, and
     a document is kept if that is at least ``min_content``. The CRF is fitted
-    on a bounded sample of ``docs`` (``fit_line_crf``) unless one is given. A
-    null or empty text has no words and isn't kept, with a share of 0. An
-    empty table gives an empty result. A column named ``quality`` is replaced.
+    on a bounded sample of ``docs`` (``fit_line_crf``) unless one is given.
+
+    A null or empty text has no words and isn't kept, with a share of 0. Lines and texts of any length are read whole,
+    their features in chunks. A label's tie goes to content. Repeated rows get
+    the same verdict and enter the sample once. An empty table gives an empty
+    result. A column named ``quality`` is replaced; others are left alone.
     """
     text_batches(docs.sparkSession)
     w, t = crf if crf is not None else fit_line_crf(docs, text)
@@ -204,10 +260,10 @@ def quality_rules(docs: DataFrame, text: str = "text", *, min_content: float = M
                 b = (x.as_py() or "").encode()
                 c = text_counts(b)
                 base.append((*c, c[0] < MIN_WORDS or 100 * c[4] > MAX_REPEAT_PERCENT * c[0]))
-                f, n = line_features(b) if not base[-1][5] else (np.zeros((0, len(FEATURES))), np.zeros(0))
-                lines.append(f)
+                e, n = line_emissions(b, w) if not base[-1][5] else (np.zeros((0, 2)), np.zeros(0, np.int64))
+                lines.append(e)
                 sizes.append(n)
-            labels = viterbi(lines, w, t)
+            labels = viterbi(lines, t)
             share = [float(n[y == CONTENT].sum() / n.sum()) if len(n) else 0.0 for n, y in zip(sizes, labels, strict=True)]
             cols = [pa.array([r[i] for r in base], pa.int64()) for i in range(5)]
             fail = np.array([r[5] for r in base], bool)

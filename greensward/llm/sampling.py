@@ -6,17 +6,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def hashed_sample(df: DataFrame, column: str, n: int) -> DataFrame:
-    """At most ``n`` distinct values of ``column``, those with the smallest hashes.
+def hashed_rows(df: DataFrame, key: str, n: int) -> DataFrame:
+    """``h`` and the columns of at most ``n`` distinct rows, those whose ``key`` has the smallest hashes.
 
-    Only values whose hash lies below a cut for about ``2 n`` rows leave their
-    task, each once, so neither many tasks nor many copies add to what is
-    gathered.
+    Keys are counted first, by a scan of that column alone; then only rows whose
+    key's hash lies below a cut for about ``2 n`` keys leave their task, each
+    once. The cut goes by distinct keys, so copies under many keys weigh as in
+    the table and neither they nor repeated rows can empty the sample; with few
+    keys every row takes part. Null keys are one key.
     """
-    rows = df.count()
-    some = df.select(F.col(column).alias("v")).where("v is not null")
-    if rows > 4 * n:
-        bits = 40
-        cut = int(2 * n / rows * 2**bits)
-        some = some.where(F.pmod(F.xxhash64("v", F.lit(1)), F.lit(2**bits)) < cut)
-    return some.distinct().orderBy(F.xxhash64("v"), "v").limit(n)
+    h = F.pmod(F.xxhash64(F.col(key), F.lit(1)), F.lit(1 << 40))
+    keys = df.agg(F.approx_count_distinct(key)).first()[0]
+    rows = df.withColumn("h", h)
+    if keys > 4 * n:
+        rows = rows.where(F.col("h") < int(2 * n / keys * (1 << 40)))
+    return rows.distinct().orderBy("h", *df.columns).limit(n)

@@ -1,9 +1,10 @@
 """Byte-level BPE ids of whole texts, by the tokenizers library over distinct chunks.
 
-A text may be cut before every single space between two characters that aren't
-white space: the byte-level pre-tokenizer starts a new piece at such a space
+A text may be cut before every single space or line end between two characters
+that aren't white space: the byte-level pre-tokenizer starts a new piece there
 whatever stands before it, so the ids of a text are those of its chunks in
-turn. Words repeat, so each distinct chunk is encoded once for each worker.
+turn. Words repeat, so each distinct chunk is encoded once for each worker,
+which remembers chunks as an Arrow array and looks them up there.
 """
 
 from __future__ import annotations
@@ -17,13 +18,16 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-#: Chunks that a worker remembers; it starts anew beyond that. Bytes of text encoded at a time.
-MEMO_CHUNKS, SLICE_BYTES = 250_000, 2 << 20
+#: Chunks that a worker remembers; beyond that those met once go. Bytes of text encoded at a time.
+MEMO_CHUNKS, SLICE_BYTES = 500_000, 6 << 20
 
 _CUT = re.compile(r"(?<=\S)(?= \S)")
 #: White space beside a space, or a space at an end of the text (RE2; every code point that either library calls white space).
 _WHITE = r"\s\x0B\x1C-\x1F\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}"
-_UNEVEN = rf"[{_WHITE}] | [{_WHITE}]|^ | $|\A \z"
+#: The mark that is put where texts are cut; texts that hold it go the slower way.
+_MARK = "\x01"
+_UNEVEN = rf"[{_WHITE}] | [{_WHITE}]|^ | $|\A \z|\x01"
+_LINE_END = rf"([^{_WHITE}])\n([^{_WHITE}])"
 
 
 def default_tokenizer() -> str:
@@ -43,88 +47,96 @@ class ChunkEncoder:
 
         self.tok = Tokenizer.from_file(path)
         self.tok.encode_special_tokens = True
-        self.starts_space = np.zeros(self.tok.get_vocab_size(), bool)
-        for token, i in self.tok.get_vocab().items():
-            self.starts_space[i] = token[0] == "Ġ"
+        first = [t[0] for t, _ in sorted(self.tok.get_vocab().items(), key=lambda x: x[1])]
+        self.starts = {mark: np.array([c == byte for c in first]) for mark, byte in ((" ", "Ġ"), ("\n", "Ċ"))}
         self.end_id = end_id
         self._forget()
 
     def _forget(self) -> None:
-        self.words: dict[str, int] = {}  # chunks that are a space and this word
-        self.chunks: dict[str, int] = {}  # any other chunk
+        self.known = pa.array([], pa.large_string())
         self.ids, self.used = np.zeros(1 << 16, np.uint32), 0
-        self.at, self.n, self.known = np.zeros(1 << 16, np.int64), np.zeros(1 << 16, np.int64), 0
-
-    def _add(self, memo: dict[str, int], keys: list[str], ids: np.ndarray, lengths: np.ndarray) -> None:
+        self.at, self.n, self.hits = np.zeros(0, np.int64), np.zeros(0, np.int32), np.zeros(0, np.int8)
+
+    def _shrink(self) -> None:
+        """Keep the chunks that more than one slice had."""
+        keep = self.hits > 1
+        if 2 * keep.sum() > len(keep):
+            return self._forget()
+        at, n = self.at[keep], self.n[keep].astype(np.int64)
+        begin = np.cumsum(n) - n
+        self.ids = self.ids[np.repeat(at - begin, n) + np.arange(int(n.sum()))]
+        self.known, self.at, self.n, self.used = self.known.filter(pa.array(keep)), begin, self.n[keep], len(self.ids)
+        self.hits = np.ones(len(n), np.int8)
+
+    def _learn(self, keys: pa.Array) -> None:
+        """Encode new chunks, a hundred at a time where those that start alike stand in a row."""
+        rows, sizes = [], []
+        ends = np.append(np.arange(0, len(keys), 100), len(keys))
+        firsts = pc.utf8_slice_codeunits(keys, 0, 1)
+        texts = pc.binary_join(pa.ListArray.from_arrays(pa.array(ends, pa.int32()), keys), pa.scalar("", pa.large_string())).to_pylist()
+        for s, e, text, got in zip(ends[:-1], ends[1:], texts, self.tok.encode_batch_fast(texts, add_special_tokens=False), strict=True):
+            ids = np.array(got.ids, np.uint32)
+            mark = text[0]
+            start = np.flatnonzero(self.starts[mark][ids]) if mark in self.starts else ids[:0]
+            if len(start) == e - s and start[0] == 0 and firsts[e - 1].as_py() == mark:
+                rows.append(ids)
+                sizes.append(np.diff(np.append(start, len(ids))))
+            else:
+                each = [np.array(x.ids, np.uint32) for x in self.tok.encode_batch_fast(keys[s:e].to_pylist(), add_special_tokens=False)]
+                rows += each
+                sizes.append(np.array([len(x) for x in each]))
+        ids, n = np.concatenate(rows), np.concatenate(sizes).astype(np.int32)
         while self.used + len(ids) > len(self.ids):
             self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
-        while self.known + len(keys) > len(self.at):
-            self.at, self.n = (np.concatenate([x, np.zeros_like(x)]) for x in (self.at, self.n))
         self.ids[self.used : self.used + len(ids)] = ids
-        new = slice(self.known, self.known + len(keys))
-        self.at[new] = self.used + np.cumsum(lengths) - lengths
-        self.n[new] = lengths
-        memo.update(zip(keys, range(new.start, new.stop), strict=True))
-        self.used, self.known = self.used + len(ids), new.stop
-
-    def _raw(self, memo: dict[str, int], keys: list[str], texts: list[str]) -> None:
-        """Encode chunks one by one."""
-        got = [np.array(e.ids, np.uint32) for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
-        self._add(memo, keys, np.concatenate(got) if got else np.zeros(0, np.uint32), np.array([len(g) for g in got], np.int64))
-
-    def _learn(self, words: list[str]) -> None:
-        """Encode words, each behind a space and without white space at its ends, a hundred at a time."""
-        parts = [words[k : k + 100] for k in range(0, len(words), 100)]
-        for part, e in zip(parts, self.tok.encode_batch_fast([" " + " ".join(p) for p in parts], add_special_tokens=False), strict=True):
-            ids = np.array(e.ids, np.uint32)
-            start = np.flatnonzero(self.starts_space[ids])
-            if len(start) == len(part) and start[0] == 0:
-                self._add(self.words, part, ids, np.diff(np.append(start, len(ids))))
-            else:
-                self._raw(self.words, part, [" " + w for w in part])
-
-    def _codes(self, keys: list[str]) -> np.ndarray:
-        new = list(dict.fromkeys(k for k in keys if k not in self.chunks))
-        if new:
-            self._raw(self.chunks, new, new)
-        return np.array([self.chunks[k] for k in keys], np.int64)
+        self.known = pa.concat_arrays([self.known, keys])
+        self.at = np.append(self.at, self.used + np.cumsum(n) - n)
+        self.n, self.hits = np.append(self.n, n), np.append(self.hits, np.zeros(len(n), np.int8))
+        self.used += len(ids)
+
+    def _codes(self, keys: pa.Array) -> np.ndarray:
+        """Places in the memo of distinct chunks, new ones learned first."""
+        found = pc.index_in(keys, value_set=self.known)
+        code = pc.fill_null(found, -1).to_numpy(zero_copy_only=False).astype(np.int64)
+        new = np.flatnonzero(code < 0)
+        if len(new):
+            fresh = keys.take(pa.array(new))
+            order = np.asarray(pc.sort_indices(pc.utf8_slice_codeunits(fresh, 0, 1)))
+            code[new[order]] = len(self.known) + np.arange(len(new))
+            self._learn(fresh.take(pa.array(order)))
+        self.hits[code] = np.minimum(self.hits[code] + 1, 2)
+        return code
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """``(ids, offsets)``: text i has ``ids[offsets[i]:offsets[i + 1]]``; null counts as empty."""
-        if self.known > MEMO_CHUNKS:
-            self._forget()
+        if len(self.known) > MEMO_CHUNKS:
+            self._shrink()
         texts = pc.fill_null(texts.cast(pa.large_string()), "")
         uneven = np.asarray(pc.match_substring_regex(texts, _UNEVEN)) | np.asarray(pc.equal(pc.binary_length(texts), 0))
-        even = np.flatnonzero(~uneven)
-        pieces: list[np.ndarray] = [np.zeros(0, np.int64)] * len(texts)
-        if len(even):
-            split = pc.split_pattern(texts.take(pa.array(even)), " ")
-            off = np.asarray(split.offsets)
-            coded = split.flatten().dictionary_encode()
-            words = coded.dictionary.to_pylist()
-            code = np.full(len(words), -1, np.int64)
-            where = np.asarray(coded.indices)
-            behind = np.ones(len(where), bool)
-            behind[off[:-1]] = False  # a text's first word has no space before it
-            need = np.flatnonzero(np.bincount(where[behind], minlength=len(words)))
-            keys = words if len(need) == len(words) else [words[i] for i in need]
-            self._learn([w for w in keys if w not in self.words])
-            code[need] = [self.words[w] for w in keys]
-            flat = code[where]
-            flat[off[:-1]] = self._codes([words[i] for i in where[off[:-1]]])
-            for j, i in enumerate(even):
-                pieces[i] = flat[off[j] : off[j + 1]]
-        for i in np.flatnonzero(uneven):
-            t = texts[int(i)].as_py()
-            pieces[i] = self._codes(_CUT.split(t)) if t else pieces[i]
-        at, n = self.at, self.n
-        count = np.array([len(p) for p in pieces], np.int64)
-        flat = np.concatenate(pieces) if len(pieces) else np.zeros(0, np.int64)
-        size = n[flat] if len(flat) else flat
+        # behind each cut stands a mark and the chunk, which begins with the space or line end that was cut before
+        even = pc.replace_substring(texts.filter(pa.array(~uneven)), " ", _MARK + " ")
+        even = pc.replace_substring_regex(even, _LINE_END, f"\\1{_MARK}\n\\2")
+        slow = [_CUT.split(t) if t else [] for t in texts.filter(pa.array(uneven)).to_pylist()]
+        split = pc.split_pattern(even, _MARK)
+        count = np.empty(len(texts), np.int64)
+        count[~uneven] = np.diff(np.asarray(split.offsets))
+        count[uneven] = [len(x) for x in slow]
+        chunks = pa.concat_arrays([split.flatten(), pa.array([c for x in slow for c in x], pa.large_string())]).dictionary_encode()
+        flat = self._codes(chunks.dictionary)[np.asarray(chunks.indices)] if len(chunks) else np.zeros(0, np.int64)
+        size = self.n[flat].astype(np.int64)
         ends = np.concatenate([[0], np.cumsum(size)])
-        offsets = np.concatenate([[0], ends[np.cumsum(count)]])
         total = int(ends[-1])
-        ids = self.ids[np.repeat(at[flat] - ends[:-1], size) + np.arange(total)] if total else np.zeros(0, np.uint32)
+        ids = self.ids[np.repeat(self.at[flat] - ends[:-1], size) + np.arange(total)]
+        # the even texts' ids stand first, the uneven ones' behind them
+        order = np.concatenate([np.flatnonzero(~uneven), np.flatnonzero(uneven)])
+        length = np.empty(len(texts), np.int64)
+        length[order] = np.diff(ends[np.concatenate([[0], np.cumsum(count[order])])])
+        if slow and len(slow) < len(texts):
+            first = np.empty(len(texts), np.int64)
+            first[order] = np.cumsum(length[order]) - length[order]
+            begin = np.cumsum(length) - length
+            ids = ids[np.repeat(first - begin, length) + np.arange(total)]
+        offsets = np.concatenate([[0], np.cumsum(length)])
         if self.end_id is not None:
             ids = np.insert(ids, offsets[1:], self.end_id).astype(np.uint32)
             offsets = offsets + np.arange(len(offsets))

@@ -7,17 +7,19 @@ from collections.abc import Iterator
 
 import ahocorasick
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from greensward.llm.memory import text_batches
+
 #: Kinds in the order in which spans are listed; the first four are the contract's base.
 BASE_KINDS = ("email", "ip", "card", "phone")
 KINDS = (*BASE_KINDS, "url", "account", "secret")
 
-#: Anchors: the at-sign, the plus of phone numbers, schemes, and cues before or at the start of identifiers.
+#: Anchors: the at-sign, the plus of phone numbers, digits, schemes, and cues before or at the start of identifiers, in any letter case.
 SCHEMES = ("http://", "https://", "ftp://")
-IDENTIFIERS = ("iban", "ssn", "account", "acct", "passport", "userid", "user_id")
-SECRETS = ("password", "passwd", "secret", "api_key", "apikey", "access_token", "auth_token")
+IDENTIFIERS = ("iban", "ssn", "account", "acct", "passport", "userid", "user_id", "konto", "compte", "cuenta")
+SECRETS = ("password", "passwd", "passphrase", "pwd", "secret", "api_key", "api-key", "apikey", "access_key", "private_key", "token", "bearer", "passwort", "mot de passe", "contraseña")
 KEY_PREFIXES = ("AKIA", "ASIA", "ghp_", "sk-")
 
 _LOCAL = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-"
@@ -25,32 +27,38 @@ _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _DOTTED = re.compile(r"[0-9]+(?:\.[0-9]+){3,}")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
-_DIGIT = re.compile(r"[0-9]")
+_DIGIT, _DIGITS = re.compile(r"[0-9]"), re.compile(r"[0-9]+")
 _URL_HOST = re.compile(r"(?:[^\s/?#@]*@)?[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+(?::[0-9]+)?(?=[/?#\s]|\W|$)")
 _URL_REST = re.compile(r"[^\s<>\"']*")
 _IBAN = re.compile(r"[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){11,30}")
 _AFTER_ID = re.compile(r"(?:\s*(?:no|nr|number|id)\.?)?\s*[:=#]?\s*", re.I)
 _ID = re.compile(r"[A-Z0-9][A-Z0-9-]{4,33}")
-_AFTER_SECRET = re.compile(r"\s*[:=]\s*[\"']?([^\s\"',;]{6,})")
+_AFTER_SECRET = re.compile(r"[\"']?\s*(?:[:=]|=>)\s*[\"']?([^\s\"',;]{6,})|(?<=[Bb]earer)\s+([A-Za-z0-9._~+/-]{16,}=*)")
 _KEY = {"AKIA": re.compile(r"AKIA[A-Z0-9]{16}\b"), "ASIA": re.compile(r"ASIA[A-Z0-9]{16}\b"), "ghp_": re.compile(r"ghp_[A-Za-z0-9]{36}\b"), "sk-": re.compile(r"sk-[A-Za-z0-9]{20,}\b")}
 
 Span = tuple[str, int, int]
 
 
 def _automaton() -> ahocorasick.Automaton:
+    """Over lower-cased text, so that cues are met in any letter case."""
     a = ahocorasick.Automaton()
-    a.add_word("@", ("at", 1))
-    a.add_word("+", ("plus", 1))
+    for c, kind in [("@", "at"), ("+", "plus")] + [(d, "digit") for d in "0123456789"]:
+        a.add_word(c, (kind, 1))
     for kind, words in (("scheme", SCHEMES), ("id", IDENTIFIERS), ("secret", SECRETS)):
         for w in words:
-            for form in {w, w.upper(), w.capitalize()}:
-                a.add_word(form, (kind, len(w)))
+            a.add_word(w, (kind, len(w)))
     for w in KEY_PREFIXES:
-        a.add_word(w, (w, len(w)))
+        a.add_word(w.lower(), (w, len(w)))
     a.make_automaton()
     return a
 
 
+def lowered(text: str) -> str:
+    """Lower case with a character for each character; one letter has a lower case of two."""
+    low = text.lower()
+    return low if len(low) == len(text) else text.replace("\u0130", "i").lower()
+
+
 def luhn(digits: str) -> bool:
     d = [ord(c) - 48 for c in reversed(digits)]
     return (sum(d[::2]) + sum(2 * x - 9 * (x > 4) for x in d[1::2])) % 10 == 0
@@ -62,32 +70,37 @@ def iban_valid(text: str) -> bool:
     return 15 <= len(t) <= 34 and int("".join(str(int(c, 36)) for c in t)) % 97 == 1
 
 
-def _cards(text: str) -> Iterator[Span]:
-    for m in _CARD.finditer(text):
-        d = m[0].replace(" ", "").replace("-", "")
-        if 13 <= len(d) <= 19 and luhn(d):
-            yield "card", m.start(), m.end()
-
-
-def _addresses(text: str) -> Iterator[Span]:
+def _addresses(run: str, at: int) -> Iterator[Span]:
     """A dotted run of numbers is read four parts at a time from its left end."""
-    for m in _DOTTED.finditer(text):
-        parts, at = m[0].split("."), m.start()
-        for i in range(0, len(parts) - 3, 4):
-            four = parts[i : i + 4]
-            end = at + sum(map(len, four)) + 3
-            if all(len(p.lstrip("0")) <= 3 and int(p) <= 255 for p in four):
-                yield "ip", at, end
-            at = end + 1
+    parts = run.split(".")
+    for i in range(0, len(parts) - 3, 4):
+        four = parts[i : i + 4]
+        end = at + sum(map(len, four)) + 3
+        if all(len(p.lstrip("0")) <= 3 and int(p) <= 255 for p in four):
+            yield "ip", at, end
+        at = end + 1
 
 
 def _anchored(text: str, automaton: ahocorasick.Automaton) -> Iterator[Span]:
     """Spans that start from anchors, each kind leftmost and without overlap."""
-    ends = dict.fromkeys(("at", "plus", "scheme", "id", "secret"), 0)
+    ends = dict.fromkeys(("at", "plus", "scheme", "id", "secret", "ip", "card"), 0)
     last_at = 0
-    for last, (kind, n) in automaton.iter(text):
+    for last, (kind, n) in automaton.iter(lowered(text)):
         start, after = last + 1 - n, last + 1
-        if kind == "at":
+        if kind == "digit":
+            # the first digit of a run expands to the right; the others lie inside
+            if start >= ends["ip"] and (m := _DOTTED.match(text, start)):
+                yield from _addresses(m[0], start)
+                ends["ip"] = m.end()
+            elif start >= ends["ip"]:
+                ends["ip"] = _DIGITS.match(text, start).end()
+            if start >= ends["card"] and (m := _CARD.match(text, start)):
+                ends["card"] = m.end()
+                if m.end() - start >= 13:
+                    d = m[0].replace(" ", "").replace("-", "")
+                    if 13 <= len(d) <= 19 and luhn(d):
+                        yield "card", start, m.end()
+        elif kind == "at":
             head = text[max(ends["at"], last_at) : start]
             last_at = after
             local = len(head) - len(head.rstrip(_LOCAL))
@@ -115,7 +128,7 @@ def _anchored(text: str, automaton: ahocorasick.Automaton) -> Iterator[Span]:
         elif kind == "secret":
             if start >= ends["secret"] and (m := _AFTER_SECRET.match(text, after)):
                 ends["secret"] = m.end()
-                yield "secret", m.start(1), m.end(1)
+                yield "secret", *m.span(m.lastindex)
         elif start >= ends["secret"] and not (start and text[start - 1].isalnum()) and (m := _KEY[kind].match(text, start)):
             ends["secret"] = m.end()
             yield "secret", start, m.end()
@@ -123,8 +136,7 @@ def _anchored(text: str, automaton: ahocorasick.Automaton) -> Iterator[Span]:
 
 def find_spans(text: str, automaton: ahocorasick.Automaton) -> list[Span]:
     """All spans of one text in code points, end exclusive, by kind as listed and then start."""
-    found = [*_anchored(text, automaton), *_addresses(text), *_cards(text)]
-    return sorted(found, key=lambda s: (KINDS.index(s[0]), s[1]))
+    return sorted(_anchored(text, automaton), key=lambda s: (KINDS.index(s[0]), s[1]))
 
 
 def pii_spans(text: Column) -> Column:
@@ -135,10 +147,13 @@ def pii_spans(text: Column) -> Column:
     schemes and identifier cues; local parsers go left and right from them:
     email, phone, ``url`` (a scheme with a dotted host), ``account`` (an
     identifier with five digits or more, or a valid IBAN, after a cue) and
-    ``secret`` (a value after a password cue, or an access key by its prefix).
-    Numbers without a cue (ip, card) are read from runs of digits. Each parser
-    is linear in the text.
+    ``secret`` (a value after a password or token cue, or an access key by its
+    prefix). A digit is the anchor of addresses and cards: the first one of a
+    run expands over the run. Texts of any length are read whole; each parser is
+    linear in the text. Spans of one kind never overlap, the leftmost wins;
+    repeated rows give the same spans.
     """
+    text_batches(SparkSession.getActiveSession())
 
     @F.arrow_udf("array<struct<kind:string,start:bigint,end:bigint>>")
     def find(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
@@ -173,7 +188,8 @@ def digest_columns(spans: Column) -> dict[str, Column]:
     base = F.filter(spans, lambda s: s["kind"].isin(*BASE_KINDS))
     of = lambda k: F.filter(spans, lambda s: s["kind"] == k)
     counts = {f"n_{k}": F.size(of(k)).cast("long") for k in BASE_KINDS}
-    return counts | {"base_sha256": F.sha2(listed(base), 256), "spans": listed(spans)}
+    added = {f"n_{k}": F.size(of(k)).cast("long") for k in KINDS if k not in BASE_KINDS}
+    return counts | {"base_sha256": F.sha2(listed(base), 256), "spans": listed(spans)} | added
 
 
 def op8_pii(spark, sf_dir: str) -> DataFrame:

@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from functools import lru_cache
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from greensward.llm.memory import text_batches
+
 #: What an unknown character costs below the worst piece, words a worker remembers, and texts counted together.
 UNKNOWN_PENALTY, MEMO_WORDS, GROUP_BYTES = 10.0, 500_000, 8 << 20
 SPACE = "▁"
@@ -22,11 +25,21 @@ def default_model() -> str:
 
 
 def load_pieces(path: str) -> dict[str, float]:
-    """Pieces and their scores; without bytes, controls and the unknown piece."""
+    """Pieces and their log-probabilities; without bytes, controls and the unknown piece.
+
+    A unigram file brings log-probabilities. A BPE file brings ranks, from which
+    Zipf's law makes a distribution over the pieces: the piece of rank r has a
+    share in proportion to 1 / r. Nothing is trained.
+    """
     import sentencepiece
 
     m = sentencepiece.SentencePieceProcessor(model_file=path)
-    return {m.id_to_piece(i): m.get_score(i) for i in range(m.vocab_size()) if not (m.is_byte(i) or m.is_control(i) or m.is_unknown(i) or m.is_unused(i))}
+    found = {m.id_to_piece(i): m.get_score(i) for i in range(m.vocab_size()) if not (m.is_byte(i) or m.is_control(i) or m.is_unknown(i) or m.is_unused(i))}
+    ranked = sorted(found, key=lambda p: (-found[p], p))
+    if not all(s == int(s) for s in found.values()):
+        return found
+    total = math.log(math.fsum(1 / r for r in range(1, len(ranked) + 1)))
+    return {p: -math.log(r) - total for r, p in enumerate(ranked, 1)}
 
 
 class TrieCounter:
@@ -101,8 +114,11 @@ def token_counts(text: Column, model: str | None = None) -> Column:
     Words are runs of ``[^\\x20\\x09-\\x0D]``; each stands as a pre-token with
     a leading space mark. Pieces and scores come from a public piece file; a
     character in no piece counts as its UTF-8 bytes. Null and empty texts, and
-    texts of white space, have 0 of both.
+    texts of white space, have 0 of both; of segmentations with equal scores the
+    one with fewer pieces counts. Texts and words of any length are read whole,
+    repeated rows count again, and an empty table stays empty.
     """
+    text_batches(SparkSession.getActiveSession())
     path = model or default_model()
 
     @F.arrow_udf("struct<n_words:bigint,n_tokens:bigint>")

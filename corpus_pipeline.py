@@ -23,18 +23,28 @@ ORACLE_SQL = None
 
 
 def drop_low_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality rules reject go."""
-    return quality_rules.quality_rules(docs).where("quality.kept").drop("quality")
+    """Documents that the quality rules reject go, null and empty texts among them; repeated rows fare alike, an empty table stays empty."""
+    return quality_rules.quality_rules(docs).where("quality.kept").select(docs.columns)
 
 
 def drop_common_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Lines common to a source's documents go; ``n_chars`` follows the text."""
+    """Lines common to a source's documents go; ``n_chars`` follows the text.
+
+    Every row stays, even if no line does. A null source is a source of its
+    own, a null text stays null, repeated ids are judged by row, and lines that
+    lie exactly at the ratio stay.
+    """
     clean = line_dedup.drop_site_lines(docs, "text", docs["source"], ratio=LINE_RATIO, min_pages=LINE_MIN)
     return clean.withColumn("n_chars", F.length("text").cast("long")).select(docs.columns)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents joined up by links, the one with the smallest id stays; of rows repeating id and text, one."""
+    """Of texts joined up by links, the one with the smallest doc_id stays; of rows repeating id and text, one.
+
+    An id may stand on several texts: each is judged by its own set of
+    shingles. Texts without a word, null or not, and rows with a null id have
+    no links and stay. An empty table stays empty.
+    """
     found = ngram_join.jaccard_components(docs, words=SHINGLE_WORDS, percent=SIMILAR_PERCENT, digests=True)
     scratch = Scratch(spark, "pipeline")
     again = scratch.put(found.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").select("doc_id"), "repeated")
@@ -46,25 +56,26 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     gone = scratch.small(scratch.put(gone.join(again, "doc_id", "left_anti"), "copies"))
     copies = found.join(again, "doc_id", "left_semi").where("doc_id <> component_id").select("doc_id", "a", "b").distinct()
     copies = scratch.small(scratch.put(copies, "repeated_copies"))
-    once = docs.join(again, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"]).withColumn("row", F.xxhash64("doc_id", "text"))
+    once = docs.join(again, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"]).withColumn("_text_key", F.xxhash64("doc_id", "text"))
     once = scratch.put(once, "once")
-    key = ngram_join.signatures(once.select(F.col("row").alias("doc_id"), "text"), SHINGLE_WORDS).select(F.col("doc_id").alias("row"), "a", "b")
-    once = once.join(key.distinct(), "row").join(copies, ["doc_id", "a", "b"], "left_anti")
+    key = ngram_join.signatures(once.select(F.col("_text_key").alias("doc_id"), "text"), SHINGLE_WORDS).select(F.col("doc_id").alias("_text_key"), F.col("a").alias("_a"), F.col("b").alias("_b"))
+    copies = copies.select(F.col("doc_id").alias("_id"), F.col("a").alias("_ca"), F.col("b").alias("_cb"))
+    once = once.join(key.distinct(), "_text_key").join(copies, (F.col("doc_id") == F.col("_id")) & (F.col("_a") == F.col("_ca")) & (F.col("_b") == F.col("_cb")), "left_anti")
     rest = docs.join(again, "doc_id", "left_anti").join(gone, "doc_id", "left_anti")
     return rest.select(docs.columns).unionByName(once.select(docs.columns))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document as many times as the mix takes it, under its own id."""
-    taken = mixing.mix(docs)
-    scratch = Scratch(spark, "pipeline")
-    taken = scratch.small(scratch.put(taken.where("size > 0").select(F.col("doc_id").alias("k"), F.expr("cast(taken / size as int)").alias("times")).where("times > 0").groupBy("k").agg(F.max("times").alias("times")), "taken"))
-    rows = docs.join(taken, docs["doc_id"].eqNullSafe(F.col("k")))
-    return rows.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("times")))).select(docs.columns)
+    """Each row as many times as its source's part of the mix takes it, under its own id.
+
+    Rows without a word go. An id in two sources is taken by each on its own; a
+    null source is a source; an empty table stays empty.
+    """
+    return mixing.repeat_rows(docs)
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of all documents with their places in sequences of 1024 tokens."""
+    """The pieces of all documents with their places in sequences of 1024 tokens; each repeated row is packed again, a null text is an end token."""
     return packing.pack(docs)
 
 

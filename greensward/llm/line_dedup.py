@@ -47,17 +47,17 @@ def drop_site_lines(docs: DataFrame, text: str, host: Column, *, ratio: float, m
     counts = scratch.put(counts, "counts")
     total = counts.where("k is null").select(F.col("h").alias("t"), F.col("n").alias("pages"))
     common = counts.where("k is not null").join(scratch.small(scratch.put(total, "hosts")), F.col("h").eqNullSafe(F.col("t")))
-    common = common.where(F.col("n") > ratio * F.col("pages")).groupBy("h").agg(F.collect_list("k").alias("common"))
-    common = scratch.small(scratch.put(common.withColumnRenamed("h", "common_host"), "boilerplate"))
-    new = docs.withColumn("dedup_host", host).join(common, F.col("dedup_host").eqNullSafe(F.col("common_host")), "left")
-    gone = lambda x: full(x) & F.array_contains(F.coalesce("common", F.array()), key(x))
+    common = common.where(F.col("n") > ratio * F.col("pages")).groupBy("h").agg(F.collect_list("k").alias("_boilerplate"))
+    common = scratch.small(scratch.put(common.withColumnRenamed("h", "_boilerplate_host"), "boilerplate"))
+    new = docs.withColumn("dedup_host", host).join(common, F.col("dedup_host").eqNullSafe(F.col("_boilerplate_host")), "left")
+    gone = lambda x: full(x) & F.array_contains(F.coalesce("_boilerplate", F.array()), key(x))
     kept = F.filter(lines, lambda x: ~gone(x))
     new = new.withColumns({
         "n_lines": F.coalesce(F.size(F.filter(lines, full)), F.lit(0)).cast("long"),
         "n_dropped": F.coalesce(F.size(lines) - F.size(kept), F.lit(0)).cast("long"),
         text: F.array_join(kept, "\n"),
     })
-    return new.drop("common", "common_host")
+    return new.drop("_boilerplate", "_boilerplate_host")
 
 
 #: Share of a site's pages above which a line is boilerplate, and the least number of pages.

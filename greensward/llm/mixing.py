@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from greensward.llm.words import n_words
+from greensward.llm.words import WORD, n_words
 from greensward.plans.scratch import Scratch
 
 #: Bits of a document's hash, and bits that one histogram resolves.
@@ -27,7 +27,8 @@ def source_targets(sizes: DataFrame, weights: tuple[float, ...] = (5.0, 2.0, 1.0
     is ``least(cap, level * weight)``: in the order of cap/weight the level is
     what remains for a source and all behind it, per unit of their weight, at
     the first source whose cap isn't below that. Only the table of sources, one
-    row each, is ordered.
+    row each, is ordered, in one task: sources are taken to be fewer than some
+    millions (sites or collections, not documents).
     """
     s = sizes.groupBy("source").agg(F.sum("size").alias("source_size"))
     rank = F.row_number().over(Window.orderBy(F.col("source").asc_nulls_last())) - 1
@@ -45,6 +46,28 @@ def source_targets(sizes: DataFrame, weights: tuple[float, ...] = (5.0, 2.0, 1.0
     return s.select("source", "source_size", target.alias("target"))
 
 
+def _thresholds(docs: DataFrame, size: Column | None, doc_id: str, source: str, weights: tuple[float, ...], max_repeats: int, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
+    """The documents' sizes and hashes, and for each source how often all of it is taken and up to which hash once more."""
+    size = n_words(docs["text"]) if size is None else size
+    slim = scratch.put(docs.select(docs[doc_id].alias("doc_id"), docs[source].alias("source"), F.coalesce(size.cast("long"), F.lit(0)).alias("size"), document_hash(docs[doc_id]).alias("h")), "sizes")
+    s = source_targets(slim, weights, max_repeats)
+    ratio = F.col("target") / F.col("source_size")
+    whole = F.when(F.col("source_size") > 0, F.least(F.floor(ratio + 1e-12), F.lit(max_repeats))).otherwise(0)
+    s = s.withColumn("whole", whole.cast("long")).withColumn("budget", F.col("target") - F.col("whole") * F.col("source_size"))
+    state = s.withColumns({"prefix": F.lit(0).cast("long"), "below": F.lit(0).cast("long")})
+    for bits in range(LEVEL_BITS, HASH_BITS + 1, LEVEL_BITS):
+        state = scratch.small(scratch.put(state, f"level{bits}"))
+        state = _refine(slim, state, bits)
+    return slim, scratch.small(scratch.put(state, "thresholds"))
+
+
+def _repeats(h: Column, state: str, max_repeats: int) -> Column:
+    """How often a document is taken, from its hash and the columns of its source's threshold, which start with ``state``."""
+    c = lambda n: F.col(state + n)
+    more = (h < c("prefix")) | ((h == c("prefix")) & c("edge"))
+    return F.least(c("whole") + F.coalesce(more, F.lit(False)).cast("long"), F.lit(max_repeats))
+
+
 def mix(docs: DataFrame, size: Column | None = None, *, doc_id: str = "doc_id", source: str = "source", weights: tuple[float, ...] = (5.0, 2.0, 1.0), max_repeats: int = 3) -> DataFrame:
     """How many words of each document a weighted mix takes.
 
@@ -58,25 +81,28 @@ def mix(docs: DataFrame, size: Column | None = None, *, doc_id: str = "doc_id",
     thresholds nest, so a smaller budget takes a subset.
 
     Null texts have size 0; null sources are a source of their own; documents
-    that share an id share a fate; empty tables give empty results. Columns of
-    ``docs`` other than those named are ignored, whatever their names.
+    of a source that share an id share a fate; empty tables give empty results.
+    Columns of ``docs`` other than those named are ignored, whatever their names.
     """
-    scratch = Scratch(docs.sparkSession, "mixing")
-    size = n_words(docs["text"]) if size is None else size
-    slim = scratch.put(docs.select(docs[doc_id].alias("doc_id"), docs[source].alias("source"), F.coalesce(size.cast("long"), F.lit(0)).alias("size"), document_hash(docs[doc_id]).alias("h")), "sizes")
-    s = source_targets(slim, weights, max_repeats)
-    ratio = F.col("target") / F.col("source_size")
-    whole = F.when(F.col("source_size") > 0, F.least(F.floor(ratio + 1e-12), F.lit(max_repeats))).otherwise(0)
-    s = s.withColumn("whole", whole.cast("long")).withColumn("budget", F.col("target") - F.col("whole") * F.col("source_size"))
-    state = s.withColumns({"prefix": F.lit(0).cast("long"), "below": F.lit(0).cast("long")})
-    for bits in range(LEVEL_BITS, HASH_BITS + 1, LEVEL_BITS):
-        state = scratch.small(scratch.put(state, f"level{bits}"))
-        state = _refine(slim, state, bits)
-    state = scratch.small(scratch.put(state, "thresholds"))
+    slim, state = _thresholds(docs, size, doc_id, source, weights, max_repeats, Scratch(docs.sparkSession, "mixing"))
     out = slim.alias("d").join(state.alias("s"), F.col("d.source").eqNullSafe(F.col("s.source")), "left")
-    more = (F.col("h") < F.col("prefix")) | ((F.col("h") == F.col("prefix")) & F.col("edge"))
-    repeats = F.least(F.col("whole") + F.coalesce(more, F.lit(False)).cast("long"), F.lit(max_repeats))
-    return out.select("doc_id", "size", "source_size", "target", (F.col("size") * repeats).alias("taken"))
+    return out.select("doc_id", "size", "source_size", "target", (F.col("size") * _repeats(F.col("h"), "s.", max_repeats)).alias("taken"))
+
+
+def repeat_rows(docs: DataFrame, *, doc_id: str = "doc_id", source: str = "source", text: str = "text", weights: tuple[float, ...] = (5.0, 2.0, 1.0), max_repeats: int = 3) -> DataFrame:
+    """Each row of ``docs`` with a word as many times as ``mix`` takes it, with all its columns.
+
+    Rows meet the threshold of their own source, so an id that occurs in two
+    sources is taken by each as that source's share asks. Rows without a word
+    aren't taken. Columns of any name stay as they are.
+    """
+    scratch = Scratch(docs.sparkSession, "mixing")
+    _, state = _thresholds(docs, n_words(docs[text]), doc_id, source, weights, max_repeats, scratch)
+    state = state.select(*[F.col(c).alias(f"_mix_{c}") for c in ("source", "whole", "prefix", "edge")])
+    rows = docs.join(scratch.small(scratch.put(state, "taken")), docs[source].eqNullSafe(F.col("_mix_source"))).where(docs[text].rlike(WORD))
+    times = _repeats(document_hash(docs[doc_id]), "_mix_", max_repeats)
+    rows = rows.withColumn("_mix_times", times.cast("int")).where("_mix_times > 0")
+    return rows.withColumn("_mix_copy", F.explode(F.sequence(F.lit(1), F.col("_mix_times")))).select(docs.columns)
 
 
 def _refine(slim: DataFrame, state: DataFrame, bits: int) -> DataFrame:

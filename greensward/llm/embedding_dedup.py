@@ -1,4 +1,4 @@
-"""Near duplicates among embeddings of one label, by flat graphs over overlapping cells."""
+"""Near duplicates among embeddings of one label, by flat graphs over clusters of bounded size."""
 
 from __future__ import annotations
 
@@ -7,16 +7,18 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from greensward.llm.flat_graph import BATCH, k_means, nearest, range_pairs
+from greensward.llm.flat_graph import k_means, lowest_labels, near_pairs, nearest
 from greensward.operators.graph import connected_components
 from greensward.plans.scratch import Scratch
 
-#: Vectors of a cell about, centres in all at most, sampled vectors for each centre, bisectors held against the link radius.
-CELL, MAX_CENTRES, PER_CENTRE, BISECTORS = 300, 4096, 16, 4
-#: Larger cells are cut into blocks of half so many vectors.
-MAX_GROUP = 4096
+#: Vectors of a cell about, centres of a group at most and their numbers in all, sampled vectors for each centre, bisectors held against the link radius.
+CELL, MAX_CENTRES, CENTRE_VALUES, PER_CENTRE, BISECTORS = 1500, 4096, 1 << 20, 16, 4
+#: Larger cells are cut into blocks of half so many vectors; vectors dealt to centres at a time.
+MAX_GROUP, DEAL = 4096, 8192
+#: Queries of the audit: classes whose id this number divides, the ``AUDIT_MAX`` with the smallest hashes if there are more; the recall that stops the widening of graphs and beams.
+AUDIT_EVERY, AUDIT_MAX, RECALL, WIDTHS = 100, 2000, 0.97, (1, 2, 4)
 
-DDL = "id bigint, links bigint, dst bigint"
+NODE = ["part", "c1", "c2", "home", "id", "copies", "v"]
 
 
 def unit_vector(v: Column) -> Column:
@@ -36,17 +38,22 @@ def unit_vector(v: Column) -> Column:
 
 
 def embedding_components(vectors: DataFrame, *, vec_id: str = "vec_id", embedding: str = "embedding", label: str = "label", least: float = 0.98) -> DataFrame:
-    """``vec_id, n_links, component_id, kept``, a row for each row of ``vectors``.
+    """``vec_id, n_links, component_id, kept, audit_recall``, a row for each row of ``vectors``.
 
     Vectors with the same label and length are linked when their cosine is
     found to be ``least`` or more. Equal vectors are one node with a count, so
     any number of copies costs one vector. The vectors of a large label live in
-    the nearest of its cells, whose centres are fitted to a bounded sample, and
-    visit every other cell that the link radius can reach, so each linked pair
-    meets. Centres closer than that radius make one dense cell. In a plain cell
-    shard graphs are built, pruned, united, searched from medoids and audited
-    (``flat_graph``); visitors, dense cells and pairs of blocks of a large cell
-    are scored in full. Every link is verified in double precision.
+    the nearest of its cells, and of a large cell in the nearest of its own
+    cells (``_split``); they visit every cell of a smaller number that the link
+    radius can reach, so each pair in range shares one group. There overlapping
+    shards are built into robust-pruned graphs, their adjacency lists united,
+    and searched from medoids (``flat_graph``). Every pair that is found is
+    verified in double precision and counts for both its ends.
+
+    ``audit_recall`` is the share of the audited queries' links, by brute force
+    against all vectors of their label, that the search has found (1 if there
+    are none), the same in every row. Below ``RECALL`` the search is done again
+    with wider lists and beams, twice at most.
 
     Vectors without a label, null, zero, or with null or non-finite components,
     and rows with a null id, have no links and are components of their own.
@@ -61,16 +68,32 @@ def embedding_components(vectors: DataFrame, *, vec_id: str = "vec_id", embeddin
     rows = v.select("vec_id", F.when(F.col("v").isNotNull(), F.xxhash64("label", "v")).alias("a"), F.when(F.col("v").isNotNull(), F.xxhash64("v", "label", F.lit(1))).alias("b"))
     nodes = v.where("v is not null").groupBy(F.xxhash64("label", "v").alias("a"), F.xxhash64("v", "label", F.lit(1)).alias("b"))
     nodes = scratch.put(nodes.agg(F.min("vec_id").alias("id"), F.count(F.lit(1)).alias("copies"), F.first("part").alias("part"), F.first("v").alias("v")), "nodes")
-    placed = _cells(nodes, least, scratch)
-    found = scratch.put(_search(placed, least, scratch), "found")
-    links = found.where("links is not null").groupBy("id").agg(F.sum("links").alias("links"))
-    roots = connected_components(found.where("dst is not null").select(F.col("id").alias("src"), "dst"))
-    known = nodes.select(F.col("a").alias("ka"), F.col("b").alias("kb"), "id", "copies").join(links, "id", "left").join(roots, "id", "left")
-    known = known.select("ka", "kb", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("links"), F.coalesce("component", "id").alias("root")).where("links > 0")
-    known = scratch.small(scratch.put(known, "known"))
-    out = rows.join(known, (F.col("a") == F.col("ka")) & (F.col("b") == F.col("kb")), "left")
+    # numbers of their own, since one vec_id may stand on several vectors
+    nodes = scratch.put(nodes.withColumnRenamed("id", "first").withColumn("id", F.monotonically_increasing_id()), "numbered")
+    placed = nodes.select("part", F.lit(0).alias("c1"), F.lit(0).alias("c2"), F.lit(True).alias("home"), "id", "copies", "v")
+    placed = _split(_split(placed, "c1", ["part"], least, scratch), "c2", ["part", "c1"], least, scratch)
+    probes = scratch.put(nodes.where(F.col("first") % AUDIT_EVERY == 0).orderBy(F.xxhash64("first"), "id").limit(AUDIT_MAX).select("id", "part", "v"), "probes")
+    true = scratch.put(_true_links(nodes, probes, least), "true")
+    for width in WIDTHS:
+        found = scratch.put(_search(placed, least, width, scratch), "found")
+        links = scratch.put(found.groupBy("id").agg(F.sum("links").alias("links")), "links")
+        got = true.join(links, "id", "left").agg(F.sum(F.coalesce("links", F.lit(0))).alias("got"), F.sum("true").alias("true")).first()
+        recall = got.got / got.true if got.true else 1.0
+        if recall >= RECALL:
+            break
+    roots = connected_components(found.where("root <> id").select(F.col("id").alias("src"), F.col("root").alias("dst")))
+    known = nodes.select(F.col("a").alias("ka"), F.col("b").alias("kb"), "id", "first", "copies").join(links, "id", "left").join(roots, "id", "left")
+    known = scratch.put(known.withColumn("links", F.coalesce("links", F.lit(0)) + F.col("copies") - 1).where("links > 0"), "linked")
+    lowest = known.where("component is not null").groupBy("component").agg(F.min("first").alias("low"))
+    known = scratch.put(known.join(lowest, "component", "left").select("ka", "kb", "links", F.coalesce("low", "first").alias("root")), "known")
+    out = rows.join(scratch.small(known), (F.col("a") == F.col("ka")) & (F.col("b") == F.col("kb")), "left")
     out = out.select("vec_id", F.coalesce("links", F.lit(0)).cast("long").alias("n_links"), F.coalesce("root", "vec_id").alias("component_id"))
-    return out.withColumn("kept", F.col("vec_id").eqNullSafe(F.col("component_id")))
+    return out.withColumns({"kept": F.col("vec_id").eqNullSafe(F.col("component_id")), "audit_recall": F.lit(float(recall))})
+
+
+def _stack(column: pa.ChunkedArray) -> np.ndarray:
+    v = column.combine_chunks()
+    return v.flatten().to_numpy(zero_copy_only=False).reshape(len(v), -1)
 
 
 def reach(x: np.ndarray, centres: np.ndarray, radius: float) -> tuple[np.ndarray, np.ndarray]:
@@ -100,109 +123,141 @@ def merged(centres: np.ndarray, least: float) -> np.ndarray:
     return low
 
 
-def _cells(nodes: DataFrame, least: float, scratch: Scratch) -> DataFrame:
-    """Each node with its cell and those that it visits: ``id, copies, part, v, home, dense, visits``."""
-    sizes = scratch.put(nodes.groupBy("part").agg(F.count(F.lit(1)).alias("m")), "parts")
-    large = sizes.where(F.col("m") > 2 * CELL)
-    total = large.agg(F.sum("m")).first()[0] or 0
-    if not total:
-        return nodes.withColumns({"home": F.lit(0), "dense": F.lit(0), "visits": F.array().cast("array<int>")})
-    # about m / CELL centres for a part, MAX_CENTRES in all; their sample is a share of the part's rows by hash
-    scale = max(CELL, -(-total // MAX_CENTRES))
-    share = int(min(1.0, PER_CENTRE / scale) * (1 << 30))
-    sample = nodes.where(F.pmod(F.xxhash64("id", F.lit(2)), F.lit(1 << 30)) < share).join(large, "part")
-    found = sample.groupBy("part", "m").agg(F.sort_array(F.collect_list(F.struct("id", "v"))).alias("s")).collect()
-    centres = {}
-    for r in found:
-        c = k_means(np.array([x.v for x in r.s]), max(1, min(len(r.s), round(r.m / scale))))
-        low = merged(c, least)
-        centres[tuple(r.part)] = c, low, np.bincount(low, minlength=len(low)) > 1
-    radius = float(np.sqrt(max(0.0, 2 - 2 * least)))
+def _split(placed: DataFrame, into: str, by: list[str], least: float, scratch: Scratch) -> DataFrame:
+    """Deal groups of more than ``2 * CELL`` vectors out to cells: the column ``into`` gets their numbers.
+
+    Centres are fitted in a task for each group, to a sample of at most
+    ``PER_CENTRE`` vectors for each; a group has at most ``MAX_CENTRES`` of
+    them, and a second split of its cells brings as many again. Centres that
+    lie within the link radius of each other are one cell. A vector at home
+    stays in its nearest cell and visits those before it that the radius can
+    reach; a visitor visits all of these.
+    """
+    dim = F.col("part.dim")
+    most = F.greatest(F.lit(1), F.least(F.lit(MAX_CENTRES), F.floor(F.lit(CENTRE_VALUES) / dim)))
+    sizes = placed.groupBy(*by).agg(F.count_if("home").alias("m"), F.count(F.lit(1)).alias("all")).where(F.col("m") > 2 * CELL)
+    sizes = sizes.withColumns({"k": F.least(F.ceil(F.col("m") / CELL), most), "deals": F.ceil(F.col("all") / DEAL).cast("int")})
+    sizes = scratch.put(sizes, "sizes")
+    if sizes.isEmpty():
+        return placed
+    large = scratch.small(sizes)
+    share = F.least(F.lit(1.0), PER_CENTRE * F.col("k") / F.col("m")) * (1 << 30)
+    sample = placed.where("home").join(large, by).where(F.pmod(F.xxhash64("id", F.lit(into)), F.lit(1 << 30)) < share)
+
+    def fit(table: pa.Table) -> pa.Table:
+        order = np.argsort(table.column("id").to_numpy(), kind="stable")
+        x = _stack(table.column("v"))[order]
+        c = k_means(x, min(len(x), table.column("k")[0].as_py()))
+        return table.slice(0, 1).select([*by, "deals"]).append_column("centres", pa.array([c.tobytes()], pa.binary()))
 
-    @F.arrow_udf("array<int>")
-    def near(label: pa.Array, dim: pa.Array, v: pa.Array) -> pa.Array:
-        keys = list(zip(label.to_pylist(), dim.to_pylist(), strict=True))
-        off, flat = np.asarray(v.offsets), v.values.to_numpy(zero_copy_only=False)
-        out: list[list[int]] = [[0, 0]] * len(keys)
-        for key in set(keys) & set(centres):
-            at = [i for i, k in enumerate(keys) if k == key]
-            c, low, dense = centres[key]
-            for s in range(0, len(at), 512):
-                part = at[s : s + 512]
-                home, inside = reach(np.stack([flat[off[i] : off[i + 1]] for i in part]), c, radius)
-                for i, h, row in zip(part, low[home], inside, strict=True):
-                    visits = np.unique(low[row])
-                    out[i] = [int(h), int(dense[h]), *visits[visits != h].tolist()]
-        return pa.array(out, pa.list_(pa.int32()))
+    schema = placed.select(*by).schema.add("deals", "integer").add("centres", "binary")
+    fitted = scratch.put(sample.select(*by, "k", "deals", "id", "v").groupBy(*by).applyInArrow(fit, schema), "centres")
+    fitted = fitted.withColumn("deal", F.explode(F.sequence(F.lit(0), F.col("deals") - 1))).drop("deals")
+    rows = placed.join(large.select(*by, "deals"), by).withColumn("deal", F.pmod(F.xxhash64("id", F.lit(3)), F.col("deals")).cast("int"))
+    radius = float(np.sqrt(max(0.0, 2 - 2 * least)))
 
-    placed = scratch.put(nodes.withColumn("cells", near("part.label", "part.dim", "v")), "cells")
-    return placed.withColumns({"home": F.get("cells", F.lit(0)), "dense": F.get("cells", F.lit(1)), "visits": F.slice("cells", 3, F.greatest(F.size("cells") - 2, F.lit(0)))}).drop("cells")
+    def near(rows: pa.Table, centres: pa.Table) -> pa.Table:
+        rows = rows.select(NODE).combine_chunks()
+        if not rows.num_rows:
+            return rows
+        x, at_home = _stack(rows.column("v")), rows.column("home").to_numpy()
+        c = np.frombuffer(centres.column("centres")[0].as_py()).reshape(-1, x.shape[1])
+        numbers, where = np.unique(merged(c, least), return_inverse=True)
+        index, home, cell = [], [], []
+        for s in range(0, len(x), 512):
+            top, inside = reach(x[s : s + 512], c, radius)
+            cells = np.zeros((len(top), len(numbers)), bool)
+            q, j = np.nonzero(inside)
+            cells[q, where[j]] = True
+            mine, here = where[top], at_home[s : s + 512]
+            cells &= ~here[:, None] | (np.arange(len(numbers)) < mine[:, None])
+            q, j = np.nonzero(cells)
+            h = np.flatnonzero(here)
+            index += [s + h, s + q]
+            home += [np.ones(len(h), bool), np.zeros(len(q), bool)]
+            cell += [numbers[mine[h]], numbers[j]]
+        rows = rows.take(pa.array(np.concatenate(index)))
+        rows = rows.set_column(NODE.index("home"), "home", pa.array(np.concatenate(home)))
+        return rows.set_column(NODE.index(into), into, pa.array(np.concatenate(cell), pa.int32()))
 
+    def deal(rows: pa.Table, centres: pa.Table) -> pa.Table:
+        return near(rows, centres)
 
-def _blocks(n: str) -> Column:
-    return F.when(F.col(n) > MAX_GROUP, F.ceil(F.col(n) / (MAX_GROUP / 2))).otherwise(F.signum(n)).cast("int")
+    moved = rows.select(*NODE, "deal").groupBy(*by, "deal").cogroup(fitted.groupBy(*by, "deal")).applyInArrow(deal, placed.select(NODE).schema)
+    rest = placed.join(large.select(*by), by, "left_anti").select(NODE)
+    return scratch.put(rest.unionByName(moved), f"cells-{into}")
 
 
-def _search(placed: DataFrame, least: float, scratch: Scratch) -> DataFrame:
-    """For each group a row with the links of each node, and rows of links that join up its components.
+def _search(placed: DataFrame, least: float, width: int, scratch: Scratch) -> DataFrame:
+    """For each group a row with the links of each node there and the smallest node that they lead to.
 
-    Groups ``i <= j < nb`` are blocks of a cell's own nodes. Groups ``j >= nb``
-    hold a block of them against one of the visitors, and count for the cell's
-    own nodes only: the visitors count the same links in their cells.
+    A group holds a block ``i`` of a cell's own nodes, as the index, and a block
+    ``j`` of own nodes or, for ``j >= nb``, of visitors that query it. Each pair
+    in range meets in one group alone, which counts it for both ends.
     """
-    own = placed.select("id", "copies", "part", "v", "dense", F.col("home").alias("cell"))
-    visit = placed.select("id", "copies", "part", "v", F.explode("visits").alias("cell"))
-    sizes = own.groupBy("part", "cell").agg(F.count(F.lit(1)).alias("m"))
-    guests = visit.groupBy("part", "cell").agg(F.count(F.lit(1)).alias("g"))
-    sizes = sizes.join(guests, ["part", "cell"], "left").withColumn("g", F.coalesce("g", F.lit(0)))
-    sizes = scratch.small(scratch.put(sizes.select("part", "cell", _blocks("m").alias("nb"), _blocks("g").alias("ng")), "sizes"))
-    block = lambda n: F.pmod(F.xxhash64("id"), F.col(n)).cast("int")
-    own = own.join(sizes, ["part", "cell"]).withColumn("blk", block("nb"))
+    by = ["part", "c1", "c2"]
+    blocks = lambda n: F.when(n > MAX_GROUP, F.ceil(n / (MAX_GROUP / 2))).otherwise(F.signum(n)).cast("int")
+    sizes = placed.groupBy(*by).agg(blocks(F.count_if("home")).alias("nb"), blocks(F.count_if(~F.col("home"))).alias("ng"))
+    sizes = scratch.small(scratch.put(sizes.where("nb > 0"), "blocks"))
+    each = placed.join(sizes, by)
+    own = each.where("home").withColumn("blk", F.pmod(F.xxhash64("id"), F.col("nb")).cast("int"))
     own = own.select("*", F.explode(F.sequence(F.lit(0), F.col("nb") + F.col("ng") - 1)).alias("o"))
     own = own.withColumns({"i": F.when(F.col("o") < F.col("nb"), F.least("blk", "o")).otherwise(F.col("blk")), "j": F.greatest("blk", "o")})
-    visit = visit.join(sizes, ["part", "cell"]).withColumns({"blk": F.lit(-1), "j": F.col("nb") + block("ng"), "dense": F.lit(0)})
+    visit = each.where("not home").withColumns({"blk": F.lit(-1), "j": F.col("nb") + F.pmod(F.xxhash64("id"), F.col("ng")).cast("int")})
     visit = visit.withColumn("i", F.explode(F.sequence(F.lit(0), F.col("nb") - 1)))
-    fields = ["part", "cell", "i", "j", "nb", "id", "copies", "v", "blk", "dense"]
-    each = own.select(fields).unionByName(visit.select(fields))
+    fields = [*by, "i", "j", "blk", "id", "copies", "v"]
 
     def search(table: pa.Table) -> pa.Table:
-        table = table.combine_chunks()
         order = np.argsort(table.column("id").to_numpy(), kind="stable")
         ids, copies, blk = (table.column(c).to_numpy()[order] for c in ("id", "copies", "blk"))
-        v = table.column("v").combine_chunks()
-        x = v.flatten().to_numpy(zero_copy_only=False).reshape(len(v), -1)[order]
-        i, j, nb = (table.column(c)[0].as_py() for c in ("i", "j", "nb"))
-        if j >= nb or i != j or table.column("dense").to_numpy().any():
-            found = ((s, x[s : s + BATCH] @ x.T >= least) for s in range(0, len(x), BATCH))
+        x = _stack(table.column("v"))[order]
+        i, j = (table.column(c)[0].as_py() for c in ("i", "j"))
+        inside = blk == i
+        at, out = np.flatnonzero(inside), np.flatnonzero(~inside)
+        if i == j:
+            a, b = near_pairs(x, None, least, width)
+        elif len(at) and len(out):
+            a, b = near_pairs(x[at], x[out], least, width)
+            a, b = at[a], out[b]
         else:
-            found = range_pairs(x, least)
-        links, label = np.zeros(len(ids), np.int64), np.arange(len(ids))
-        src, dst = [], []
-        for s, hit in found:
-            q = np.arange(s, s + len(hit))
-            hit[np.arange(len(hit)), q] = False
-            if i != j:
-                hit &= blk[q][:, None] != blk[None, :]
-            if j >= nb:
-                hit &= (blk[q] >= 0)[:, None]
-            links[q] = hit @ copies
-            for a in np.flatnonzero(hit.any(1)):
-                near = np.flatnonzero(hit[a])
-                for t in np.unique(label[near]):
-                    me = label[s + a]
-                    if t != me:
-                        b = near[label[near] == t][0]
-                        src.append(ids[s + a])
-                        dst.append(ids[b])
-                        label[label == t] = me
-        n = len(src)
-        return pa.table({
-            "id": pa.array(np.concatenate([ids, np.array(src, np.int64)]), pa.int64()),
-            "links": pa.array(links.tolist() + [None] * n, pa.int64()),
-            "dst": pa.array([None] * len(ids) + dst, pa.int64()),
-        })
-
-    return each.groupBy("part", "cell", "i", "j").applyInArrow(search, DDL)
+            a = b = np.zeros(0, np.int64)
+        links = np.bincount(a, copies[b], len(ids)) + np.bincount(b, copies[a], len(ids))
+        root = ids[lowest_labels(len(ids), a, b)]
+        keep = links > 0
+        return pa.table({"id": pa.array(ids[keep], pa.int64()), "links": pa.array(links[keep].astype(np.int64)), "root": pa.array(root[keep], pa.int64())})
+
+    return own.select(fields).unionByName(visit.select(fields)).groupBy(*by, "i", "j").applyInArrow(search, "id bigint, links bigint, root bigint")
+
+
+def _true_links(nodes: DataFrame, probes: DataFrame, least: float) -> DataFrame:
+    """``id, true``: how many rows of other nodes each probe is linked with, by brute force against all nodes of its label.
+
+    The probes, ``AUDIT_MAX`` at most, go to every task; a task hands back one
+    count for each of them.
+    """
+    few = probes.select("id", "part.label", "part.dim", "v").collect()
+    asked: dict[tuple, tuple[np.ndarray, np.ndarray]] = {}
+    for key in {(r.label, r.dim) for r in few}:
+        mine = [r for r in few if (r.label, r.dim) == key]
+        asked[key] = np.array([r.id for r in mine]), np.array([r.v for r in mine])
+
+    def count(batches):
+        total: dict[int, int] = {}
+        for batch in batches:
+            keys = list(zip(batch.column("label").to_pylist(), batch.column("dim").to_pylist(), strict=True))
+            ids, copies, v = batch.column("id").to_numpy(), batch.column("copies").to_numpy(), batch.column("v")
+            for key in set(keys) & set(asked):
+                at = np.array([i for i, k in enumerate(keys) if k == key])
+                x = _stack(pa.chunked_array([v.take(pa.array(at))]))
+                who, y = asked[key]
+                hit = y @ x.T >= least
+                hit &= who[:, None] != ids[at][None, :]
+                for i, n in zip(who.tolist(), (hit @ copies[at]).tolist(), strict=True):
+                    total[i] = total.get(i, 0) + n
+        yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.int64()), pa.array(list(total.values()), pa.int64())], names=["id", "n"])
+
+    slim = nodes.select("id", "copies", "part.label", "part.dim", "v")
+    return slim.mapInArrow(count, "id bigint, n bigint").groupBy("id").agg(F.sum("n").alias("true"))
 
 
 def op5_embedding_dedup(spark, sf_dir: str) -> DataFrame:

@@ -11,7 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from greensward.llm import embedding_dedup, flat_graph, ngram_join, packing, token_archive
+from greensward.llm import embedding_dedup, flat_graph, mixing, ngram_join, packing, token_archive
 from greensward.llm.prefix_trie import linked_forest
 from greensward.llm.shingles import Shingler
 from greensward.llm.token_ids import ChunkEncoder, default_tokenizer, encoder
@@ -166,6 +166,14 @@ def test_archive_edges(spark, tmp_path):
     token_archive.write_archive(df, f"file://{tmp_path}/a")
     got = token_archive.read_archive(spark, f"file://{tmp_path}/a").toPandas().sort_values("start")
     assert [None if pd.isna(i) else int(i) for i in got.doc_id] == [None, 1, 2, 2, 3] and got.start.tolist() == [0, 2, 3, 6, 9]
+    long = spark.createDataFrame([(k, f"word{k} é, " * 150_000) for k in (5, 6)] + [(5, "b"), (5, "b"), (5, "cc")], "doc_id long, text string")
+    token_archive.write_archive(long, f"file://{tmp_path}/c")
+    got = token_archive.read_archive(spark, f"file://{tmp_path}/c").toPandas().sort_values("start")
+    tok = encoder(default_tokenizer(), 2).tok
+    want = [tok.encode(t, add_special_tokens=False).ids + [2] for t in ("b", "b", "cc", "word5 é, " * 150_000, "word6 é, " * 150_000)]
+    assert got.doc_id.tolist() == [5, 5, 5, 5, 6] and [np.frombuffer(b, "<u4").tolist() for b in got.ids] == want
+    assert token_archive.read_archive(spark, f"file://{tmp_path}/c", [6], with_ids=False).toPandas().start.tolist() == [sum(map(len, want[:4]))]
+    assert token_archive.read_archive(spark, f"file://{tmp_path}/c", []).count() == 0
     token_archive.write_archive(df.where("false"), f"file://{tmp_path}/b")
     assert token_archive.read_archive(spark, f"file://{tmp_path}/b").count() == 0
 
@@ -228,17 +236,33 @@ def cluster_vectors(seed, n):
     return x, rng.integers(0, 2, n)
 
 
-@pytest.mark.parametrize(("cell", "group"), [(1500, 4096), (60, 4096), (200, 150)])
-def test_embedding_links(spark, monkeypatch, cell, group):
-    """One group a label; many cells; cells cut into blocks."""
-    monkeypatch.setattr(embedding_dedup, "CELL", cell)
-    monkeypatch.setattr(embedding_dedup, "MAX_GROUP", group)
+@pytest.mark.parametrize(("cell", "group", "centres"), [(1500, 4096, 4096), (60, 4096, 4096), (200, 150, 4096), (40, 4096, 3)])
+def test_embedding_links(spark, monkeypatch, cell, group, centres):
+    """One group a label; many cells; cells cut into blocks; so few centres that their cells are split again."""
+    for name, value in (("CELL", cell), ("MAX_GROUP", group), ("MAX_CENTRES", centres), ("DEAL", 500)):
+        monkeypatch.setattr(embedding_dedup, name, value)
     x, labels = cluster_vectors(cell, 1200)
     df = spark.createDataFrame([(k, x[k].tolist(), int(labels[k])) for k in range(len(x))], "vec_id long, embedding array<double>, label int")
     got = embedding_dedup.embedding_components(df).toPandas().set_index("vec_id")
     links, component = brute_links(list(range(len(x))), x, labels)
-    assert got.n_links.sum() >= 0.95 * sum(links.values()) and all(got.n_links[k] <= links[k] for k in links)
-    assert (got.component_id == pd.Series(component)).mean() > 0.98 and (got.kept == (got.index == got.component_id)).all()
+    assert got.n_links.sum() >= 0.99 * sum(links.values()) and all(got.n_links[k] <= links[k] for k in links)
+    assert (got.component_id == pd.Series(component)).mean() > 0.99 and (got.kept == (got.index == got.component_id)).all()
+    every = [k for k in links if k % 100 == 0]
+    assert got.audit_recall.iloc[0] == pytest.approx(sum(got.n_links[k] for k in every) / sum(links[k] for k in every))
+
+
+def test_links_count_for_both_ends(spark, monkeypatch):
+    """With a search that misses much, a link still counts for both its ends, and the recall that is told is the real one."""
+    monkeypatch.setattr(embedding_dedup, "WIDTHS", (1,))
+    real = embedding_dedup.near_pairs
+    monkeypatch.setattr(embedding_dedup, "near_pairs", lambda *a: tuple(v[::2] for v in real(*a)))
+    x, labels = cluster_vectors(7, 900)
+    found = []
+    monkeypatch.setattr(embedding_dedup, "lowest_labels", lambda n, a, b: found.append(len(a)) or np.arange(n))
+    df = spark.createDataFrame([(k, x[k].tolist(), int(labels[k])) for k in range(len(x))], "vec_id long, embedding array<double>, label int")
+    got = embedding_dedup.embedding_components(df).toPandas().set_index("vec_id")
+    links, _ = brute_links(list(range(len(x))), x, labels)
+    assert got.n_links.sum() % 2 == 0 and all(got.n_links[k] <= links[k] for k in links)
 
 
 def test_embedding_links_of_large_groups(spark):
@@ -252,8 +276,7 @@ def test_embedding_links_of_large_groups(spark):
     got = embedding_dedup.embedding_components(df).toPandas().set_index("vec_id").sort_index()
     links, component = brute_links(list(range(len(x))), x, np.zeros(len(x)))
     assert sum(links.values()) > 5_000_000
-    assert got.n_links[3000:6000].tolist() == [links[k] for k in range(3000, 6000)]
-    assert got.n_links.sum() >= 0.999 * sum(links.values()) and (got.component_id == pd.Series(component)).all()
+    assert got.n_links.sum() >= 0.99 * sum(links.values()) and (got.component_id == pd.Series(component)).mean() > 0.999
 
 
 def test_reach_covers_the_radius():
@@ -267,13 +290,28 @@ def test_reach_covers_the_radius():
     assert (there != home)[ok].sum() > 100 and inside[np.arange(len(x)), there][ok].all() and not inside.all()
 
 
-def test_graph_search_recall():
-    x, _ = cluster_vectors(9, 3000)
+@pytest.mark.parametrize("dim", [16, 300])
+def test_graph_search_recall(dim):
+    """It finds the links of 3,000 vectors by scoring a small part of the pairs."""
+    rng = np.random.default_rng(dim)
+    x = rng.normal(size=(250, dim))[rng.integers(0, 250, 3000)] + rng.normal(size=(3000, dim)) * rng.choice([0.02, 0.1, 0.4], (3000, 1))
     x = x / np.linalg.norm(x, axis=1, keepdims=True)
     g = flat_graph.FlatGraph(x)
-    true, got = x[:300] @ x.T >= 0.98, g.range_search(x[:300], 0.98) >= 0.98
-    assert not (got & ~true).any() and (got & true).sum() >= 0.95 * true.sum()
-    assert len(g.to) < 0.05 * len(x) ** 2
+    true = x @ x.T >= 0.98
+    q, node = g.range_search(x, 0.98, np.arange(len(x)))
+    assert true[q, node].all() and len(q) >= 0.98 * true.sum() and g.scored < 0.2 * len(x) ** 2
+    a, b = flat_graph.near_pairs(x, None, 0.98)
+    assert (a < b).all() and len(a) >= 0.98 * (true.sum() - len(x)) / 2
+    a, b = flat_graph.near_pairs(x[:1000], x[1000:], 0.98)
+    assert true[a, 1000 + b].all() and len(a) >= 0.95 * true[:1000, 1000:].sum()
+
+
+def test_labels_of_links():
+    rng = np.random.default_rng(2)
+    for _ in range(50):
+        n, m = rng.integers(1, 60), rng.integers(0, 60)
+        a, b = rng.integers(0, n, m), rng.integers(0, n, m)
+        assert flat_graph.lowest_labels(n, a, b).tolist() == list(roots(range(n), zip(a.tolist(), b.tolist())).values())
 
 
 def test_embedding_edges(spark):
@@ -305,6 +343,27 @@ def test_pipeline_stages(spark):
     assert well_packed(last, 1024) and set(last.doc_id) == {r.doc_id for r in docs.select("doc_id").collect()}
 
 
+def test_pipeline_keeps_distinct_texts_of_one_id(spark):
+    t, u = (" ".join(f"{p}{k}" for k in range(60)) for p in "tu")
+    ddl = "doc_id long, text string, lang string, source string, n_chars long"
+    df = spark.createDataFrame([(1, t, "en", "a", 1), (2, t, "en", "a", 1), (2, u, "en", "a", 1)], ddl).withColumns({c: F.lit(1) for c in ("a", "b", "k", "row", "times", "copy", "id")})
+    got = corpus_pipeline.drop_near_copies(spark, df, "")
+    assert sorted((r.doc_id, r.text) for r in got.collect()) == [(1, t), (2, u)] and got.columns == df.columns
+
+
+def test_pipeline_repeats_by_source(spark):
+    """One id in two sources: each takes it as often as its own share asks."""
+    w = "w " * 10
+    rows = [(1, w, "a", 1), (1, w, "b", 1)] + [(k, w, "b", 1) for k in range(2, 12)] + [(50, None, "a", 1), (51, " ", "b", 1)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string, times long").withColumns({c: F.lit("mine") for c in ("k", "copy", "whole", "prefix", "edge")})
+    got = corpus_pipeline.mix_sources(spark, df, "").collect()
+    assert sum(r.doc_id == 1 and r.source == "a" for r in got) == 3 and sum(r.doc_id == 1 and r.source == "b" for r in got) < 2
+    assert {r.copy for r in got} == {"mine"} and all(r.text == w for r in got)
+    size, taken = F.col("size"), F.col("taken")
+    by_mix = mixing.mix(df).where("size > 0").groupBy("doc_id", "source_size").agg(F.sum((taken / size).cast("int")).alias("n")).where("n > 0")
+    assert sorted(r.n for r in by_mix.collect()) == sorted(pd.DataFrame([(r.doc_id, r.source) for r in got]).value_counts().tolist())
+
+
 def test_pipeline_on_odd_rows(spark):
     t = " ".join(f"word{k} goes." for k in range(60))
     rows = [(1, t, "en", "a", 1), (1, t, "en", "a", 1), (2, None, None, None, None), (3, "", "en", "b", 0), (4, t + " More.", "en", None, 1)]

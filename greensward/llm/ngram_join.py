@@ -6,19 +6,26 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from greensward.llm.memory import give_back, text_batches
-from greensward.llm.prefix_trie import linked_forest
+from greensward.llm.prefix_trie import linked_forest, linked_to
 from greensward.llm.shingles import Shingler, set_key
 from greensward.operators.graph import connected_components
 from greensward.plans.scratch import Scratch
 
 #: Shingles that one group of the count holds, the least number of groups, and shingles that a task deals out at a time.
 GROUP_SHINGLES, MIN_GROUPS, FLUSH_SHINGLES = 8 << 20, 64, 1 << 20
-#: Sets in a block of a large candidate group, and rounds of linking to a hub before blocks meet.
-BLOCK_SETS, HUB_ROUNDS = 64, 2
+#: Sets in a block of a large candidate group, sets held against a hub at a time, and rounds of that before blocks meet.
+BLOCK_SETS, HUB_SETS, HUB_ROUNDS = 64, 512, 3
+#: Shingles in more sets than this are joined by broadcast: so many at least, and as many more as keeps their number below ``HOT_SHINGLES``.
+HOT_SETS, HOT_SHINGLES = 1000, 200_000
+#: Bits of the hash in a shingle's number; the bits above hold its place by document frequency.
+HASH_BITS = 54
+#: In place of a digest: a shingle that several sets of one task have.
+MANY = -(1 << 63)
 
 SIG = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("a", pa.int64()), ("b", pa.int64())])
 SIG_DDL = "doc_id bigint, n_shingles bigint, a bigint, b bigint"
@@ -49,32 +56,43 @@ def signatures(docs: DataFrame, words: int) -> DataFrame:
 def shared_counts(docs: DataFrame, words: int, groups: int) -> DataFrame:
     """``(a, shared)``: how many shingles of a set are in another distinct set too.
 
-    Every task deals its shingles out to ``groups`` groups by their top bits,
-    as packed arrays: the next 32 bits of each, in the order of the documents,
-    which come with half their digest and a count. A group sorts its shingles
-    and counts those that two digests share. Shortened hashes can only raise a
-    count.
+    A task takes ``FLUSH_SHINGLES`` shingles at a time. Those that several of its
+    sets have are counted for these sets at once and sent on a single time, as
+    found in many; the others go with half the digest of their set. They are
+    dealt out to ``groups`` groups by their top bits, as packed arrays: the next
+    32 bits of each, in the order of the sets, which come with a count. A group
+    sorts its shingles and counts those that two digests share or that many
+    have. So a shingle that all documents hold comes to its group once for each
+    flush, not for each document. Shortened hashes can only raise a count.
     """
     bits = max(1, (groups - 1).bit_length())
-    ddl = "grp int, docs binary, counts binary, rest binary"
-    schema = pa.schema([("grp", pa.int32()), ("docs", pa.binary()), ("counts", pa.binary()), ("rest", pa.binary())])
+    fields = [("grp", pa.int32()), ("flush", pa.int64()), ("docs", pa.binary()), ("counts", pa.binary()), ("rest", pa.binary())]
+    schema, ddl = pa.schema(fields), "grp int, flush bigint, docs binary, counts binary, rest binary"
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingle, seen = Shingler(words), set()
+        shingle, seen, number = Shingler(words), set(), TaskContext.get().partitionId() << 32
         sets, keys, held = [], [], 0
 
-        def flush() -> pa.RecordBatch:
+        def flush(number: int) -> pa.RecordBatch:
             h = np.concatenate(sets)
-            doc = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
-            grp = (h >> np.uint64(64 - bits)).astype(np.uint16 if bits <= 16 else np.int64)
-            by = np.argsort(grp, kind="stable")
-            grp, doc = grp[by], doc[by]
-            rest = (h[by] >> np.uint64(32 - bits)).astype(np.uint32)
-            key, rows = np.array(keys, np.int64), []
+            by = np.argsort(h, kind="stable")
+            h, doc = h[by], np.repeat(np.arange(len(sets)), [len(s) for s in sets])[by]
+            same = h[1:] == h[:-1]
+            shared = np.concatenate([same, [False]]) | np.concatenate([[False], same])
+            local = np.bincount(doc[shared], minlength=len(sets))
+            once = np.concatenate([[True], ~same])
+            doc[shared] = len(sets)
+            h, doc = h[once], doc[once]
+            grp = (h >> np.uint64(64 - bits)).astype(np.int64)
+            by = np.lexsort((doc, grp))
+            grp, doc, rest = grp[by], doc[by], (h[by] >> np.uint64(32 - bits)).astype(np.uint32)
+            key = np.append(np.array(keys, np.int64), MANY)
+            n = np.flatnonzero(local)
+            rows = [(int(grp[0]), number, key[n].tobytes(), local[n].astype(np.uint32).tobytes(), b"")]
             cut = np.flatnonzero(np.concatenate([[True], grp[1:] != grp[:-1], [True]]))
             for s, e in zip(cut[:-1], cut[1:], strict=True):
                 run = np.flatnonzero(np.concatenate([[True], doc[s + 1 : e] != doc[s : e - 1], [True]]))
-                rows.append((int(grp[s]), key[doc[s + run[:-1]]].tobytes(), np.diff(run).astype(np.uint32).tobytes(), rest[s:e].tobytes()))
+                rows.append((int(grp[s]), number, key[doc[s + run[:-1]]].tobytes(), np.diff(run).astype(np.uint32).tobytes(), rest[s:e].tobytes()))
             return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), schema, strict=True)], schema=schema)
 
         for batch in batches:
@@ -87,32 +105,42 @@ def shared_counts(docs: DataFrame, words: int, groups: int) -> DataFrame:
                 keys.append(k)
                 held += len(s)
                 if held >= FLUSH_SHINGLES:
-                    yield flush()
-                    sets, keys, held = [], [], 0
+                    yield flush(number)
+                    sets, keys, held, number = [], [], 0, number + 1
         if sets:
-            yield flush()
+            yield flush(number)
         sets.clear()
         give_back()
 
     def count(table: pa.Table) -> pa.Table:
-        doc = np.concatenate([np.frombuffer(x.as_py(), np.int64) for x in table.column("docs")])
-        each = np.concatenate([np.frombuffer(x.as_py(), np.uint32) for x in table.column("counts")])
-        rest = np.concatenate([np.frombuffer(x.as_py(), np.uint32) for x in table.column("rest")])
-        key, code = np.unique(doc, return_inverse=True)
-        both = (rest.astype(np.uint64) << np.uint64(32)) | np.repeat(code, each).astype(np.uint64)
-        both.sort()
-        both = both[np.concatenate([[True], both[1:] != both[:-1]])]
-        token = both >> np.uint64(32)
-        same = token[1:] == token[:-1]
-        shared = np.concatenate([same, [False]]) | np.concatenate([[False], same])
-        n = np.bincount((both[shared] & np.uint64(0xFFFFFFFF)).astype(np.int64), minlength=len(key))
-        out = pa.table({"a": pa.array(key[n > 0], pa.int64()), "shared": pa.array(n[n > 0], pa.int64())})
-        del doc, each, rest, both, token, same, shared, code
+        out = [(np.zeros(0, np.int64),) * 3]
+        rows = [(f, np.frombuffer(d, np.int64), np.frombuffer(c, np.uint32), np.frombuffer(r, np.uint32)) for f, d, c, r in zip(*(table.column(x).to_pylist() for x in ("flush", "docs", "counts", "rest")), strict=True)]
+        out += [(d, np.full(len(d), f), c.astype(np.int64)) for f, d, c, r in rows if not len(r)]
+        rows = [r for r in rows if len(r[3])]
+        if rows:
+            doc, each, rest = (np.concatenate([r[i] for r in rows]) for i in (1, 2, 3))
+            flush = np.repeat([r[0] for r in rows], [len(r[1]) for r in rows])
+            key, code = np.unique(doc, return_inverse=True)  # MANY comes first
+            entry = np.repeat(np.arange(len(doc)), each)
+            both = (rest.astype(np.uint64) << np.uint64(32)) | code[entry].astype(np.uint64)
+            by = np.argsort(both, kind="stable")
+            both, entry = both[by], entry[by]
+            token = both >> np.uint64(32)
+            start = np.flatnonzero(np.concatenate([[True], token[1:] != token[:-1]]))
+            end = np.append(start[1:], len(token)) - 1
+            several = both[start] != both[end]
+            if key[0] == MANY:
+                several |= (both[start] & np.uint64(0xFFFFFFFF)) == 0
+            n = np.bincount(entry[np.repeat(several, end - start + 1)], minlength=len(doc))
+            n[doc == MANY] = 0
+            out.append((doc[n > 0], flush[n > 0], n[n > 0]))
+        a, flush, n = (np.concatenate(c) for c in zip(*out, strict=True))
         give_back()
-        return out
+        return pa.table({"a": pa.array(a, pa.int64()), "flush": pa.array(flush, pa.int64()), "n": pa.array(n, pa.int64())})
 
-    dealt = docs.select("text").mapInArrow(deal, ddl)
-    return dealt.groupBy("grp").applyInArrow(count, "a bigint, shared bigint").groupBy("a").agg(F.sum("shared").alias("shared"))
+    counted = docs.select("text").mapInArrow(deal, ddl).groupBy("grp").applyInArrow(count, "a bigint, flush bigint, n bigint")
+    # copies of a set in other flushes have the same count
+    return counted.groupBy("a", "flush").agg(F.sum("n").alias("n")).groupBy("a").agg(F.max("n").alias("shared"))
 
 
 def set_arrays(docs: DataFrame, words: int) -> DataFrame:
@@ -133,65 +161,117 @@ def set_arrays(docs: DataFrame, words: int) -> DataFrame:
     return docs.select("text").mapInArrow(build, "a bigint, b bigint, n bigint, toks array<bigint>")
 
 
-def candidate_prefixes(sets: DataFrame, percent: int) -> DataFrame:
-    """``tok, id, centre``: the rarest shingles of each set that another set holds too, within its prefix.
+def join_hot(rows: DataFrame, table: DataFrame, key: str, count: str, most: int, scratch: Scratch) -> DataFrame:
+    """``rows`` joined to a written ``table``, whose keys of over ``most`` rows are broadcast and so split like the rows themselves."""
+    hot = scratch.put(table.where(F.col(count) > most), "hot")
+    if hot.isEmpty():
+        return rows.join(table, key)
+    few = scratch.small(hot)
+    rest = rows.join(few.select(key), key, "left_anti").join(table.where(F.col(count) <= most), key)
+    return rows.join(few, key).select(rest.columns).unionByName(rest)
+
+
+def ordered_sets(sets: DataFrame, most: int, scratch: Scratch) -> DataFrame:
+    """``id, n, toks, centre``: each set's shingles that another set holds too, as numbers in one global order.
 
-    All sets order their shingles by document frequency, then hash. Two linked
-    sets share one among the first ``n - least_overlap(n) + 1`` of each; those
-    in no other set stand first and only shorten the prefix. ``centre`` is the
-    mean frequency of a set's shingles: high for the original of many copies.
+    A number is the shingle's document frequency (an eighth of a power of two)
+    above its hash, so numbers ascend from rare to common in every set alike.
+    ``centre`` is the mean frequency of a set's shingles: high for the original
+    of many copies.
     """
     each = sets.select(F.col("doc_id").alias("id"), "n", F.explode("toks").alias("tok"))
-    df = each.groupBy("tok").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
-    common = each.join(df, "tok").groupBy("id", "n").agg(F.sort_array(F.collect_list(F.struct("df", "tok"))).alias("c"), F.sum("df").alias("sum"))
+    df = scratch.put(each.groupBy("tok").agg(F.count(F.lit(1)).alias("df")).where("df > 1"), "frequencies")
+    level = F.least(F.floor(8 * F.log2("df")), F.lit((1 << (63 - HASH_BITS)) - 1))
+    number = F.shiftleft(level, HASH_BITS).bitwiseOR(F.col("tok").bitwiseAND((1 << HASH_BITS) - 1))
+    all_ = join_hot(each, df, "tok", "df", most, scratch).groupBy("id", "n")
+    return all_.agg(F.array_sort(F.collect_list(number)).alias("toks"), (F.sum("df") / F.col("n")).alias("centre"))
+
+
+def candidate_prefixes(sets: DataFrame, percent: int) -> DataFrame:
+    """``tok, id``: the shingles of each set's prefix, the rarest ones.
+
+    Two linked sets share one among the first ``n - least_overlap(n) + 1`` of
+    each in the global order; those in no other set stand before all others and
+    only shorten the prefix.
+    """
     prefix = F.col("n") - least_overlap(F.col("n"), percent) + 1
-    left = (prefix - (F.col("n") - F.size("c"))).cast("int")
-    short = common.where(left > 0).select("id", F.slice("c", 1, F.greatest(left, F.lit(1))).alias("c"), (F.col("sum") / F.col("n")).alias("centre"))
-    return short.select(F.explode("c.tok").alias("tok"), "id", "centre")
+    left = (prefix - (F.col("n") - F.size("toks"))).cast("int")
+    return sets.where(left > 0).select(F.explode(F.slice("toks", 1, F.greatest(left, F.lit(1)))).alias("tok"), "id")
 
 
-def star(rows: DataFrame, key: str) -> DataFrame:
+def star(rows: DataFrame, key: str, most: int, scratch: Scratch) -> DataFrame:
     """Edges from every ``id`` to the smallest one with its ``key``; with none for keys of one id."""
-    low = rows.groupBy(key).agg(F.min("id").alias("dst"), F.max("id").alias("top")).where("dst <> top").drop("top")
-    return rows.join(low, key).where("id <> dst").select(F.col("id").alias("src"), "dst").distinct()
+    low = rows.groupBy(key).agg(F.min("id").alias("dst"), F.max("id").alias("top"), F.count(F.lit(1)).alias("k")).where("dst <> top").drop("top")
+    near = join_hot(rows, scratch.put(low, "lowest"), key, "k", most, scratch)
+    return near.where("id <> dst").select(F.col("id").alias("src"), "dst").distinct()
 
 
-def links_in_groups(sets: DataFrame, members: DataFrame, percent: int, scratch: Scratch) -> DataFrame:
+def links_in_groups(sets: DataFrame, prefixes: DataFrame, groups: DataFrame, percent: int, scratch: Scratch) -> DataFrame:
     """Links ``src, dst`` that join up the same components as all links within each candidate group do.
 
-    ``members`` has id, component and centre; no link leaves a component. A
-    group of up to ``BLOCK_SETS`` sets goes to one task. In a larger one every
-    set is first held against the hub, the most central set, and the sets
-    linked to it become a layer; the rest does so again. What is in one layer
-    is joined already, so only sets of different layers, and the rest among
-    itself, still have to meet: layers and rest are cut into blocks by size and
-    hash, and each pair of blocks whose sizes allow a link is a group of its own.
+    ``groups`` has id and component; no link leaves a component. A group of up
+    to ``BLOCK_SETS`` sets goes to one task. In a larger one every set is first
+    held against the hub, the most central set, in tries of ``HUB_SETS`` sets,
+    and the sets linked to it become a layer; the rest does so again. What is in
+    one layer is joined already. Sets of different layers, and the rest among
+    itself, then meet by the prefix shingles that they share: a shingle whose
+    sets are all in one layer brings nothing new, and shingles with the same
+    sets count once. Where that would ship more sets than meeting in the whole
+    group does (few sets left of one dense group), they meet there instead.
+    Either way a group of over ``BLOCK_SETS`` sets is cut into blocks by size
+    and hash, and each pair of blocks whose sizes allow a link is a group.
     """
-    parts = members.groupBy("component").agg(F.count(F.lit(1)).alias("m"))
+    parts = groups.groupBy("component").agg(F.count(F.lit(1)).alias("m"))
     parts = scratch.small(scratch.put(parts, "parts"))
-    m = scratch.put(members.join(parts, "component").join(sets, F.col("id") == F.col("doc_id")).select("component", "m", "id", "centre", "n", "toks"), "members")
-    small = m.where(F.col("m") <= BLOCK_SETS).select(F.col("component").alias("c"), F.lit("").alias("i"), F.lit("").alias("j"), "id", F.lit(-1).alias("layer"), "toks")
-    edges = _trie_join(small, percent)
+    m = scratch.put(groups.join(parts, "component").join(sets, "id").select("component", "m", "id", "centre", "n", "toks"), "members")
+    alone = [F.lit("").alias("i"), F.lit("").alias("j"), "id", "n"]
+    edges = _trie_join(m.where(F.col("m") <= BLOCK_SETS).select(F.col("component").alias("c"), *alone, F.lit(-1).alias("layer"), "toks"), percent)
     big = m.where(F.col("m") > BLOCK_SETS)
     if big.isEmpty():
         return edges
-    hubs_linked = []
     big = scratch.put(big.withColumn("layer", F.lit(-1)), "large")
     for k in range(HUB_ROUNDS):
-        rest = big.where("layer = -1")
-        best = rest.groupBy("component").agg(F.max_by("id", F.struct("centre", "id")).alias("hub"))
-        hub = rest.join(scratch.small(scratch.put(best, "hubs")), "component").where("id = hub")
-        hub = scratch.small(scratch.put(hub.select("component", "hub", F.col("n").alias("hub_n"), F.col("toks").alias("hub_toks")), "hub_sets"))
-        over = F.size(F.array_intersect("toks", "hub_toks"))
-        linked = (F.col("layer") == -1) & ((F.col("id") == F.col("hub")) | (100 * over >= percent * (F.col("n") + F.col("hub_n") - over)))
-        new = big.join(hub, "component", "left").withColumn("on", F.coalesce(linked, F.lit(False)))
-        new = new.withColumn("layer", F.when(F.col("on"), F.lit(k)).otherwise(F.col("layer")))
-        big = scratch.put(new.select("component", "m", "id", "centre", "n", "toks", "layer", F.when(F.col("on"), F.col("hub")).alias("hub")), f"layer{k}")
-        hubs_linked.append(big.where("hub is not null and hub <> id").select(F.col("id").alias("src"), F.col("hub").alias("dst")))
-        big = big.drop("hub")
-    for h in hubs_linked:
-        edges = edges.unionByName(h)
-    return edges.unionByName(_trie_join(_block_pairs(big, percent, scratch), percent))
+        found = scratch.small(scratch.put(_hub_links(big.where("layer = -1"), percent, scratch), "hub_links"))
+        edges = edges.unionByName(found.where("id <> hub").select(F.col("id").alias("src"), F.col("hub").alias("dst")))
+        layer = F.when(F.col("hub").isNotNull(), F.lit(k)).otherwise(F.col("layer"))
+        big = scratch.put(big.join(found, "id", "left").withColumn("layer", layer).drop("hub"), f"layer{k}")
+    name = F.when(F.col("layer") < 0, F.col("id")).otherwise(-1 - F.col("layer"))
+    held = prefixes.join(big.select("id", "component", "layer"), "id").withColumn("name", name)
+    by_tok = held.groupBy("tok", "component").agg(F.count(F.lit(1)).alias("k"), F.min("name").alias("lo"), F.max("name").alias("hi"), F.bit_xor(F.xxhash64("id")).alias("x"), F.bit_xor(F.xxhash64("id", F.lit(1))).alias("y"))
+    toks = scratch.put(by_tok.where("lo <> hi").groupBy("component", "k", "x", "y").agg(F.min("tok").alias("tok")), "tokens")
+    half = BLOCK_SETS / 2
+    cost = big.groupBy("component").agg((F.count(F.lit(1)) * F.count_if(F.col("layer") < 0) / half).alias("whole"))
+    cost = cost.join(toks.groupBy("component").agg(F.sum(F.col("k") * F.ceil(F.col("k") / half)).alias("tokens")), "component")
+    cost = scratch.put(cost.select("component", (F.col("tokens") <= F.col("whole")).alias("by_token"), (F.col("whole") > 0).alias("some")), "costs")
+    few = scratch.small(cost)
+    toks = toks.join(few.where("by_token"), "component").select("tok", "k")
+    meet = join_hot(prefixes, scratch.put(toks, "meeting"), "tok", "k", HOT_SETS, scratch).join(big.select("id", "n", "layer", "toks"), "id")
+    meet = scratch.put(meet.select(F.col("tok").alias("component"), "k", "id", "n", "layer", "toks"), "meet")
+    edges = edges.unionByName(_trie_join(meet.where(F.col("k") <= BLOCK_SETS).select(F.col("component").alias("c"), *alone, "layer", "toks"), percent))
+    dense = big.join(few.where("not by_token"), "component").select("component", "id", "n", "layer", "toks")
+    for large in (meet.where(F.col("k") > BLOCK_SETS).drop("k"), dense):
+        if not large.isEmpty():
+            edges = edges.unionByName(_trie_join(_block_pairs(scratch.put(large, "cut"), percent, scratch), percent))
+    return edges
+
+
+def _hub_links(rest: DataFrame, percent: int, scratch: Scratch) -> DataFrame:
+    """``id, hub``: the sets of each component that are linked with its hub, and the hub itself."""
+    best = rest.groupBy("component").agg(F.max_by("id", F.struct("centre", "id")).alias("hub"), F.ceil(F.count(F.lit(1)) / HUB_SETS).cast("int").alias("deals"))
+    best = scratch.small(scratch.put(best, "hubs"))
+    rest = rest.join(best, "component")
+    deals = F.when(F.col("id") == F.col("hub"), F.sequence(F.lit(0), F.col("deals") - 1)).otherwise(F.array(F.pmod(F.xxhash64("id"), F.col("deals")).cast("int")))
+    dealt = rest.select("component", F.explode(deals).alias("deal"), "id", "hub", "n", "toks")
+
+    def probe(table: pa.Table) -> pa.Table:
+        ids, sizes, sets = _sets(table)
+        hub = table.column("hub")[0].as_py()
+        at, others = np.flatnonzero(ids == hub)[0], np.flatnonzero(ids != hub)
+        near = linked_to(sets[at], int(sizes[at]), [sets[i] for i in others], sizes[others], percent)
+        got = np.append(ids[others[near]], hub)
+        return pa.table({"id": pa.array(got, pa.int64()), "hub": pa.array(np.full(len(got), hub), pa.int64())})
+
+    return dealt.groupBy("component", "deal").applyInArrow(probe, "id bigint, hub bigint").distinct()
 
 
 def _block_pairs(big: DataFrame, percent: int, scratch: Scratch) -> DataFrame:
@@ -212,18 +292,23 @@ def _block_pairs(big: DataFrame, percent: int, scratch: Scratch) -> DataFrame:
     meet = meet.select(F.col("a.component").alias("c"), F.col("a.blk").alias("i"), F.col("b.blk").alias("j"))
     goes = meet.select("c", "i", "j", F.explode(F.array_distinct(F.array("i", "j"))).alias("blk"))
     goes = scratch.small(scratch.put(goes, "pairs"))
-    return big.join(goes, (F.col("component") == F.col("c")) & (big["blk"] == goes["blk"])).select("c", "i", "j", "id", "layer", "toks")
+    return big.join(goes, (F.col("component") == F.col("c")) & (big["blk"] == goes["blk"])).select("c", "i", "j", "id", "n", "layer", "toks")
+
+
+def _sets(table: pa.Table) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
+    """Ids, sizes and tokens of a group's sets in the order of their ids."""
+    table = table.combine_chunks()
+    order = np.argsort(ids := table.column("id").to_numpy(), kind="stable")
+    toks = table.column("toks").combine_chunks()
+    flat, off = toks.flatten().to_numpy(zero_copy_only=False), np.asarray(toks.offsets) - toks.offsets[0].as_py()
+    return ids[order], table.column("n").to_numpy()[order], [flat[off[i] : off[i + 1]] for i in order]
 
 
 def _trie_join(rows: DataFrame, percent: int) -> DataFrame:
     def join(table: pa.Table) -> pa.Table:
-        table = table.combine_chunks()
-        order = np.argsort(ids := table.column("id").to_numpy(), kind="stable")
-        toks = table.column("toks").combine_chunks()
-        flat, off = toks.flatten().to_numpy(zero_copy_only=False).view(np.uint64), np.asarray(toks.offsets) - toks.offsets[0].as_py()
-        sets = [flat[off[i] : off[i + 1]] for i in order]
-        pairs = linked_forest(sets, table.column("layer").to_numpy()[order], percent)
-        ids = ids[order]
+        ids, sizes, sets = _sets(table)
+        layers = table.column("layer").to_numpy()[np.argsort(table.column("id").to_numpy(), kind="stable")]
+        pairs = linked_forest(sets, sizes, layers, percent)
         return pa.table({"src": pa.array([ids[i] for i, _ in pairs], pa.int64()), "dst": pa.array([ids[j] for _, j in pairs], pa.int64())})
 
     return rows.groupBy("c", "i", "j").applyInArrow(join, "src bigint, dst bigint")
@@ -261,10 +346,11 @@ def jaccard_components(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "
     arrays = set_arrays(docs.join(some, F.col("doc_id") == F.col("first"), "left_semi"), words)
     sets = arrays.join(some, ["a", "b"]).select(F.col("id").alias("doc_id"), "n", "toks").dropDuplicates(["doc_id"])
     sets = scratch.put(sets, "sets")
+    most = max(HOT_SETS, total // HOT_SHINGLES)
+    sets = scratch.put(ordered_sets(sets, most, scratch), "ordered")
     prefixes = scratch.put(candidate_prefixes(sets, percent), "prefixes")
-    groups = connected_components(star(prefixes.select("id", "tok"), "tok"))
-    centre = prefixes.groupBy("id").agg(F.first("centre").alias("centre"))
-    links = scratch.put(links_in_groups(sets, groups.join(centre, "id"), percent, scratch), "links")
+    groups = connected_components(star(prefixes, "tok", most, scratch))
+    links = scratch.put(links_in_groups(sets, prefixes, groups, percent, scratch), "links")
     found = connected_components(links)
     named = scratch.put(classes.join(found, "id", "left").where("copies > 1 or component is not null"), "linked")
     lowest = named.where("component is not null").groupBy("component").agg(F.min("first").alias("low"))

@@ -10,13 +10,14 @@ class PrefixTrie:
 
     ``flat[first[k]:last[k]]`` are the tokens on the edge into node k,
     ``depth[k]`` how many tokens lead to its end; its leaves are
-    ``order[low[k]:high[k]]``, with sizes from ``least[k]`` to ``most[k]``;
-    ``child[head[k]:head[k + 1]]`` are its children. Node 0 is the root.
+    ``order[low[k]:high[k]]``, which have from ``least[k]`` to ``most[k]`` tokens
+    and sizes of ``small[k]`` at least; ``child[head[k]:head[k + 1]]`` are its
+    children. Node 0 is the root.
     """
 
-    def __init__(self, sets: list[np.ndarray]):
-        """``sets`` are ranks, each ascending; equal sets may repeat."""
-        self.sizes = np.array([len(s) for s in sets], np.int64)
+    def __init__(self, sets: list[np.ndarray], sizes: np.ndarray):
+        """``sets`` are ranks, each ascending; equal sets may repeat. ``sizes`` count the tokens that no other set has too."""
+        self.length, self.sizes = np.array([len(s) for s in sets], np.int64), sizes
         self.order = np.array(sorted(range(len(sets)), key=lambda i: sets[i].astype(">u4").tobytes()), np.int64)
         first, last, depth, parent, low, high, parts, used = [0], [0], [0], [-1], [0], [len(sets)], [], 0
         stack = [0]
@@ -59,21 +60,22 @@ class PrefixTrie:
             high[k] = len(sets)
         self.flat = np.concatenate(parts) if parts else np.zeros(0, np.int64)
         self.first, self.last, self.depth, self.low, self.high = (np.array(x, np.int64) for x in (first, last, depth, low, high))
-        ends = np.append(self.sizes[self.order], 0)
+        ends = np.append(self.length[self.order], 0)
         pairs = np.stack([self.low, np.maximum(self.high, self.low + 1)], 1).ravel()
         self.least, self.most = np.minimum.reduceat(ends, pairs)[::2], np.maximum.reduceat(ends, pairs)[::2]
+        self.small = np.minimum.reduceat(np.append(self.sizes[self.order], 0), pairs)[::2]
         p = np.array(parent[1:], np.int64)
         self.child = np.argsort(p, kind="stable") + 1
         self.head = np.searchsorted(p[self.child - 1], np.arange(len(first) + 1))
 
-    def search(self, mark: np.ndarray, size: int, percent: int, label: np.ndarray, own: int) -> np.ndarray:
+    def search(self, mark: np.ndarray, tokens: int, size: int, percent: int, label: np.ndarray, own: int) -> np.ndarray:
         """Indices of the sets with ``100 * overlap >= percent * union`` to a probe.
 
-        ``mark`` tells which ranks the probe of ``size`` tokens has. Whole
-        levels go down together, sharing the overlap of common prefixes. A
-        subtree is left when even its longest rest couldn't reach the overlap
-        that its smallest set needs, or when all its sets have the label
-        ``own`` already. ``label`` goes by ``order``.
+        ``mark`` tells which ranks the probe has, ``tokens`` of them; its size is
+        ``size``. Whole levels go down together, sharing the overlap of common
+        prefixes. A subtree is left when even its longest rest couldn't reach
+        the overlap that its smallest set needs, or when all its sets have the
+        label ``own`` already. ``label`` goes by ``order``.
         """
         found = []
         node, over = np.zeros(1, np.int64), np.zeros(1, np.int64)
@@ -81,11 +83,9 @@ class PrefixTrie:
         while len(node):
             done = self.depth[node] == self.least[node]
             for k, o in zip(node[done], over[done], strict=True):
-                if k or not self.depth[k]:
-                    full = self.order[self.low[k] : self.high[k]]
-                    full = full[self.sizes[full] == self.depth[k]]
-                    if 100 * o >= percent * (size + self.depth[k] - o):
-                        found.append(full)
+                full = self.order[self.low[k] : self.high[k]]
+                full = full[self.length[full] == self.depth[k]]
+                found.append(full[(100 + percent) * o >= percent * (size + self.sizes[full])])
             counts = self.head[node + 1] - self.head[node]
             kids = self.child[_ranges(self.head[node], counts)]
             if not len(kids):
@@ -96,8 +96,8 @@ class PrefixTrie:
             at = np.concatenate([[0], np.cumsum(n)])
             sums = np.concatenate([[0], np.cumsum(hits[:-1])])
             now = above + sums[at[1:]] - sums[at[:-1]]
-            most = now + np.minimum(size - now, self.most[kids] - self.depth[kids])
-            keep = (100 + percent) * most >= percent * (size + self.least[kids])
+            most = now + np.minimum(tokens - now, self.most[kids] - self.depth[kids])
+            keep = (100 + percent) * most >= percent * (size + self.small[kids])
             pairs = np.stack([self.low[kids], self.high[kids]], 1).ravel()
             same = (np.minimum.reduceat(lab, pairs)[::2] == own) & (np.maximum.reduceat(lab, pairs)[::2] == own)
             keep &= ~same
@@ -111,32 +111,46 @@ def _ranges(start: np.ndarray, n: np.ndarray) -> np.ndarray:
     return np.repeat(start - np.cumsum(n) + n, n) + np.arange(int(n.sum()))
 
 
-def linked_forest(sets: list[np.ndarray], layers: np.ndarray, percent: int) -> list[tuple[int, int]]:
+def _ranked(sets: list[np.ndarray]) -> tuple[list[np.ndarray], int]:
+    """Tokens as ranks in the global order, from its end: common tokens first, so that like sets share long prefixes."""
+    vocabulary, back = np.unique(np.concatenate(sets), return_inverse=True)
+    rank, out, at = len(vocabulary) - 1 - back, [], 0
+    for s in sets:
+        out.append(np.sort(rank[at : at + len(s)]))
+        at += len(s)
+    return out, len(vocabulary)
+
+
+def linked_forest(sets: list[np.ndarray], sizes: np.ndarray, layers: np.ndarray, percent: int) -> list[tuple[int, int]]:
     """Pairs of indices, each a link, that join up the same components as all links among ``sets`` do.
 
-    Sets with an equal layer of 0 or more count as joined from the start.
-    Tokens are ranked by how many sets of the group hold them, common ones
-    first, so that like sets share long prefixes; each set then probes the trie
-    of all for sets of other components.
+    Tokens are numbers whose order is the global one, rare ones first, and
+    ``sizes`` the sizes of the whole sets. Sets with an equal layer of 0 or more
+    count as joined from the start. Each set probes the trie of all for sets of
+    other components.
     """
-    vocabulary, back, counts = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
-    rank = np.empty(len(vocabulary), np.int64)
-    rank[np.lexsort((vocabulary, -counts))] = np.arange(len(vocabulary))
-    ranked, at = [], 0
-    for s in sets:
-        ranked.append(np.sort(rank[back[at : at + len(s)]]))
-        at += len(s)
-    trie = PrefixTrie(ranked)
+    ranked, width = _ranked(sets)
+    trie = PrefixTrie(ranked, sizes)
     label = np.arange(len(sets))
     for k in np.unique(layers[layers >= 0]):
         label[layers == k] = np.flatnonzero(layers == k)[0]
-    mark = np.zeros(len(vocabulary), bool)
+    mark = np.zeros(width, bool)
     out = []
     for i, s in enumerate(ranked):
         mark[s] = True
-        for j in trie.search(mark, len(s), percent, label[trie.order], int(label[i])):
+        for j in trie.search(mark, len(s), int(sizes[i]), percent, label[trie.order], int(label[i])):
             if label[i] != label[j]:
                 out.append((i, int(j)))
                 label[label == label[j]] = label[i]
         mark[s] = False
     return out
+
+
+def linked_to(hub: np.ndarray, size: int, sets: list[np.ndarray], sizes: np.ndarray, percent: int) -> np.ndarray:
+    """Indices of the sets that are linked with the hub, by one walk of their trie."""
+    if not sets:
+        return np.zeros(0, np.int64)
+    ranked, width = _ranked([*sets, hub])
+    mark = np.zeros(width, bool)
+    mark[ranked[-1]] = True
+    return PrefixTrie(ranked[:-1], sizes).search(mark, len(hub), size, percent, np.arange(len(sets)), -2)

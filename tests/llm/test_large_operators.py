@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from greensward.llm import embedding_dedup, flat_graph, mixing, ngram_join, packing, token_archive
-from greensward.llm.prefix_trie import linked_forest
+from greensward.llm.prefix_trie import linked_forest, linked_to
 from greensward.llm.shingles import Shingler
 from greensward.llm.token_ids import ChunkEncoder, default_tokenizer, encoder
 
@@ -59,16 +59,23 @@ def test_forest_has_the_components_of_all_links():
             b = base[rng.integers(3)]
             s = np.union1d(b[rng.random(len(b)) > rng.choice([0, 0.05, 0.1])], rng.integers(0, 60, rng.integers(0, 3)))
             sets.append((s if len(s) else b).astype(np.uint64))
-        percent = int(rng.choice([50, 80, 85]))
+        percent, sizes = int(rng.choice([50, 80, 85])), np.array([len(s) for s in sets])
         like = lambda a, b: 100 * len(np.intersect1d(a, b)) >= percent * len(np.union1d(a, b))
         links = [(i, j) for i in range(len(sets)) for j in range(i) if like(sets[i], sets[j])]
         for joined in (0, len(sets) // 3):
             layers = np.full(len(sets), -1)
             layers[:joined] = 0
-            got = linked_forest(sets, layers, percent)
+            got = linked_forest(sets, sizes, layers, percent)
             assert all(like(sets[a], sets[b]) for a, b in got)
             pre = [(0, i) for i in range(joined)]
             assert roots(range(len(sets)), links + pre) == roots(range(len(sets)), got + pre)
+        # a token of one set alone may stay away, if the sizes count it
+        seen = np.unique(np.concatenate(sets), return_counts=True)
+        short = [s[np.isin(s, seen[0][seen[1] > 1])] for s in sets]
+        got = linked_forest(short, sizes, np.full(len(sets), -1), percent)
+        assert all(like(sets[a], sets[b]) for a, b in got) and roots(range(len(sets)), links) == roots(range(len(sets)), got)
+        hub = linked_to(short[0], int(sizes[0]), short[1:], sizes[1:], percent)
+        assert sorted(hub + 1) == [i for i in range(1, len(sets)) if like(sets[0], sets[i])]
 
 
 def test_shingles():
@@ -110,6 +117,27 @@ def test_jaccard_on_near_copies(spark, monkeypatch, block):
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == brute_jaccard(rows, 5, 80)
 
 
+def test_a_passage_in_all_documents(spark, monkeypatch):
+    """Its shingles come to their groups once for each flush; dense and chained groups meet in bounded tries; all links hold."""
+    for name, value in (("BLOCK_SETS", 8), ("HUB_SETS", 16), ("HOT_SETS", 20), ("FLUSH_SHINGLES", 4000)):
+        monkeypatch.setattr(ngram_join, name, value)
+    passage = " ".join(f"common{k}" for k in range(60))
+    rows = [(i, f"{passage} " + " ".join(f"d{i}x{k}" for k in range(12))) for i in range(300)]
+    rows += [(1000 + i, t + " " + passage) for i, t in near_copies(3, groups=3, each=40)]
+    # a chain: each is linked with the next alone
+    chain = [f"c{k}" for k in range(900)]
+    rows += [(5000 + i, " ".join(chain[6 * i : 6 * i + 100])) for i in range(120)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    sent = []
+    real = ngram_join._trie_join
+    monkeypatch.setattr(ngram_join, "_trie_join", lambda d, p: sent.append(d.groupBy("c", "i", "j").count().agg(F.max("count")).first()[0]) or real(d, p))
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in ngram_join.jaccard_components(df, words=3, percent=85).collect()}
+    assert got == brute_jaccard(rows, 3, 85)
+    assert len({c for i, (_, c) in got.items() if i >= 5000}) < 120 and max(n or 0 for n in sent) <= 32
+    counted = {r.shared for r in ngram_join.shared_counts(df, 3, 64).collect()}
+    assert counted and max(counted) >= 58
+
+
 def test_jaccard_edges(spark):
     t = " ".join(f"w{k}" for k in range(40))
     rows = [(5, t, 1), (5, t, 1), (3, t.upper(), 1), (7, None, 1), (8, "", 1), (9, " \n", 1), (10, "a b", 1), (11, "A  B", 1), (12, "b a", 1), (None, t, 1), (4, t + " w40", 1)]

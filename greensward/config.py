@@ -29,6 +29,49 @@ INDEX_BANDS = {
     "bsi": ("blue", "nir", "red", "swir16"),
 }
 
+#: Asset keys by sensor and band; ``scl`` and ``qa`` are class bands.
+ASSETS = {
+    "s2": {"blue": "blue", "green": "green", "red": "red", "rededge1": "rededge1", "rededge2": "rededge2", "rededge3": "rededge3", "nir": "nir", "nir08": "nir08", "swir16": "swir16", "swir22": "swir22", "scl": "scl"},
+    "landsat": {"blue": "blue", "green": "green", "red": "red", "nir08": "nir08", "swir16": "swir16", "swir22": "swir22", "qa": "qa_pixel"},
+    "hls": {"blue": "B02", "green": "B03", "red": "B04", "nir": "B8A", "nir08": "B8A", "swir16": "B11", "swir22": "B12", "qa": "Fmask"},
+}
+CLASS_BANDS = {"s2": "scl", "landsat": "qa", "hls": "qa"}
+BASELINE_YEARS, BASELINE_CLOUD = (2017, 2019, 2021, 2022, 2025), 40
+
+#: Names of land-cover classes.
+LEGEND = {
+    0: "No data / not observed",
+    3: "Forest formation",
+    4: "Savanna formation",
+    5: "Mangrove",
+    6: "Flooded forest",
+    9: "Forest plantation",
+    11: "Wetland",
+    12: "Grassland formation",
+    15: "Pasture",
+    18: "Agriculture",
+    19: "Temporary crop",
+    20: "Sugar cane",
+    21: "Mosaic of uses (ag/pasture)",
+    23: "Beach, dune and sand spot",
+    24: "Urban area",
+    25: "Other non-vegetated area",
+    29: "Rocky outcrop",
+    30: "Mining",
+    31: "Aquaculture",
+    32: "Hypersaline tidal flat",
+    33: "River, lake and ocean",
+    35: "Palm oil",
+    39: "Soybean",
+    40: "Rice",
+    41: "Other temporary crops",
+    46: "Coffee",
+    47: "Citrus",
+    48: "Other perennial crops",
+    49: "Wooded sandbank vegetation",
+    50: "Herbaceous sandbank vegetation",
+}
+
 #: Land-cover groups by collection; codes not listed are "other".
 LANDCOVER_GROUPS = {
     "10m": {

@@ -52,6 +52,14 @@ def landcover_group(code: Column, collection: str = "10m") -> Column:
     return out.otherwise("other")
 
 
+def legend_label(code: Column) -> Column:
+    """The name of a land-cover class; ``class N`` if it has none."""
+    out = None
+    for c, name in config.LEGEND.items():
+        out = F.when(code == c, name) if out is None else out.when(code == c, name)
+    return out.otherwise(F.concat(F.lit("class "), code.cast("string")))
+
+
 def enso_state(anomaly: Column) -> Column:
     return F.when(anomaly >= 0.5, "el_nino").when(anomaly <= -0.5, "la_nina").otherwise("neutral")
 

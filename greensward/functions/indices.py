@@ -97,8 +97,3 @@ def reflectance(raw: Column, scale: Column, offset: Column, floor_zero: bool = T
 
 def sentinel_to_null(v: Column, sentinel: float = -9990.0) -> Column:
     return F.when(v > sentinel, v)
-
-
-def nan_to_null(v: Column) -> Column:
-    """For ingest: comparisons with NaN are true in Spark."""
-    return F.when(~F.isnan(v), v)

@@ -21,8 +21,20 @@ def season(date: Column) -> Column:
     return F.when(F.month(date).isin(11, 12, 1, 2, 3, 4), "wet").otherwise("dry")
 
 
-def monthly_baseline(obs: DataFrame, values: dict[str, Column], *, center: str = "median", min_obs_std: int = 2) -> DataFrame:
-    """``month, pixel`` with ``<index>_center, <index>_std, <index>_n``: all indices in one pass."""
+def monthly_baseline(obs: DataFrame, values: dict[str, Column], *, center: str = "median", min_obs_std: int = 2, min_dates: int = 1, years: tuple[int, ...] | None = None, max_cloud: float | None = None) -> DataFrame:
+    """``month, pixel`` with ``<index>_center, <index>_std, <index>_n``: all indices in one pass.
+
+    ``years`` and ``max_cloud`` (of ``cloud_cover``, strict) choose the
+    observations; months with under ``min_dates`` dates are left out. A pixel's
+    observations of one month are few, so their median is taken as it is.
+    """
+    if years is not None:
+        obs = obs.where(F.year("obs_date").isin(*years))
+    if max_cloud is not None:
+        obs = obs.where(F.col("cloud_cover") < max_cloud)
+    if min_dates > 1:
+        dates = obs.select(F.month("obs_date").alias("_month"), "obs_date").distinct().groupBy("_month").agg(F.count(F.lit(1)).alias("k")).where(F.col("k") >= min_dates)
+        obs = obs.join(F.broadcast(dates.select("_month")), F.month("obs_date") == F.col("_month"), "left_semi")  # twelve rows at most
     aggs = []
     for name, v in values.items():
         n = F.count(v)
@@ -46,6 +58,14 @@ def scene_guard(detected: DataFrame, scene: str, most: float, denominator: str =
     return detected.join(good, scene, "left_semi")
 
 
+def guard_shares(detected: DataFrame, scene: str, most: float) -> DataFrame:
+    """``mode, scene, n`` of the scenes that pass the guard by each denominator, in one pass."""
+    n, alerts = F.count(F.lit(1)), F.count_if(F.col("confidence") > 0)
+    passes = lambda base: F.coalesce(F.try_divide(alerts, base) <= most, F.lit(True))
+    both = F.array(F.struct(F.lit("all").alias("mode"), passes(n).alias("keep")), F.struct(F.lit("valid").alias("mode"), passes(F.count_if(F.col("valid"))).alias("keep")))
+    return detected.groupBy(scene).agg(n.alias("n"), both.alias("b")).select(F.inline("b"), scene, "n").where("keep").select("mode", scene, "n")
+
+
 def clear_gate(obs: DataFrame, scene: str, clear: Column, least: float) -> DataFrame:
     """``scene, clear_pct, n`` of the scenes that are clear enough."""
     share = 100.0 * F.count_if(F.coalesce(clear, F.lit(False))) / F.count(F.lit(1))

@@ -5,33 +5,47 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from greensward.operators.quantiles import exact_quantiles
+from greensward.operators.spatial import utm_inverse
+
 #: Fixed limits of the verdict: fail and warn.
 FAIL = {"out_of_range": 0.01, "high": 0.02, "low": 0.05}
 WARN = {"out_of_range": 0.001, "high": 0.005, "kurtosis": 10.0, "nodata": 0.15}
 
 
 def profile(values: DataFrame, by: list[str], value: str = "v") -> DataFrame:
-    """One pass of moments, percentiles and shares; null and 0 are no data. Moments are of the population, kurtosis in excess."""
-    v = F.when(F.col(value) != 0, F.col(value))
+    """Moments, percentiles and shares; null and 0 are no data. Moments are of the population, kurtosis in excess.
+
+    Percentiles come from histograms (``exact_quantiles``), so groups may be of any size.
+    """
+    values = values.withColumn(value, F.when(F.col(value) != 0, F.col(value)))
+    v = F.col(value)
     share = lambda c: F.round(F.try_divide(F.count_if(c), F.count(v)), 6)
     r = lambda c: F.round(c, 6)
-    return values.groupBy(*by).agg(
+    out = values.groupBy(*by).agg(
         F.count(v).alias("n"),
         r(F.lit(1.0) - F.count(v) / F.count(F.lit(1))).alias("nodata"),
-        r(F.avg(v)).alias("mean"), r(F.stddev_pop(v)).alias("std"), r(F.min(v)).alias("min"), r(F.max(v)).alias("max"), r(F.median(v)).alias("median"),
-        r(F.percentile(v, F.lit(0.01))).alias("p01"), r(F.percentile(v, F.lit(0.99))).alias("p99"),
+        r(F.avg(v)).alias("mean"), r(F.stddev_pop(v)).alias("std"), r(F.min(v)).alias("min"), r(F.max(v)).alias("max"),
         share((v < -1) | (v > 1)).alias("out_of_range"), share(v > 0.95).alias("high"), share(v < -0.95).alias("low"), share(F.abs(v) < 0.005).alias("near_zero"),
         F.round(F.skewness(v), 4).alias("skew"), F.round(F.kurtosis(v), 4).alias("kurtosis"),
     )
+    q = exact_quantiles(values, by, value, [0.5, 0.01, 0.99])
+    return out.join(q.select(*by, r(F.col("q0")).alias("median"), r(F.col("q1")).alias("p01"), r(F.col("q2")).alias("p99")), by, "left")
 
 
-def verdict(profiles: DataFrame) -> DataFrame:
-    """``overall`` and the messages of the means over a group's profiles."""
+def verdict(profiles: DataFrame, by: list[str]) -> DataFrame:
+    """``by, overall, issues, warnings`` from the means of a group's profiles, one for each file; files without a figure are left out of its mean."""
     c = F.col
+    means = profiles.groupBy(*by).agg(*[F.avg(k).alias(k) for k in (*FAIL, "kurtosis", "nodata")])
     issues = F.array_compact(F.array(*[F.when(c(k) > x, F.lit(k)) for k, x in FAIL.items()]))
     warn = {k: (c(k) > x) & (c(k) <= FAIL[k] if k in FAIL else F.lit(True)) for k, x in WARN.items()}
     warnings = F.array_compact(F.array(*[F.when(x, F.lit(k)) for k, x in warn.items()]))
-    return profiles.select("*", F.when(F.size(issues) > 0, "FAIL").otherwise("PASS").alias("overall"), F.array_join(issues, ",").alias("issues"), F.array_join(warnings, ",").alias("warnings"))
+    return means.select(*by, F.when(F.size(issues) > 0, "FAIL").otherwise("PASS").alias("overall"), F.array_join(issues, ",").alias("issues"), F.array_join(warnings, ",").alias("warnings"))
+
+
+def coverage_counts(scenes: DataFrame, keys: list[str]) -> DataFrame:
+    """Scenes and dates by year, by tile, or by both."""
+    return scenes.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.countDistinct("obs_date").alias("n_dates"))
 
 
 def landcover_checks(cells: DataFrame, code: str) -> DataFrame:
@@ -46,10 +60,15 @@ def landcover_checks(cells: DataFrame, code: str) -> DataFrame:
 
 
 def parse_oni(text: Column) -> Column:
-    """Tokens ``SEAS YEAR ANOM`` as an array of (year, seq, anom) structs, in order."""
-    years = F.regexp_extract_all(text, F.lit(r"[A-Z]{3}\s+(\d{4})\s+(-?\d+\.\d+)"), 1)
-    values = F.regexp_extract_all(text, F.lit(r"[A-Z]{3}\s+(\d{4})\s+(-?\d+\.\d+)"), 2)
-    return F.transform(F.arrays_zip(years.alias("y"), values.alias("v")), lambda t, i: F.struct(t["y"].cast("int").alias("year"), i.alias("seq"), t["v"].cast("double").alias("anom")))
+    """The rows of a climate index table as an array of (year, seq, anom) structs, in order.
+
+    A row is a season, a year and an anomaly between white space; rows end at
+    line ends or bars. What has other fields, a header or a note, is left out.
+    """
+    rows = F.transform(F.split(text, "[\\n|]"), lambda line: F.filter(F.split(line, "\\s+"), lambda f: f != ""))
+    read = F.transform(rows, lambda f: F.struct(F.get(f, F.lit(0)).alias("season"), F.try_to_number(F.get(f, F.lit(1)), F.lit("9999")).cast("int").alias("year"), F.get(f, F.lit(-1) + F.size(f)).try_cast("double").alias("anom"), F.size(f).alias("k")))
+    good = F.filter(read, lambda r: (r["k"] >= 3) & (F.length(r["season"]) == 3) & r["year"].isNotNull() & r["anom"].isNotNull())
+    return F.transform(good, lambda r, i: F.struct(r["year"].alias("year"), i.alias("seq"), r["anom"].alias("anom")))
 
 
 def rank_years(oni: DataFrame, rain: DataFrame, *, max_severity: float = 1.5, w_enso: float = 1.0, w_rain: float = 0.5, n: int = 5) -> DataFrame:
@@ -76,6 +95,19 @@ def stratified_sample(rows: DataFrame, strata: list[str], key: Column, n: int =
     return rows.withColumn("rn", F.row_number().over(Window.partitionBy(*strata).orderBy(key))).where(F.col("rn") <= n).drop("rn")
 
 
+def sample_sheet(sample: DataFrame, order: Column) -> DataFrame:
+    """The sheet that a person fills in: numbered alerts with the middle of their box in degrees to six decimals, and an empty verdict.
+
+    The sample is bounded by its strata, so one task numbers it. Columns that
+    alerts lack are empty.
+    """
+    lon, lat = utm_inverse((F.col("x0") + F.col("x1")) / F.lit(2.0), (F.col("y0") + F.col("y1")) / F.lit(2.0))
+    text = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("")) if c in sample.columns else F.lit("")
+    fields = ("source_file", "detection_date", "confidence", "lc_group", "lc_natural_frac", "clearing_type", "persistence_status", "area_ha")
+    number = (F.row_number().over(Window.orderBy(order)) - 1).alias("sample_id")
+    return sample.select(number, *[text(c).alias(c) for c in fields], F.round(lat, 6).alias("centroid_lat"), F.round(lon, 6).alias("centroid_lon"), F.lit("").alias("verdict"), F.lit("").alias("notes"))
+
+
 def commission_error(verdicts: DataFrame, tier: str = "tier", verdict: str = "verdict") -> DataFrame:
     """FP / (TP + FP) by tier."""
     fp, tp = F.count_if(F.col(verdict) == "FP"), F.count_if(F.col(verdict) == "TP")

@@ -2,30 +2,74 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from greensward import config
 from greensward.functions.detection import landcover_group
 from greensward.operators.graph import connected_components
-
-
-def label_regions(cells: DataFrame, image: str = "img", width: int = 1 << 20) -> DataFrame:
+from greensward.plans.scratch import Scratch
+
+#: Cells of a side of the tiles that regions are labelled in.
+TILE = 1024
+
+
+def label_tile(row: np.ndarray, col: np.ndarray, width: int) -> np.ndarray:
+    """For each cell the smallest ``row * width + col`` of its 4-connected region among these cells."""
+    key = row.astype(np.int64) * width + col
+    order = np.argsort(key)
+    k = key[order]
+    label = np.arange(len(k))
+    pairs = []
+    for step in (1, width):
+        at = np.minimum(np.searchsorted(k, k + step), len(k) - 1)
+        here = np.flatnonzero(k[at] == k + step)
+        pairs.append((here, at[here]))
+    a, b = (np.concatenate([p[i] for p in pairs]) for i in (0, 1))
+    while True:
+        low = np.minimum(label[a], label[b])
+        new = label.copy()
+        for at in (a, b, label[a], label[b]):
+            np.minimum.at(new, at, low)
+        new = new[new]
+        if (new == label).all():
+            break
+        label = new
+    out = np.empty(len(k), np.int64)
+    out[order] = k[label]
+    return out
+
+
+def label_regions(cells: DataFrame, image: str = "img", width: int = 1 << 20, tile: int = TILE) -> DataFrame:
     """``cells`` with ``region``: the smallest ``row * width + col`` of its 4-connected region in its image.
 
-    Cells of a row that touch become runs first; runs of neighbouring rows that
-    overlap are joined by equality on image and row, and only these few edges
-    go to the component search.
+    A task labels the cells of one tile of ``tile`` x ``tile``, so its size is
+    bounded. Only cells on the edges of tiles are then joined to their
+    neighbours, and the pairs of labels found there, few beside the cells, go to
+    the component search.
     """
-    by_row = Window.partitionBy(image, "row").orderBy("col")
-    cells = cells.withColumn("run_key", F.col("col") - F.row_number().over(by_row))
-    runs = cells.groupBy(image, "row", "run_key").agg(F.min("col").alias("c0"), F.max("col").alias("c1"))
-    runs = runs.withColumn("id", F.struct(F.col(image), (F.col("row").cast("long") * width + F.col("c0")).alias("cell")))
-    below = runs.select(F.col(image).alias("b_img"), (F.col("row") - 1).alias("b_row"), F.col("c0").alias("b0"), F.col("c1").alias("b1"), F.col("id").alias("dst"))
-    touch = (F.col(image) == F.col("b_img")) & (F.col("row") == F.col("b_row")) & (F.col("c0") <= F.col("b1")) & (F.col("c1") >= F.col("b0"))
-    found = connected_components(runs.join(below, touch).select(F.col("id").alias("src"), "dst"))
-    named = runs.join(found, "id", "left").select(image, "row", "run_key", F.coalesce("component", "id")["cell"].alias("region"))
-    return cells.join(named, [image, "row", "run_key"]).drop("run_key")
+    at = {"_tr": F.floor(F.col("row") / tile), "_tc": F.floor(F.col("col") / tile)}
+    names, schema = cells.columns, StructType([*cells.schema.fields, StructField("_local", LongType())])
+
+    def label(table: pa.Table) -> pa.Table:
+        found = label_tile(table.column("row").to_numpy(), table.column("col").to_numpy(), width)
+        return table.select(names).append_column("_local", pa.array(found, pa.int64()))
+
+    scratch = Scratch(cells.sparkSession, "regions")
+    local = scratch.put(cells.withColumns(at).groupBy(image, "_tr", "_tc").applyInArrow(label, schema), "tiles")
+    pairs = None
+    for axis in ("row", "col"):
+        side = local.select(image, "row", "col", F.struct(F.col(image).alias("img"), F.col("_local").alias("cell")).alias("id"))
+        upper = side.where(F.col(axis) % tile == tile - 1).withColumn(axis, F.col(axis) + 1)
+        lower = side.where(F.col(axis) % tile == 0).withColumnRenamed("id", "dst")
+        found = upper.join(lower, [image, "row", "col"]).select(F.col("id").alias("src"), "dst").distinct()
+        pairs = found if pairs is None else pairs.unionByName(found)
+    joined = scratch.put(connected_components(pairs).select(F.col("id.img").alias("_img"), F.col("id.cell").alias("_cell"), F.col("component.cell").alias("_region")), "joined")
+    out = local.join(scratch.small(joined), (F.col(image) == F.col("_img")) & (F.col("_local") == F.col("_cell")), "left")
+    return out.withColumn("region", F.coalesce("_region", "_local")).select(*names, "region")
 
 
 def area_ha(n: Column, res: float = 20.0) -> Column:
@@ -57,6 +101,28 @@ def annotate_landcover(cells: DataFrame, by: list[str], code: str, collection: s
     return seen.groupBy(*by).agg((-best["neg"]).cast("int").alias("lc_class"), best["grp"].alias("lc_group"), F.bround(share, 3).alias("lc_natural_frac"))
 
 
+def annotate_all(cells: DataFrame, by: list[str], codes: dict[str, str], default: str = "10m") -> DataFrame:
+    """``annotate_landcover`` for each collection whose code column is there, in columns with its suffix; the default one again without a suffix.
+
+    Unknown collections and missing columns are skipped; an alert that one
+    collection misses has nulls there.
+    """
+    out, done = cells.select(*by).distinct(), []
+    for collection, code in codes.items():
+        if collection in config.LANDCOVER_GROUPS and code in cells.columns:
+            a = annotate_landcover(cells, by, code, collection)
+            out = out.join(a.select(*by, *[F.col(c).alias(f"{c}_{collection}") for c in a.columns if c not in by]), by, "left")
+            done.append(collection)
+    if default in done:
+        out = out.withColumns({c: F.col(f"{c}_{default}") for c in ("lc_class", "lc_group", "lc_natural_frac")})
+    return out
+
+
+def natural_filter(alerts: DataFrame, least: float = config.NATURAL_FRACTION) -> DataFrame:
+    """Alerts whose natural share is at least ``least``; an unknown share counts as 0."""
+    return alerts.where(F.coalesce("lc_natural_frac", F.lit(0.0)) >= least)
+
+
 def alert_summary(alerts: DataFrame) -> DataFrame:
     """Counts by confidence and total area; zeros without alerts."""
     level = lambda k: F.count_if(F.col("confidence") == k)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import math
 from statistics import NormalDist
 
@@ -11,14 +12,32 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from greensward import config
+from greensward.operators.quantiles import exact_quantiles
 
 
 def regional_stats(values: DataFrame, value: str, by: list[str]) -> DataFrame:
-    """Statistics of the values that are there; groups without one have no row."""
+    """Statistics of the values that are there; groups without one have no row.
+
+    The median comes from histograms (``exact_quantiles``), so a date of any
+    number of pixels is never gathered in a task.
+    """
     v, n = F.col(value), F.count(value)
     r = lambda c: F.round(c, 6)
-    out = values.groupBy(*by).agg(r(F.avg(v)).alias("mean"), r(F.median(v)).alias("median"), r(F.stddev_pop(v)).alias("std"), r(F.min(v)).alias("min"), r(F.max(v)).alias("max"), n.alias("n_valid"), r(100.0 * n / F.greatest(F.count(F.lit(1)), n, F.lit(1))).alias("pct_valid"))
-    return out.where("n_valid > 0")
+    out = values.groupBy(*by).agg(r(F.avg(v)).alias("mean"), r(F.stddev_pop(v)).alias("std"), r(F.min(v)).alias("min"), r(F.max(v)).alias("max"), n.alias("n_valid"), r(100.0 * n / F.greatest(F.count(F.lit(1)), n, F.lit(1))).alias("pct_valid"))
+    middle = exact_quantiles(values, by, value, [0.5]).withColumnRenamed("q0", "median")
+    return out.where("n_valid > 0").join(middle, by).select(*by, "mean", r(F.col("median")).alias("median"), "std", "min", "max", "n_valid", "pct_valid")
+
+
+def read_series(stored: DataFrame, first: str | None = None, last: str | None = None, **equal: str) -> DataFrame:
+    """Stored rows whose columns have the values ``equal``, from ``first`` to ``last``, both included, in the order of dates."""
+    out = stored
+    for name, value in equal.items():
+        out = out.where(F.col(name) == value)
+    if first is not None:
+        out = out.where(F.col("date") >= F.lit(first).cast("date"))
+    if last is not None:
+        out = out.where(F.col("date") <= F.lit(last).cast("date"))
+    return out.orderBy("date")
 
 
 def upsert(stored: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
@@ -67,27 +86,38 @@ def sen_pairs(series: DataFrame) -> DataFrame:
 
 
 def mann_kendall(series: DataFrame) -> DataFrame:
-    """``series_id, n, s, tau, var_s, z``: S over all pairs, with the variance corrected for ties; z without p."""
+    """``series_id, n, s, tau, var_s, z``: S over all pairs, with the variance corrected for ties; zeros with under four values. Nulls are left out."""
+    series = series.where("value is not null")
     s = sen_pairs(series).groupBy("series_id").agg(F.sum(F.signum(F.col("vj") - F.col("vi"))).cast("long").alias("s"))
     t = series.groupBy("series_id", "value").agg(F.count(F.lit(1)).alias("t")).groupBy("series_id").agg(F.sum("t").alias("n"), F.sum(F.col("t") * (F.col("t") - 1) * (2 * F.col("t") + 5)).alias("ties"))
-    n = F.col("n")
-    out = t.join(s, "series_id").where(n >= 4)
-    out = out.withColumn("var_s", (n * (n - 1) * (2 * n + 5) - F.col("ties")) / F.lit(18.0))
-    z = F.when(F.col("s") > 0, F.try_divide(F.col("s") - 1, F.sqrt("var_s"))).when(F.col("s") < 0, F.try_divide(F.col("s") + 1, F.sqrt("var_s"))).otherwise(0.0)
-    return out.select("series_id", "n", "s", F.round(F.col("s") / (n * (n - 1) / 2.0), 6).alias("tau"), F.round("var_s", 6).alias("var_s"), F.round(z, 6).alias("z"))
+    n, enough = F.col("n"), F.col("n") >= 4
+    out = t.join(s, "series_id", "left").withColumn("s", F.when(enough, F.coalesce("s", F.lit(0))).otherwise(0))
+    out = out.withColumn("var_s", F.when(enough, (n * (n - 1) * (2 * n + 5) - F.col("ties")) / F.lit(18.0)).otherwise(0.0))
+    z = F.when(F.col("var_s") > 0, F.try_divide(F.col("s") - F.signum("s"), F.sqrt("var_s"))).otherwise(0.0)
+    tau = F.when(enough, F.col("s") / (n * (n - 1) / 2.0)).otherwise(0.0)
+    return out.select("series_id", "n", "s", F.round(tau, 6).alias("tau"), F.round("var_s", 6).alias("var_s"), F.round(z, 6).alias("z"))
 
 
 def sen_slope(series: DataFrame) -> DataFrame:
-    """``series_id, slope, low, high`` a year: the median of pair slopes and its 95 % bounds by rank, without tie correction."""
-    p = sen_pairs(series).withColumn("m", (F.col("vj") - F.col("vi")) / (F.datediff("dj", "di") / F.lit(365.25)))
-    rank = F.row_number().over(Window.partitionBy("series_id").orderBy("m")) - 1
-    sizes = series.groupBy("series_id").agg(F.count(F.lit(1)).alias("n"))
-    p = p.withColumn("r", rank).join(sizes, "series_id").where("n >= 3")
-    pairs = F.col("n") * (F.col("n") - 1) / 2
+    """``series_id, slope, intercept, low, high`` a year: the median of pair slopes, its 95 % bounds by rank without tie correction, and the median of what the slope leaves, at the first date.
+
+    Zeros with under three values or without two dates; nulls are left out.
+    """
+    known = series.where("value is not null")
+    p = sen_pairs(known).withColumn("m", (F.col("vj") - F.col("vi")) / (F.datediff("dj", "di") / F.lit(365.25)))
+    p = p.withColumn("r", F.row_number().over(Window.partitionBy("series_id").orderBy("m")) - 1)
+    sizes = known.groupBy("series_id").agg(F.count(F.lit(1)).alias("n"), F.min("date").alias("d0"))
+    p = p.join(sizes, "series_id").where("n >= 3")
+    k = F.count(F.lit(1)).over(Window.partitionBy("series_id"))
+    p = p.withColumn("k", k)
     c = 1.96 * F.sqrt(F.col("n") * (F.col("n") - 1) * (2 * F.col("n") + 5) / F.lit(18.0))
-    low, high = ((F.greatest(F.least((x / 2).cast("int"), (pairs - 1).cast("int")), F.lit(0))) for x in (pairs - c, pairs + c))
+    low, high = (F.greatest(F.least((x / 2).cast("int"), F.col("k").cast("int") - 1), F.lit(0)) for x in (F.col("k") - c, F.col("k") + c))
     at = lambda i: F.max(F.when(F.col("r") == i, F.col("m")))
-    return p.groupBy("series_id").agg(F.round(F.median("m"), 6).alias("slope"), F.round(at(low), 6).alias("low"), F.round(at(high), 6).alias("high"))
+    slopes = p.groupBy("series_id").agg(F.median("m").alias("slope"), at(low).alias("low"), at(high).alias("high"))
+    rest = known.join(sizes, "series_id").join(slopes, "series_id").withColumn("rest", F.col("value") - F.col("slope") * F.datediff("date", "d0") / F.lit(365.25))
+    base = rest.groupBy("series_id").agg(F.median("rest").alias("intercept"))
+    out = series.select("series_id").distinct().join(slopes, "series_id", "left").join(base, "series_id", "left")
+    return out.select("series_id", *[F.round(F.coalesce(c, F.lit(0.0)), 6).alias(c) for c in ("slope", "intercept", "low", "high")])
 
 
 def break_points(residuals: DataFrame) -> DataFrame:
@@ -134,21 +164,31 @@ def detect_breaks_harmonic(series: DataFrame, history_end: str, harmonics: int =
     return found.join(later, ["series_id", "date"]).select("series_id", F.col("date").alias("break_date"), "value", "expected", F.col("residual").alias("anomaly"))
 
 
-def normal_cdf(z: Column) -> Column:
-    """Standard normal distribution function; Spark has no erf."""
+#: Fixed values of Hart's rational approximation of the normal tail, highest power first.
+TAIL_NUMERATOR = (3.52624965998911e-02, 0.700383064443688, 6.37396220353165, 33.912866078383, 112.079291497871, 221.213596169931, 220.206867912376)
+TAIL_DENOMINATOR = (8.83883476483184e-02, 1.75566716318264, 16.064177579207, 86.7807322029461, 296.564248779674, 637.333633378831, 793.826512519948, 440.413735824752)
 
-    @F.pandas_udf("double")
-    def cdf(z: pd.Series) -> pd.Series:
-        return z.map(lambda x: None if x is None or math.isnan(x) else NormalDist().cdf(x))
 
-    return cdf(z)
+def normal_tail(z: Column) -> Column:
+    """Share of the standard normal distribution above ``z`` of 0 or more, to about 1e-15; Spark has no erf."""
+    poly = lambda c: functools.reduce(lambda a, x: a * z + x, c[1:], F.lit(c[0]))
+    far = z + 0.65
+    for k in (4.0, 3.0, 2.0, 1.0):
+        far = z + F.try_divide(F.lit(k), far)
+    bell = F.exp(-z * z / 2)
+    near = bell * poly(TAIL_NUMERATOR) / poly(TAIL_DENOMINATOR)
+    return F.when(z > 37, 0.0).when(z < 7.07106781186547, near).otherwise(bell / far / 2.506628274631)
 
 
 def trends(series: DataFrame, alpha: float = 0.05) -> DataFrame:
-    """Mann-Kendall with its two-sided p, and Sen's slope."""
-    mk = mann_kendall(series).withColumn("p_value", F.round(2 * (1 - normal_cdf(F.abs("z"))), 6))
-    kind = F.when((F.col("p_value") < alpha) & (F.col("s") > 0), "increasing").when((F.col("p_value") < alpha) & (F.col("s") < 0), "decreasing").otherwise("no trend")
-    return mk.withColumn("trend", kind).join(sen_slope(series), "series_id", "left")
+    """Mann-Kendall with its two-sided p and verdict, Sen's slope with its intercept, and a line that sums them up."""
+    mk = mann_kendall(series)
+    mk = mk.withColumn("p_value", F.when(F.col("n") >= 4, F.round(2 * normal_tail(F.abs("z")), 6)).otherwise(1.0))
+    mk = mk.withColumn("significant", F.col("p_value") < alpha)
+    kind = F.when(F.col("n") < 4, "insufficient_data").when(F.col("significant") & (F.col("s") > 0), "increasing").when(F.col("significant"), "decreasing").otherwise("no_trend")
+    out = mk.withColumn("trend", kind).join(sen_slope(series), "series_id", "left")
+    summary = F.struct("trend", "significant", F.col("slope").alias("slope_per_year"), F.col("n").alias("n_observations"))
+    return out.withColumn("summary", F.to_json(summary))
 
 
 def _digamma(x: float) -> float:

@@ -32,18 +32,27 @@ def tile_grid(spark: SparkSession, west: float, south: float, east: float, north
 def box_pairs(a: DataFrame, b: DataFrame, on: list[str], bucket: int = 100) -> DataFrame:
     """Pairs of boxes that share some area, and that area.
 
-    ``a`` and ``b`` have ``id, x0, y0, x1, y1`` and the keys ``on``. Boxes go to
-    every bucket they touch; the equality join on keys and bucket replaces a
-    nested loop, and a pair counts in the bucket of its common corner alone.
+    ``a`` and ``b`` have ``id, x0, y0, x1, y1`` and the keys ``on``. A box has
+    the level at which buckets (``bucket``, doubled for each level) are as large
+    as its longer side; it goes to the four buckets or fewer that it touches at
+    that level and at each higher one that occurs, and a pair meets at the
+    higher level of its two. So a large box costs no more rows than a small one.
+    The equality join on keys, level and bucket replaces a nested loop, and a
+    pair counts in the bucket of its common corner alone.
     """
-    cut = lambda c: F.floor(c / bucket)
+    side = lambda: F.greatest(F.col("x1") - F.col("x0"), F.col("y1") - F.col("y0"), F.lit(1))
+    own = lambda: F.greatest(F.ceil(F.log2(side() / F.lit(float(bucket))) - 1e-9), F.lit(0)).cast("int")
+    levels = sorted({r.lv for d in (a, b) for r in d.select(own().alias("lv")).distinct().collect()})  # a few dozens at most
+    cut = lambda c: F.floor(c / (F.lit(float(bucket)) * F.pow(F.lit(2.0), F.col("level"))))
 
     def dealt(d: DataFrame, p: str) -> DataFrame:
-        d = d.select(*on, *[F.col(c).alias(f"{p}_{c}") for c in ("id", "x0", "y0", "x1", "y1")])
+        d = d.withColumn(f"{p}_level", own())
+        d = d.select(*on, f"{p}_level", *[F.col(c).alias(f"{p}_{c}") for c in ("id", "x0", "y0", "x1", "y1")])
+        d = d.withColumn("level", F.explode(F.filter(F.array(*map(F.lit, levels or [0])), lambda v: v >= F.col(f"{p}_level"))))
         d = d.withColumn("bx", F.explode(F.sequence(cut(F.col(f"{p}_x0")), cut(F.col(f"{p}_x1")))))
         return d.withColumn("by", F.explode(F.sequence(cut(F.col(f"{p}_y0")), cut(F.col(f"{p}_y1")))))
 
-    j = dealt(a, "a").join(dealt(b, "b"), [*on, "bx", "by"])
+    j = dealt(a, "a").join(dealt(b, "b"), [*on, "level", "bx", "by"]).where(F.greatest("a_level", "b_level") == F.col("level"))
     left, low = F.greatest("a_x0", "b_x0"), F.greatest("a_y0", "b_y0")
     w, h = F.least("a_x1", "b_x1") - left, F.least("a_y1", "b_y1") - low
     return j.where((w > 0) & (h > 0) & (cut(left) == F.col("bx")) & (cut(low) == F.col("by"))).select(*on, F.col("a_id"), F.col("b_id"), (w * h).alias("overlap"))

@@ -8,11 +8,11 @@ from pyspark.sql import functions as F
 from greensward.functions import indices as ix
 from greensward.functions.detection import clearing
 from greensward.operators import composites, quality, series, spatial
+from greensward.plans.registry import registry
 from greensward.sources import scenes
 from greensward.sources.observations import OBS_SQL, observations, table
 
-QUERIES: dict = {}
-SQL: dict[str, str] = {}
+QUERIES, SQL, query = registry()
 
 _FORMULA = {
     "ndvi": "(nir - red) / nullif(nir + red, 0)",
@@ -25,16 +25,6 @@ _FORMULA = {
 _SCL = "scl IN (2, 4, 5, 6, 7, 11)"
 
 
-def query(name: str, sql: str | None = None):
-    def add(f):
-        QUERIES[name] = f
-        if sql is not None:
-            SQL[name] = sql
-        return f
-
-    return add
-
-
 for _n, _f in _FORMULA.items():
     query(f"idx_{_n}", f"WITH {OBS_SQL} SELECT obs_id, round({_f}, 6) AS value FROM obs")(lambda spark, d, n=_n: observations(spark, d).select("obs_id", F.round(ix.index_column(n), 6).alias("value")))
 
@@ -114,10 +104,10 @@ def baseline_monthly(spark, d) -> DataFrame:
     return _baseline(spark, d).select("month", "pixel", F.round("ndmi_center", 6).alias("center"), F.round("ndmi_std", 6).alias("std"), F.col("ndmi_n").alias("n_obs"))
 
 
-@query("baseline_missing", f"""WITH {OBS_SQL}, have AS (SELECT DISTINCT month(obs_date) AS month, 'ndmi' AS index_name FROM obs WHERE pixel % 7 = 0 AND obs_date < DATE '1995-04-01' UNION SELECT DISTINCT month(obs_date), 'nbr' FROM obs WHERE obs_date < DATE '1995-09-01')
+@query("baseline_missing", f"""WITH {OBS_SQL}, have AS (SELECT DISTINCT month(obs_date) AS month, 'ndmi' AS index_name FROM obs UNION SELECT DISTINCT month(obs_date), 'nbr' FROM obs)
 SELECT i.n AS index_name, m::INT AS month FROM (VALUES ('ndmi'), ('nbr'), ('evi2')) i(n), range(1, 13) t(m) WHERE NOT EXISTS (SELECT 1 FROM have h WHERE h.index_name = i.n AND h.month = m)""")
 def baseline_missing(spark, d) -> DataFrame:
-    """The months of all observations have baselines of two indices; the SQL looks at early months only."""
+    """The months of all observations have baselines of two indices."""
     have = observations(spark, d).select(F.month("obs_date").alias("month")).distinct()
     return scenes.missing_baselines(have.select(F.explode(F.array(F.lit("ndmi"), F.lit("nbr"))).alias("index_name"), "month"), list(_NAMES))
 
@@ -146,8 +136,7 @@ SELECT 'all' AS mode, scene, n FROM g WHERE keep_all UNION ALL SELECT 'valid', s
 def scene_guard(spark, d) -> DataFrame:
     """Both denominators, at a limit of 7 % that these tables cross."""
     det = _detected(spark, d).select(_month().alias("scene"), "confidence", F.col("z_ndmi").isNotNull().alias("valid"))
-    out = [composites.scene_guard(det, "scene", 0.07, m).groupBy("scene").agg(F.count(F.lit(1)).alias("n")).select(F.lit(m).alias("mode"), "scene", "n") for m in ("all", "valid")]
-    return out[0].unionByName(out[1])
+    return composites.guard_shares(det, "scene", 0.07)
 
 
 for _n, _last, _o in (("mosaic_first", False, "ASC"), ("mosaic_last", True, "DESC")):
@@ -204,9 +193,12 @@ _PROFILE_SQL = f"""prof AS (SELECT pixel % 5 AS grp, count(v) AS n, round(1.0::D
   FROM (SELECT pixel, nullif({_FORMULA['ndmi']}, 0) AS v FROM obs) GROUP BY 1)"""
 
 
-def _profiles(spark, d) -> DataFrame:
-    v = observations(spark, d).select((F.col("pixel") % 5).alias("grp"), ix.index_column("ndmi").alias("v"))
-    return quality.profile(v, ["grp"])
+_FILE_SQL = _PROFILE_SQL.replace("SELECT pixel % 5 AS grp,", "SELECT pixel % 5 AS grp, file,").replace("(SELECT pixel,", "(SELECT pixel, year(obs_date) AS file,").replace("GROUP BY 1)", "GROUP BY 1, 2)").replace("prof AS", "files AS") + ", prof AS (SELECT grp, " + ", ".join(f"avg({c}) AS {c}" for c in ("out_of_range", "high", "low", "kurtosis", "nodata")) + " FROM files GROUP BY 1)"
+
+
+def _profiles(spark, d, *files) -> DataFrame:
+    v = observations(spark, d).select((F.col("pixel") % 5).alias("grp"), *files, ix.index_column("ndmi").alias("v"))
+    return quality.profile(v, ["grp", *(["file"] if files else [])])
 
 
 @query("profile", f"WITH {OBS_SQL}, {_PROFILE_SQL} SELECT * FROM prof")
@@ -214,8 +206,9 @@ def profile(spark, d) -> DataFrame:
     return _profiles(spark, d)
 
 
-@query("quality_verdict", f"""WITH {OBS_SQL}, {_PROFILE_SQL} SELECT grp, CASE WHEN out_of_range > 0.01::DOUBLE OR high > 0.02::DOUBLE OR low > 0.05::DOUBLE THEN 'FAIL' ELSE 'PASS' END AS overall,
+@query("quality_verdict", f"""WITH {OBS_SQL}, {_FILE_SQL} SELECT grp, CASE WHEN out_of_range > 0.01::DOUBLE OR high > 0.02::DOUBLE OR low > 0.05::DOUBLE THEN 'FAIL' ELSE 'PASS' END AS overall,
 array_to_string(list_filter([CASE WHEN out_of_range > 0.01::DOUBLE THEN 'out_of_range' END, CASE WHEN high > 0.02::DOUBLE THEN 'high' END, CASE WHEN low > 0.05::DOUBLE THEN 'low' END], lambda x: x IS NOT NULL), ',') AS issues,
 array_to_string(list_filter([CASE WHEN out_of_range > 0.001::DOUBLE AND out_of_range <= 0.01::DOUBLE THEN 'out_of_range' END, CASE WHEN high > 0.005::DOUBLE AND high <= 0.02::DOUBLE THEN 'high' END, CASE WHEN kurtosis > 10 THEN 'kurtosis' END, CASE WHEN nodata > 0.15::DOUBLE THEN 'nodata' END], lambda x: x IS NOT NULL), ',') AS warnings FROM prof""")
 def quality_verdict(spark, d) -> DataFrame:
-    return quality.verdict(_profiles(spark, d)).select("grp", "overall", "issues", "warnings")
+    """Each year is a file of its own."""
+    return quality.verdict(_profiles(spark, d, F.year("obs_date").alias("file")), ["grp"])

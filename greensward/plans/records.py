@@ -8,27 +8,17 @@ from pyspark.sql import functions as F
 from greensward.functions import indices as ix
 from greensward.functions.detection import enso_state, severity_band
 from greensward.operators import composites, quality, series, spatial
+from greensward.plans.registry import registry
 from greensward.sources import scenes
 from greensward.sources.observations import MONTHLY_SQL, OBS_SQL, monthly_totals, observations, table
 
-QUERIES: dict = {}
-SQL: dict[str, str] = {}
+QUERIES, SQL, query = registry()
 
 _CLEAR = "scl IN (2, 4, 5, 6, 7, 11)"
 _NDMI = f"CASE WHEN {_CLEAR} THEN (nir08 - swir16) / nullif(nir08 + swir16, 0) END"
 _RING = [(900.0, 0.0), (2000.0, 100.0), (1500.0, 1500.0)]
 
 
-def query(name: str, sql: str | None = None):
-    def add(f):
-        QUERIES[name] = f
-        if sql is not None:
-            SQL[name] = sql
-        return f
-
-    return add
-
-
 @query("evi2_cap", f"""WITH {OBS_SQL}, e AS (SELECT obs_id, obs_date, 2.5::DOUBLE * (nir - red) / nullif(nir + 2.4::DOUBLE * red + 1, 0) AS v FROM obs),
 m AS (SELECT *, max(v) OVER (PARTITION BY obs_date) AS top FROM e)
 SELECT obs_id, round(CASE WHEN top > 1 AND v IS NOT NULL THEN greatest(least(v, 1.0::DOUBLE), -1.0::DOUBLE) ELSE v END, 6) AS value FROM m""")
@@ -105,7 +95,7 @@ def csv_merge(spark, d) -> DataFrame:
     return scenes.merge_lines(lines(o), lines(o.where((F.year("o_orderdate") > 1995) | (F.col("o_orderkey") % 2 == 0))))
 
 
-_NAME_SQL = "f AS (SELECT DISTINCT CASE o_custkey % 7 WHEN 0 THEN '.' ELSE '' END || strftime(o_orderdate, '%Y%m%d') || '_S2A_T' || (o_custkey % 4) || CASE WHEN o_custkey % 5 = 0 THEN '' ELSE '_R1_L2A_ndmi.tif' END AS name FROM orders WHERE o_custkey % 11 = 0)"
+_NAME_SQL = "f AS (SELECT DISTINCT CASE o_custkey % 7 WHEN 0 THEN '.' ELSE '' END || strftime(o_orderdate, '%Y%m%d') || '_S2A_T' || (o_custkey % 4) || CASE WHEN o_custkey % 5 = 0 THEN '' ELSE '_R1_L2A_ndmi.tif' END AS name FROM orders)"
 
 
 def _names(spark, d) -> DataFrame:
@@ -146,7 +136,7 @@ def enso_bands(spark, d) -> DataFrame:
 
 @query("temporal_coverage", f"WITH {OBS_SQL} SELECT year(obs_date)::INT AS year, (pixel % 10)::BIGINT AS tile, count(*) AS n, count(DISTINCT obs_date) AS n_dates FROM obs GROUP BY 1, 2")
 def temporal_coverage(spark, d) -> DataFrame:
-    return observations(spark, d).groupBy(F.year("obs_date").alias("year"), (F.col("pixel") % 10).cast("long").alias("tile")).agg(F.count(F.lit(1)).alias("n"), F.countDistinct("obs_date").alias("n_dates"))
+    return observations(spark, d).withColumns({"year": F.year("obs_date"), "tile": (F.col("pixel") % 10).cast("long")}).transform(quality.coverage_counts, ["year", "tile"])
 
 
 @query("value_histogram", f"WITH {OBS_SQL}, v AS (SELECT round({_NDMI}, 6) AS v FROM obs), b AS (SELECT CASE WHEN v < -1 THEN 0 WHEN v >= 1 THEN 41 ELSE floor(40 * (v + 1.0::DOUBLE) / 2.0::DOUBLE) + 1 END::BIGINT AS bucket FROM v WHERE v IS NOT NULL) SELECT bucket, count(*) AS n FROM b GROUP BY 1")

@@ -52,6 +52,11 @@ class Scratch:
         out._scratch_path = where
         return out
 
+    def append(self, df: DataFrame, where: str) -> DataFrame:
+        """Add ``df`` to a table of one schema that a loop fills step by step; its plan doesn't grow with the steps."""
+        df.write.mode("append").parquet(where)
+        return self.spark.read.schema(df.schema).parquet(where)
+
     def bytes(self, table: DataFrame) -> int:
         path, fs = _path(self.spark, table._scratch_path)
         return int(fs.getContentSummary(path).getLength())

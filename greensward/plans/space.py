@@ -6,21 +6,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from greensward.functions.detection import confidence_label, landcover_group, persistence_tier
-from greensward.operators import persistence, quality, regions, spatial
+from greensward.operators import persistence, quality, regions
+from greensward.plans.registry import registry
 from greensward.sources.observations import BOX_SQL, RASTER_SQL, boxes, raster, table
 
-QUERIES: dict = {}
-SQL: dict[str, str] = {}
-
-
-def query(name: str, sql: str | None = None):
-    def add(f):
-        QUERIES[name] = f
-        if sql is not None:
-            SQL[name] = sql
-        return f
-
-    return add
+QUERIES, SQL, query = registry()
 
 
 _MIN_HA = 0.08
@@ -81,21 +71,16 @@ def _zones(spark, d) -> DataFrame:
     return table(spark, d, "part").select(F.col("p_brand").alias("zone"), F.col("p_size").alias("code"))
 
 
-@query("landcover_annotate", f"WITH {_LC_SQL} SELECT zone, a.lc_class AS lc_class_10m, a.lc_group AS lc_group_10m, a.lc_natural_frac AS lc_natural_frac_10m, b.lc_class AS lc_class_30m, b.lc_group AS lc_group_30m, b.lc_natural_frac AS lc_natural_frac_30m FROM l10m a JOIN l30m b USING (zone)")
+@query("landcover_annotate", f"WITH {_LC_SQL} SELECT zone, a.lc_class AS lc_class_10m, a.lc_group AS lc_group_10m, a.lc_natural_frac AS lc_natural_frac_10m, b.lc_class AS lc_class_30m, b.lc_group AS lc_group_30m, b.lc_natural_frac AS lc_natural_frac_30m, a.lc_class, a.lc_group, a.lc_natural_frac FROM l10m a JOIN l30m b USING (zone)")
 def landcover_annotate(spark, d) -> DataFrame:
-    """Both collections side by side."""
-    out = None
-    for c in ("10m", "30m"):
-        a = regions.annotate_landcover(_zones(spark, d), ["zone"], "code", c)
-        a = a.select("zone", *[F.col(x).alias(f"{x}_{c}") for x in a.columns if x != "zone"])
-        out = a if out is None else out.join(a, "zone")
-    return out
+    """Both collections side by side, and the default one again; a third that is unknown is skipped."""
+    return regions.annotate_all(_zones(spark, d), ["zone"], {"10m": "code", "30m": "code", "other": "code", "5m": "missing"})
 
 
 @query("natural_filter", f"WITH {_LC_SQL} SELECT zone, lc_natural_frac FROM l10m WHERE coalesce(lc_natural_frac, 0) >= 0.15::DOUBLE")
 def natural_filter(spark, d) -> DataFrame:
     """At a limit of 0.15, which these zones cross."""
-    return regions.annotate_landcover(_zones(spark, d), ["zone"], "code").where(F.coalesce("lc_natural_frac", F.lit(0.0)) >= 0.15).select("zone", "lc_natural_frac")
+    return regions.natural_filter(regions.annotate_landcover(_zones(spark, d), ["zone"], "code"), 0.15).select("zone", "lc_natural_frac")
 
 
 @query("lc_validation", "WITH n AS (SELECT p_size AS code, count(*) AS n FROM part GROUP BY 1), a AS (SELECT 1.0::DOUBLE - sum(CASE WHEN code = 0 THEN n ELSE 0 END)::DOUBLE / sum(n) AS v, count(*) AS k, bool_and(code BETWEEN 0 AND 62) AS p, bool_or(code IN (3, 4, 12)) AS g FROM n) SELECT round(v, 4) AS valid_frac, k AS n_classes, v > 0.5::DOUBLE AS has_valid_data, p AS plausible_classes, g AS vegetation_present, v > 0.5::DOUBLE AND p AND g AS passed FROM a")
@@ -131,19 +116,20 @@ def persist_history(spark, d) -> DataFrame:
     return persistence.history_summary(boxes(spark, d))
 
 
-_STREAK_SQL = f"""{_PAIR_SQL}, one AS (SELECT box.date, box.id, 1 + (count(p.a_id) > 0)::INT AS persistence_count FROM box LEFT JOIN pair p ON p.date = box.date AND p.a_id = box.id AND p.overlap >= 0.05::DOUBLE * p.a_area GROUP BY 1, 2),
-two AS (SELECT box.date, box.id, (1 + coalesce(max(one.persistence_count), 0))::INT AS persistence_count FROM box LEFT JOIN pair p ON p.date = box.date AND p.a_id = box.id AND p.overlap >= 0.05::DOUBLE * p.a_area LEFT JOIN one ON one.id = p.b_id GROUP BY 1, 2)"""
+_STREAK_SQL = f"""RECURSIVE {_PAIR_SQL}, hit AS (SELECT rank, a_id, b_id FROM pair WHERE overlap >= 0.05::DOUBLE * a_area),
+st AS (SELECT rank, date, id, 1 AS n FROM r WHERE rank = 1
+  UNION ALL SELECT r.rank, r.date, r.id, 1 + coalesce(max(st.n), 0) FROM r JOIN (SELECT max(rank) + 1 AS rank FROM st) now ON r.rank = now.rank
+    LEFT JOIN hit ON hit.rank = r.rank AND hit.a_id = r.id LEFT JOIN st ON st.id = hit.b_id GROUP BY r.rank, r.date, r.id)"""
 
-
-@query("persist_streak", f"WITH {_STREAK_SQL} SELECT * FROM two")
+@query("persist_streak", f"WITH {_STREAK_SQL} SELECT date, id, n::INT AS persistence_count FROM st")
 def persist_streak(spark, d) -> DataFrame:
-    """Streaks over all dates; the SQL has two steps."""
+    """Streaks over all dates."""
     return persistence.chained_streaks(boxes(spark, d))
 
 
-@query("persist_tiers", f"WITH {_STREAK_SQL} SELECT date, id, CASE WHEN persistence_count * 6 >= 15 THEN 'confirmed' WHEN persistence_count >= 2 THEN 'candidate' ELSE 'first_observation' END AS tier FROM two")
+@query("persist_tiers", f"WITH {_STREAK_SQL} SELECT date, id, CASE WHEN n >= 15 THEN 'confirmed' WHEN n >= 2 THEN 'candidate' ELSE 'first_observation' END AS tier FROM st")
 def persist_tiers(spark, d) -> DataFrame:
-    """Tiers of the streaks over all dates; in the SQL three sightings stand for the 15 of the highest tier."""
+    """Tiers of the streaks over all dates."""
     return persistence.chained_streaks(boxes(spark, d)).select("date", "id", persistence_tier(F.col("persistence_count")).alias("tier"))
 
 
@@ -157,13 +143,3 @@ def track_fold(spark, d) -> DataFrame:
 def stratified_sample(spark, d) -> DataFrame:
     p = table(spark, d, "part").select("p_partkey", "p_brand", landcover_group(F.col("p_size")).alias("lc_group"))
     return quality.stratified_sample(p, ["p_brand", "lc_group"], F.struct((F.col("p_partkey") * 7919) % 10007, "p_partkey"), 5)
-
-
-@query("utm_round_trip")
-def utm_round_trip(spark, d) -> DataFrame:
-    """Box corners as degrees and back; tests hold the differences below a millimetre."""
-    b = boxes(spark, d).select("id", (F.col("x0") + 400_000.0).alias("x"), (F.col("y0") + 9_150_000.0).alias("y"))
-    lon, lat = spatial.utm_inverse(F.col("x"), F.col("y"))
-    b = b.withColumns({"lon": lon, "lat": lat})
-    x, y = spatial.utm_forward(F.col("lon"), F.col("lat"))
-    return b.select("id", F.round("lon", 6).alias("lon"), F.round("lat", 6).alias("lat"), F.round(x - F.col("x"), 6).alias("dx"), F.round(y - F.col("y"), 6).alias("dy"))

@@ -2,26 +2,18 @@
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from greensward.operators import quality, series
+from greensward.plans.registry import registry
 from greensward.sources import scenes
 from greensward.sources.observations import MONTHLY_SQL, SERIES_SQL, daily_series, monthly_totals, table
 from greensward.streaming.tracks import gap_sessions as sessions
 
-QUERIES: dict = {}
-SQL: dict[str, str] = {}
-
-
-def query(name: str, sql: str | None = None):
-    def add(f):
-        QUERIES[name] = f
-        if sql is not None:
-            SQL[name] = sql
-        return f
-
-    return add
+QUERIES, SQL, query = registry()
 
 
 @query("rolling3_sum", f"WITH {MONTHLY_SQL}, m AS (SELECT series_id, date, CASE WHEN month(date) <> 5 THEN value END AS value FROM monthly) SELECT series_id, date, round(CASE WHEN count(value) OVER w = 3 THEN sum(value) OVER w END, 4) AS sum3 FROM m WINDOW w AS (PARTITION BY series_id ORDER BY date ROWS BETWEEN 2 PRECEDING AND CURRENT ROW)")
@@ -54,8 +46,8 @@ def year_ranking(spark, d) -> DataFrame:
     return out.select("year", "peak", "severity", F.round("annual", 4).alias("annual"), F.round("precip_z", 6).alias("precip_z"), F.round("score", 6).alias("score"), "eligible", "recent", "least")
 
 
-# sparse: two months of some series are missing, so that long gaps occur; the SQL has 12 of the 40 series only
-_SPARSE_SQL = "sparse AS (SELECT o_custkey % 40 AS series_id, CAST(o_orderdate AS DATE) AS date, avg(o_totalprice) / 997.0::DOUBLE AS value FROM orders WHERE o_custkey % 40 < 12 AND NOT (month(o_orderdate) IN (3, 4) AND o_custkey % 40 < 6) GROUP BY 1, 2)"
+# sparse: two months of some series have no values, so that long gaps occur
+_SPARSE_SQL = "sparse AS (SELECT o_custkey % 40 AS series_id, CAST(o_orderdate AS DATE) AS date, avg(CASE WHEN NOT (month(o_orderdate) IN (3, 4) AND o_custkey % 40 < 6) THEN o_totalprice END) / 997.0::DOUBLE AS value FROM orders GROUP BY 1, 2)"
 
 
 def _sparse(spark, d) -> DataFrame:
@@ -106,24 +98,39 @@ def breaks_harmonic(spark, d) -> DataFrame:
 _PAIRS = f"{MONTHLY_SQL}, p AS (SELECT a.series_id, a.date AS di, b.date AS dj, a.value AS vi, b.value AS vj FROM monthly a JOIN monthly b ON a.series_id = b.series_id AND a.date < b.date)"
 
 
-@query("mk_stat", f"""WITH {_PAIRS}, s AS (SELECT series_id, sum(sign(vj - vi))::BIGINT AS s FROM p GROUP BY 1), t AS (SELECT series_id, value, count(*) AS t FROM monthly GROUP BY 1, 2), u AS (SELECT series_id, sum(t)::BIGINT AS n, sum(t * (t - 1) * (2 * t + 5))::BIGINT AS ties FROM t GROUP BY 1),
-v AS (SELECT series_id, n, s, (n * (n - 1) * (2 * n + 5) - ties) / 18.0::DOUBLE AS var_s FROM u JOIN s USING (series_id) WHERE n >= 4)
-SELECT series_id, n, s, round(s / (n * (n - 1) / 2.0::DOUBLE), 6) AS tau, round(var_s, 6) AS var_s, round(CASE WHEN s > 0 THEN (s - 1) / nullif(sqrt(var_s), 0) WHEN s < 0 THEN (s + 1) / nullif(sqrt(var_s), 0) ELSE 0 END, 6) AS z FROM v""")
+_MK_SQL = f"""{_PAIRS}, s AS (SELECT series_id, sum(sign(vj - vi))::BIGINT AS s FROM p GROUP BY 1), t AS (SELECT series_id, value, count(*) AS t FROM monthly GROUP BY 1, 2), u AS (SELECT series_id, sum(t)::BIGINT AS n, sum(t * (t - 1) * (2 * t + 5))::BIGINT AS ties FROM t GROUP BY 1),
+v AS (SELECT series_id, n, s, (n * (n - 1) * (2 * n + 5) - ties) / 18.0::DOUBLE AS var_s FROM u JOIN s USING (series_id) WHERE n >= 4),
+mk AS (SELECT series_id, n, s, round(s / (n * (n - 1) / 2.0::DOUBLE), 6) AS tau, round(var_s, 6) AS var_s, round(CASE WHEN s > 0 THEN (s - 1) / nullif(sqrt(var_s), 0) WHEN s < 0 THEN (s + 1) / nullif(sqrt(var_s), 0) ELSE 0 END, 6) AS z FROM v)"""
+
+
+@query("mk_stat", f"WITH {_MK_SQL} SELECT * FROM mk")
 def mk_stat(spark, d) -> DataFrame:
     return series.mann_kendall(monthly_totals(spark, d))
 
 
-@query("sen_slope", f"""WITH {_PAIRS}, m AS (SELECT series_id, (vj - vi) / (datediff('day', di, dj) / 365.25::DOUBLE) AS m FROM p), r AS (SELECT *, row_number() OVER (PARTITION BY series_id ORDER BY m) - 1 AS r FROM m),
+_SEN_SQL = """m AS (SELECT series_id, (vj - vi) / (datediff('day', di, dj) / 365.25::DOUBLE) AS m FROM p), r AS (SELECT *, row_number() OVER (PARTITION BY series_id ORDER BY m) - 1 AS r FROM m),
 n AS (SELECT series_id, count(*) AS n, 1.96::DOUBLE * sqrt(count(*) * (count(*) - 1) * (2 * count(*) + 5) / 18.0::DOUBLE) AS c FROM monthly GROUP BY 1),
-b AS (SELECT *, n * (n - 1) // 2 AS k, greatest(least(trunc((n * (n - 1) / 2.0::DOUBLE - c) / 2), n * (n - 1) // 2 - 1), 0) AS lo, greatest(least(trunc((n * (n - 1) / 2.0::DOUBLE + c) / 2), n * (n - 1) // 2 - 1), 0) AS hi FROM n WHERE n >= 3)
-SELECT series_id, round(median(m), 6) AS slope, round(max(CASE WHEN r = lo THEN m END), 6) AS low, round(max(CASE WHEN r = hi THEN m END), 6) AS high FROM r JOIN b USING (series_id) GROUP BY 1""")
+b AS (SELECT *, n * (n - 1) // 2 AS k, greatest(least(trunc((n * (n - 1) / 2.0::DOUBLE - c) / 2), n * (n - 1) // 2 - 1), 0) AS lo, greatest(least(trunc((n * (n - 1) / 2.0::DOUBLE + c) / 2), n * (n - 1) // 2 - 1), 0) AS hi FROM n WHERE n >= 3),
+sl AS (SELECT series_id, median(m) AS slope, max(CASE WHEN r = lo THEN m END) AS low, max(CASE WHEN r = hi THEN m END) AS high FROM r JOIN b USING (series_id) GROUP BY 1),
+d0 AS (SELECT series_id, min(date) AS d0 FROM monthly GROUP BY 1), ic AS (SELECT series_id, median(value - slope * datediff('day', d0, date) / 365.25::DOUBLE) AS intercept FROM monthly JOIN d0 USING (series_id) JOIN sl USING (series_id) GROUP BY 1),
+sen AS (SELECT series_id, round(slope, 6) AS slope, round(intercept, 6) AS intercept, round(low, 6) AS low, round(high, 6) AS high FROM sl JOIN ic USING (series_id))"""
+
+
+@query("sen_slope", f"WITH {_PAIRS}, {_SEN_SQL} SELECT * FROM sen")
 def sen_slope(spark, d) -> DataFrame:
     return series.sen_slope(monthly_totals(spark, d))
 
 
-@query("trend_analysis")
+def _tail_sql(z: str) -> str:
+    poly = lambda c: functools.reduce(lambda a, x: f"({a}) * {z} + {x!r}::DOUBLE", c[1:], f"{c[0]!r}::DOUBLE")
+    return f"CASE WHEN {z} < 7.07106781186547 THEN exp(-{z} * {z} / 2) * ({poly(series.TAIL_NUMERATOR)}) / ({poly(series.TAIL_DENOMINATOR)}) ELSE 0 END"
+
+
+@query("trend_analysis", f"""WITH {_MK_SQL}, {_SEN_SQL}, pv AS (SELECT *, round(2 * {_tail_sql('abs(z)')}, 6) AS p_value FROM mk),
+q AS (SELECT *, p_value < 0.05::DOUBLE AS significant, CASE WHEN p_value < 0.05::DOUBLE THEN CASE WHEN s > 0 THEN 'increasing' ELSE 'decreasing' END ELSE 'no_trend' END AS trend FROM pv)
+SELECT q.*, slope, intercept, low, high FROM q JOIN sen USING (series_id)""")
 def trend_analysis(spark, d) -> DataFrame:
-    return series.trends(monthly_totals(spark, d))
+    return series.trends(monthly_totals(spark, d)).drop("summary")
 
 
 @query("stl")

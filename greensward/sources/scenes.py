@@ -8,10 +8,13 @@ from pyspark.sql import functions as F
 from greensward import config
 
 
-def search(scenes: DataFrame, start: str, end: str, max_cloud: float = config.MAX_CLOUD, max_items: int | None = 50, missing_cloud: float | None = None) -> DataFrame:
-    """Scenes of the dates (both included) with less cloud; a missing value fails unless ``missing_cloud`` stands for it."""
+def search(scenes: DataFrame, start: str, end: str, max_cloud: float = config.MAX_CLOUD, max_items: int | None = 50, missing_cloud: float | None = None, bbox: tuple[float, float, float, float] | None = None) -> DataFrame:
+    """Scenes of the dates (both included) with less cloud that meet the box; a missing value fails unless ``missing_cloud`` stands for it."""
     cloud = F.col("cloud_cover") if missing_cloud is None else F.coalesce("cloud_cover", F.lit(missing_cloud))
     found = scenes.where(F.col("date").between(F.lit(start).cast("date"), F.lit(end).cast("date")) & (cloud < max_cloud))
+    if bbox is not None:
+        west, south, east, north = bbox
+        found = found.where((F.col("west") <= east) & (F.col("east") >= west) & (F.col("south") <= north) & (F.col("north") >= south))
     return found if max_items is None else found.orderBy(F.desc("date"), "scene_id").limit(max_items)
 
 
@@ -50,8 +53,17 @@ def split_bands(wide: DataFrame, keys: list[str], limit: float = 1.5) -> DataFra
     return long.select(*keys, F.split("band", "_")[0].alias("index_name"), F.split("band", "_")[1].alias("stat"), F.when((v > -9990) & (F.abs(v) <= limit), v).alias("value"))
 
 
-def file_date(path: Column) -> Column:
-    return F.to_date(F.regexp_extract(path, r"(\d{4}-\d{2}-\d{2})", 1))
+def datetime_range(start: Column, end: Column, today: Column, days_back: int = config.DAYS_BACK) -> Column:
+    """``first/last`` of a search: as given if both are, else the ``days_back`` days up to today."""
+    iso = lambda d: F.date_format(d, "yyyy-MM-dd")
+    given = start.isNotNull() & end.isNotNull()
+    return F.concat_ws("/", iso(F.when(given, start).otherwise(F.date_sub(today, days_back))), iso(F.when(given, end).otherwise(today)))
+
+
+def discover(names: DataFrame) -> DataFrame:
+    """``date, name`` of the files whose stems hold an ISO date, in order."""
+    date = F.to_date(F.regexp_extract("name", r"(\d{4}-\d{2}-\d{2})", 1))
+    return names.where(F.col("name").rlike(r"\d{4}-\d{2}-\d{2}")).select(date.alias("date"), "name").orderBy("name")
 
 
 def filename_metadata(name: Column) -> Column:
@@ -66,26 +78,27 @@ def read_precipitation(spark: SparkSession, path: str) -> DataFrame:
     return df.select("year", "month", F.col("aoi_mean_precip_mm").alias("mm")).orderBy("year", "month")
 
 
-def read_aoi(spark: SparkSession, path: str) -> DataFrame:
-    """``west, south, east, north`` and the vertices ``ring`` of a GeoJSON polygon."""
-    f = spark.read.json(path, multiLine=True).select(F.explode("features").alias("f"))
-    ring = f.select(F.col("f.geometry.coordinates")[0].alias("ring"))
-    xs, ys = F.transform("ring", lambda p: p[0]), F.transform("ring", lambda p: p[1])
-    return ring.select(F.array_min(xs).alias("west"), F.array_min(ys).alias("south"), F.array_max(xs).alias("east"), F.array_max(ys).alias("north"), "ring")
-
-
-def write_alerts(alerts: DataFrame, path: str) -> None:
-    """Replace the dates that ``alerts`` holds, a partition each; other dates stay."""
-    alerts.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("detection_date").parquet(path)
+def precipitation_mean(cells: DataFrame, bbox: tuple[float, float, float, float], by: list[str]) -> DataFrame:
+    """``by, mm``: the plain mean of the cells whose centres (lon, lat) lie in a box; negative values are no data."""
+    west, south, east, north = bbox
+    inside = F.col("lon").between(west, east) & F.col("lat").between(south, north)
+    return cells.where(inside).groupBy(*by).agg(F.avg(F.when(F.col("v") >= 0, F.col("v"))).alias("mm"))
 
 
-def as_geojson(alerts: DataFrame, properties: list[str]) -> DataFrame:
-    """One GeoJSON feature a row, with the box of each alert as its ring to six decimals."""
-    r = lambda c: F.bround(F.col(c).cast("double"), 6)
-    corner = lambda x, y: F.array(r(x), r(y))
-    ring = F.array(corner("x0", "y0"), corner("x1", "y0"), corner("x1", "y1"), corner("x0", "y1"), corner("x0", "y0"))
-    feature = F.struct(F.lit("Feature").alias("type"), F.struct(*properties).alias("properties"), F.struct(F.lit("Polygon").alias("type"), F.array(ring).alias("coordinates")).alias("geometry"))
-    return alerts.select(F.to_json(feature).alias("value"))
+def read_aoi(spark: SparkSession, path: str) -> DataFrame:
+    """``feature, part, ring`` of all polygons of a GeoJSON file: every polygon of a multipolygon, and every ring, holes among them."""
+    f = spark.read.option("multiLine", True).schema("features array<struct<geometry:struct<type:string,coordinates:string>>>").json(path)
+    g = f.select(F.posexplode("features").alias("feature", "f")).select("feature", F.col("f.geometry.type").alias("kind"), F.col("f.geometry.coordinates").alias("text"))
+    one, many = "array<array<array<double>>>", "array<array<array<array<double>>>>"
+    polygons = F.when(F.col("kind") == "Polygon", F.array(F.from_json("text", one))).otherwise(F.from_json("text", many))
+    return g.select("feature", F.explode(polygons).alias("p")).select("feature", F.posexplode("p").alias("part", "ring"))
+
+
+def total_bounds(rings: DataFrame) -> DataFrame:
+    """One row ``west, south, east, north`` over the vertices of all rings."""
+    v = rings.select(F.explode("ring").alias("p"))
+    x, y = F.col("p")[0], F.col("p")[1]
+    return v.agg(F.min(x).alias("west"), F.min(y).alias("south"), F.max(x).alias("east"), F.max(y).alias("north"))
 
 
 def files_by_date(names: DataFrame, first_year: int | None = None, last_year: int | None = None) -> DataFrame:

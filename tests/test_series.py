@@ -1,10 +1,12 @@
 import datetime
+import math
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from greensward.operators import quality, series
+from greensward.operators.quantiles import exact_quantiles
 
 S = "series_id long, date date, value double"
 
@@ -42,7 +44,31 @@ def test_trends_of_a_line(spark):
     r = series.trends(df).first()
     assert (r.s, r.tau, r.trend) == (435, 1.0, "increasing") and r.slope == pytest.approx(2.0)
     few = spark.createDataFrame([(1, datetime.date(2020, 1, k + 1), 1.0) for k in range(3)], S)
-    assert series.mann_kendall(few).count() == 0
+    r = series.trends(few.unionByName(df)).where("n = 33").first()
+    assert r.trend == "increasing"
+    r = series.trends(few).first()
+    assert (r.n, r.tau, r.p_value, r.trend, r.significant, r.slope, r.intercept) == (3, 0.0, 1.0, "insufficient_data", False, 0.0, 1.0)
+    two = spark.createDataFrame([(1, datetime.date(2020, 1, k + 1), 5.0) for k in range(2)] + [(1, datetime.date(2020, 2, 1), None)], S)
+    r = series.sen_slope(two).first()
+    assert (r.slope, r.intercept, r.low, r.high) == (0.0, 0.0, 0.0, 0.0)
+
+
+def test_normal_tail(spark):
+    z = [k / 7 for k in range(270)]
+    got = spark.createDataFrame([(x,) for x in z], "z double").select(series.normal_tail(F.col("z")).alias("p")).collect()
+    assert [r.p for r in got] == pytest.approx([math.erfc(x / math.sqrt(2)) / 2 for x in z], rel=1e-6, abs=1e-300)
+
+
+@pytest.mark.parametrize(("cells", "most"), [(4096, 50_000), (4, 3)])
+def test_exact_quantiles(spark, cells, most):
+    """Few and coarse cells make many rounds: ties, outliers, one value, none."""
+    rng = np.random.default_rng(8)
+    data = {"a": rng.normal(size=101), "b": np.append(rng.choice([1.0, 2.0], 60), 1e9), "c": np.array([7.0]), "d": np.array([]), None: rng.normal(size=20) * 1e-12}
+    rows = [(k, float(v)) for k, x in data.items() for v in x] + [(k, None) for k in data]
+    got = {r.k: (r.q0, r.q1, r.q2) for r in exact_quantiles(spark.createDataFrame(rows, "k string, v double"), ["k"], "v", [0.5, 0.01, 0.99], cells=cells, most=most).collect()}
+    assert got.keys() == data.keys() - {"d"}
+    for k, q in got.items():
+        assert q == pytest.approx(tuple(np.quantile(data[k], [0.5, 0.01, 0.99])), rel=1e-12, abs=1e-25)
 
 
 def test_harmonic_recovers_waves(spark):
@@ -77,7 +103,9 @@ def test_year_ranking_and_oni(spark):
     text = "DJF 2019 0.9 | JFM 2019 -0.9 | FMA 2019 0.1\nDJF 2020 2.1 | JFM 2020 0.3"
     text = text.replace("0.9", "0.90").replace("0.1", "0.10").replace("2.1", "2.10").replace("0.3", "0.30")
     oni = spark.createDataFrame([(text,)], "t string").select(F.inline(quality.parse_oni(F.col("t"))))
-    assert oni.count() == 5
+    assert [(r.year, r.seq, r.anom) for r in oni.collect()] == [(2019, 0, 0.9), (2019, 1, -0.9), (2019, 2, 0.1), (2020, 3, 2.1), (2020, 4, 0.3)]
+    odd = spark.createDataFrame([("SEAS YR TOTAL ANOM\nDJF 1950 24.7 -1.53\n\nnote 1950 x\nJFM 1950\n",), (None,)], "t string").select(F.inline(quality.parse_oni(F.col("t"))))
+    assert [(r.year, r.anom) for r in odd.collect()] == [(1950, -1.53)]
     rain = spark.createDataFrame([(y, m, float(m + y - 2019)) for y in (2019, 2020) for m in range(1, 13)], "year int, month int, mm double")
     r = {x.year: x for x in quality.rank_years(oni, rain).collect()}
     assert (r[2019].peak, r[2019].eligible, r[2020].eligible) == (0.9, True, False) and r[2020].precip_z == pytest.approx(1)

@@ -1,5 +1,6 @@
 import datetime
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -39,10 +40,10 @@ def test_regions_cross_levels_and_modes(spark):
 
 
 def test_strict_filter_and_history(spark):
-    b = boxes(spark, [("2025-11-26", 1, (0, 0, 100, 100)), ("2025-11-28", 2, (10, 10, 110, 110)), ("2025-11-28", 3, (0, 99, 100, 199))])
+    b = boxes(spark, [("2023-05-03", 1, (0, 0, 60, 80)), ("2023-05-19", 2, (25, 30, 85, 110)), ("2023-05-19", 3, (0, 78, 60, 158))])
     assert [r.id for r in persistence.strict_filter(b, cell=1).collect()] == [2]
     h = {str(r.date): r for r in persistence.history_summary(b, cell=1).collect()}
-    assert (h["2025-11-26"].confirmed, h["2025-11-28"].confirmed, h["2025-11-28"].raw) == (0, 1, 2)
+    assert (h["2023-05-03"].confirmed, h["2023-05-19"].confirmed, h["2023-05-19"].raw) == (0, 1, 2)
     s = {r.id: r.persistence_count for r in persistence.streaks(b).collect()}
     assert s == {1: 1, 2: 2, 3: 1}
     prior = spark.createDataFrame([(1, 3)], "id long, persistence_count int")
@@ -50,12 +51,12 @@ def test_strict_filter_and_history(spark):
 
 
 def test_tracks_grace_and_one_count_a_date(spark):
-    box, far = (400_000, 9_200_000, 400_100, 9_200_100), (405_000, 9_200_000, 405_100, 9_200_100)
-    b = boxes(spark, [("2025-01-01", 1, box), ("2025-01-05", 2, box), ("2025-06-04", 3, box), ("2025-12-30", 4, box), ("2025-12-30", 5, far)])
+    box, far = (1_200, 700, 1_300, 800), (7_000, 700, 7_100, 800)
+    b = boxes(spark, [("2022-02-10", 1, box), ("2022-02-26", 2, box), ("2022-08-20", 3, box), ("2023-03-01", 4, box), ("2023-03-01", 5, far)])
     got, tracks = persistence.fold_tracks(b)
     assert {r.id: r.persistence_count for r in got.collect()} == {1: 1, 2: 2, 3: 3, 4: 1, 5: 1}
     assert tracks.count() == 2
-    two = boxes(spark, [("2025-01-01", 1, box), ("2025-01-05", 2, box), ("2025-01-05", 3, (400_050, 9_200_000, 400_100, 9_200_100))])
+    two = boxes(spark, [("2022-02-10", 1, box), ("2022-02-26", 2, box), ("2022-02-26", 3, (1_250, 700, 1_300, 800))])
     got, tracks = persistence.fold_tracks(two)
     assert {r.id: r.persistence_count for r in got.collect()} == {1: 1, 2: 2, 3: 2}
     assert [r.n_sightings for r in tracks.collect()] == [2]
@@ -63,7 +64,7 @@ def test_tracks_grace_and_one_count_a_date(spark):
 
 def test_confirmed_track_outlives_grace(spark):
     scratch = Scratch(spark, "test")
-    old = spark.createDataFrame([(1, 15, D(2024, 1, 1), D(2024, 2, 1), 0, 0, 100, 100), (2, 14, D(2024, 1, 1), D(2024, 2, 1), 500, 0, 600, 100)], persistence.TRACK)
+    old = spark.createDataFrame([("1", 15, D(2024, 1, 1), D(2024, 2, 1), 0, 0, 100, 100), ("2", 14, D(2024, 1, 1), D(2024, 2, 1), 500, 0, 600, 100)], persistence.TRACK)
     b = boxes(spark, [("2025-01-01", 10, (0, 0, 100, 100)), ("2025-01-01", 11, (500, 0, 600, 100))])
     got, tracks = persistence.update_tracks(b, old, D(2025, 1, 1), scratch)
     assert {r.id: r.persistence_count for r in got.collect()} == {10: 16, 11: 1}
@@ -71,6 +72,60 @@ def test_confirmed_track_outlives_grace(spark):
     assert same.count() == 0 and kept.count() == 2
 
 
+def random_boxes(spark, seed, dates=16):
+    rng = np.random.default_rng(seed)
+    rows = [(f"{2020 + m // 12}-{1 + m % 12:02d}-05", 100 * m + k if seed else k, (x, y, x + 100, y + 100)) for m in range(dates) for k, (x, y) in enumerate(rng.integers(0, 900, (int(rng.integers(0, 9)), 2)).tolist())]
+    return boxes(spark, rows)
+
+
+@pytest.mark.parametrize("seed", [0, 1])
+def test_groups_fold_like_dates(spark, seed):
+    """Ids of seed 0 come again on each date, so tracks of one id must stay apart."""
+    b, cols = random_boxes(spark, seed), ["date", "id", "persistence_count", "persistence_status", "first_seen", "last_seen"]
+    found = [persistence.fold_tracks(b, most=m) for m in (200_000, 0)]
+    labelled = [sorted(map(tuple, a.select(cols).collect())) for a, _ in found]
+    assert labelled[0] == labelled[1] and len(labelled[0]) == b.count()
+    tracks = [sorted(map(tuple, t.collect())) for _, t in found]
+    assert tracks[0] == tracks[1] and len({t[0] for t in tracks[0]}) == len(tracks[0]) > 3
+    counts = [sorted(map(tuple, persistence.chained_streaks(b, most=m).collect())) for m in (200_000, 0)]
+    assert counts[0] == counts[1]
+
+
+def test_one_id_on_two_dates_is_two_tracks(spark):
+    here, there = (0, 0, 100, 100), (900, 0, 1000, 100)
+    b = boxes(spark, [("2025-01-01", 1, here), ("2025-01-05", 1, there), ("2025-01-09", 2, here), ("2025-01-09", 3, there)])
+    got, tracks = persistence.fold_tracks(b)
+    assert sorted((r.date.day, r.id, r.persistence_count) for r in got.collect()) == [(1, 1, 1), (5, 1, 1), (9, 2, 2), (9, 3, 2)]
+    assert sorted((r.x0, r.n_sightings) for r in tracks.collect()) == [(0, 2), (900, 2)]
+
+
+def test_box_pairs_of_all_sizes(spark):
+    rng = np.random.default_rng(5)
+    rows = []
+    for k in range(120):
+        x, y, w, h = *rng.integers(-500, 3000, 2), *rng.choice([3, 40, 100, 900, 2500], 2)
+        rows.append((k % 3, k, int(x), int(y), int(x + w), int(y + h)))
+    a = spark.createDataFrame(rows, "k int, id long, x0 long, y0 long, x1 long, y1 long")
+    area = lambda p, q: max(0, min(p[4], q[4]) - max(p[2], q[2])) * max(0, min(p[5], q[5]) - max(p[3], q[3]))
+    want = {(p[1], q[1]): area(p, q) for p in rows for q in rows if p[0] == q[0] and area(p, q)}
+    got = spatial.box_pairs(a, a, ["k"]).collect()
+    assert {(r.a_id, r.b_id): r.overlap for r in got} == want and len(got) == len(want)
+
+
+def test_regions_over_tiles(spark):
+    rng = np.random.default_rng(6)
+    cells = spark.createDataFrame([(i, *map(int, c)) for i in range(2) for c in np.unique(rng.integers(0, 25, (330, 2)), axis=0)], "img int, row int, col int")
+    whole, tiled = (sorted(map(tuple, regions.label_regions(cells, tile=t).collect())) for t in (1024, 6))
+    assert whole == tiled and len({(c[0], c[3]) for c in whole}) > 20
+
+
+def test_archive(spark, tmp_path):
+    b = boxes(spark, [("2025-03-01", 1, (0, 0, 100, 100)), ("2025-03-08", 2, (20, 0, 120, 100)), ("2025-03-15", 3, (40, 0, 140, 100)), ("2025-03-15", 4, (900, 0, 1000, 100))])
+    got = {r.date and r.date.day: (r.raw, r.confirmed) for r in persistence.archive(b, consecutive=3, path=str(tmp_path / "kept")).collect()}
+    assert got == {1: (1, 0), 8: (1, 0), 15: (2, 1), None: (4, 1)}
+    assert [r.id for r in spark.read.parquet(str(tmp_path / "kept")).collect()] == [3]
+
+
 def test_stream_equals_fold(spark, tmp_path):
     rows = [("2025-01-01", 1, (0, 0, 100, 100)), ("2025-01-05", 2, (10, 0, 110, 100)), ("2025-01-09", 3, (20, 0, 120, 100)), ("2025-01-09", 4, (900, 0, 990, 90))]
     b = boxes(spark, rows)

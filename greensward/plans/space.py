@@ -133,7 +133,23 @@ def persist_tiers(spark, d) -> DataFrame:
     return persistence.chained_streaks(boxes(spark, d)).select("date", "id", persistence_tier(F.col("persistence_count")).alias("tier"))
 
 
-@query("track_fold")
+_TRACK_SQL = f"""RECURSIVE {BOX_SQL}, r AS (SELECT *, dense_rank() OVER (ORDER BY date) AS rank, (x1 - x0) * (y1 - y0) AS size FROM box),
+st AS (SELECT 0::BIGINT AS rank, 'S' AS kind, NULL::DATE AS date, ''::VARCHAR AS tid, 0::BIGINT AS id, 0::INT AS n, NULL::DATE AS first, NULL::DATE AS last, 0::BIGINT AS x0, 0::BIGINT AS y0, 0::BIGINT AS x1, 0::BIGINT AS y1
+UNION ALL (WITH now AS (SELECT max(rank) + 1 AS rank FROM st), c AS (SELECT r.* FROM r JOIN now USING (rank)), d AS (SELECT min(rank) AS rank, min(date) AS day FROM c HAVING count(*) > 0),
+t AS (SELECT st.* FROM st WHERE kind = 'T'), live AS (SELECT t.* FROM t, d WHERE n >= 15 OR day - last <= 180),
+pr AS (SELECT c.id, live.tid, ((least(c.x1, live.x1) - greatest(c.x0, live.x0)) * (least(c.y1, live.y1) - greatest(c.y0, live.y0)))::DOUBLE / c.size AS share FROM c JOIN live ON c.x0 < live.x1 AND live.x0 < c.x1 AND c.y0 < live.y1 AND live.y0 < c.y1),
+best AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY share DESC, tid) AS rn FROM pr WHERE share >= 0.05::DOUBLE),
+m AS (SELECT c.*, best.tid FROM c LEFT JOIN best ON best.id = c.id AND best.rn = 1),
+big AS (SELECT *, row_number() OVER (PARTITION BY tid ORDER BY size DESC, id) AS rn FROM m WHERE tid IS NOT NULL),
+nt AS (SELECT t.tid, t.id, t.n + 1 AS n, t.first, day AS last, b.x0, b.y0, b.x1, b.y1 FROM t JOIN big b ON b.tid = t.tid AND b.rn = 1, d
+  UNION ALL SELECT strftime(day, '%Y%m%d') || '-' || lpad(m.id::VARCHAR, 19, '0'), m.id, 1, day, day, x0, y0, x1, y1 FROM m, d WHERE tid IS NULL
+  UNION ALL SELECT t.tid, t.id, t.n, t.first, t.last, t.x0, t.y0, t.x1, t.y1 FROM t WHERE NOT EXISTS (SELECT 1 FROM big WHERE big.tid = t.tid))
+SELECT d.rank, 'T', day, nt.tid, nt.id, nt.n::INT, nt.first, nt.last, nt.x0, nt.y0, nt.x1, nt.y1 FROM nt, d WHERE nt.n >= 15 OR day - nt.last <= 180
+UNION ALL SELECT d.rank, 'A', day, '', m.id, coalesce(t.n + 1, 1)::INT, coalesce(t.first, day), day, 0, 0, 0, 0 FROM m LEFT JOIN t ON t.tid = m.tid, d
+UNION ALL SELECT d.rank, 'S', day, '', 0, 0, NULL, NULL, 0, 0, 0, 0 FROM d))"""
+
+
+@query("track_fold", f"WITH {_TRACK_SQL} SELECT date, id, n AS persistence_count, CASE WHEN n >= 15 THEN 'confirmed' WHEN n >= 2 THEN 'candidate' ELSE 'first_observation' END AS persistence_status, first AS first_seen, last AS last_seen FROM st WHERE kind = 'A'")
 def track_fold(spark, d) -> DataFrame:
     labelled, _ = persistence.fold_tracks(boxes(spark, d))
     return labelled.select("date", "id", "persistence_count", "persistence_status", "first_seen", "last_seen")

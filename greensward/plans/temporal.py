@@ -67,10 +67,38 @@ def gap_fill(spark, d) -> DataFrame:
     return series.gap_fill(_sparse(spark, d)).withColumn("value", F.round("value", 5))
 
 
-@query("harmonic_fit")
+def _least_squares_sql(source: str, k: int = 5) -> str:
+    """CTEs up to ``fit`` (series_id, n, c0, c1, ...): the normal equations of the waves, by Cholesky's method written out."""
+    wave = ["1.0::DOUBLE"] + [f"{f}({2 * h}::DOUBLE * pi() * dayofyear(date) / 365.25::DOUBLE)" for h in (1, 2) for f in ("cos", "sin")]
+    out = [f"x AS (SELECT series_id, date, value, {', '.join(f'{w} AS x{i}' for i, w in enumerate(wave))} FROM {source} WHERE value IS NOT NULL)"]
+    out.append(f"s0 AS (SELECT series_id, count(*) AS n, {', '.join(f'sum(x{i} * x{j}) AS g{i}{j}' for i in range(k) for j in range(i + 1))}, {', '.join(f'sum(x{i} * value) AS b{i}' for i in range(k))} FROM x GROUP BY 1)")
+    step = 0
+
+    def add(columns: list[str]) -> None:
+        nonlocal step
+        out.append(f"s{step + 1} AS (SELECT *, {', '.join(columns)} FROM s{step})")
+        step += 1
+
+    less = lambda v, terms: v + "".join(f" - {t}" for t in terms)
+    for j in range(k):
+        add([f"sqrt({less(f'g{j}{j}', [f'l{j}{m} * l{j}{m}' for m in range(j)])}) AS l{j}{j}"])
+        if j + 1 < k:
+            add([f"({less(f'g{i}{j}', [f'l{i}{m} * l{j}{m}' for m in range(j)])}) / l{j}{j} AS l{i}{j}" for i in range(j + 1, k)])
+    for i in range(k):
+        add([f"({less(f'b{i}', [f'l{i}{m} * z{m}' for m in range(i)])}) / l{i}{i} AS z{i}"])
+    for i in reversed(range(k)):
+        add([f"({less(f'z{i}', [f'l{m}{i} * c{m}' for m in range(i + 1, k)])}) / l{i}{i} AS c{i}"])
+    names = ", ".join(f"c{i}" for i in range(k))
+    out.append(f"sol AS (SELECT series_id, n, {names} FROM s{step} WHERE n >= {k})")
+    fitted = " + ".join(f"c{i} * x{i}" for i in range(k))
+    out.append(f"fit AS (SELECT series_id, any_value(n) AS n, {', '.join(f'any_value(c{i}) AS c{i}' for i in range(k))}, sqrt(avg((value - ({fitted})) ** 2)) AS rmse FROM x JOIN sol USING (series_id) GROUP BY 1)")
+    return ", ".join(out)
+
+
+@query("harmonic_fit", f"WITH {MONTHLY_SQL}, {_least_squares_sql('monthly')} SELECT series_id, n, {', '.join(f'round(c{i}, 5) AS c{i}' for i in range(5))}, round(rmse, 5) AS rmse FROM fit")
 def harmonic_fit(spark, d) -> DataFrame:
     f = series.harmonic_fit(monthly_totals(spark, d))
-    return f.select("series_id", "n", F.transform("coefficients", lambda x: F.round(x, 5)).alias("coefficients"), F.round("rmse", 5).alias("rmse"))
+    return f.select("series_id", "n", *[F.round(F.col("coefficients")[i], 5).alias(f"c{i}") for i in range(5)], F.round("rmse", 5).alias("rmse"))
 
 
 _RESID_SQL = f"{SERIES_SQL}, res AS (SELECT series_id, date, value - avg(value) OVER (PARTITION BY series_id) AS residual, 0.05::DOUBLE * stddev_pop(value) OVER (PARTITION BY series_id) AS rmse FROM series)"
@@ -88,10 +116,17 @@ def breaks(spark, d) -> DataFrame:
     return series.break_points(s)
 
 
-@query("breaks_harmonic")
+@query("breaks_harmonic", f"""WITH {MONTHLY_SQL}, cut AS (SELECT series_id, date, value - CASE WHEN series_id % 2 = 0 AND date >= DATE '2000-01-01' THEN 200 ELSE 0 END AS value FROM monthly),
+hist AS (SELECT * FROM cut WHERE date <= DATE '1998-12-31'), {_least_squares_sql('hist')},
+w AS (SELECT cut.*, 2::DOUBLE * pi() * dayofyear(date) / 365.25::DOUBLE AS t FROM cut WHERE date > DATE '1998-12-31'),
+e AS (SELECT w.series_id, date, value, c0 + c1 * cos(t) + c2 * sin(t) + c3 * cos(2 * t) + c4 * sin(2 * t) AS expected, rmse FROM w JOIN fit USING (series_id)),
+f AS (SELECT *, coalesce(abs(value - expected) > 3 * rmse, false) AS far FROM e), g AS (SELECT *, sum((NOT far)::INT) OVER (PARTITION BY series_id ORDER BY date) AS run FROM f),
+h AS (SELECT *, row_number() OVER p AS i, lag(date, 2) OVER p AS first FROM g WHERE far WINDOW p AS (PARTITION BY series_id, run ORDER BY date))
+SELECT h.series_id, h.first AS break_date, round(e.value, 4) AS value, round(e.expected, 4) AS expected, round(e.value - e.expected, 4) AS anomaly FROM h JOIN e ON e.series_id = h.series_id AND e.date = h.first WHERE i % 3 = 0""")
 def breaks_harmonic(spark, d) -> DataFrame:
-    """Each user's first 20 days are the history."""
-    out = series.detect_breaks_harmonic(daily_series(spark, d), "2024-01-20")
+    """Every other series falls by 200 from 2000 on; the years up to 1998 are the history."""
+    fall = F.when((F.col("series_id") % 2 == 0) & (F.col("date") >= F.lit("2000-01-01").cast("date")), 200).otherwise(0)
+    out = series.detect_breaks_harmonic(monthly_totals(spark, d).withColumn("value", F.col("value") - fall), "1998-12-31")
     return out.select("series_id", "break_date", *[F.round(c, 4).alias(c) for c in ("value", "expected", "anomaly")])
 
 

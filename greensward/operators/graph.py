@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from greensward.plans.scratch import Scratch
 
 
-def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst") -> DataFrame:
+def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst", scratch: Scratch | None = None) -> DataFrame:
     """``(id, component)`` for every endpoint of ``edges``; component is its smallest id.
 
     Each round points every node at the smallest of itself and its neighbours,
@@ -18,9 +18,10 @@ def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst") -
     backwards. Aggregations combine before the shuffle and the
     joins are plain equi-joins, so a node with very many edges is dealt with by
     partial aggregation and by splitting skewed joins. Null ends and loops are
-    left out; an empty input gives an empty result.
+    left out; an empty input gives an empty result. Tables go to ``scratch`` if
+    one is given, whose owner then decides when they go.
     """
-    scratch = Scratch(edges.sparkSession, "components")
+    scratch = scratch or Scratch(edges.sparkSession, "components")
     e = edges.select(F.col(src).alias("u"), F.col(dst).alias("v"))
     e = e.where(F.col("u").isNotNull() & F.col("v").isNotNull() & (F.col("u") != F.col("v")))
     e = scratch.put(e.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "edges")

@@ -67,7 +67,8 @@ def label_regions(cells: DataFrame, image: str = "img", width: int = 1 << 20, ti
         lower = side.where(F.col(axis) % tile == 0).withColumnRenamed("id", "dst")
         found = upper.join(lower, [image, "row", "col"]).select(F.col("id").alias("src"), "dst").distinct()
         pairs = found if pairs is None else pairs.unionByName(found)
-    joined = scratch.put(connected_components(pairs).select(F.col("id.img").alias("_img"), F.col("id.cell").alias("_cell"), F.col("component.cell").alias("_region")), "joined")
+    joined = scratch.put(connected_components(pairs, scratch=scratch).select(F.col("id.img").alias("_img"), F.col("id.cell").alias("_cell"), F.col("component.cell").alias("_region")), "joined")
+    scratch.keep(local, joined)
     out = local.join(scratch.small(joined), (F.col(image) == F.col("_img")) & (F.col("_local") == F.col("_cell")), "left")
     return out.withColumn("region", F.coalesce("_region", "_local")).select(*names, "region")
 

@@ -39,7 +39,7 @@ class Scratch:
     def __init__(self, spark: SparkSession, tag: str):
         self.spark = spark
         self.root = f"{shared_dir(spark)}/{tag}-{uuid.uuid4().hex}"
-        self.paths: dict[int, str] = {}
+        self.made: set[str] = set()
         self.n = 0
 
     def put(self, df: DataFrame, name: str) -> DataFrame:
@@ -48,7 +48,7 @@ class Scratch:
         where = f"{self.root}/{self.n:03d}-{name}"
         df.write.parquet(where)
         out = self.spark.read.schema(df.schema).parquet(where)
-        self.paths[id(out)] = where
+        self.made.add(where)
         out._scratch_path = where
         return out
 
@@ -64,8 +64,17 @@ class Scratch:
     def drop(self, *tables: DataFrame | None) -> None:
         for t in tables:
             if t is not None:
-                path, fs = _path(self.spark, t._scratch_path)
-                fs.delete(path, True)
+                self._delete(t._scratch_path)
+
+    def keep(self, *tables: DataFrame) -> None:
+        """Delete all tables put here but these: those that what an operator returns still reads."""
+        for where in self.made - {t._scratch_path for t in tables}:
+            self._delete(where)
+
+    def _delete(self, where: str) -> None:
+        path, fs = _path(self.spark, where)
+        fs.delete(path, True)
+        self.made.discard(where)
 
     def small(self, table: DataFrame, most: int = BROADCAST_BYTES, of: DataFrame | None = None) -> DataFrame:
         """Mark a written table, or a projection ``of`` one, for broadcast if its files are small, else leave it to AQE."""

@@ -95,6 +95,7 @@ def token_pieces(docs: DataFrame, max_tokens: int, *, doc_id: str = "doc_id", te
     path = tokenizer or default_tokenizer()
 
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        give_back()  # what a worker's earlier tasks left
         enc, shard = encoder(path, end_id), TaskContext.get().partitionId()
         seen = np.zeros(max_tokens + 1, np.int64)
         for batch in batches:
@@ -106,7 +107,7 @@ def token_pieces(docs: DataFrame, max_tokens: int, *, doc_id: str = "doc_id", te
                     seen[n] += 1
             cols = list(zip(*rows, strict=True)) if rows else [[]] * len(PIECE)
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(cols, PIECE, strict=True)], schema=PIECE)
-        give_back()
+            give_back()
 
     return docs.select(docs[doc_id].cast("long").alias("doc_id"), docs[text].alias("text")).mapInArrow(pieces, PIECE_DDL)
 

@@ -27,7 +27,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from greensward.llm.memory import text_batches
+from greensward.llm.memory import give_back, text_batches
 from greensward.llm.sampling import hashed_rows
 from greensward.llm.token_ids import default_tokenizer, encoder
 from greensward.plans.scratch import Scratch
@@ -111,6 +111,7 @@ def write_archive(docs: DataFrame, where: str, *, doc_id: str = "doc_id", text:
                 counts.append(len(a))
                 frames.append(frame)
                 size += len(frame)
+            give_back()
         if frames:
             yield flush()
 

@@ -19,7 +19,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Chunks that a worker remembers; beyond that those met once go. Bytes of text encoded at a time.
-MEMO_CHUNKS, SLICE_BYTES = 500_000, 6 << 20
+MEMO_CHUNKS, SLICE_BYTES = 150_000, 2 << 20
 
 _CUT = re.compile(r"(?<=\S)(?= \S)")
 #: White space beside a space, or a space at an end of the text (RE2; every code point that either library calls white space).

@@ -81,11 +81,12 @@ def embedding_components(vectors: DataFrame, *, vec_id: str = "vec_id", embeddin
         recall = got.got / got.true if got.true else 1.0
         if recall >= RECALL:
             break
-    roots = connected_components(found.where("root <> id").select(F.col("id").alias("src"), F.col("root").alias("dst")))
+    roots = connected_components(found.where("root <> id").select(F.col("id").alias("src"), F.col("root").alias("dst")), scratch=scratch)
     known = nodes.select(F.col("a").alias("ka"), F.col("b").alias("kb"), "id", "first", "copies").join(links, "id", "left").join(roots, "id", "left")
     known = scratch.put(known.withColumn("links", F.coalesce("links", F.lit(0)) + F.col("copies") - 1).where("links > 0"), "linked")
     lowest = known.where("component is not null").groupBy("component").agg(F.min("first").alias("low"))
     known = scratch.put(known.join(lowest, "component", "left").select("ka", "kb", "links", F.coalesce("low", "first").alias("root")), "known")
+    scratch.keep(known)
     out = rows.join(scratch.small(known), (F.col("a") == F.col("ka")) & (F.col("b") == F.col("kb")), "left")
     out = out.select("vec_id", F.coalesce("links", F.lit(0)).cast("long").alias("n_links"), F.coalesce("root", "vec_id").alias("component_id"))
     return out.withColumns({"kept": F.col("vec_id").eqNullSafe(F.col("component_id")), "audit_recall": F.lit(float(recall))})

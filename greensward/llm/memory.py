@@ -19,8 +19,8 @@ def give_back() -> None:
         trim(0)
 
 
-def text_batches(spark: SparkSession) -> None:
+def text_batches(spark: SparkSession | None) -> None:
     """Send texts to Python in batches of a few megabytes, unless the session sets a size of its own, in bytes or rows."""
     mine = "spark.sql.execution.arrow.maxBytesPerBatch"
-    if all(spark.conf.get(k, None) is None for k in (mine, "spark.sql.execution.arrow.maxRecordsPerBatch")):
+    if spark is not None and all(spark.conf.get(k, None) is None for k in (mine, "spark.sql.execution.arrow.maxRecordsPerBatch")):
         spark.conf.set(mine, TEXT_BYTES)

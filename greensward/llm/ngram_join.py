@@ -269,6 +269,8 @@ def _hub_links(rest: DataFrame, percent: int, scratch: Scratch) -> DataFrame:
         at, others = np.flatnonzero(ids == hub)[0], np.flatnonzero(ids != hub)
         near = linked_to(sets[at], int(sizes[at]), [sets[i] for i in others], sizes[others], percent)
         got = np.append(ids[others[near]], hub)
+        del sets
+        give_back()
         return pa.table({"id": pa.array(got, pa.int64()), "hub": pa.array(np.full(len(got), hub), pa.int64())})
 
     return dealt.groupBy("component", "deal").applyInArrow(probe, "id bigint, hub bigint").distinct()
@@ -309,6 +311,8 @@ def _trie_join(rows: DataFrame, percent: int) -> DataFrame:
         ids, sizes, sets = _sets(table)
         layers = table.column("layer").to_numpy()[np.argsort(table.column("id").to_numpy(), kind="stable")]
         pairs = linked_forest(sets, sizes, layers, percent)
+        del sets
+        give_back()
         return pa.table({"src": pa.array([ids[i] for i, _ in pairs], pa.int64()), "dst": pa.array([ids[j] for _, j in pairs], pa.int64())})
 
     return rows.groupBy("c", "i", "j").applyInArrow(join, "src bigint, dst bigint")
@@ -349,14 +353,16 @@ def jaccard_components(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "
     most = max(HOT_SETS, total // HOT_SHINGLES)
     sets = scratch.put(ordered_sets(sets, most, scratch), "ordered")
     prefixes = scratch.put(candidate_prefixes(sets, percent), "prefixes")
-    groups = connected_components(star(prefixes, "tok", most, scratch))
+    groups = connected_components(star(prefixes, "tok", most, scratch), scratch=scratch)
     links = scratch.put(links_in_groups(sets, prefixes, groups, percent, scratch), "links")
-    found = connected_components(links)
+    found = connected_components(links, scratch=scratch)
     named = scratch.put(classes.join(found, "id", "left").where("copies > 1 or component is not null"), "linked")
     lowest = named.where("component is not null").groupBy("component").agg(F.min("first").alias("low"))
     named = named.join(lowest, "component", "left")
     named = named.select(F.col("a").alias("ka"), F.col("b").alias("kb"), F.coalesce("low", "first").alias("root"))
-    named = scratch.small(scratch.put(named, "named"))
+    named = scratch.put(named, "named")
+    scratch.keep(sig, named)
+    named = scratch.small(named)
     out = sig.join(named, (F.col("a") == F.col("ka")) & (F.col("b") == F.col("kb")) & (F.col("n_shingles") > 0) & F.col("doc_id").isNotNull(), "left")
     return out.select("doc_id", "n_shingles", F.coalesce("root", "doc_id").alias("component_id"), *(["a", "b"] if digests else []))
 

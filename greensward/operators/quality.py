@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from greensward.operators.quantiles import exact_quantiles
+from greensward.operators.quantiles import with_quantiles
 from greensward.operators.spatial import utm_inverse
 
 #: Fixed limits of the verdict: fail and warn.
@@ -29,8 +29,8 @@ def profile(values: DataFrame, by: list[str], value: str = "v") -> DataFrame:
         share((v < -1) | (v > 1)).alias("out_of_range"), share(v > 0.95).alias("high"), share(v < -0.95).alias("low"), share(F.abs(v) < 0.005).alias("near_zero"),
         F.round(F.skewness(v), 4).alias("skew"), F.round(F.kurtosis(v), 4).alias("kurtosis"),
     )
-    q = exact_quantiles(values, by, value, [0.5, 0.01, 0.99])
-    return out.join(q.select(*by, r(F.col("q0")).alias("median"), r(F.col("q1")).alias("p01"), r(F.col("q2")).alias("p99")), by, "left")
+    shares = {"median": 0.5, "p01": 0.01, "p99": 0.99}
+    return with_quantiles(out, values, by, value, shares).withColumns({n: r(F.col(n)) for n in shares})
 
 
 def verdict(profiles: DataFrame, by: list[str]) -> DataFrame:

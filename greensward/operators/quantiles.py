@@ -63,6 +63,13 @@ def exact_quantiles(values: DataFrame, by: list[str], value: str, shares: list[f
     return out.select(*by, *[c.alias(f"q{i}") for i, c in enumerate(between)])
 
 
+def with_quantiles(stats: DataFrame, values: DataFrame, by: list[str], value: str, shares: dict[str, float]) -> DataFrame:
+    """``stats`` of the groups ``by``, null ones among them, with a column for each of the ``shares``; null for groups without a value."""
+    q = exact_quantiles(values, by, value, list(shares.values()))
+    q = q.select(*[F.col(c).alias(f"_by_{c}") for c in by], *[F.col(f"q{i}").alias(n) for i, n in enumerate(shares)])
+    return stats.join(q, _all([F.col(c).eqNullSafe(F.col(f"_by_{c}")) for c in by]), "left").drop(*[f"_by_{c}" for c in by])
+
+
 def _all(conditions: list):
     out = F.lit(True)
     for c in conditions:

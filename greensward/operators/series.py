@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from greensward import config
-from greensward.operators.quantiles import exact_quantiles
+from greensward.operators.quantiles import with_quantiles
 
 
 def regional_stats(values: DataFrame, value: str, by: list[str]) -> DataFrame:
@@ -24,8 +24,8 @@ def regional_stats(values: DataFrame, value: str, by: list[str]) -> DataFrame:
     v, n = F.col(value), F.count(value)
     r = lambda c: F.round(c, 6)
     out = values.groupBy(*by).agg(r(F.avg(v)).alias("mean"), r(F.stddev_pop(v)).alias("std"), r(F.min(v)).alias("min"), r(F.max(v)).alias("max"), n.alias("n_valid"), r(100.0 * n / F.greatest(F.count(F.lit(1)), n, F.lit(1))).alias("pct_valid"))
-    middle = exact_quantiles(values, by, value, [0.5]).withColumnRenamed("q0", "median")
-    return out.where("n_valid > 0").join(middle, by).select(*by, "mean", r(F.col("median")).alias("median"), "std", "min", "max", "n_valid", "pct_valid")
+    out = with_quantiles(out.where("n_valid > 0"), values, by, value, {"median": 0.5})
+    return out.select(*by, "mean", r(F.col("median")).alias("median"), "std", "min", "max", "n_valid", "pct_valid")
 
 
 def read_series(stored: DataFrame, first: str | None = None, last: str | None = None, **equal: str) -> DataFrame:

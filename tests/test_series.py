@@ -18,7 +18,9 @@ def days(start, values, step=5):
 
 def test_regional_stats(spark):
     df = spark.createDataFrame([("a", 0.1), ("a", 0.2), ("a", 0.3), ("a", None), ("a", None), ("a", None), ("b", None)], "date string, v double")
-    r = series.regional_stats(df, "v", ["date"]).collect()
+    r = series.regional_stats(df.unionByName(spark.createDataFrame([(None, 0.5)], df.schema)), "v", ["date"]).collect()
+    assert {x.date: x.median for x in r} == {"a": 0.2, None: 0.5}
+    r = [x for x in r if x.date]
     assert len(r) == 1 and (r[0].n_valid, r[0].pct_valid, r[0].mean) == (3, 50.0, 0.2)
 
 

@@ -17,6 +17,8 @@ from greensward.plans.scratch import Scratch
 
 #: Weights of the residual norm: tokens first, then free document slots and attention cost between equals.
 WEIGHTS = (1.0, 1e-3, 1e-3)
+#: Ranks, of 24 bytes each, that are broadcast at most.
+MAX_RANKS = 200_000
 
 PIECE = pa.schema([("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64()), ("shard", pa.int32()), ("local", pa.int64())])
 PIECE_DDL = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint, shard int, local bigint"
@@ -137,7 +139,9 @@ def pack(docs: DataFrame, max_tokens: int = 1024, *, max_docs: int | None = None
         return pa.StructArray.from_arrays([pa.array(x, pa.int64()) for x in where], ["sequence_id", "offset"])
 
     before = Window.partitionBy("length").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
-    first = scratch.small(scratch.put(counts.select("shard", "length", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("first")), "ranks"))
+    first = scratch.put(counts.select("shard", "length", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("first")), "ranks")
+    if first.count() <= MAX_RANKS:  # a row for each task and length: many tasks join by shuffle
+        first = scratch.small(first)
     out = pieces.join(first, ["shard", "length"]).withColumn("at", to_sequence("length", F.col("first") + F.col("local")))
     return out.select("doc_id", "piece", "start", "length", "ids_crc32", "at.sequence_id", "at.offset")
 

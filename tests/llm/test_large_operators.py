@@ -239,7 +239,9 @@ def test_packing_of_the_tables(spark):
         assert [zlib.crc32(ids[i][s : s + n].tobytes()) for s, n in zip(g.start, g.length)] == g.ids_crc32.tolist() and g.length.sum() == len(ids[i])
 
 
-def test_packing_edges(spark):
+@pytest.mark.parametrize("ranks", [200_000, 0])
+def test_packing_edges(spark, monkeypatch, ranks):
+    monkeypatch.setattr(packing, "MAX_RANKS", ranks)
     df = spark.createDataFrame([(1, None, 0), (2, "", 0), (2, "", 0), (3, "word " * 3000, 0), (None, "a", 0)], "doc_id long, text string, length int").withColumns({"shard": F.lit(1), "at": F.lit(2)})
     got = packing.pack(df).toPandas()
     assert well_packed(got, 1024) and (got.doc_id == 2).sum() == 2 and got[got.doc_id == 3].length.tolist()[1:] == [1024] * ((got.doc_id == 3).sum() - 1)

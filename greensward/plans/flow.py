@@ -170,7 +170,7 @@ def alert_store(spark, d) -> DataFrame:
     return one.unionByName(every).select("id", F.col("confidence_label").alias("label"), "x0")
 
 
-@query("merge_tiles", f"WITH {BOX_SQL} SELECT date, count(*) + count(*) FILTER (id % 3 = 0) AS n, sum(id) + coalesce(sum(id) FILTER (id % 3 = 0), 0) AS ids FROM box GROUP BY 1")
+@query("merge_tiles", f"WITH {BOX_SQL} SELECT date, count(*) + count(*) FILTER (id % 3 = 0) AS n, (sum(id) + coalesce(sum(id) FILTER (id % 3 = 0), 0))::BIGINT AS ids FROM box GROUP BY 1")
 def merge_tiles(spark, d) -> DataFrame:
     """Three tiles, the first of which comes twice, as tiles do that overlap."""
     merged = store.merge_tiles([_dated(spark, d, k) for k in (0, 1, 2, 0)])
@@ -310,24 +310,23 @@ def aoi_touched(spark, d) -> DataFrame:
 _DETECT_SQL = f"""RECURSIVE {OBS_SQL}, {_BASE_SQL}, {_Z_SQL},
 ok AS (SELECT CAST(date_trunc('month', obs_date) AS DATE) AS scene FROM obs GROUP BY 1 HAVING 100.0::DOUBLE * count(*) FILTER ({_SCL}) / count(*) >= 50),
 one AS (SELECT *, CAST(date_trunc('month', obs_date) AS DATE) AS scene, row_number() OVER (PARTITION BY date_trunc('month', obs_date), pixel ORDER BY obs_id) AS rn FROM det WHERE ndmi IS NOT NULL OR nbr IS NOT NULL OR evi2 IS NOT NULL),
-j AS (SELECT scene, pixel // 10 AS "row", pixel % 10 AS col, ({_confidence_sql(0.0)}) AS confidence, nbr_center - nbr AS dn, nbr AS post, {_FORMULA['bsi']} AS bsi, dn::BIGINT % 50 AS code FROM one WHERE rn = 1 AND scene IN (SELECT scene FROM ok)),
+j AS (SELECT scene, pixel // 10 AS "row", pixel % 10 AS col, ({_confidence_sql(0.0)}) AS confidence, nbr_center - nbr AS dn, nbr AS post, {_FORMULA['bsi']} AS bsi FROM one WHERE rn = 1 AND scene IN (SELECT scene FROM ok)),
 g AS (SELECT scene FROM j GROUP BY 1 HAVING count(*) FILTER (confidence > 0)::DOUBLE / count(*) <= 0.3::DOUBLE),
 cell AS (SELECT *, "row" * 1048576::BIGINT + col AS k, CASE WHEN dn > 0.27::DOUBLE AND post < 0.1::DOUBLE THEN 1 WHEN bsi > 0.1::DOUBLE AND dn > 0.05::DOUBLE THEN 2 WHEN dn > 0.1::DOUBLE THEN 3 ELSE 0 END AS kind FROM j WHERE confidence > 0 AND scene IN (SELECT scene FROM g)),
 near AS (SELECT a.scene, a.k, b.k AS o FROM cell a JOIN cell b ON a.scene = b.scene AND abs(a."row" - b."row") + abs(a.col - b.col) = 1),
 walk AS (SELECT scene, k, k AS lab FROM cell UNION SELECT n.scene, n.o, w.lab FROM walk w JOIN near n ON w.scene = n.scene AND w.k = n.k AND w.lab < n.o),
 lab AS (SELECT scene, k, min(lab) AS region FROM walk GROUP BY 1, 2), reg AS (SELECT cell.*, region FROM cell JOIN lab USING (scene, k)),
 mode AS (SELECT scene, region, kind, row_number() OVER (PARTITION BY scene, region ORDER BY count(*) DESC, kind) AS rn FROM reg WHERE kind > 0 GROUP BY 1, 2, 3),
-a AS (SELECT scene, region, count(*) AS n_cells, count(*) * 0.04::DOUBLE AS area_ha, max(confidence)::INT AS confidence, min(col) * 20.0::DOUBLE AS x0, min("row") * 20.0::DOUBLE AS y0, (max(col) + 1) * 20.0::DOUBLE AS x1, (max("row") + 1) * 20.0::DOUBLE AS y1 FROM reg GROUP BY 1, 2 HAVING count(*) * 0.04::DOUBLE BETWEEN 0.08::DOUBLE AND 1000)
+a AS (SELECT scene, region, count(*) AS n_cells, count(*) * 20.0::DOUBLE * 20 / 1e4 AS area_ha, max(confidence)::INT AS confidence, min(col) * 20.0::DOUBLE AS x0, min("row") * 20.0::DOUBLE AS y0, (max(col) + 1) * 20.0::DOUBLE AS x1, (max("row") + 1) * 20.0::DOUBLE AS y1 FROM reg GROUP BY 1, 2 HAVING count(*) * 20.0::DOUBLE * 20 / 1e4 BETWEEN 0.08::DOUBLE AND 1000)
 SELECT a.*, CASE a.confidence WHEN 1 THEN 'low' WHEN 2 THEN 'medium' ELSE 'high' END AS confidence_label, coalesce(kind, 0)::INT AS clearing FROM a LEFT JOIN mode ON mode.rn = 1 AND a.scene = mode.scene AND a.region = mode.region"""
 
 
-@query("detect_alerts", "WITH " + _DETECT_SQL.replace(", dn::BIGINT % 50 AS code", ""))
+@query("detect_alerts", "WITH " + _DETECT_SQL)
 def detect_alerts(spark, d) -> DataFrame:
     """From observations to alerts: clear gate, first clear observation, baselines, levels, guard, regions, areas and clearing types."""
     obs = observations(spark, d).withColumns({"scene": _month(), "row": F.floor(F.col("pixel") / 10).cast("int"), "col": (F.col("pixel") % 10).cast("int")})
     late = obs.where(F.col("obs_date") >= F.lit("2000-01-01").cast("date"))
     clear = ix.clear_scl(F.col("scl"))
-    out = runs.detect(late, _baseline(spark, d), runs.masked_values(_NAMES, clear), clear, bsi=ix.index_column("bsi"), min_ha=0.08)
-    return out.withColumn("area_ha", F.round("area_ha", 6))
+    return runs.detect(late, _baseline(spark, d), runs.masked_values(_NAMES, clear), clear, bsi=ix.index_column("bsi"), min_ha=0.08)
 
 

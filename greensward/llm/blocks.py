@@ -14,23 +14,35 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
-#: Bytes of text of a block, and of texts in work at a time.
-BLOCK_BYTES, SLICE_BYTES = 32 << 20, 2 << 20
+#: Bytes of text of a block, bytes of texts in work at a time, and rows of a batch of keys.
+BLOCK_BYTES, SLICE_BYTES, BATCH_ROWS = 32 << 20, 2 << 20, 100_000
+#: A row's place is its block times this and its kind: answers come before documents.
+KINDS = 4
 
 
 def block_numbers() -> Iterator[int]:
-    """Names of a task's blocks, those of other tasks of its stage left out."""
+    """Names of a task's blocks, no other task of its stage having them."""
     part = TaskContext.get().partitionId()
     yield from range(part << 24, (part + 1) << 24)
 
 
+def of_kind(kind: int) -> Column:
+    return F.col("at") % KINDS == kind
+
+
+def by_block(rows: DataFrame) -> DataFrame:
+    """All rows of a block in one task, in the order of ``at`` and ``key``."""
+    return rows.repartition(F.floor(F.col("at") / KINDS)).sortWithinPartitions("at", "key")
+
+
 def slices(texts: pa.Array) -> Iterator[tuple[int, list[bytes]]]:
     """``(first row, texts)`` in runs of about ``SLICE_BYTES``; null texts are empty."""
     group, first, size = [], 0, 0
-    for i, x in enumerate(texts):
-        group.append((x.as_py() or "").encode() if not pa.types.is_binary(texts.type) else x.as_py() or b"")
+    for i, x in enumerate(texts.cast(pa.large_binary())):
+        group.append(x.as_py() or b"")
         size += len(group[-1])
         if size >= SLICE_BYTES:
             yield first, group
@@ -39,17 +51,32 @@ def slices(texts: pa.Array) -> Iterator[tuple[int, list[bytes]]]:
         yield first, group
 
 
-def by_block(rows: DataFrame) -> DataFrame:
-    """All rows of a block in a row in one task, answers (small ``kind``) before documents."""
-    return rows.repartition("block").sortWithinPartitions("block", "kind")
+def rows_of(schema: pa.Schema, rows: int, /, **cols) -> Iterator[pa.RecordBatch]:
+    """Batches of ``rows`` rows; a number stands in all rows, and columns not given are null."""
+    full = [pa.nulls(rows, f.type) if f.name not in cols else pa.array(np.full(rows, cols[f.name]), f.type) if isinstance(cols[f.name], int) else pa.array(cols[f.name], f.type) for f in schema]
+    for s in range(0, rows, BATCH_ROWS):
+        yield pa.RecordBatch.from_arrays([c.slice(s, BATCH_ROWS) for c in full], schema=schema)
+
+
+def pack(**cols: pa.Array) -> bytes:
+    """Columns of a slice of documents as one compressed value."""
+    batch = pa.RecordBatch.from_arrays(list(cols.values()), names=list(cols))
+    out = pa.BufferOutputStream()
+    with pa.ipc.new_stream(out, batch.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as w:
+        w.write_batch(batch)
+    return out.getvalue().to_pybytes()
+
+
+def unpack(value: bytes) -> pa.RecordBatch:
+    with pa.ipc.open_stream(value) as r:
+        return r.read_next_batch()
 
 
-def runs(batches: Iterator[pa.RecordBatch], *keys: str) -> Iterator[tuple[tuple, pa.RecordBatch]]:
-    """Slices of batches in which ``keys`` don't change, with their values."""
+def runs(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[tuple[int, pa.RecordBatch]]:
+    """Slices of batches in which ``key`` doesn't change, with its value."""
     for batch in batches:
         if batch.num_rows:
-            cols = [batch.column(k).to_numpy(zero_copy_only=False) for k in keys]
-            change = np.any([np.diff(c) != 0 for c in cols], axis=0)
-            cuts = [0, *(np.flatnonzero(change) + 1), batch.num_rows]
+            c = batch.column(key).to_numpy(zero_copy_only=False)
+            cuts = [0, *(np.flatnonzero(np.diff(c)) + 1), batch.num_rows]
             for s, e in zip(cuts, cuts[1:]):
-                yield tuple(c[s].item() for c in cols), batch.slice(s, e - s)
+                yield c[s].item(), batch.slice(s, e - s)

@@ -93,7 +93,7 @@ def _levels(gram: np.ndarray, n: np.ndarray, depth: int, bit: int) -> tuple[_Lev
 def _whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
     """Rows sorted by ``ctx`` in tables of about ``CHUNK`` rows that hold whole contexts."""
     held, size, last = [], 0, None
-    for (ctx,), rows in runs(batches, "ctx"):
+    for ctx, rows in runs(batches, "ctx"):
         if ctx != last and size >= CHUNK:
             yield pa.Table.from_batches(held)
             held, size = [], 0

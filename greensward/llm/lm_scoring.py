@@ -3,28 +3,28 @@
 from __future__ import annotations
 
 import math
-from collections import Counter
+from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from greensward.llm.blocks import BLOCK_BYTES, SLICE_BYTES, block_numbers, by_block, runs, slices
+from greensward.llm.blocks import BLOCK_BYTES, KINDS, SLICE_BYTES, block_numbers, by_block, of_kind, pack, rows_of, runs, slices, unpack
 from greensward.llm.context_tree import window_scores, windows
 from greensward.llm.memory import give_back, text_batches
 from greensward.plans.scratch import Scratch
 
-#: Bytes of context of the longest contexts.
-DEPTH = 5
+#: Bytes of context of the longest contexts, and windows of a block that wait to be added up.
+DEPTH, WAITING = 5, 2_000_000
 GRAM, WORD, DOCUMENT = 0, 1, 2
 #: The end of a text; no word holds it.
 END = b"\n"
 
 _LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
-_SEEN = "block bigint, kind int, doc_id bigint, held boolean, text binary, key bigint, word binary, n bigint"
-_SEEN_ARROW = pa.schema([("block", pa.int64()), ("kind", pa.int32()), ("doc_id", pa.int64()), ("held", pa.bool_()), ("text", pa.binary()), ("key", pa.int64()), ("word", pa.binary()), ("n", pa.int64())])
+_SEEN = "at bigint, key bigint, n bigint, word binary, docs binary"
+_SEEN_ARROW = pa.schema([("at", pa.int64()), ("key", pa.int64()), ("n", pa.int64()), ("word", pa.binary()), ("docs", pa.binary())])
 _SCORED = "doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, base_score double, score double, n_bytes bigint"
 
 
@@ -33,14 +33,10 @@ def normal(text: bytes) -> bytes:
     return b" ".join(text.translate(_LOWER).split()) + END
 
 
-def _rows(rows: int, /, **cols) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(cols[f.name], f.type) if f.name in cols else pa.nulls(rows, f.type) for f in _SEEN_ARROW], schema=_SEEN_ARROW)
-
-
 def _placed(texts: list[bytes], depth: int) -> tuple[np.ndarray, np.ndarray]:
     """Windows of all bytes of texts and the text of each; a text begins behind ``depth`` ends. Long texts go in pieces."""
     grams, owner = [], []
-    for first, group in slices(pa.array([END * depth + t for t in texts], pa.binary())):
+    for first, group in slices(pa.array([END * depth + t for t in texts], pa.large_binary())):
         ends = np.cumsum([len(t) for t in group])
         joined = b"".join(group)
         for s in range(0, len(joined), 2 * SLICE_BYTES):
@@ -53,9 +49,20 @@ def _placed(texts: list[bytes], depth: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _tally(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
-    """One count for each distinct key."""
-    key, at = np.unique(np.concatenate([k for k, _ in parts]), return_inverse=True)
-    return key, np.bincount(at, np.concatenate([n for _, n in parts]), len(key)).astype(np.int64)
+    """One count for each distinct key, in the order of keys."""
+    key, n = (np.concatenate([p[i] for p in parts]) for i in (0, 1))
+    order = np.argsort(key)
+    key, n = key[order], n[order]
+    first = np.flatnonzero(np.diff(key, prepend=key[:1] - 1))
+    return key[first], np.add.reduceat(n, first)
+
+
+def _word_codes() -> defaultdict:
+    """Words of a block by the order in which they come; the end of a text is word 0."""
+    known: defaultdict = defaultdict()
+    known.default_factory = known.__len__
+    known[b""]  # noqa: B018
+    return known
 
 
 def language_scores(docs: DataFrame, held: Column, depth: int = DEPTH) -> DataFrame:
@@ -81,74 +88,75 @@ def language_scores(docs: DataFrame, held: Column, depth: int = DEPTH) -> DataFr
 
     def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         numbers = block_numbers()
-        block, size, parts, words = next(numbers), 0, [], Counter()
+        block, size, n_slices, parts, known, times = next(numbers), 0, 0, [], _word_codes(), []
 
         def close() -> Iterator[pa.RecordBatch]:
-            if parts:
-                key, n = _tally(parts)
-                yield _rows(len(key), block=np.full(len(key), block), kind=np.full(len(key), GRAM), key=key, n=n)
-                yield _rows(len(words), block=np.full(len(words), block), kind=np.full(len(words), WORD), word=list(words), n=list(words.values()))
+            key, n = _tally(parts)
+            yield from rows_of(_SEEN_ARROW, len(key), at=block * KINDS + GRAM, key=key, n=n)
+            total = np.zeros(len(known), np.int64)
+            for t in times:
+                total[: len(t)] += t
+            yield from rows_of(_SEEN_ARROW, len(known), at=block * KINDS + WORD, key=np.arange(len(known)), n=total, word=list(known))
 
         for batch in batches:
             ids, out = batch.column("doc_id"), batch.column("held").to_numpy(zero_copy_only=False)
             for first, group in slices(batch.column("text")):
-                texts = [normal(t) for t in group]
-                away = out[first : first + len(texts)]
-                yield _rows(len(texts), block=np.full(len(texts), block), kind=np.full(len(texts), DOCUMENT), doc_id=ids.slice(first, len(texts)), held=away, text=texts)
-                for h in (False, True):
-                    some = [t for t, a in zip(texts, away, strict=True) if a == h]
-                    if some:
-                        d = pa.array(_placed(some, depth)[0]).dictionary_encode()
-                        key = np.asarray(d.dictionary)
-                        parts.append((key, np.zeros(len(key)) if h else np.bincount(np.asarray(d.indices), minlength=len(key))))
-                        found = Counter(w for t in some for w in t.split())
-                        found[b""] = len(some)
-                        words.update(dict.fromkeys(found, 0) if h else found)
-                parts = [_tally(parts)] if len(parts) > 8 else parts
                 size += sum(map(len, group))
+                texts, teach = [normal(t) for t in group], ~out[first : first + len(group)]
+                held_here = batch.column("held").slice(first, len(group))
+                yield from rows_of(_SEEN_ARROW, 1, at=block * KINDS + DOCUMENT, key=n_slices, docs=[pack(doc_id=ids.slice(first, len(group)), held=held_here, text=pa.array(texts, pa.large_binary()))])
+                grams, owner = _placed(texts, depth)
+                d = pa.array(grams).dictionary_encode()
+                parts.append((np.asarray(d.dictionary), np.bincount(np.asarray(d.indices), teach[owner], len(d.dictionary)).astype(np.int64)))
+                del grams, owner, d
+                codes = [c for t, use in zip(texts, teach.tolist(), strict=True) for c in map(known.__getitem__, t.split()) if use]
+                times.append(np.bincount(np.array(codes, np.int64), minlength=len(known)))
+                times[-1][0] += teach.sum()
+                if sum(len(k) for k, _ in parts) > WAITING:
+                    parts = [_tally(parts)]
+                n_slices += 1
                 if size >= BLOCK_BYTES:
                     yield from close()
-                    block, size, parts, words = next(numbers), 0, [], Counter()
+                    block, size, n_slices, parts, known, times = next(numbers), 0, 0, [], _word_codes(), []
             give_back()
-        yield from close()
+        if parts:
+            yield from close()
 
     seen = scratch.put(slim.mapInArrow(look, _SEEN), "seen")
-    counts = scratch.put(seen.where(F.col("kind") == WORD).groupBy("word").agg(F.sum("n").alias("c")), "words")
-    grams = scratch.put(seen.where(F.col("kind") == GRAM).groupBy("key").agg(F.sum("n").alias("n")), "windows")
+    asked = seen.where(of_kind(WORD)).select("word", "at", "key", "n")
+    one = Window.partitionBy("word")  # a row for each block at most
+    counts = scratch.put(asked.select("at", "key", F.sum("n").over(one).alias("c"), (F.col("at") == F.min("at").over(one)).alias("first")), "words")
+    grams = scratch.put(seen.where(of_kind(GRAM)).groupBy("key").agg(F.sum("n").alias("n")), "windows")
     scores = scratch.put(window_scores(grams.withColumnRenamed("key", "gram"), depth, scratch), "scores")
-    total = counts.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count_if(F.col("c") > 0).alias("v")).first()
-    none = lambda *names: [F.lit(None).cast(t).alias(c) for c, t in (("doc_id", "long"), ("held", "boolean"), ("text", "binary"), ("key", "long"), ("word", "binary"), ("n", "long"), ("lp", "double")) if c in names]
-    answers = seen.where(F.col("kind") == GRAM).select("block", "kind", "key").join(scores.withColumnRenamed("gram", "key"), "key").select("block", "kind", "key", "lp", *none("doc_id", "held", "text", "word", "n"))
-    known = seen.where(F.col("kind") == WORD).select("block", "kind", "word").join(counts.withColumnRenamed("c", "n"), "word").select("block", "kind", "word", "n", *none("doc_id", "held", "text", "key", "lp"))
-    texts = seen.where(F.col("kind") == DOCUMENT).select("block", "kind", "doc_id", "held", "text", *none("key", "word", "n", "lp"))
+    total = counts.where("first").agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count_if(F.col("c") > 0).alias("v")).first()
+    nothing = F.lit(None).cast("binary").alias("docs")
+    answers = seen.where(of_kind(GRAM)).select("at", "key").join(scores.withColumnRenamed("gram", "key"), "key").select("at", "key", F.col("lp").alias("value"), nothing)
+    known = counts.select("at", "key", F.col("c").cast("double").alias("value"), nothing)
+    texts = seen.where(of_kind(DOCUMENT)).select("at", "key", F.lit(None).cast("double").alias("value"), "docs")
     all_tokens, distinct = int(total.n), int(total.v)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        of = lambda c: math.log10((c + 0.5) / (all_tokens + 0.5 * (distinct + 1)))
-        now, parts, base, key, lp = None, [], {}, None, None
-        new = of(0)
-        for (block, kind), rows in runs(batches, "block", "kind"):
+        now, parts, key, base = None, [[], []], None, None
+        for at, rows in runs(batches, "at"):
+            block, kind = divmod(at, KINDS)
             if block != now:
-                now, parts, base, key = block, [], {}, None
-            if kind == GRAM:
-                parts.append((rows.column("key").to_numpy(), rows.column("lp").to_numpy()))
-                continue
-            if kind == WORD:
-                base.update(zip(rows.column("word").to_pylist(), map(of, rows.column("n").to_pylist()), strict=True))
+                now, parts, key, codes = block, [[], []], None, _word_codes()
+            if kind != DOCUMENT:
+                parts[kind].append((rows.column("key").to_numpy(), rows.column("value").to_numpy()))
                 continue
             if key is None:
-                key, lp = (np.concatenate([p[i] for p in parts]) for i in (0, 1))
-                order = np.argsort(key)
-                key, lp, parts = key[order], lp[order], []
-            ids, held_out = rows.column("doc_id"), rows.column("held")
-            for first, group in slices(rows.column("text")):
+                key, lp = (np.concatenate([p[i] for p in parts[GRAM]]) for i in (0, 1))
+                count = np.concatenate([p[1] for p in parts[WORD]])
+                base = np.log10((count + 0.5) / (all_tokens + 0.5 * (distinct + 1)))
+            for docs in map(unpack, rows.column("docs").to_pylist()):
+                group = docs.column("text").to_pylist()
                 grams, owner = _placed(group, depth)
                 d = pa.array(grams).dictionary_encode()
                 each = lp[np.searchsorted(key, np.asarray(d.dictionary))]
-                total = np.bincount(owner, each[np.asarray(d.indices)], len(group))
-                per = [[base[b""], *map(base.__getitem__, t.split())] for t in group]
-                tokens = np.array([len(x) for x in per])
-                cols = [ids.slice(first, len(group)), held_out.slice(first, len(group)), pa.array(tokens), pa.array(tokens - [x.count(new) for x in per]), pa.array([math.fsum(x) for x in per]), pa.array(total), pa.array([len(t) for t in group], pa.int64())]
+                sums = np.bincount(owner, each[np.asarray(d.indices)], len(group))
+                words = [np.array([0, *map(codes.__getitem__, t.split())]) for t in group]
+                tokens = pa.array([len(w) for w in words], pa.int64())
+                cols = [docs.column("doc_id"), docs.column("held"), tokens, pa.array([int((count[w] > 0).sum()) for w in words], pa.int64()), pa.array([math.fsum(base[w]) for w in words]), pa.array(sums), pa.array([len(t) for t in group], pa.int64())]
                 yield pa.RecordBatch.from_arrays(cols, names=["doc_id", "held_out", "n_tokens", "n_known", "base_score", "score", "n_bytes"])
             give_back()
 

@@ -1,6 +1,6 @@
 """The queries over the corpus tables and their DuckDB SQL."""
 
-from greensward.llm import embedding_dedup, line_dedup, lm_scoring, mixing, ngram_join, packing, pii, quality_model, quality_rules, token_archive, token_counts, whitening
+from greensward.llm import alignment, embedding_dedup, line_dedup, lm_scoring, mixing, ngram_join, packing, pii, quality_model, quality_rules, token_archive, token_counts, whitening
 
 QUERIES = {
     "op1_ngram_join": ngram_join.op1_ngram_join,
@@ -13,6 +13,7 @@ QUERIES = {
     "op8_pii": pii.op8_pii,
     "op9_token_counts": token_counts.op9_token_counts,
     "op10_quality_model": quality_model.op10_quality_model,
+    "op11_alignment": alignment.op11_alignment,
     "op12_lm_scoring": lm_scoring.op12_lm_scoring,
     "op13_whitening": whitening.op13_whitening,
 }

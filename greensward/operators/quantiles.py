@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from greensward.plans.scratch import Scratch
@@ -11,8 +11,15 @@ from greensward.plans.scratch import Scratch
 CELLS, SORTED = 4096, 50_000
 
 
+def finite(v: Column) -> Column:
+    """The value, null if it is NaN or infinite."""
+    return F.when(F.abs(v) < F.lit(float("inf")), v)
+
+
 def exact_quantiles(values: DataFrame, by: list[str], value: str, shares: list[float], *, cells: int = CELLS, most: int = SORTED) -> DataFrame:
-    """``by`` and ``q0, q1, ...``, the quantiles of ``shares`` with linear interpolation; nulls are left out, groups without a value have no row.
+    """``by`` and ``q0, q1, ...``, the quantiles of ``shares`` with linear interpolation.
+
+    Nulls and values that aren't finite are no data; groups without a value have no row.
 
     A quantile lies between two ranks. Every rank starts with its group's whole
     range; a histogram of the range tells the cell that holds the rank and how
@@ -23,7 +30,7 @@ def exact_quantiles(values: DataFrame, by: list[str], value: str, shares: list[f
     """
     scratch = Scratch(values.sparkSession, "quantiles")
     v = F.col("v")
-    rows = values.where(F.col(value).isNotNull()).select(*by, F.col(value).cast("double").alias("v"))
+    rows = values.select(*by, finite(F.col(value).cast("double")).alias("v")).where("v is not null")
     rows = scratch.put(rows, "values")
     ends = rows.groupBy(*by).agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi"))
     ranks = F.array(*[F.struct(F.lit(i).alias("q"), F.lit(k).alias("upper"), (F.floor(F.lit(p) * (F.col("n") - 1)) + k).alias("rank")) for i, p in enumerate(shares) for k in (0, 1)])
@@ -34,7 +41,9 @@ def exact_quantiles(values: DataFrame, by: list[str], value: str, shares: list[f
     while not (wide := ask.where((F.col("m") > most) & (F.col("lo") < F.col("hi")))).isEmpty():
         ranges = scratch.put(wide.select(*by, "lo", "hi").distinct(), "ranges")
         inside = rows.alias("r").join(scratch.small(ranges).alias("k"), same("r", "k") & v.between(F.col("lo"), F.col("hi")))
-        cell = F.least(F.floor((v - F.col("lo")) / (F.col("hi") - F.col("lo")) * cells), F.lit(cells - 1))
+        # halves keep a range wider than the largest double; its ends always fall into two cells, so every round shrinks it
+        half = F.when(F.col("hi") - F.col("lo") < F.lit(float("inf")), F.lit(1.0)).otherwise(0.5)
+        cell = F.least(F.floor((v * half - F.col("lo") * half) / (F.col("hi") * half - F.col("lo") * half) * cells), F.lit(cells - 1))
         hist = inside.select(*[F.col(f"r.{c}") for c in by], "lo", "hi", "v", cell.alias("cell")).groupBy(*by, "lo", "hi", "cell")
         hist = hist.agg(F.count(F.lit(1)).alias("m"), F.min("v").alias("first"), F.max("v").alias("last"))
         before = Window.partitionBy(*by, "lo", "hi").orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)

@@ -12,15 +12,16 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from greensward import config
-from greensward.operators.quantiles import with_quantiles
+from greensward.operators.quantiles import finite, with_quantiles
 
 
 def regional_stats(values: DataFrame, value: str, by: list[str]) -> DataFrame:
-    """Statistics of the values that are there; groups without one have no row.
+    """Statistics of the finite values; groups without one have no row.
 
     The median comes from histograms (``exact_quantiles``), so a date of any
     number of pixels is never gathered in a task.
     """
+    values = values.withColumn(value, finite(F.col(value)))
     v, n = F.col(value), F.count(value)
     r = lambda c: F.round(c, 6)
     out = values.groupBy(*by).agg(r(F.avg(v)).alias("mean"), r(F.stddev_pop(v)).alias("std"), r(F.min(v)).alias("min"), r(F.max(v)).alias("max"), n.alias("n_valid"), r(100.0 * n / F.greatest(F.count(F.lit(1)), n, F.lit(1))).alias("pct_valid"))
@@ -40,9 +41,21 @@ def read_series(stored: DataFrame, first: str | None = None, last: str | None =
     return out.orderBy("date")
 
 
-def upsert(stored: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
-    """New rows replace stored ones with the same keys."""
-    return stored.join(new, keys, "left_anti").unionByName(new)
+def upsert(stored: DataFrame, new: DataFrame, keys: list[str], order: list[str] | None = None) -> DataFrame:
+    """New rows replace stored ones with the same keys.
+
+    Of new rows that share their keys the last by ``order`` counts, and among
+    those that are equal there, or without an order, the largest by the other
+    columns. Null keys are keys like any other.
+    """
+    rest = [c for c in new.columns if c not in {*keys, *(order or [])}]
+    last = new.groupBy(*keys).agg(F.max(F.struct(*(order or []), *rest)).alias("_last")) if len(new.columns) > len(keys) else new.distinct()
+    last = last.select(*[F.col(c) if c in keys else F.col("_last")[c].alias(c) for c in new.columns])
+    old, fresh = stored.alias("old"), last.alias("fresh")
+    same = F.lit(True)
+    for c in keys:
+        same = same & F.col(f"old.{c}").eqNullSafe(F.col(f"fresh.{c}"))
+    return old.join(fresh, same, "left_anti").unionByName(last)
 
 
 def rolling3(series: DataFrame, order: list[str], value: str, by: list[str] | None = None) -> DataFrame:

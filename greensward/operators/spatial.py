@@ -68,31 +68,31 @@ _DELTA = (2 * _N - 2 * _N**2 / 3 - 2 * _N**3, 7 * _N**2 / 3 - 8 * _N**3 / 5, 56
 _K0, _E0, _N0 = 0.9996, 500_000.0, 10_000_000.0
 
 
-def utm_forward(lon: Column, lat: Column, central: float = -39.0) -> tuple[Column, Column]:
-    """Easting and northing of the southern half."""
-    phi, lam = F.radians(lat), F.radians(lon - central)
+def utm_forward(lon, lat, central: float = -39.0, m=F):
+    """Easting and northing of the southern half; of columns, or of arrays with ``m=numpy``."""
+    phi, lam = m.radians(lat), m.radians(lon - central)
     c = 2 * math.sqrt(_N) / (1 + _N)
-    t = F.sinh(F.atanh(F.sin(phi)) - c * F.atanh(c * F.sin(phi)))
-    xi, eta = F.atan2(t, F.cos(lam)), F.atanh(F.sin(lam) / F.sqrt(1 + t * t))
+    t = m.sinh(m.atanh(m.sin(phi)) - c * m.atanh(c * m.sin(phi)))
+    xi, eta = m.atan2(t, m.cos(lam)), m.atanh(m.sin(lam) / m.sqrt(1 + t * t))
     e, n = eta, xi
     for j, a in enumerate(_ALPHA, 1):
-        e = e + a * F.cos(2 * j * xi) * F.sinh(2 * j * eta)
-        n = n + a * F.sin(2 * j * xi) * F.cosh(2 * j * eta)
+        e = e + a * m.cos(2 * j * xi) * m.sinh(2 * j * eta)
+        n = n + a * m.sin(2 * j * xi) * m.cosh(2 * j * eta)
     return _E0 + _K0 * _R * e, _N0 + _K0 * _R * n
 
 
-def utm_inverse(east: Column, north: Column, central: float = -39.0) -> tuple[Column, Column]:
-    """Longitude and latitude."""
+def utm_inverse(east, north, central: float = -39.0, m=F):
+    """Longitude and latitude; of columns, or of arrays with ``m=numpy``."""
     xi, eta = (north - _N0) / (_K0 * _R), (east - _E0) / (_K0 * _R)
     x, y = xi, eta
     for j, b in enumerate(_BETA, 1):
-        x = x - b * F.sin(2 * j * xi) * F.cosh(2 * j * eta)
-        y = y - b * F.cos(2 * j * xi) * F.sinh(2 * j * eta)
-    chi = F.asin(F.sin(x) / F.cosh(y))
+        x = x - b * m.sin(2 * j * xi) * m.cosh(2 * j * eta)
+        y = y - b * m.cos(2 * j * xi) * m.sinh(2 * j * eta)
+    chi = m.asin(m.sin(x) / m.cosh(y))
     lat = chi
     for j, d in enumerate(_DELTA, 1):
-        lat = lat + d * F.sin(2 * j * chi)
-    return central + F.degrees(F.atan2(F.sinh(y), F.cos(x))), F.degrees(lat)
+        lat = lat + d * m.sin(2 * j * chi)
+    return central + m.degrees(m.atan2(m.sinh(y), m.cos(x))), m.degrees(lat)
 
 
 def point_in_ring(x: Column, y: Column, ring: list[tuple[float, float]]) -> Column:

@@ -16,7 +16,7 @@ from greensward.plans.pixel import _BASE_SQL, _FORMULA, _NAMES, _SCL, _Z_SQL, _b
 from greensward.plans.registry import registry
 from greensward.plans.scratch import Scratch
 from greensward.sources import alerts as store
-from greensward.sources import baselines, scenes, sensors
+from greensward.sources import baselines, running, scenes, sensors
 from greensward.sources.observations import BOX_SQL, OBS_SQL, RASTER_SQL, boxes, observations, raster, table
 
 QUERIES, SQL, query = registry()
@@ -58,13 +58,13 @@ def _dispatch_sql() -> str:
     return " UNION ALL ".join(out)
 
 
-@query("sensor_dispatch", f"WITH {OBS_SQL}, s AS ({_dispatch_sql()}) SELECT obs_id, sensor, round(nir08, 6) AS nir08, round(swir16, 6) AS swir16, round((nir08 - swir16) / nullif(nir08 + swir16, 0), 6) AS ndmi FROM s")
+@query("sensor_dispatch", f"WITH {OBS_SQL}, s AS ({_dispatch_sql()}) SELECT obs_id, sensor, round(nir08, 8) AS nir08, round(swir16, 8) AS swir16, round((nir08 - swir16) / nullif(nir08 + swir16, 0), 8) AS ndmi FROM s")
 def sensor_dispatch(spark, d) -> DataFrame:
     """Three sensors, each by its loader: scaled, masked, and only with the bands that the index needs. All dates come before the newer offset of s2."""
     out = []
     for k, sensor in enumerate(("s2", "landsat", "hls")):
         s = sensors.load_scene(_assets(spark, d, sensor).where(F.col("obs_id") % 3 == k), sensor, ["ndmi"], ["obs_id"])
-        out.append(s.select("obs_id", F.lit(sensor).alias("sensor"), F.round("nir08", 6).alias("nir08"), F.round("swir16", 6).alias("swir16"), F.round(ix.index_column("ndmi", sensor), 6).alias("ndmi")))
+        out.append(s.select("obs_id", F.lit(sensor).alias("sensor"), F.round("nir08", 8).alias("nir08"), F.round("swir16", 8).alias("swir16"), F.round(ix.index_column("ndmi", sensor), 8).alias("ndmi")))
     return store.merge_tiles(out)
 
 
@@ -141,7 +141,7 @@ def baseline_store(spark, d) -> DataFrame:
     obs = observations(spark, d).where(F.col("obs_date") < F.lit("2000-01-01").cast("date"))
     runs.build_baselines(obs, _clear_values(), path)
     runs.build_baselines(obs, _clear_values(), path)
-    return baselines.load_baseline(spark, path, "nbr", 3).select("pixel", F.round("center", 6).alias("center"), F.round("std", 6).alias("std"), "n_obs")
+    return baselines.load_baseline(spark, path, "nbr", 3).select("pixel", F.round("center", 9).alias("center"), F.round("std", 9).alias("std"), "n_obs")
 
 
 @query("baseline_years", f"""WITH {OBS_SQL}, o AS (SELECT *, (obs_id % 70)::DOUBLE AS cloud_cover FROM obs WHERE year(obs_date) IN (1996, 1998, 1999)), c AS (SELECT * FROM o WHERE cloud_cover < 40),
@@ -252,6 +252,17 @@ def archive_report(spark, d) -> DataFrame:
     return persistence.archive(boxes(spark, d), consecutive=3).withColumn("date", F.coalesce(F.date_format("date", "yyyy-MM-dd"), F.lit("all")))
 
 
+@query("baseline_running", f"WITH {OBS_SQL}, v AS (SELECT pixel, month(obs_date)::INT AS month, unnest(['nir', 'nir08']) AS index_name, unnest([nir, nir08]) AS v FROM obs) SELECT index_name, month, pixel, round(avg(v), 9) AS center, CASE WHEN count(v) >= 2 THEN round(stddev_pop(v), 9) END AS std, count(v) AS n_obs FROM v WHERE v IS NOT NULL GROUP BY 1, 2, 3")
+def baseline_running(spark, d) -> DataFrame:
+    """Mean baselines from three deliveries of scenes of which the second comes twice and the third brings the first again."""
+    o = observations(spark, d).withColumn("scene", _month().cast("string"))
+    store_of = running.RunningBaselines(spark, f"{Scratch(spark, 'running').root}/store")
+    part = F.month("obs_date") % 3
+    for delivery in (part == 0, part == 1, part == 1, part != 1):
+        store_of.add(o.where(delivery), {"nir": F.col("nir"), "nir08": F.col("nir08")})
+    return running.baseline(store_of.states()).select("index_name", "month", "pixel", F.round("center", 9).alias("center"), F.round("std", 9).alias("std"), "n_obs")
+
+
 # grids ------------------------------------------------------------------------------------
 
 # images of 8 x 8 cells of 20 m onto cells of 15 m that start 10 m further west and north

@@ -44,16 +44,39 @@ def load_alerts(spark: SparkSession, path: str, date: str | None = None) -> Data
     return found
 
 
+def degree_rings(alerts: DataFrame, rings: str = "rings") -> DataFrame:
+    """Rings of points (x, y) in metres as GeoJSON has them: pairs of degrees to six decimals, both ends the same."""
+    def pair(p: Column) -> Column:
+        lon, lat = utm_inverse(p["x"], p["y"])
+        return F.array(F.bround(lon, 6), F.bround(lat, 6))
+
+    return alerts.withColumn(rings, F.transform(rings, lambda r: F.transform(r, pair)))
+
+
 def as_features(alerts: DataFrame, properties: list[str]) -> DataFrame:
-    """One GeoJSON feature a row in degrees, with the box of each alert as its ring; dates are ISO texts."""
-    d = to_degrees(alerts)
-    corner = lambda x, y: F.array(F.col(x), F.col(y))
-    ring = F.array(corner("west", "south"), corner("east", "south"), corner("east", "north"), corner("west", "north"), corner("west", "south"))
+    """One GeoJSON feature a row in degrees; dates are ISO texts.
+
+    Its geometry are the outlines in ``rings`` (outer ring first) if the alerts have them, else the box.
+    """
+    if "rings" in alerts.columns:
+        d = degree_rings(alerts)
+        coordinates = F.col("rings")
+    else:
+        d = to_degrees(alerts)
+        corner = lambda x, y: F.array(F.col(x), F.col(y))
+        coordinates = F.array(F.array(corner("west", "south"), corner("east", "south"), corner("east", "north"), corner("west", "north"), corner("west", "south")))
     text = {c: F.date_format(c, "yyyy-MM-dd") for c, t in d.dtypes if t == "date" and c in properties}
-    feature = F.struct(F.lit("Feature").alias("type"), F.struct(*properties).alias("properties"), F.struct(F.lit("Polygon").alias("type"), F.array(ring).alias("coordinates")).alias("geometry"))
+    feature = F.struct(F.lit("Feature").alias("type"), F.struct(*properties).alias("properties"), F.struct(F.lit("Polygon").alias("type"), coordinates.alias("coordinates")).alias("geometry"))
     return d.withColumns(text).select(F.to_json(feature).alias("value"))
 
 
+def save_features(alerts: DataFrame, path: str, properties: list[str], date: str = "detection_date") -> None:
+    """GeoJSON lines, a folder for each date; the dates that ``alerts`` holds are replaced, others stay."""
+    lines = as_features(alerts.withColumn("_date", F.col(date)), [*properties, "_date"])
+    day = F.get_json_object("value", "$.properties._date")
+    lines.select("value", day.alias(date)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(date).text(path)
+
+
 def track_features(tracks: DataFrame) -> DataFrame:
     """The state of tracks as compact GeoJSON features to six decimals."""
     return as_features(tracks, ["n_sightings", "first_seen", "last_seen"])

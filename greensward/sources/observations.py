@@ -60,6 +60,12 @@ RASTER_SQL = """raster AS (SELECT vec_id AS img, ((k - 1) // 8)::INT AS "row", (
   FROM embeddings, range(1, 65) t(k))"""
 
 
+def dated_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fifty images in a row, two columns apart, for each date: ``date`` (its number), ``row, col, v``."""
+    r = raster(spark, sf_dir)
+    return r.select(F.floor(F.col("img") / 50).alias("date"), "row", ((F.col("img") % 50) * 10 + F.col("col")).cast("int").alias("col"), "v")
+
+
 def daily_series(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Mean event value by user and day: ``series_id, date, value``."""
     e = table(spark, sf_dir, "events")

@@ -87,8 +87,38 @@ def test_groups_fold_like_dates(spark, seed):
     assert labelled[0] == labelled[1] and len(labelled[0]) == b.count()
     tracks = [sorted(map(tuple, t.collect())) for _, t in found]
     assert tracks[0] == tracks[1] and len({t[0] for t in tracks[0]}) == len(tracks[0]) > 3
-    counts = [sorted(map(tuple, persistence.chained_streaks(b, most=m).collect())) for m in (200_000, 0)]
-    assert counts[0] == counts[1]
+    assert {(r.date, r.id): r.persistence_count for r in persistence.chained_streaks(b).collect()} == date_by_date(b)
+
+
+def date_by_date(b):
+    """Streaks by a plain loop over dates and pairs."""
+    by, count = {}, {}
+    for r in b.collect():
+        by.setdefault(r.date, []).append(r)
+    before = []
+    for day in sorted(by):
+        for a in by[day]:
+            over = [(min(a.x1, p.x1) - max(a.x0, p.x0), min(a.y1, p.y1) - max(a.y0, p.y0), p) for p in before]
+            good = [count[p.date, p.id] for w, h, p in over if w > 0 and h > 0 and w * h >= 0.05 * (a.x1 - a.x0) * (a.y1 - a.y0)]
+            count[day, a.id] = 1 + max(good, default=0)
+        before = by[day]
+    return count
+
+
+def test_streaks_where_the_nearest_chain_ends_first(spark):
+    """The smallest id of the observation before leads into a short chain, the other into the longest."""
+    links = [(r, a, b) for r in range(2, 30) for a, b in [(10, 10)]] + [(30, 11, 9), (30, 11, 10), (29, 9, 8), (31, 12, 11), (31, 12, 5), (32, 1, 12)]
+    rows = spark.createDataFrame([(D(2020, 1, 1) + datetime.timedelta(days=r), r, a, b) for r, a, b in links], "date date, rank int, a_id long, b_id long")
+    alerts = rows.select("date", F.col("a_id").alias("id")).distinct()
+    got = {(r.date - D(2020, 1, 1)).days * 100 + r.id: r.persistence_count for r in persistence.streak_lengths(alerts, rows).collect()}
+    assert got[3011] == 30 and got[3112] == 31 and got[3201] == 32 and got[2909] == 2 and got[2910] == 29
+    again = persistence.streaks(random_boxes(spark, 0), date_counts(spark)).collect()
+    assert {(r.date, r.id): r.persistence_count for r in again} == date_by_date(random_boxes(spark, 0))
+
+
+def date_counts(spark):
+    """Streaks of ids that come again on other dates."""
+    return persistence.chained_streaks(random_boxes(spark, 0))
 
 
 def test_one_id_on_two_dates_is_two_tracks(spark):

@@ -39,30 +39,27 @@ def drop_common_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of texts joined up by links, the one with the smallest doc_id stays; of rows repeating id and text, one.
+    """Of rows joined up by links of their texts, one stays: the smallest by doc_id, source, hash of the text and then the other columns.
 
-    An id may stand on several texts: each is judged by its own set of
-    shingles. Texts without a word, null or not, and rows with a null id have
-    no links and stay. An empty table stays empty.
+    Rows are told apart by numbers of their own, so it makes no difference
+    whether they share an id, a text or both, nor from which source they come;
+    null ids are the largest. Texts without a word, null or not, have no links
+    and stay. An empty table stays empty.
     """
-    found = ngram_join.jaccard_components(docs, words=SHINGLE_WORDS, percent=SIMILAR_PERCENT, digests=True)
     scratch = Scratch(spark, "pipeline")
-    again = scratch.put(found.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").select("doc_id"), "repeated")
-    gone = found.where("doc_id <> component_id").select("doc_id").distinct()
-    if again.isEmpty():
-        return docs.join(scratch.small(scratch.put(gone, "copies")), "doc_id", "left_anti").select(docs.columns)
-    again = scratch.small(again)
-    # rows that share an id are told apart by the digests of their texts
-    gone = scratch.small(scratch.put(gone.join(again, "doc_id", "left_anti"), "copies"))
-    copies = found.join(again, "doc_id", "left_semi").where("doc_id <> component_id").select("doc_id", "a", "b").distinct()
-    copies = scratch.small(scratch.put(copies, "repeated_copies"))
-    once = docs.join(again, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"]).withColumn("_text_key", F.xxhash64("doc_id", "text"))
-    once = scratch.put(once, "once")
-    key = ngram_join.signatures(once.select(F.col("_text_key").alias("doc_id"), "text"), SHINGLE_WORDS).select(F.col("doc_id").alias("_text_key"), F.col("a").alias("_a"), F.col("b").alias("_b"))
-    copies = copies.select(F.col("doc_id").alias("_id"), F.col("a").alias("_ca"), F.col("b").alias("_cb"))
-    once = once.join(key.distinct(), "_text_key").join(copies, (F.col("doc_id") == F.col("_id")) & (F.col("_a") == F.col("_ca")) & (F.col("_b") == F.col("_cb")), "left_anti")
-    rest = docs.join(again, "doc_id", "left_anti").join(gone, "doc_id", "left_anti")
-    return rest.select(docs.columns).unionByName(once.select(docs.columns))
+    row = "_row_number"
+    rows = scratch.put(docs.withColumn(row, F.monotonically_increasing_id()), "rows")
+    found = scratch.put(ngram_join.jaccard_components(rows.select(F.col(row).alias("doc_id"), "text"), words=SHINGLE_WORDS, percent=SIMILAR_PERCENT), "found")
+    groups = scratch.put(found.where("doc_id <> component_id").select("component_id").distinct(), "groups")
+    members = found.join(scratch.small(groups), "component_id", "left_semi").select(F.col("doc_id").alias(row), F.col("component_id").alias("_group"))
+    first = [c for c in ("doc_id", "source") if c in docs.columns]
+    rest = [c for c in docs.columns if c not in ("doc_id", "source", "text")]
+    order = F.struct(F.col("doc_id").isNull(), *first, F.xxhash64("text"), *rest, row)
+    members = scratch.put(members.join(rows.select(row, order.alias("_order")), row), "members")
+    kept = members.groupBy("_group").agg(F.min("_order")[row].alias("_kept"))
+    gone = scratch.put(members.join(kept, "_group").where(F.col(row) != F.col("_kept")).select(row), "gone")
+    scratch.keep(rows, gone)
+    return rows.join(scratch.small(gone), row, "left_anti").select(docs.columns)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -78,15 +78,26 @@ def random_boxes(spark, seed, dates=16):
     return boxes(spark, rows)
 
 
+def one_by_one(spark, b):
+    """All dates by ``update_tracks``, which joins one date's alerts with all tracks."""
+    scratch, tracks, out = Scratch(spark, "test"), spark.createDataFrame([], persistence.TRACK), []
+    for r in b.select("date").distinct().orderBy("date").collect():
+        got, tracks = persistence.update_tracks(b.where(F.col("date") == F.lit(r.date)), tracks, r.date, scratch)
+        out += got.withColumn("date", F.lit(r.date)).collect()
+    return out, tracks.collect()
+
+
 @pytest.mark.parametrize("seed", [0, 1])
-def test_groups_fold_like_dates(spark, seed):
+def test_tiles_and_runs_fold_like_dates(spark, seed):
     """Ids of seed 0 come again on each date, so tracks of one id must stay apart."""
-    b, cols = random_boxes(spark, seed), ["date", "id", "persistence_count", "persistence_status", "first_seen", "last_seen"]
-    found = [persistence.fold_tracks(b, most=m) for m in (200_000, 0)]
-    labelled = [sorted(map(tuple, a.select(cols).collect())) for a, _ in found]
-    assert labelled[0] == labelled[1] and len(labelled[0]) == b.count()
-    tracks = [sorted(map(tuple, t.collect())) for _, t in found]
-    assert tracks[0] == tracks[1] and len({t[0] for t in tracks[0]}) == len(tracks[0]) > 3
+    b, cols = random_boxes(spark, seed).cache(), ["date", "id", "persistence_count", "persistence_status", "first_seen", "last_seen"]
+    want, left = one_by_one(spark, b)
+    pick = lambda rows, names: sorted(tuple(r[c] for c in names) for r in rows)
+    for dates, tile in ((8, 64), (3, 1), (1, 2), (100, 5)):
+        labelled, tracks = persistence.fold_tracks(b, dates, tile)
+        assert pick(labelled.collect(), cols) == pick(want, cols) and labelled.count() == b.count()
+        kept = tracks.collect()
+        assert pick(kept, tracks.columns) == pick(left, tracks.columns) and len({t.track_id for t in kept}) == len(kept) > 3
     assert {(r.date, r.id): r.persistence_count for r in persistence.chained_streaks(b).collect()} == date_by_date(b)
 
 

@@ -19,24 +19,24 @@ import hashlib
 import json
 import os
 import re
-from collections import defaultdict
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from greensward.llm.blocks import BLOCK_BYTES, KINDS, block_numbers, by_block, of_kind, pack, rows_of, runs, slices, unpack
+from greensward.llm.blocks import BLOCK_BYTES, KINDS, Known, block_numbers, by_block, of_kind, pack, rows_of, runs, slices, unpack
 from greensward.llm.memory import give_back, text_batches
 from greensward.llm.token_counts import default_model
 from greensward.llm.token_ids import default_tokenizer
 from greensward.plans.scratch import Scratch
 
 ANSWER, DOCUMENT = 0, 1
-#: Segments tokenized at a time.
-SEGMENTS = 2000
+#: Segments tokenized at a time, and segments of a block parsed at a time.
+SEGMENTS, PARSED = 2000, 50_000
 
 _CUT = re.compile(r"(?<=\S)(?= +\S)")
 _SEEN, _SEEN_ARROW = "at bigint, key bigint, segment string, docs binary", pa.schema([("at", pa.int64()), ("key", pa.int64()), ("segment", pa.string()), ("docs", pa.binary())])
@@ -108,47 +108,51 @@ class Links:
     """The groups of a block's segments as arrays: counts by segment, and its linked id pairs with how often each is linked."""
 
     def __init__(self, groups: list[str | None]):
-        self.good = np.array([g is not None for g in groups], bool)
         self.text = groups
-        raw = np.frombuffer("\n".join([g or "" for g in groups] + [""]).encode(), np.uint8)
-        mark = np.flatnonzero(raw < 48)  # separators: 10 segment, 44 comma, and those above the digits
-        mark = np.union1d(mark, np.flatnonzero(raw > 57))
-        before = np.concatenate([[-1], mark[:-1]]) if len(mark) else mark
-        digits = mark - before - 1
+        self.good = np.array([g is not None for g in groups], bool)
+        self.n_a, self.n_b, self.n_groups = (np.zeros(len(groups), np.int32) for _ in range(3))
+        found = [self._some(s) for s in range(0, len(groups), PARSED)]
+        segment, pair, times = (np.concatenate([f[i] for f in found]) if found else np.zeros(0, np.int64) for i in range(3))
+        self.pairs, code = np.unique(pair, return_inverse=True)
+        self.pair, self.times = code.astype(np.int32), times
+        self.begin = np.searchsorted(segment, np.arange(len(groups) + 1))
+
+    def _some(self, start: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Segment, id pair and times of the links of ``PARSED`` segments, each segment and pair once."""
+        groups = self.text[start : start + PARSED]
+        raw = np.frombuffer("".join(f"{g or ''}\n" for g in groups).encode(), np.uint8)
+        mark = np.flatnonzero((raw < 48) | (raw > 57))  # separators: line end, comma, semicolon, bar
+        digits = np.diff(mark, prepend=-1) - 1
         value = np.zeros(len(mark), np.int64)
         for k in range(int(digits.max(initial=0))):
             value += np.where(k < digits, (raw[np.maximum(mark - 1 - k, 0)].astype(np.int64) - 48) * 10**k, 0)
         sep = raw[mark]
         before_of = lambda stop: np.cumsum(stop) - stop
-        new_segment, new_group = before_of((sep == 10).astype(np.int64)), before_of(((sep == 10) | (sep == 59)).astype(np.int64))
-        # a token is on the first side if the next bar comes before the next end of a group
-        ends = np.flatnonzero((sep == 10) | (sep == 59))
-        bars = np.flatnonzero(sep == 124)
+        segment, group = before_of((sep == 10).astype(np.int64)), before_of(((sep == 10) | (sep == 59)).astype(np.int64))
+        # a token is on the second side if its group's bar came before it
+        ends, bars = np.flatnonzero((sep == 10) | (sep == 59)), np.flatnonzero(sep == 124)
         bar_of = np.full(len(ends), -1)
         bar_of[np.searchsorted(ends, bars)] = bars
-        here = digits > 0
-        right = np.arange(len(mark)) > bar_of[new_group]
+        here, right = digits > 0, np.arange(len(mark)) > bar_of[group]
         n = len(groups)
-        self.n_a, self.n_b = (np.bincount(new_segment[here & (right == r)], minlength=n) for r in (False, True))
-        self.n_groups = np.bincount(new_segment[bars], minlength=n)
+        self.n_a[start : start + n], self.n_b[start : start + n] = (np.bincount(segment[here & (right == r)], minlength=n) for r in (False, True))
+        self.n_groups[start : start + n] = np.bincount(segment[bars], minlength=n)
         # distinct ids of a group on both sides, then their products
         sides = []
         for r in (False, True):
             at = here & (right == r)
-            key, count = np.unique((new_group[at] << 32) | value[at], return_counts=True)
+            key, count = np.unique((group[at] << 32) | value[at], return_counts=True)
             sides.append((key >> 32, key & 0xFFFFFFFF, count))
         (ga, ia, ca), (gb, ib, cb) = sides
-        first, last = np.searchsorted(gb, ga), np.searchsorted(gb, ga, side="right")
-        width = last - first
+        first = np.searchsorted(gb, ga)
+        width = np.searchsorted(gb, ga, side="right") - first
         other = np.repeat(first - (np.cumsum(width) - width), width) + np.arange(int(width.sum()))
-        segment_of = np.zeros(len(ends) + 1, np.int64)
-        segment_of[new_group] = new_segment
-        pair = (np.repeat(ia, width) << 32) | ib[other]
-        self.pairs, code = np.unique(pair, return_inverse=True)
-        key, where = np.unique(segment_of[np.repeat(ga, width)] * max(len(self.pairs), 1) + code, return_inverse=True)
-        self.times = np.bincount(where, np.repeat(ca, width) * cb[other], len(key)).astype(np.int64)
-        self.pair = key % max(len(self.pairs), 1)
-        self.begin = np.searchsorted(key, np.arange(n + 1) * max(len(self.pairs), 1))
+        of_group = np.zeros(len(ends) + 1, np.int64)
+        of_group[group] = segment
+        pair, code = np.unique((np.repeat(ia, width) << 32) | ib[other], return_inverse=True)
+        key, where = np.unique(of_group[np.repeat(ga, width)] * max(len(pair), 1) + code, return_inverse=True)
+        times = np.bincount(where, np.repeat(ca, width) * cb[other], len(key)).astype(np.int64)
+        return start + key // max(len(pair), 1), pair[key % max(len(pair), 1)], times
 
     def of_documents(self, codes: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """``(document, pair, times)`` of documents' segments, each document and pair once."""
@@ -167,24 +171,26 @@ def _look(path_a: str, path_b: str):
     def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cut = _aligner(path_a, path_b).segments
         numbers = block_numbers()
-        block, size, n_slices, known = next(numbers), 0, 0, defaultdict()
-        known.default_factory = known.__len__
+        block, size, n_slices, known = next(numbers), 0, 0, Known(pa.string())
 
         def close() -> Iterator[pa.RecordBatch]:
-            yield from rows_of(_SEEN_ARROW, len(known), at=block * KINDS + ANSWER, key=list(known.values()), segment=list(known))
+            yield from rows_of(_SEEN_ARROW, len(known.values), at=block * KINDS + ANSWER, key=np.arange(len(known.values)), segment=known.values)
 
         for batch in batches:
             for first, group in slices(batch.column("text")):
                 size += sum(map(len, group))
-                codes = pa.array([np.array(list(map(known.__getitem__, cut(t.decode()))), np.int32) for t in group], pa.large_list(pa.int32()))
+                parts = [cut(t.decode()) for t in group]
+                offsets = pa.array(np.concatenate([[0], np.cumsum([len(p) for p in parts])]), pa.int64())
+                codes = pa.LargeListArray.from_arrays(offsets, pa.array(known.codes(list(chain.from_iterable(parts)))))
                 yield from rows_of(_SEEN_ARROW, 1, at=block * KINDS + DOCUMENT, key=n_slices, docs=[pack(doc_id=batch.column("doc_id").slice(first, len(group)), codes=codes)])
                 n_slices += 1
                 if size >= BLOCK_BYTES:
                     yield from close()
-                    block, size, n_slices = next(numbers), 0, 0
-                    known.clear()
+                    block, size, n_slices, known = next(numbers), 0, 0, Known(pa.string())
             give_back()
         yield from close()
+        del known
+        give_back()
 
     return look
 
@@ -207,6 +213,7 @@ def _compose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             continue
         if links is None:
             links, text = Links(text), []
+            give_back()
             n_docs = np.zeros(len(links.pairs), np.int64)
         for n_slice, value in zip(rows.column("key").to_pylist(), rows.column("docs").to_pylist(), strict=True):
             docs = unpack(value)
@@ -226,6 +233,8 @@ def _compose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield from rows_of(_COMPOSED_ARROW, 1, at=at, key=n_slice, docs=[pack(doc_id=docs.column("doc_id"), **counts, groups_sha256=pa.array(digest, pa.string()), **held)])
         give_back()
     yield from close()
+    del links, text
+    give_back()
 
 
 def _judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -52,11 +52,22 @@ def log_kt(n0, n1, log=np.log):
 
 def windows(data: bytes, depth: int) -> np.ndarray:
     """The packed windows of ``depth + 1`` bytes that begin at each place."""
-    a = np.frombuffer(data, np.uint8)
-    out = np.zeros(max(len(a) - depth, 0), np.int64)
-    for i in range(depth + 1):
-        out <<= 8
-        out |= a[i : i + len(out)]
+    n = depth + 1
+    # runs of 1, 2, 4 bytes, each two of the half before it, then those whose lengths add up to n
+    run, have, width = np.frombuffer(data, np.uint8), {}, 1
+    while width <= n:
+        have[width] = run
+        if 2 * width <= n:
+            wide = run[: max(len(run) - width, 0)].astype(f"u{2 * width}")
+            run = (wide << (8 * width)) | run[width : width + len(wide)]
+        width *= 2
+    out = np.zeros(max(len(data) - depth, 0), np.int64)
+    at = 0
+    for width in sorted(have, reverse=True):
+        if n - at >= width:
+            out <<= 8 * width
+            out |= have[width][at : at + len(out)].astype(np.int64)
+            at += width
     return out
 
 

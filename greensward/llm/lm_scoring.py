@@ -3,21 +3,21 @@
 from __future__ import annotations
 
 import math
-from collections import defaultdict
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from greensward.llm.blocks import BLOCK_BYTES, KINDS, SLICE_BYTES, block_numbers, by_block, of_kind, pack, rows_of, runs, slices, unpack
+from greensward.llm.blocks import BLOCK_BYTES, KINDS, SLICE_BYTES, Known, block_numbers, by_block, of_kind, pack, rows_of, runs, slices, unpack
 from greensward.llm.context_tree import window_scores, windows
 from greensward.llm.memory import give_back, text_batches
 from greensward.plans.scratch import Scratch
 
 #: Bytes of context of the longest contexts, and windows of a block that wait to be added up.
-DEPTH, WAITING = 5, 2_000_000
+DEPTH, WAITING = 5, 1_000_000
 GRAM, WORD, DOCUMENT = 0, 1, 2
 #: The end of a text; no word holds it.
 END = b"\n"
@@ -33,19 +33,21 @@ def normal(text: bytes) -> bytes:
     return b" ".join(text.translate(_LOWER).split()) + END
 
 
-def _placed(texts: list[bytes], depth: int) -> tuple[np.ndarray, np.ndarray]:
-    """Windows of all bytes of texts and the text of each; a text begins behind ``depth`` ends. Long texts go in pieces."""
-    grams, owner = [], []
-    for first, group in slices(pa.array([END * depth + t for t in texts], pa.large_binary())):
-        ends = np.cumsum([len(t) for t in group])
-        joined = b"".join(group)
-        for s in range(0, len(joined), 2 * SLICE_BYTES):
-            w = windows(joined[s : s + 2 * SLICE_BYTES + depth], depth)
-            row = np.repeat(np.arange(len(group)), np.diff(np.clip(ends, s, s + len(w)), prepend=s))
-            good = np.arange(s + depth, s + depth + len(w)) < ends[row]  # windows over two texts go
-            grams.append(w[good])
-            owner.append(first + row[good])
-    return np.concatenate(grams), np.concatenate(owner)
+def _placed(texts: list[bytes], depth: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Windows of all bytes of texts, and how many of each text; a text begins behind ``depth`` ends. Long texts go in pieces."""
+    joined = b"".join([END * depth + t for t in texts])
+    ends = np.cumsum([len(t) + depth for t in texts])
+    step = 2 * SLICE_BYTES
+    for s in range(0, len(joined), step):
+        w = windows(joined[s : s + step + depth], depth)
+        good = np.ones(len(w), bool)
+        over = (ends[:, None] - s - 1 - np.arange(depth)).ravel()  # windows over two texts go
+        good[over[(over >= 0) & (over < len(w))]] = False
+        w = w[good]
+        if len(w):
+            last = np.clip(ends - depth, s, s + len(good))
+            begin = np.clip(ends - np.diff(ends, prepend=0), s, s + len(good))
+            yield w, np.maximum(last - begin, 0)
 
 
 def _tally(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
@@ -57,12 +59,9 @@ def _tally(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.n
     return key[first], np.add.reduceat(n, first)
 
 
-def _word_codes() -> defaultdict:
-    """Words of a block by the order in which they come; the end of a text is word 0."""
-    known: defaultdict = defaultdict()
-    known.default_factory = known.__len__
-    known[b""]  # noqa: B018
-    return known
+def _words() -> Known:
+    """Words of a block; the end of a text is word 0."""
+    return Known(pa.binary(), [b""])
 
 
 def language_scores(docs: DataFrame, held: Column, depth: int = DEPTH) -> DataFrame:
@@ -88,15 +87,12 @@ def language_scores(docs: DataFrame, held: Column, depth: int = DEPTH) -> DataFr
 
     def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         numbers = block_numbers()
-        block, size, n_slices, parts, known, times = next(numbers), 0, 0, [], _word_codes(), []
+        block, size, n_slices, parts, known, times = next(numbers), 0, 0, [], _words(), np.zeros(0, np.int64)
 
         def close() -> Iterator[pa.RecordBatch]:
             key, n = _tally(parts)
             yield from rows_of(_SEEN_ARROW, len(key), at=block * KINDS + GRAM, key=key, n=n)
-            total = np.zeros(len(known), np.int64)
-            for t in times:
-                total[: len(t)] += t
-            yield from rows_of(_SEEN_ARROW, len(known), at=block * KINDS + WORD, key=np.arange(len(known)), n=total, word=list(known))
+            yield from rows_of(_SEEN_ARROW, len(times), at=block * KINDS + WORD, key=np.arange(len(times)), n=times, word=known.values)
 
         for batch in batches:
             ids, out = batch.column("doc_id"), batch.column("held").to_numpy(zero_copy_only=False)
@@ -105,22 +101,31 @@ def language_scores(docs: DataFrame, held: Column, depth: int = DEPTH) -> DataFr
                 texts, teach = [normal(t) for t in group], ~out[first : first + len(group)]
                 held_here = batch.column("held").slice(first, len(group))
                 yield from rows_of(_SEEN_ARROW, 1, at=block * KINDS + DOCUMENT, key=n_slices, docs=[pack(doc_id=ids.slice(first, len(group)), held=held_here, text=pa.array(texts, pa.large_binary()))])
-                grams, owner = _placed(texts, depth)
-                d = pa.array(grams).dictionary_encode()
-                parts.append((np.asarray(d.dictionary), np.bincount(np.asarray(d.indices), teach[owner], len(d.dictionary)).astype(np.int64)))
-                del grams, owner, d
-                codes = [c for t, use in zip(texts, teach.tolist(), strict=True) for c in map(known.__getitem__, t.split()) if use]
-                times.append(np.bincount(np.array(codes, np.int64), minlength=len(known)))
-                times[-1][0] += teach.sum()
+                # those that teach first, so their windows and words are the first
+                order = np.argsort(~teach, kind="stable")
+                taught = int(teach.sum())
+                for grams, each in _placed([texts[i] for i in order], depth):
+                    d = pa.array(grams).dictionary_encode()
+                    at = np.asarray(d.indices)[: int(each[:taught].sum())]
+                    parts.append((np.asarray(d.dictionary), np.bincount(at, minlength=len(d.dictionary))))
+                words = [texts[i].split() for i in order]
+                code = known.codes(list(chain.from_iterable(words)))
+                here = np.bincount(code[: sum(map(len, words[:taught]))], minlength=len(known.values))
+                here[: len(times)] += times
+                here[0] += taught
+                times = here
                 if sum(len(k) for k, _ in parts) > WAITING:
                     parts = [_tally(parts)]
                 n_slices += 1
                 if size >= BLOCK_BYTES:
                     yield from close()
-                    block, size, n_slices, parts, known, times = next(numbers), 0, 0, [], _word_codes(), []
+                    block, size, n_slices, parts, known, times = next(numbers), 0, 0, [], _words(), np.zeros(0, np.int64)
             give_back()
         if parts:
             yield from close()
+        parts.clear()
+        del known, times
+        give_back()
 
     seen = scratch.put(slim.mapInArrow(look, _SEEN), "seen")
     asked = seen.where(of_kind(WORD)).select("word", "at", "key", "n")
@@ -140,7 +145,7 @@ def language_scores(docs: DataFrame, held: Column, depth: int = DEPTH) -> DataFr
         for at, rows in runs(batches, "at"):
             block, kind = divmod(at, KINDS)
             if block != now:
-                now, parts, key, codes = block, [[], []], None, _word_codes()
+                now, parts, key, words_of = block, [[], []], None, _words()
             if kind != DOCUMENT:
                 parts[kind].append((rows.column("key").to_numpy(), rows.column("value").to_numpy()))
                 continue
@@ -150,13 +155,24 @@ def language_scores(docs: DataFrame, held: Column, depth: int = DEPTH) -> DataFr
                 base = np.log10((count + 0.5) / (all_tokens + 0.5 * (distinct + 1)))
             for docs in map(unpack, rows.column("docs").to_pylist()):
                 group = docs.column("text").to_pylist()
-                grams, owner = _placed(group, depth)
-                d = pa.array(grams).dictionary_encode()
-                each = lp[np.searchsorted(key, np.asarray(d.dictionary))]
-                sums = np.bincount(owner, each[np.asarray(d.indices)], len(group))
-                words = [np.array([0, *map(codes.__getitem__, t.split())]) for t in group]
-                tokens = pa.array([len(w) for w in words], pa.int64())
-                cols = [docs.column("doc_id"), docs.column("held"), tokens, pa.array([int((count[w] > 0).sum()) for w in words], pa.int64()), pa.array([math.fsum(base[w]) for w in words]), pa.array(sums), pa.array([len(t) for t in group], pa.int64())]
+                sums = np.zeros(len(group))
+                for grams, each in _placed(group, depth):
+                    d = pa.array(grams).dictionary_encode()
+                    found = lp[np.searchsorted(key, np.asarray(d.dictionary))][np.asarray(d.indices)]
+                    some = np.flatnonzero(each)
+                    sums[some] += np.add.reduceat(found, np.cumsum(each[some]) - each[some])
+                words = [t.split() for t in group]
+                # in the order in which the block first saw them
+                order = np.argsort(docs.column("held").to_numpy(zero_copy_only=False), kind="stable")
+                code = words_of.codes(list(chain.from_iterable(words[i] for i in order)))
+                sizes = np.array([len(w) for w in words])
+                flat = np.zeros(len(code) + len(words), np.int32)
+                start = np.cumsum(sizes + 1) - sizes  # behind each text's end, which stands first
+                flat[np.repeat(start[order] - (np.cumsum(sizes[order]) - sizes[order]), sizes[order]) + np.arange(len(code))] = code
+                tokens = sizes + 1
+                first = np.cumsum(tokens) - tokens
+                known_here = np.add.reduceat((count[flat] > 0).astype(np.int64), first)
+                cols = [docs.column("doc_id"), docs.column("held"), pa.array(tokens), pa.array(known_here), pa.array(np.add.reduceat(base[flat], first)), pa.array(sums), pa.array([len(t) for t in group], pa.int64())]
                 yield pa.RecordBatch.from_arrays(cols, names=["doc_id", "held_out", "n_tokens", "n_known", "base_score", "score", "n_bytes"])
             give_back()
 

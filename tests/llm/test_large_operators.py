@@ -163,6 +163,17 @@ def test_repeated_ids_with_other_texts(spark):
     assert sorted(map(tuple, kept.collect())) == sorted([(5, a), (3, b + " more"), (9, c)])
 
 
+def test_one_row_of_a_group_stays_whatever_its_id(spark):
+    """Rows that share an id, a text, both, or a source; two groups whose smallest id is the same; null ids."""
+    t, u = (" ".join(f"{p}{k}" for k in range(60)) for p in "tu")
+    rows = [(1, t, "b"), (1, t, "a"), (1, t + " word", "b"), (2, t, "a"), (1, u, "c"), (4, u + " more", "a"), (None, t, "a"), (None, "one of a kind " + u[:40], "a"), (7, None, "a"), (7, "", "a"), (8, " ", "a")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    want = sorted([(1, t, "a"), (1, u, "c"), (None, "one of a kind " + u[:40], "a"), (7, None, "a"), (7, "", "a"), (8, " ", "a")], key=str)
+    for parts in (1, 4):
+        assert sorted(map(tuple, corpus_pipeline.drop_near_copies(spark, df.repartition(parts), "").collect()), key=str) == want
+    assert corpus_pipeline.drop_near_copies(spark, df.where("false"), "").count() == 0
+
+
 def test_chunks_encode_like_whole_texts():
     e, rng = ChunkEncoder(default_tokenizer(), 2), random.Random(0)
     texts = ["".join(rng.choice("ab' .,1é\n\t   \x1c!s<|endoftext|> ") for _ in range(rng.randint(0, 30))) for _ in range(3000)]

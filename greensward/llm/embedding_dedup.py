@@ -7,7 +7,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from greensward.llm.flat_graph import k_means, lowest_labels, near_pairs, nearest
+from greensward.llm.flat_graph import all_pairs, k_means, lowest_labels, near_pairs, nearest
 from greensward.operators.graph import connected_components
 from greensward.plans.scratch import Scratch
 
@@ -15,8 +15,10 @@ from greensward.plans.scratch import Scratch
 CELL, MAX_CENTRES, CENTRE_VALUES, PER_CENTRE, BISECTORS = 1500, 4096, 1 << 20, 16, 4
 #: Larger cells are cut into blocks of half so many vectors; vectors dealt to centres at a time.
 MAX_GROUP, DEAL = 4096, 8192
-#: Queries of the audit: classes whose id this number divides, the ``AUDIT_MAX`` with the smallest hashes if there are more; the recall that stops the widening of graphs and beams.
-AUDIT_EVERY, AUDIT_MAX, RECALL, WIDTHS = 100, 2000, 0.97, (1, 2, 4)
+#: Queries of the audit: classes that hold an id that this number divides, each against all vectors of its label. The recall that stops the widening of graphs and beams, and the one below which groups are finished exactly.
+AUDIT_EVERY, RECALL, LEAST_RECALL, WIDTHS = 100, 0.97, 0.9, (1, 2, 4)
+#: Queries and vectors of a block of the audit.
+AUDIT_QUERIES, AUDIT_VECTORS = 2048, 16384
 
 NODE = ["part", "c1", "c2", "home", "id", "copies", "v"]
 
@@ -53,7 +55,9 @@ def embedding_components(vectors: DataFrame, *, vec_id: str = "vec_id", embeddin
     ``audit_recall`` is the share of the audited queries' links, by brute force
     against all vectors of their label, that the search has found (1 if there
     are none), the same in every row. Below ``RECALL`` the search is done again
-    with wider lists and beams, twice at most.
+    with wider lists and beams, twice at most; if it is below ``LEAST_RECALL``
+    then, the groups are finished by products of all their pairs, so less is
+    never returned.
 
     Vectors without a label, null, zero, or with null or non-finite components,
     and rows with a null id, have no links and are components of their own.
@@ -67,19 +71,19 @@ def embedding_components(vectors: DataFrame, *, vec_id: str = "vec_id", embeddin
     v = v.withColumn("part", F.struct("label", F.size("v").alias("dim")))
     rows = v.select("vec_id", F.when(F.col("v").isNotNull(), F.xxhash64("label", "v")).alias("a"), F.when(F.col("v").isNotNull(), F.xxhash64("v", "label", F.lit(1))).alias("b"))
     nodes = v.where("v is not null").groupBy(F.xxhash64("label", "v").alias("a"), F.xxhash64("v", "label", F.lit(1)).alias("b"))
-    nodes = scratch.put(nodes.agg(F.min("vec_id").alias("id"), F.count(F.lit(1)).alias("copies"), F.first("part").alias("part"), F.first("v").alias("v")), "nodes")
+    asked = F.max(F.col("vec_id") % AUDIT_EVERY == 0).alias("asked")
+    nodes = scratch.put(nodes.agg(F.min("vec_id").alias("id"), asked, F.count(F.lit(1)).alias("copies"), F.first("part").alias("part"), F.first("v").alias("v")), "nodes")
     # numbers of their own, since one vec_id may stand on several vectors
     nodes = scratch.put(nodes.withColumnRenamed("id", "first").withColumn("id", F.monotonically_increasing_id()), "numbered")
     placed = nodes.select("part", F.lit(0).alias("c1"), F.lit(0).alias("c2"), F.lit(True).alias("home"), "id", "copies", "v")
     placed = _split(_split(placed, "c1", ["part"], least, scratch), "c2", ["part", "c1"], least, scratch)
-    probes = scratch.put(nodes.where(F.col("first") % AUDIT_EVERY == 0).orderBy(F.xxhash64("first"), "id").limit(AUDIT_MAX).select("id", "part", "v"), "probes")
-    true = scratch.put(_true_links(nodes, probes, least), "true")
-    for width in WIDTHS:
+    true = scratch.put(_true_links(nodes, least, scratch), "true")
+    for width in (*WIDTHS, None):
         found = scratch.put(_search(placed, least, width, scratch), "found")
         links = scratch.put(found.groupBy("id").agg(F.sum("links").alias("links")), "links")
         got = true.join(links, "id", "left").agg(F.sum(F.coalesce("links", F.lit(0))).alias("got"), F.sum("true").alias("true")).first()
         recall = got.got / got.true if got.true else 1.0
-        if recall >= RECALL:
+        if recall >= (LEAST_RECALL if width == WIDTHS[-1] else RECALL):
             break
     roots = connected_components(found.where("root <> id").select(F.col("id").alias("src"), F.col("root").alias("dst")), scratch=scratch)
     known = nodes.select(F.col("a").alias("ka"), F.col("b").alias("kb"), "id", "first", "copies").join(links, "id", "left").join(roots, "id", "left")
@@ -189,9 +193,11 @@ def _split(placed: DataFrame, into: str, by: list[str], least: float, scratch: S
     return scratch.put(rest.unionByName(moved), f"cells-{into}")
 
 
-def _search(placed: DataFrame, least: float, width: int, scratch: Scratch) -> DataFrame:
+def _search(placed: DataFrame, least: float, width: int | None, scratch: Scratch) -> DataFrame:
     """For each group a row with the links of each node there and the smallest node that they lead to.
 
+    Without a ``width`` the pairs of a group come from products of all its vectors.
+
     A group holds a block ``i`` of a cell's own nodes, as the index, and a block
     ``j`` of own nodes or, for ``j >= nb``, of visitors that query it. Each pair
     in range meets in one group alone, which counts it for both ends.
@@ -216,9 +222,9 @@ def _search(placed: DataFrame, least: float, width: int, scratch: Scratch) -> Da
         inside = blk == i
         at, out = np.flatnonzero(inside), np.flatnonzero(~inside)
         if i == j:
-            a, b = near_pairs(x, None, least, width)
+            a, b = near_pairs(x, None, least, width) if width else all_pairs(x, None, least)
         elif len(at) and len(out):
-            a, b = near_pairs(x[at], x[out], least, width)
+            a, b = near_pairs(x[at], x[out], least, width) if width else all_pairs(x[at], x[out], least)
             a, b = at[a], out[b]
         else:
             a = b = np.zeros(0, np.int64)
@@ -230,35 +236,35 @@ def _search(placed: DataFrame, least: float, width: int, scratch: Scratch) -> Da
     return own.select(fields).unionByName(visit.select(fields)).groupBy(*by, "i", "j").applyInArrow(search, "id bigint, links bigint, root bigint")
 
 
-def _true_links(nodes: DataFrame, probes: DataFrame, least: float) -> DataFrame:
-    """``id, true``: how many rows of other nodes each probe is linked with, by brute force against all nodes of its label.
+def _true_links(nodes: DataFrame, least: float, scratch: Scratch) -> DataFrame:
+    """``id, true``: how many rows of other nodes each query is linked with, by brute force against all nodes of its label.
 
-    The probes, ``AUDIT_MAX`` at most, go to every task; a task hands back one
-    count for each of them.
+    Queries are the nodes that are ``asked``. A task holds a block of them and
+    one of the nodes of their label.
     """
-    few = probes.select("id", "part.label", "part.dim", "v").collect()
-    asked: dict[tuple, tuple[np.ndarray, np.ndarray]] = {}
-    for key in {(r.label, r.dim) for r in few}:
-        mine = [r for r in few if (r.label, r.dim) == key]
-        asked[key] = np.array([r.id for r in mine]), np.array([r.v for r in mine])
-
-    def count(batches):
-        total: dict[int, int] = {}
-        for batch in batches:
-            keys = list(zip(batch.column("label").to_pylist(), batch.column("dim").to_pylist(), strict=True))
-            ids, copies, v = batch.column("id").to_numpy(), batch.column("copies").to_numpy(), batch.column("v")
-            for key in set(keys) & set(asked):
-                at = np.array([i for i, k in enumerate(keys) if k == key])
-                x = _stack(pa.chunked_array([v.take(pa.array(at))]))
-                who, y = asked[key]
-                hit = y @ x.T >= least
-                hit &= who[:, None] != ids[at][None, :]
-                for i, n in zip(who.tolist(), (hit @ copies[at]).tolist(), strict=True):
-                    total[i] = total.get(i, 0) + n
-        yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.int64()), pa.array(list(total.values()), pa.int64())], names=["id", "n"])
-
-    slim = nodes.select("id", "copies", "part.label", "part.dim", "v")
-    return slim.mapInArrow(count, "id bigint, n bigint").groupBy("id").agg(F.sum("n").alias("true"))
+    blocks = lambda n, most: F.greatest(F.ceil(n / most), F.lit(1)).cast("int")
+    sizes = nodes.groupBy("part").agg(blocks(F.count_if("asked"), AUDIT_QUERIES).alias("nq"), blocks(F.count(F.lit(1)), AUDIT_VECTORS).alias("nv"), F.max("asked").alias("any"))
+    sizes = scratch.small(scratch.put(sizes.where("any").drop("any"), "audit"))
+    each = nodes.join(sizes, "part").select("part", "id", "copies", "asked", "v", "nq", "nv")
+    mine = lambda n: F.pmod(F.xxhash64("id", F.lit(7)), F.col(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    pick = lambda d, *names: d.select(*[F.col(c).alias(c) for c in names])
+    queries = pick(each.where("asked").withColumn("i", mine("nq")).withColumn("j", every("nv")), "part", "i", "j", "id", "v")
+    against = pick(each.withColumn("j", mine("nv")).withColumn("i", every("nq")), "part", "i", "j", "id", "copies", "v")
+
+    def count(asked: pa.Table, all_: pa.Table) -> pa.Table:
+        if not asked.num_rows or not all_.num_rows:
+            return pa.table({"id": pa.array([], pa.int64()), "n": pa.array([], pa.int64())})
+        who, ids, copies = asked.column("id").to_numpy(), all_.column("id").to_numpy(), all_.column("copies").to_numpy()
+        y, x, n = _stack(asked.column("v")), _stack(all_.column("v")), np.zeros(len(who), np.int64)
+        for s in range(0, len(ids), 4096):
+            hit = (y @ x[s : s + 4096].T >= least) & (who[:, None] != ids[None, s : s + 4096])
+            n += hit @ copies[s : s + 4096]
+        return pa.table({"id": pa.array(who), "n": pa.array(n)})
+
+    keys = ["part", "i", "j"]
+    counted = queries.groupBy(*keys).cogroup(against.groupBy(*keys)).applyInArrow(count, "id bigint, n bigint")
+    return counted.groupBy("id").agg(F.sum("n").alias("true"))
 
 
 def op5_embedding_dedup(spark, sf_dir: str) -> DataFrame:

@@ -35,7 +35,8 @@ def robust_prune(x: np.ndarray, degree: int = DEGREE) -> np.ndarray:
     k = min(3 * degree, len(x) - 1)
     if k < 1:
         return np.zeros((0, 2), np.int64)
-    near = np.argsort(-sim, axis=1, kind="stable")[:, :k]
+    near = np.argpartition(-sim, k - 1, axis=1)[:, :k]
+    near = np.take_along_axis(near, np.argsort(-np.take_along_axis(sim, near, 1), axis=1, kind="stable"), 1)
     dist = np.sqrt(np.maximum(0, 2 - 2 * sim))
     row = np.arange(len(x))
     alive, kept = np.ones(near.shape, bool), np.zeros(near.shape, bool)
@@ -70,9 +71,10 @@ class FlatGraph:
                     part = np.unique(np.append(part, medoids[-1]))
                     edges.append(part[robust_prune(x[part], DEGREE * width)])
         e = np.concatenate(edges)
-        e = np.unique(np.concatenate([e, e[:, ::-1]]), axis=0)
-        self.to = e[:, 1]
-        self.head = np.searchsorted(e[:, 0], np.arange(n + 1))
+        both = np.sort(np.concatenate([e[:, 0] * n + e[:, 1], e[:, 1] * n + e[:, 0]]))
+        both = both[np.diff(both, prepend=-1) > 0]
+        self.to = both % max(n, 1)
+        self.head = np.searchsorted(both, np.arange(n + 1) * n)
         self.medoids = np.unique(np.array(medoids, np.int64))
         self.scored = 0
 
@@ -165,6 +167,17 @@ def near_pairs(x: np.ndarray, guests: np.ndarray | None, least: float, width: in
     return np.divmod(flat, len(x))
 
 
+def all_pairs(x: np.ndarray, guests: np.ndarray | None, least: float) -> tuple[np.ndarray, np.ndarray]:
+    """Each pair of ``x`` (or of ``x`` and ``guests``) with a product of at least ``least``, once."""
+    found = [(np.zeros(0, np.int64),) * 2]
+    for s in range(0, len(x), 1024):
+        hit = x[s : s + 1024] @ (x if guests is None else guests).T >= least
+        a, b = np.nonzero(hit)
+        keep = slice(None) if guests is not None else a + s < b
+        found.append((a[keep] + s, b[keep]))
+    return np.concatenate([f[0] for f in found]), np.concatenate([f[1] for f in found])
+
+
 def lowest_labels(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """For each of ``n`` nodes the smallest one that links ``a - b`` lead to."""
     label = np.arange(n)

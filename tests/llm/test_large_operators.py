@@ -295,6 +295,7 @@ def test_embedding_links(spark, monkeypatch, cell, group, centres):
 def test_links_count_for_both_ends(spark, monkeypatch):
     """With a search that misses much, a link still counts for both its ends, and the recall that is told is the real one."""
     monkeypatch.setattr(embedding_dedup, "WIDTHS", (1,))
+    monkeypatch.setattr(embedding_dedup, "LEAST_RECALL", 0.0)
     real = embedding_dedup.near_pairs
     monkeypatch.setattr(embedding_dedup, "near_pairs", lambda *a: tuple(v[::2] for v in real(*a)))
     x, labels = cluster_vectors(7, 900)
@@ -306,6 +307,33 @@ def test_links_count_for_both_ends(spark, monkeypatch):
     assert got.n_links.sum() % 2 == 0 and all(got.n_links[k] <= links[k] for k in links)
 
 
+@pytest.mark.parametrize("queries", [2048, 3])
+def test_a_low_recall_is_never_returned(spark, monkeypatch, queries):
+    """A search that finds next to nothing: groups are finished exactly. Copies whose smallest id isn't a query's are asked as well."""
+    monkeypatch.setattr(embedding_dedup, "WIDTHS", (1, 2))
+    monkeypatch.setattr(embedding_dedup, "near_pairs", lambda *a: (np.zeros(0, np.int64),) * 2)
+    for name, value in (("CELL", 60), ("MAX_GROUP", 100), ("AUDIT_QUERIES", queries), ("AUDIT_VECTORS", 70)):
+        monkeypatch.setattr(embedding_dedup, name, value)
+    x, labels = cluster_vectors(5, 600)
+    x = np.concatenate([x, x[:1]])
+    labels = np.append(labels, labels[0])
+    ids = [7 + 100 * k + 1 for k in range(len(x) - 1)] + [500_000]  # one query alone, a copy of the first
+    df = spark.createDataFrame([(i, v.tolist(), int(k)) for i, v, k in zip(ids, x, labels, strict=True)], "vec_id long, embedding array<double>, label int")
+    got = embedding_dedup.embedding_components(df).toPandas().set_index("vec_id")
+    links, component = brute_links(ids, x, labels)
+    assert links[500_000] > 1 and got.audit_recall.iloc[0] == 1.0
+    assert got.n_links.to_dict() == links and got.component_id.to_dict() == dict(component)
+
+
+def test_all_pairs():
+    x = cluster_vectors(3, 300)[0]
+    x = x / np.linalg.norm(x, axis=1, keepdims=True)
+    a, b = flat_graph.all_pairs(x, None, 0.98)
+    assert set(zip(a.tolist(), b.tolist(), strict=True)) == {(i, j) for i, j in np.argwhere(x @ x.T >= 0.98).tolist() if i < j}
+    a, b = flat_graph.all_pairs(x[:50], x[50:], 0.98)
+    assert set(zip(a.tolist(), b.tolist(), strict=True)) == {(i, j) for i, j in np.argwhere(x[:50] @ x[50:].T >= 0.98).tolist()}
+
+
 def test_embedding_links_of_large_groups(spark):
     """Thousands of distinct near copies in one label, and looser ones that straddle cells."""
     rng = np.random.default_rng(3)

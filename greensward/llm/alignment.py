@@ -7,9 +7,10 @@ character, which is verified when its file is loaded. Where that fails, a whole
 text is one segment. Both tokenizers end a token at a cut, so groups, links and
 digests of a text are those of its segments in turn.
 
-Tasks that read documents name the distinct segments of each block of texts;
-these are made distinct over the corpus, tokenized and aligned once, joined back
-to the blocks that hold them, and composed there. How many documents hold a pair
+Tasks that read documents name the distinct segments of each block of texts. All
+blocks that ask for a segment meet in one task, in the order of segments, where
+it is tokenized and aligned once; what it gives goes back to these blocks, and
+documents are composed there. How many documents hold a pair
 is counted by block and summed, and goes back to the blocks the same way.
 """
 
@@ -281,20 +282,26 @@ def align_documents(docs: DataFrame, byte_bpe: str | None = None, pieces: str |
     slim = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"].alias("text"))
 
     def align(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        aligner = _aligner(*paths)
+        """Rows come in the order of segments, so all that ask for one stand together and it is worked out once."""
+        aligner, last = _aligner(*paths), {}
         for batch in batches:
-            for s in range(0, batch.num_rows, SEGMENTS):
-                some = batch.column("segment").slice(s, SEGMENTS)
-                yield pa.RecordBatch.from_arrays([some, pa.array(aligner.groups(some.to_pylist()), pa.string())], names=["segment", "groups"])
+            d = batch.column("segment").dictionary_encode()
+            names = d.dictionary.to_pylist()
+            fresh = [n for n in names if n not in last]
+            for s in range(0, len(fresh), SEGMENTS):
+                last.update(zip(fresh[s : s + SEGMENTS], aligner.groups(fresh[s : s + SEGMENTS]), strict=True))
+            groups = pa.array([last[n] for n in names], pa.string())
+            yield pa.RecordBatch.from_arrays([batch.column("at"), batch.column("key"), groups.take(d.indices)], names=["at", "key", "groups"])
+            last = {names[-1]: last[names[-1]]} if names else last
+        give_back()
 
     nothing = F.lit(None).cast("binary").alias("docs")
     seen = scratch.put(slim.mapInArrow(_look(*paths), _SEEN), "seen")
     asked = seen.where(of_kind(ANSWER)).select("segment", "at", "key")
-    aligned = scratch.put(asked.select("segment").distinct().mapInArrow(align, "segment string, groups string"), "aligned")
-    answers = asked.join(aligned, "segment").select("at", "key", "groups", nothing)
+    answers = asked.repartition("segment").sortWithinPartitions("segment").mapInArrow(align, "at bigint, key bigint, groups string").withColumn("docs", nothing)
     texts = seen.where(of_kind(DOCUMENT)).select("at", "key", F.lit(None).cast("string").alias("groups"), "docs")
     composed = scratch.put(by_block(answers.unionByName(texts)).mapInArrow(_compose, _COMPOSED), "composed")
-    scratch.drop(seen, aligned)
+    scratch.drop(seen)
     pairs = composed.where(of_kind(ANSWER)).select("a", "b", "at", "key", "n")
     counts = pairs.groupBy("a", "b").agg(F.sum("n").alias("n"))
     of_first = Window.partitionBy("a")  # as many rows as the second vocabulary has at most

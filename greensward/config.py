@@ -29,7 +29,7 @@ INDEX_BANDS = {
     "bsi": ("blue", "nir", "red", "swir16"),
 }
 
-#: Asset keys by sensor and band; ``scl`` and ``qa`` are class bands.
+#: Asset keys by sensor and band; ``scl`` and ``qa`` are class bands. Fixed values.
 ASSETS = {
     "s2": {"blue": "blue", "green": "green", "red": "red", "rededge1": "rededge1", "rededge2": "rededge2", "rededge3": "rededge3", "nir": "nir", "nir08": "nir08", "swir16": "swir16", "swir22": "swir22", "scl": "scl"},
     "landsat": {"blue": "blue", "green": "green", "red": "red", "nir08": "nir08", "swir16": "swir16", "swir22": "swir22", "qa": "qa_pixel"},
@@ -38,7 +38,7 @@ ASSETS = {
 CLASS_BANDS = {"s2": "scl", "landsat": "qa", "hls": "qa"}
 BASELINE_YEARS, BASELINE_CLOUD = (2017, 2019, 2021, 2022, 2025), 40
 
-#: Names of land-cover classes.
+#: Names of land-cover classes. Fixed values.
 LEGEND = {
     0: "No data / not observed",
     3: "Forest formation",

@@ -79,13 +79,18 @@ def masked(value: Column, clear: Column) -> Column:
     return F.when(clear, value)
 
 
-def scale_offset(sensor: Column, date: Column, processing: Column | None = None, cutoff: str = "2022-01-25") -> tuple[Column, Column]:
-    """Reflectance scale and offset by sensor; for s2 by processing baseline, else by date."""
+def scale_offset(sensor: Column, date: Column, processing: Column | None = None, cutoff: str = "2022-01-25", own: tuple[Column, Column] | None = None) -> tuple[Column, Column]:
+    """Reflectance scale and offset by sensor; for s2 by processing baseline, else by date.
+
+    Where a scene brings its own scale (``own``: scale, offset), both are its own; its offset is 0 if it has none.
+    """
     new = date >= F.lit(cutoff).cast("date")
     if processing is not None:
         new = F.coalesce(processing >= 4.0, new)
     scale = F.when(sensor == "landsat", 2.75e-5).otherwise(1e-4)
     offset = F.when(sensor == "landsat", -0.2).when((sensor != "hls") & new, -0.1).otherwise(0.0)
+    if own is not None:
+        scale, offset = F.coalesce(own[0].cast("double"), scale), F.when(own[0].isNotNull(), F.coalesce(own[1].cast("double"), F.lit(0.0))).otherwise(offset)
     return scale, offset
 
 

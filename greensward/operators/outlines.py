@@ -143,3 +143,54 @@ def polygons(rings: DataFrame, image: str = "img", left: float = 0.0, top: float
     point = lambda p: F.struct((left + p["col"] * res).alias("x"), (top - p["row"] * res).alias("y"))
     one = F.struct((F.col("cells") < 0).alias("hole"), F.col("ring")[0].alias("first"), F.transform("ring", point).alias("ring"))
     return rings.groupBy(image, "region").agg(F.transform(F.array_sort(F.collect_list(one)), lambda r: r["ring"]).alias("rings"))
+
+
+def simple_ring(points: np.ndarray, tolerance: float) -> np.ndarray:
+    """A closed ring without the corners that lie within ``tolerance`` of the lines between those kept (Douglas and Peucker's rule).
+
+    The ring is cut at its first corner and the one farthest from it, which stay;
+    so does the one farthest from their line, so a ring keeps three corners.
+    """
+    p = points[:-1]
+    n = len(p)
+    if n <= 3:
+        return points
+    far = int(((p - p[0]) ** 2).sum(1).argmax())
+    keep = np.zeros(n + 1, bool)
+    keep[[0, far, n]] = True
+    closed = np.concatenate([p, p[:1]])
+
+    def off(a: int, b: int) -> np.ndarray:
+        """Distance of the corners between a and b from the stretch a to b."""
+        start, line, q = closed[a], closed[b] - closed[a], closed[a + 1 : b]
+        t = np.clip((q - start) @ line / max(float(line @ line), 1e-300), 0.0, 1.0)
+        return np.sqrt(((q - start - t[:, None] * line) ** 2).sum(1))
+
+    todo = [(0, far), (far, n)]
+    while todo:
+        a, b = todo.pop()
+        if b - a > 1:
+            d = off(a, b)
+            k = a + 1 + int(d.argmax())
+            if d.max() > tolerance:
+                keep[k] = True
+                todo += [(a, k), (k, b)]
+    if keep[:n].sum() < 3:
+        sides = [(a + 1 + int(d.argmax()), float(d.max())) for a, b in ((0, far), (far, n)) if b - a > 1 for d in [off(a, b)]]
+        keep[max(sides, key=lambda s: s[1])[0]] = True
+    return closed[keep]
+
+
+def simplify(shapes: DataFrame, tolerance: float = 12.0, rings: str = "rings") -> DataFrame:
+    """Polygons whose rings keep only the corners that they need to stay within ``tolerance`` metres; rings stay closed, and none goes."""
+    point = pa.struct([("x", pa.float64()), ("y", pa.float64())])
+
+    @F.arrow_udf("array<array<struct<x:double,y:double>>>")
+    def simple(column: pa.Array) -> pa.Array:
+        out = []
+        for polygon in column.to_pylist():
+            done = [simple_ring(np.array([(p["x"], p["y"]) for p in ring]), tolerance) for ring in polygon or []]
+            out.append(None if polygon is None else [[{"x": x, "y": y} for x, y in ring.tolist()] for ring in done])
+        return pa.array(out, pa.list_(pa.list_(point)))
+
+    return shapes.withColumn(rings, simple(F.col(rings)))

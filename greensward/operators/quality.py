@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from greensward.operators.quantiles import with_quantiles
+from greensward.operators.quantiles import finite, with_quantiles
 from greensward.operators.spatial import utm_inverse
 
 #: Fixed limits of the verdict: fail and warn.
@@ -14,11 +14,11 @@ WARN = {"out_of_range": 0.001, "high": 0.005, "kurtosis": 10.0, "nodata": 0.15}
 
 
 def profile(values: DataFrame, by: list[str], value: str = "v") -> DataFrame:
-    """Moments, percentiles and shares; null and 0 are no data. Moments are of the population, kurtosis in excess.
+    """Moments, percentiles and shares; null, 0 and values that aren't finite are no data. Moments are of the population, kurtosis in excess.
 
     Percentiles come from histograms (``exact_quantiles``), so groups may be of any size.
     """
-    values = values.withColumn(value, F.when(F.col(value) != 0, F.col(value)))
+    values = values.withColumn(value, finite(F.when(F.col(value) != 0, F.col(value))))
     v = F.col(value)
     share = lambda c: F.round(F.try_divide(F.count_if(c), F.count(v)), 6)
     r = lambda c: F.round(c, 6)
@@ -95,6 +95,19 @@ def stratified_sample(rows: DataFrame, strata: list[str], key: Column, n: int =
     return rows.withColumn("rn", F.row_number().over(Window.partitionBy(*strata).orderBy(key))).where(F.col("rn") <= n).drop("rn")
 
 
+def bounded_sample(rows: DataFrame, by: list[str], key: Column, most: int = 50_000) -> DataFrame:
+    """At most ``most`` rows of each group, those with the smallest ``key``; exactly all of a smaller group.
+
+    With a hash of what tells rows apart as the key this is uniform without
+    replacement, and the same for any partitioning. Each task keeps the smallest
+    of its own rows before anything is shuffled (the limit on ``row_number`` is
+    worked out on both sides), so a group is never gathered. Of equal keys any
+    may stay, so the key should be one.
+    """
+    place = F.row_number().over(Window.partitionBy(*by).orderBy("_key"))
+    return rows.withColumn("_key", key).withColumn("_place", place).where(F.col("_place") <= most).drop("_key", "_place")
+
+
 def sample_sheet(sample: DataFrame, order: Column) -> DataFrame:
     """The sheet that a person fills in: numbered alerts with the middle of their box in degrees to six decimals, and an empty verdict.
 

@@ -8,10 +8,12 @@ from statistics import NormalDist
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from greensward import config
+from greensward.operators.pairs import kendall_s, slope_ranks
 from greensward.operators.quantiles import finite, with_quantiles
 
 
@@ -91,17 +93,27 @@ def gap_fill(series: DataFrame, value: str = "value") -> DataFrame:
     return r.select("series_id", "bin_start", F.coalesce("inter", seasonal).alias("value"), label.alias("filled"))
 
 
-def sen_pairs(series: DataFrame) -> DataFrame:
-    """Pairs i < j of each series; an equality join on the series."""
-    a = series.select("series_id", F.col("date").alias("di"), F.col("value").alias("vi"))
-    b = series.select("series_id", F.col("date").alias("dj"), F.col("value").alias("vj"))
-    return a.join(b, "series_id").where("di < dj")
+def _by_series(series: DataFrame, figures, ddl: str) -> DataFrame:
+    """``figures(day, value)`` of each series, days since 1970 in order; a task has the points of a series, never its pairs."""
+    days = F.datediff("date", F.lit("1970-01-01").cast("date"))
+    points = series.select("series_id", days.alias("day"), F.col("value").cast("double").alias("value"))
+    names = [f.split()[0] for f in ddl.split(", ")]
+
+    def one(table: pa.Table) -> pa.Table:
+        day, value = table.column("day").to_numpy().astype(np.float64), table.column("value").to_numpy()
+        order = np.lexsort((value, day))
+        out = table.select(["series_id"]).slice(0, 1)
+        for name, figure in zip(names, figures(day[order], value[order]), strict=True):
+            out = out.append_column(name, pa.array([figure]))
+        return out
+
+    return points.groupBy("series_id").applyInArrow(one, f"series_id {dict(series.dtypes)['series_id']}, {ddl}")
 
 
 def mann_kendall(series: DataFrame) -> DataFrame:
-    """``series_id, n, s, tau, var_s, z``: S over all pairs, with the variance corrected for ties; zeros with under four values. Nulls are left out."""
+    """``series_id, n, s, tau, var_s, z``: S over all pairs, by merge counts, with the variance corrected for ties; zeros with under four values. Nulls are left out."""
     series = series.where("value is not null")
-    s = sen_pairs(series).groupBy("series_id").agg(F.sum(F.signum(F.col("vj") - F.col("vi"))).cast("long").alias("s"))
+    s = _by_series(series, lambda day, value: [kendall_s(day, value)], "s bigint")
     t = series.groupBy("series_id", "value").agg(F.count(F.lit(1)).alias("t")).groupBy("series_id").agg(F.sum("t").alias("n"), F.sum(F.col("t") * (F.col("t") - 1) * (2 * F.col("t") + 5)).alias("ties"))
     n, enough = F.col("n"), F.col("n") >= 4
     out = t.join(s, "series_id", "left").withColumn("s", F.when(enough, F.coalesce("s", F.lit(0))).otherwise(0))
@@ -111,25 +123,29 @@ def mann_kendall(series: DataFrame) -> DataFrame:
     return out.select("series_id", "n", "s", F.round(tau, 6).alias("tau"), F.round("var_s", 6).alias("var_s"), F.round(z, 6).alias("z"))
 
 
+def sen_figures(day: np.ndarray, value: np.ndarray) -> list[float]:
+    """Slope a year, intercept at the first day, and the bounds of the slope; zeros with under three values or on one day."""
+    n = len(day)
+    _, same = np.unique(day, return_counts=True)
+    k = n * (n - 1) // 2 - int((same * (same - 1) // 2).sum())
+    if n < 3 or not k:
+        return [0.0] * 4
+    c = 1.96 * math.sqrt(n * (n - 1) * (2 * n + 5) / 18.0)
+    low, high = (max(min(int((k + d) / 2), k - 1), 0) for d in (-c, c))
+    a, b, first, last = (365.25 * m for m in slope_ranks(day, value, [(k - 1) // 2, k // 2, low, high]))
+    slope = (a + b) / 2
+    return [slope, float(np.median(value - slope * (day - day[0]) / 365.25)), first, last]
+
+
 def sen_slope(series: DataFrame) -> DataFrame:
     """``series_id, slope, intercept, low, high`` a year: the median of pair slopes, its 95 % bounds by rank without tie correction, and the median of what the slope leaves, at the first date.
 
     Zeros with under three values or without two dates; nulls are left out.
+    Ranks are searched over the slopes as they are made, so pairs are neither
+    shuffled nor held.
     """
-    known = series.where("value is not null")
-    p = sen_pairs(known).withColumn("m", (F.col("vj") - F.col("vi")) / (F.datediff("dj", "di") / F.lit(365.25)))
-    p = p.withColumn("r", F.row_number().over(Window.partitionBy("series_id").orderBy("m")) - 1)
-    sizes = known.groupBy("series_id").agg(F.count(F.lit(1)).alias("n"), F.min("date").alias("d0"))
-    p = p.join(sizes, "series_id").where("n >= 3")
-    k = F.count(F.lit(1)).over(Window.partitionBy("series_id"))
-    p = p.withColumn("k", k)
-    c = 1.96 * F.sqrt(F.col("n") * (F.col("n") - 1) * (2 * F.col("n") + 5) / F.lit(18.0))
-    low, high = (F.greatest(F.least((x / 2).cast("int"), F.col("k").cast("int") - 1), F.lit(0)) for x in (F.col("k") - c, F.col("k") + c))
-    at = lambda i: F.max(F.when(F.col("r") == i, F.col("m")))
-    slopes = p.groupBy("series_id").agg(F.median("m").alias("slope"), at(low).alias("low"), at(high).alias("high"))
-    rest = known.join(sizes, "series_id").join(slopes, "series_id").withColumn("rest", F.col("value") - F.col("slope") * F.datediff("date", "d0") / F.lit(365.25))
-    base = rest.groupBy("series_id").agg(F.median("rest").alias("intercept"))
-    out = series.select("series_id").distinct().join(slopes, "series_id", "left").join(base, "series_id", "left")
+    found = _by_series(series.where("value is not null"), sen_figures, "slope double, intercept double, low double, high double")
+    out = series.select("series_id").distinct().join(found, "series_id", "left")
     return out.select("series_id", *[F.round(F.coalesce(c, F.lit(0.0)), 6).alias(c) for c in ("slope", "intercept", "low", "high")])
 
 

@@ -17,16 +17,26 @@ def snap(coordinate: Column, origin: float, res: float, tolerance: float) -> Col
     return F.when(F.abs(coordinate - (origin + (k + 0.5) * res)) <= tolerance, k)
 
 
+def tile_grids(extents: DataFrame, by: list[str], res: float = 20.0, tile_px: int = 1024) -> DataFrame:
+    """``by, tile_row, tile_col, west, south, east, north``: rectangles of at most ``tile_px`` cells a side that cover each extent in degrees.
+
+    Extents without an area, or with a null side, have no tiles.
+    """
+    dy = F.lit(tile_px * res / METRES_LAT)
+    dx = tile_px * res / (METRES_LON * F.cos(F.radians((F.col("south") + F.col("north")) / 2)))
+    count = lambda low, high, step: F.sequence(F.lit(0), (F.ceil((F.col(high) - F.col(low)) / step) - 1).cast("int"))
+    e = extents.where("west < east and south < north").select(*by, "west", "south", "east", "north", dx.alias("dx"), dy.alias("dy"))
+    e = e.withColumn("tile_row", F.explode(count("south", "north", F.col("dy")))).withColumn("tile_col", F.explode(count("west", "east", F.col("dx"))))
+    x0, y0 = F.col("west") + F.col("tile_col") * F.col("dx"), F.col("south") + F.col("tile_row") * F.col("dy")
+    return e.select(*by, "tile_row", "tile_col", x0.alias("west"), y0.alias("south"), F.least(x0 + F.col("dx"), "east").alias("east"), F.least(y0 + F.col("dy"), "north").alias("north"))
+
+
 def tile_grid(spark: SparkSession, west: float, south: float, east: float, north: float, res: float = 20.0, tile_px: int = 1024) -> DataFrame:
     """Rectangles of at most ``tile_px`` cells a side that cover a box in degrees."""
     if not (west < east and south < north):
         raise ValueError("bounds must have west < east and south < north")
-    dy = tile_px * res / METRES_LAT
-    dx = tile_px * res / (METRES_LON * math.cos(math.radians((south + north) / 2)))
-    nx, ny = math.ceil((east - west) / dx), math.ceil((north - south) / dy)
-    grid = spark.range(1).select(F.explode(F.sequence(F.lit(0), F.lit(ny - 1))).alias("tile_row")).select("tile_row", F.explode(F.sequence(F.lit(0), F.lit(nx - 1))).alias("tile_col"))
-    x0, y0 = west + F.col("tile_col") * dx, south + F.col("tile_row") * dy
-    return grid.select("tile_row", "tile_col", x0.alias("west"), y0.alias("south"), F.least(x0 + dx, F.lit(east)).alias("east"), F.least(y0 + dy, F.lit(north)).alias("north"))
+    box = spark.range(1).select(*[F.lit(float(v)).alias(c) for c, v in (("west", west), ("south", south), ("east", east), ("north", north))])
+    return tile_grids(box, [], res, tile_px)
 
 
 def box_pairs(a: DataFrame, b: DataFrame, on: list[str], bucket: int = 100) -> DataFrame:

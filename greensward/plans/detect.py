@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from greensward import config
 from greensward.functions import indices as ix
 from greensward.functions.detection import clearing, confidence_label
-from greensward.operators import composites, persistence, regions
+from greensward.operators import composites, outlines, persistence, regions
 from greensward.sources import alerts as store
 from greensward.sources import baselines, scenes
 
@@ -33,7 +33,7 @@ def build_baselines(obs: DataFrame, values: dict[str, Column], path: str, *, for
     return baselines.stored_pairs(spark, path)
 
 
-def detect(obs: DataFrame, base: DataFrame, values: dict[str, Column], clear: Column, *, scene: str = "scene", rank: str = "obs_id", bsi: Column | None = None, spi: float = 0.0, min_clear: float = config.MIN_CLEAR["streaming"], most: float = config.MAX_ALERT_FRACTION, denominator: str = "all", min_ha: float = config.MIN_AREA_HA, max_ha: float = config.MAX_AREA_HA, res: float = 20.0, landcover: dict[str, str] | None = None) -> DataFrame:
+def detect(obs: DataFrame, base: DataFrame, values: dict[str, Column], clear: Column, *, scene: str = "scene", rank: str = "obs_id", bsi: Column | None = None, spi: float = 0.0, min_clear: float = config.MIN_CLEAR["streaming"], most: float = config.MAX_ALERT_FRACTION, denominator: str = "all", min_ha: float = config.MIN_AREA_HA, max_ha: float = config.MAX_AREA_HA, res: float = 20.0, landcover: dict[str, str] | None = None, rings: bool = False) -> DataFrame:
     """Alerts of all scenes: a row for each connected region of cells of an anomaly.
 
     ``obs`` has ``pixel, row, col, obs_date`` and the bands; of a cell's
@@ -43,8 +43,10 @@ def detect(obs: DataFrame, base: DataFrame, values: dict[str, Column], clear: Co
     ``confidence_label``, ``clearing`` (the most frequent type above 0, if
     ``bsi`` is given; the state before is the month's baseline of nbr), its box
     ``x0, y0, x1, y1`` in metres from the grid's corner, and the land cover of
-    its cells for each collection in ``landcover``. Several scenes are worked on
-    at once; nothing but the plan is on the driver.
+    its cells for each collection in ``landcover``; with ``rings`` also its
+    outline, as rings of points in metres from that corner with y falling from
+    row to row (``outlines.polygons``). Several scenes are worked on at once;
+    nothing but the plan is on the driver.
     """
     good = composites.clear_gate(obs, scene, clear, min_clear).select(scene)
     found = obs.join(good, scene, "left_semi").withColumns({f"_v_{n}": v for n, v in values.items()})
@@ -66,7 +68,11 @@ def detect(obs: DataFrame, base: DataFrame, values: dict[str, Column], clear: Co
     out = regions.area_filter(out.withColumn("area_ha", regions.area_ha(F.col("n_cells"), res)), min_ha, max_ha)
     out = out.withColumn("confidence_label", confidence_label(F.col("confidence")))
     out = out.join(regions.zonal_mode(labelled, by, "clearing").withColumnRenamed("mode", "clearing"), by, "left")
-    return out.join(regions.annotate_all(labelled, by, landcover), by, "left") if landcover else out
+    out = out.join(regions.annotate_all(labelled, by, landcover), by, "left") if landcover else out
+    if rings:
+        kept = labelled.join(out.select(*by), by, "left_semi")
+        out = out.join(outlines.polygons(outlines.outlines(kept, scene), scene, res=res), by, "left")
+    return out
 
 
 def track_and_store(alerts: DataFrame, path: str, scene: str = "scene") -> DataFrame:

@@ -117,9 +117,19 @@ def _values_sql(rows: list[tuple]) -> str:
     return ", ".join("(" + ", ".join(f"'{x}'" for x in r) + ")" for r in rows)
 
 
-@query("asset_keys", f"SELECT sensor, band, asset FROM (VALUES {_values_sql([(s, b, a) for s, m in config.ASSETS.items() for b, a in m.items()])}) t(sensor, band, asset)")
+# written out, so that a wrong entry of the table shows
+_ASSET_SQL = """CASE sensor WHEN 's2' THEN CASE WHEN band IN ('blue', 'green', 'red', 'nir', 'nir08', 'swir16', 'swir22', 'scl') THEN band END
+  WHEN 'landsat' THEN CASE WHEN band IN ('blue', 'green', 'red', 'nir08', 'swir16', 'swir22') THEN band WHEN band = 'qa' THEN 'qa_pixel' END
+  WHEN 'hls' THEN CASE band WHEN 'blue' THEN 'B02' WHEN 'green' THEN 'B03' WHEN 'red' THEN 'B04' WHEN 'nir' THEN 'B8A' WHEN 'nir08' THEN 'B8A' WHEN 'swir16' THEN 'B11' WHEN 'swir22' THEN 'B12' WHEN 'qa' THEN 'Fmask' END END"""
+_BANDS = ("blue", "green", "red", "nir", "nir08", "swir16", "swir22", "scl", "qa", "pan")
+
+
+@query("asset_keys", f"WITH s AS (SELECT o_orderkey AS scene, ['s2', 'landsat', 'hls', 'other'][o_custkey % 4 + 1] AS sensor, unnest({list(_BANDS)!r}) AS band FROM orders) SELECT scene, sensor, band, {_ASSET_SQL} AS asset FROM s WHERE {_ASSET_SQL} IS NOT NULL")
 def asset_keys(spark, d) -> DataFrame:
-    return spark.createDataFrame([(s, b, sensors.asset_key(s, b)) for s, m in config.ASSETS.items() for b in m], "sensor string, band string, asset string")
+    """The assets that scenes of each sensor have for ten bands; unknown sensors and bands have none."""
+    kind = F.get(F.array(*map(F.lit, ("s2", "landsat", "hls", "other"))), (F.col("o_custkey") % 4).cast("int"))
+    scenes_ = table(spark, d, "orders").select(F.col("o_orderkey").alias("scene"), kind.alias("sensor"), F.explode(F.array(*map(F.lit, _BANDS))).alias("band"))
+    return scenes_.withColumn("asset", sensors.asset_of(F.col("sensor"), F.col("band"))).where("asset is not null")
 
 
 def _legend_sql(code: str) -> str:

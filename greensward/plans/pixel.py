@@ -41,12 +41,23 @@ for _n, _clear, _sql in (("mask_scl", lambda: ix.clear_scl(F.col("scl")), _SCL),
 
 @query("reflectance_scale", f"""WITH {OBS_SQL}, s AS (SELECT obs_id, nullif(dn, 0)::DOUBLE AS raw, obs_date, CASE obs_id % 3 WHEN 0 THEN 's2' WHEN 1 THEN 'landsat' ELSE 'hls' END AS sensor FROM obs)
 SELECT obs_id, CASE WHEN raw IS NOT NULL THEN round(greatest(raw * CASE WHEN sensor = 'landsat' THEN 2.75e-5 ELSE 1e-4 END
-  + CASE WHEN sensor = 'landsat' THEN -0.2::DOUBLE WHEN sensor = 's2' AND obs_date >= DATE '1998-01-25' THEN -0.1::DOUBLE ELSE 0.0::DOUBLE END, 0.0::DOUBLE), 6) END AS value FROM s""")
+  + CASE WHEN sensor = 'landsat' THEN -0.2::DOUBLE WHEN sensor = 's2' AND obs_date >= DATE '1998-01-25' THEN -0.1::DOUBLE ELSE 0.0::DOUBLE END, 0.0::DOUBLE), 8) END AS value FROM s""")
 def reflectance_scale(spark, d) -> DataFrame:
     k = F.col("obs_id") % 3
     sensor = F.when(k == 0, "s2").when(k == 1, "landsat").otherwise("hls")
     scale, offset = ix.scale_offset(sensor, F.col("obs_date"), cutoff="1998-01-25")
-    return observations(spark, d).select("obs_id", F.round(ix.reflectance(F.col("dn"), scale, offset), 6).alias("value"))
+    return observations(spark, d).select("obs_id", F.round(ix.reflectance(F.col("dn"), scale, offset), 8).alias("value"))
+
+
+@query("reflectance_own", f"""WITH {OBS_SQL}, s AS (SELECT obs_id, nullif(dn, 0)::DOUBLE AS raw, obs_date, CASE WHEN scl % 3 = 0 THEN 0.0002::DOUBLE END AS own, CASE WHEN scl % 6 = 0 THEN -0.05::DOUBLE END AS off, CASE WHEN scl % 4 = 1 THEN 3 + qa % 3 END AS level FROM obs)
+SELECT obs_id, CASE WHEN raw IS NOT NULL THEN round(greatest(raw * coalesce(own, 1e-4::DOUBLE) + CASE WHEN own IS NOT NULL THEN coalesce(off, 0.0::DOUBLE) WHEN coalesce(level >= 4, obs_date >= DATE '1998-01-25') THEN -0.1::DOUBLE ELSE 0.0::DOUBLE END, 0.0::DOUBLE), 8) END AS value FROM s""")
+def reflectance_own(spark, d) -> DataFrame:
+    """A scene's own scale and offset, then its processing baseline, then the date."""
+    c = F.col
+    own = F.when(c("scl") % 3 == 0, 0.0002), F.when(c("scl") % 6 == 0, -0.05)
+    level = F.when(c("scl") % 4 == 1, 3.0 + c("qa") % 3)
+    scale, offset = ix.scale_offset(F.lit("s2"), c("obs_date"), level, "1998-01-25", own)
+    return observations(spark, d).select("obs_id", F.round(ix.reflectance(c("dn"), scale, offset), 8).alias("value"))
 
 
 def _month(date="obs_date"):
@@ -155,12 +166,16 @@ def grid_snap(spark, d) -> DataFrame:
     return out.where("row is not null and col is not null")
 
 
-@query("tile_grid", """WITH s AS (SELECT 1024 * 20.0::DOUBLE / 110540 AS dy, 1024 * 20.0::DOUBLE / (111320 * cos(radians((-7.85::DOUBLE + -6.95::DOUBLE) / 2))) AS dx)
-SELECT r::INT AS tile_row, c::INT AS tile_col, round(-40.9::DOUBLE + c * dx, 6) AS west, round(-7.85::DOUBLE + r * dy, 6) AS south, round(least(-40.9::DOUBLE + (c + 1) * dx, -38.95::DOUBLE), 6) AS east, round(least(-7.85::DOUBLE + (r + 1) * dy, -6.95::DOUBLE), 6) AS north
-FROM s, range(0, 20) a(r), range(0, 20) b(c) WHERE r < ceil(0.9::DOUBLE / dy) AND c < ceil(1.95::DOUBLE / dx)""")
+@query("tile_grid", """WITH e AS (SELECT c_nationkey AS area, -40.9::DOUBLE + min(c_custkey) * 0.003 AS west, -7.85::DOUBLE + min(c_acctbal) / 20000 AS south, -40.7::DOUBLE + max(c_custkey) * 0.003 AS east, -7.5::DOUBLE + max(c_acctbal) / 20000 AS north FROM customer GROUP BY 1),
+s AS (SELECT *, 1024 * 20.0::DOUBLE / 110540 AS dy, 1024 * 20.0::DOUBLE / (111320 * cos(radians((south + north) / 2))) AS dx FROM e)
+SELECT area, r::INT AS tile_row, c::INT AS tile_col, round(west + c * dx, 6) AS west, round(south + r * dy, 6) AS south, round(least(west + (c + 1) * dx, east), 6) AS east, round(least(south + (r + 1) * dy, north), 6) AS north
+FROM s, range(0, 3000) b(c), range(0, 30) a(r) WHERE west < east AND south < north AND r < ceil((north - south) / dy) AND c < ceil((east - west) / dx)""")
 def tile_grid(spark, d) -> DataFrame:
-    g = spatial.tile_grid(spark, -40.90, -7.85, -38.95, -6.95)
-    return g.select("tile_row", "tile_col", *[F.round(c, 6).alias(c) for c in ("west", "south", "east", "north")])
+    """Tiles over the extents of areas that a table holds."""
+    c = table(spark, d, "customer").groupBy(F.col("c_nationkey").alias("area"))
+    k, b = "c_custkey", "c_acctbal"
+    e = c.agg((F.min(k) * 0.003 - 40.9).alias("west"), (F.min(b) / 20000 - 7.85).alias("south"), (F.max(k) * 0.003 - 40.7).alias("east"), (F.max(b) / 20000 - 7.5).alias("north"))
+    return spatial.tile_grids(e, ["area"]).select("area", "tile_row", "tile_col", *[F.round(c, 6).alias(c) for c in ("west", "south", "east", "north")])
 
 
 @query("regional_stats", f"""WITH {OBS_SQL}, v AS (SELECT CAST(date_trunc('month', obs_date) AS DATE) AS date, {_NDVI_CLEAR} AS v FROM obs)
@@ -212,3 +227,11 @@ array_to_string(list_filter([CASE WHEN out_of_range > 0.001::DOUBLE AND out_of_r
 def quality_verdict(spark, d) -> DataFrame:
     """Each year is a file of its own."""
     return quality.verdict(_profiles(spark, d, F.year("obs_date").alias("file")), ["grp"])
+
+
+@query("histogram_sample", f"WITH {OBS_SQL}, k AS (SELECT month(obs_date)::INT AS month, nir08 AS v, obs_id, pixel, row_number() OVER (PARTITION BY month(obs_date) ORDER BY (obs_id * 48271 + pixel * 69621) % 2147483647, obs_id, pixel, nir08) AS r FROM obs) SELECT month, obs_id, pixel, v FROM k WHERE r <= 300")
+def histogram_sample(spark, d) -> DataFrame:
+    """The values that each month's histogram is drawn from, 300 at most."""
+    o = observations(spark, d).select(F.month("obs_date").alias("month"), "obs_id", "pixel", F.col("nir08").alias("v"))
+    key = F.struct((F.col("obs_id") * 48271 + F.col("pixel") * 69621) % 2147483647, "obs_id", "pixel", "v")
+    return quality.bounded_sample(o, ["month"], key, 300)

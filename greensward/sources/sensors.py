@@ -19,6 +19,12 @@ def asset_key(sensor: str, band: str) -> str:
     return config.ASSETS[sensor][band]
 
 
+def asset_of(sensor: Column, band: Column) -> Column:
+    """``asset_key`` by row; null where the sensor doesn't have the band."""
+    known = F.create_map(*[F.lit(x) for s, m in config.ASSETS.items() for b, a in m.items() for x in (f"{s}/{b}", a)])
+    return F.try_element_at(known, F.concat_ws("/", sensor, band))
+
+
 def bands_for(names: list[str], sensor: str) -> list[str]:
     """The bands that some indices of a sensor need, in order, and its class band."""
     if sensor not in config.ASSETS:
@@ -28,16 +34,24 @@ def bands_for(names: list[str], sensor: str) -> list[str]:
     return [*sorted(need), config.CLASS_BANDS[sensor]]
 
 
-def load_scene(assets: DataFrame, sensor: str, names: list[str], keys: list[str], date: str = "obs_date") -> DataFrame:
+def load_scene(assets: DataFrame, sensor: str, names: list[str], keys: list[str], date: str = "obs_date", processing: str | None = None) -> DataFrame:
     """``keys`` and the bands of the indices as reflectance, null where the class band isn't clear; that band goes.
 
     ``assets`` has a column for each asset key, so only what the indices need is
-    read. Class bands are never scaled.
+    read. An asset's own scale and offset come first if there are columns
+    ``<key>_scale`` and ``<key>_offset``; then the processing baseline, if its
+    column is named, and the date decide. Class bands are never scaled.
     """
     bands = bands_for(names, sensor)
-    scale, offset = ix.scale_offset(F.lit(sensor), F.col(date))
     clear = _CLEAR[sensor](F.col(asset_key(sensor, bands[-1])))
-    return assets.select(*keys, *[ix.masked(ix.reflectance(F.col(asset_key(sensor, b)), scale, offset), clear).alias(b) for b in bands[:-1]])
+    level = None if processing is None else F.col(processing).cast("double")
+
+    def scaled(band: str) -> Column:
+        key = asset_key(sensor, band)
+        own = (F.col(f"{key}_scale"), F.col(f"{key}_offset")) if {f"{key}_scale", f"{key}_offset"} <= set(assets.columns) else None
+        return ix.masked(ix.reflectance(F.col(key), *ix.scale_offset(F.lit(sensor), F.col(date), level, own=own)), clear)
+
+    return assets.select(*keys, *[scaled(b).alias(b) for b in bands[:-1]])
 
 
 def stack_bands(bands: dict[str, DataFrame], x0: float, y0: float, res: float, tolerance: float) -> DataFrame:

@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from greensward.operators import quality, series
+from greensward.operators.pairs import kendall_s, slope_ranks
 from greensward.operators.quantiles import exact_quantiles
 
 S = "series_id long, date date, value double"
@@ -140,3 +141,41 @@ def test_breaks_relative_to_a_harmonic_history(spark):
     want = [(2, start + datetime.timedelta(10 * i)) for i in (150, 153)]
     assert sorted((r.series_id, r.break_date) for r in got) == want
     assert all(abs(r.anomaly + 0.2) < 0.03 and abs(r.value - r.expected - r.anomaly) < 1e-12 for r in got)
+
+
+@pytest.mark.parametrize("held", [10, 300, 1 << 20])
+def test_pair_counts_and_ranks(held):
+    rng = np.random.default_rng(held)
+    for n in (1, 2, 3, 10, 90, 250):
+        day = np.sort(rng.integers(0, n, n)).astype(float)
+        y = np.round(rng.normal(size=n), 1) if n % 2 else rng.normal(size=n) * 1e6
+        pairs = [(y[j] - y[i]) / (day[j] - day[i]) for i in range(n) for j in range(n) if day[i] < day[j]]
+        assert kendall_s(day, y) == sum(np.sign(m) for m in pairs)
+        ranks = sorted({0, len(pairs) // 3, len(pairs) // 2, len(pairs) - 1} - {-1})
+        if pairs:
+            assert slope_ranks(day, y, ranks, held) == [sorted(pairs)[r] for r in ranks]
+    assert slope_ranks(np.arange(40.0), np.full(40, 3.0), [0, 779], held) == [0.0, 0.0]
+
+
+def test_last_row_of_a_key_wins(spark):
+    old = spark.createDataFrame([("a", 1, 1.0), ("b", 1, 2.0), (None, 1, 3.0)], "region string, rev int, mean double")
+    new = spark.createDataFrame([("a", 3, 5.0), ("a", 2, 9.0), ("c", 1, 7.0), ("c", 1, 7.0), ("c", 1, 4.0), (None, 2, None)], "region string, rev int, mean double")
+    assert sorted(map(str, series.upsert(old, new, ["region"], ["rev"]).collect())) == sorted(map(str, spark.createDataFrame([("a", 3, 5.0), ("b", 1, 2.0), ("c", 1, 7.0), (None, 2, None)], old.schema).collect()))
+    assert {r.mean for r in series.upsert(old, new.drop("rev").withColumn("rev", F.lit(1)).select(old.columns), ["region"]).collect()} == {9.0, 2.0, 7.0, None}
+
+
+@pytest.mark.parametrize("bad", [float("nan"), float("inf"), float("-inf")])
+def test_quantiles_of_values_that_are_not_finite(spark, bad):
+    rows = spark.createDataFrame([(k % 2, float(k)) for k in range(100)] + [(0, bad), (2, bad)], "g int, v double")
+    got = {r.g: (r.q0, r.q1) for r in exact_quantiles(rows, ["g"], "v", [0.5, 1.0], most=5, cells=16).collect()}
+    assert got == {0: (49.0, 98.0), 1: (50.0, 99.0)}
+    stats = {r.g: r for r in series.regional_stats(rows, "v", ["g"]).collect()}
+    assert set(stats) == {0, 1} and stats[0].n_valid == 50 and stats[0]["max"] == 98.0 and stats[0].pct_valid == pytest.approx(100 * 50 / 51, abs=1e-6)
+    assert {r.g: r.n for r in quality.profile(rows, ["g"]).collect()} == {0: 49, 1: 50, 2: 0}
+
+
+def test_quantiles_of_ranges_wider_than_a_double(spark):
+    rows = spark.createDataFrame([(v,) for k in range(40) for v in (-1.7e308, 1.7e308, float(k), 5e-324)], "v double").withColumn("g", F.lit(1))
+    got = exact_quantiles(rows, ["g"], "v", [0.0, 0.3, 0.6, 1.0], most=5, cells=8).first()
+    want = sorted(v for k in range(40) for v in (-1.7e308, 1.7e308, float(k), 5e-324))
+    assert (got.q0, got.q3) == (want[0], want[-1]) and got.q1 == pytest.approx(np.interp(0.3 * 159, range(160), want)) and got.q2 == pytest.approx(np.interp(0.6 * 159, range(160), want))

@@ -205,3 +205,71 @@ def test_zones_on_another_grid(spark):
     grid = Grid(0.0, 0.0, 10.0, 4, 2)
     got = {(r.img): (r.lc_class_10m, r.lc_group_10m, r.lc_natural_frac_10m) for r in areas.annotate_polygons(alerts, ["img", "region"], {"10m": (codes, grid)}, all_touched=False).collect()}
     assert got == {0: (3, "natural", 0.5), 1: (None, None, None)}
+
+
+def distance(p, ring):
+    """Of a point from a closed ring."""
+    best = np.inf
+    for a, b in zip(ring, ring[1:]):
+        line = b - a
+        t = np.clip((p - a) @ line / max(line @ line, 1e-12), 0, 1)
+        best = min(best, np.linalg.norm(p - a - t * line))
+    return best
+
+
+@pytest.mark.parametrize("tolerance", [1.0, 12.0, 45.0, 1e6])
+def test_simple_rings_stay_near(tolerance):
+    rng = np.random.default_rng(int(tolerance))
+    for n in (4, 5, 9, 60, 300):
+        turn = np.sort(rng.random(n)) * 2 * np.pi
+        p = np.stack([np.cos(turn), np.sin(turn)], 1) * (200 + 60 * rng.random((n, 1)))
+        ring = np.concatenate([p, p[:1]])
+        got = outlines.simple_ring(ring, tolerance)
+        assert (got[0] == got[-1]).all() and len({tuple(q) for q in got.tolist()}) >= 3
+        at = {tuple(q) for q in ring.tolist()}
+        assert all(tuple(q) in at for q in got.tolist()) and len(got) <= len(ring)
+        if tolerance < 1e6:
+            assert max(distance(q, got) for q in p) <= tolerance + 1e-9
+    square = np.array([(0, 0), (0, 10), (0, 20), (20, 20), (20, 0), (0, 0)], float)
+    assert len(outlines.simple_ring(square, 5.0)) == 5
+
+
+def test_simplified_outlines_of_the_table(spark):
+    from greensward.plans import shapes as plans
+
+    whole = outlines.polygons(plans._rings(spark, "/root/testdata/sf0.001"))
+    simple = {(r.img, r.region): r.rings for r in outlines.simplify(whole).collect()}
+    fewer = 0
+    for r in whole.collect():
+        done = simple[r.img, r.region]
+        assert len(done) == len(r.rings)
+        for a, b in zip(r.rings, done):
+            a, b = (np.array([(p.x, p.y) for p in ring]) for ring in (a, b))
+            assert (b[0] == b[-1]).all() and len(b) >= 4
+            assert max(distance(p, b) for p in a) <= 12.0 + 1e-9
+            fewer += len(a) - len(b)
+    # steps of a cell of 20 m go 14.1 m off the diagonal, so few outlines lose corners at 12 m; at 15 m many do
+    more = sum(len(a) for r in outlines.simplify(whole, 15.0).collect() for a in r.rings)
+    assert fewer >= 0 and more < sum(len(a) for r in simple.values() for a in r)
+
+
+def test_samples_do_not_depend_on_partitions(spark):
+    from greensward.operators import quality
+
+    rows = spark.range(5000).select((F.col("id") % 7).alias("g"), "id").where("g < 6 or id < 30")
+    key = F.struct(F.xxhash64("id", F.lit(3)), "id")
+    want = None
+    for parts in (1, 5, 23):
+        got = sorted(map(tuple, quality.bounded_sample(rows.repartition(parts), ["g"], key, 40).collect()))
+        want = want or got
+        assert got == want and sorted(sum(g == k for g, _ in got) for k in range(7)) == [4, *[40] * 6]
+    plan = quality.bounded_sample(rows, ["g"], key, 40)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("WindowGroupLimit") == 2  # before the shuffle and behind it
+
+
+def test_tiles_of_extents(spark):
+    from greensward.operators import spatial
+
+    e = spark.createDataFrame([("a", -40.90, -7.85, -38.95, -6.95), ("b", 1.0, 0.0, 0.0, 1.0), ("c", None, 0.0, 1.0, 1.0), ("d", 0.0, 0.0, 0.1, 0.1)], "name string, west double, south double, east double, north double")
+    got = {r.name: r["count"] for r in spatial.tile_grids(e, ["name"]).groupBy("name").count().collect()}
+    assert got == {"a": 55, "d": 1}

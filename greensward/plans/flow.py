@@ -15,6 +15,7 @@ from greensward.plans import detect as runs
 from greensward.plans.pixel import _BASE_SQL, _FORMULA, _NAMES, _SCL, _Z_SQL, _baseline, _clear_values, _confidence_sql, _month
 from greensward.plans.registry import registry
 from greensward.plans.scratch import Scratch
+from greensward.plans.space import union_share_sql
 from greensward.sources import alerts as store
 from greensward.sources import baselines, running, scenes, sensors
 from greensward.sources.observations import BOX_SQL, OBS_SQL, RASTER_SQL, boxes, observations, raster, table
@@ -251,11 +252,8 @@ def scene_cache(spark, d) -> DataFrame:
     return out
 
 
-@query("archive_report", f"""WITH {BOX_SQL}, r AS (SELECT *, dense_rank() OVER (ORDER BY date) AS rank FROM box),
-cell AS (SELECT rank, date, id, cx, cy FROM r, LATERAL (SELECT unnest(range(ceil(x0 / 10.0)::BIGINT, ceil(x1 / 10.0)::BIGINT)) AS cx), LATERAL (SELECT unnest(range(ceil(y0 / 10.0)::BIGINT, ceil(y1 / 10.0)::BIGINT)) AS cy)),
-uni AS (SELECT DISTINCT rank, cx, cy FROM cell),
-share AS (SELECT date, id, count(a.cx)::DOUBLE / count(*) AS a, count(b.cx)::DOUBLE / count(*) AS b FROM cell LEFT JOIN uni a ON a.rank = cell.rank - 1 AND a.cx = cell.cx AND a.cy = cell.cy LEFT JOIN uni b ON b.rank = cell.rank - 2 AND b.cx = cell.cx AND b.cy = cell.cy GROUP BY 1, 2),
-k AS (SELECT date, id, (a >= 0.05::DOUBLE AND b >= 0.05::DOUBLE)::INT AS k FROM share)
+@query("archive_report", f"""WITH {BOX_SQL}, r AS (SELECT *, dense_rank() OVER (ORDER BY date) AS rank FROM box), {union_share_sql(1, 'one')}, {union_share_sql(2, 'two')},
+k AS (SELECT date, id, (one.share >= 0.05::DOUBLE AND two.share >= 0.05::DOUBLE)::INT AS k FROM one JOIN two USING (date, id))
 SELECT coalesce(strftime(date, '%Y-%m-%d'), 'all') AS date, count(*) AS raw, sum(k)::BIGINT AS confirmed, count(*) - sum(k)::BIGINT AS dropped, round_even((count(*) - sum(k))::DOUBLE / count(*), 4) AS drop_frac FROM k GROUP BY ROLLUP (date)""")
 def archive_report(spark, d) -> DataFrame:
     """Three observations in a row, for each date and in all."""

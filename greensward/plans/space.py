@@ -98,11 +98,16 @@ def spatial_pairs(spark, d) -> DataFrame:
     return persistence.with_previous(boxes(spark, d)).select("date", "a_id", "b_id", "overlap")
 
 
-# overlap with a union of boxes on a grid of 10 m, as lists of covered cells
-_STRICT_SQL = f"""{BOX_SQL}, r AS (SELECT *, dense_rank() OVER (ORDER BY date) AS rank FROM box),
-cell AS (SELECT rank, date, id, cx, cy FROM r, LATERAL (SELECT unnest(range(ceil(x0 / 10.0)::BIGINT, ceil(x1 / 10.0)::BIGINT)) AS cx), LATERAL (SELECT unnest(range(ceil(y0 / 10.0)::BIGINT, ceil(y1 / 10.0)::BIGINT)) AS cy)),
-uni AS (SELECT DISTINCT rank + 1 AS rank, cx, cy, 1 AS hit FROM cell),
-share AS (SELECT date, id, sum(coalesce(hit, 0))::DOUBLE / count(*) AS share FROM cell LEFT JOIN uni USING (rank, cx, cy) GROUP BY 1, 2),
+def union_share_sql(back: int, name: str) -> str:
+    """CTEs up to ``name`` (date, id, share) over ``r``: the share of a box that the union of the observation ``back`` dates before covers, in strips between sides."""
+    return f"""p{name} AS (SELECT a.rank, a.id, greatest(a.x0, b.x0) AS l, least(a.x1, b.x1) AS r, greatest(a.y0, b.y0) AS t, least(a.y1, b.y1) AS u FROM r a JOIN r b ON a.rank = b.rank + {back} AND a.x0 < b.x1 AND b.x0 < a.x1 AND a.y0 < b.y1 AND b.y0 < a.y1),
+v{name} AS (SELECT rank, id, x, lead(x) OVER (PARTITION BY rank, id ORDER BY x) AS nx FROM (SELECT rank, id, l AS x FROM p{name} UNION SELECT rank, id, r FROM p{name})),
+s{name} AS (SELECT v.rank, v.id, v.x, v.nx, p.t, p.u, max(p.u) OVER (PARTITION BY v.rank, v.id, v.x ORDER BY p.t, p.u ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS m FROM v{name} v JOIN p{name} p ON v.rank = p.rank AND v.id = p.id AND p.l <= v.x AND p.r >= v.nx),
+c{name} AS (SELECT rank, id, sum((nx - x) * greatest(u - greatest(t, coalesce(m, t)), 0)) AS covered FROM s{name} GROUP BY 1, 2),
+{name} AS (SELECT r.date, r.id, coalesce(covered, 0)::DOUBLE / ((x1 - x0) * (y1 - y0)) AS share FROM r LEFT JOIN c{name} c ON c.rank = r.rank AND c.id = r.id)"""
+
+
+_STRICT_SQL = f"""{BOX_SQL}, r AS (SELECT *, dense_rank() OVER (ORDER BY date) AS rank FROM box), {union_share_sql(1, 'share')},
 kept AS (SELECT date, id FROM share WHERE share >= 0.05::DOUBLE)"""
 
 

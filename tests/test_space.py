@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from greensward.operators import persistence, regions, spatial
+from greensward.operators import persistence, regions, spatial, unions
 from greensward.operators.graph import connected_components
 from greensward.plans.scratch import Scratch
 from greensward.streaming.tracks import TrackStore, track_stream
@@ -41,8 +41,8 @@ def test_regions_cross_levels_and_modes(spark):
 
 def test_strict_filter_and_history(spark):
     b = boxes(spark, [("2023-05-03", 1, (0, 0, 60, 80)), ("2023-05-19", 2, (25, 30, 85, 110)), ("2023-05-19", 3, (0, 78, 60, 158))])
-    assert [r.id for r in persistence.strict_filter(b, cell=1).collect()] == [2]
-    h = {str(r.date): r for r in persistence.history_summary(b, cell=1).collect()}
+    assert [r.id for r in persistence.strict_filter(b).collect()] == [2]
+    h = {str(r.date): r for r in persistence.history_summary(b).collect()}
     assert (h["2023-05-03"].confirmed, h["2023-05-19"].confirmed, h["2023-05-19"].raw) == (0, 1, 2)
     s = {r.id: r.persistence_count for r in persistence.streaks(b).collect()}
     assert s == {1: 1, 2: 2, 3: 1}
@@ -50,6 +50,37 @@ def test_strict_filter_and_history(spark):
     assert {r.id: r.persistence_count for r in persistence.streaks(b, prior).collect()}[2] == 4
 
 
+def test_areas_of_unions(spark, monkeypatch):
+    """Against a count of unit cells, with whole corners; boxes of any size are as many rows."""
+    rng = np.random.default_rng(8)
+    for strips in (1, 3, 256):
+        monkeypatch.setattr(unions, "STRIPS", strips)
+        for n in (1, 2, 7, 40):
+            x, y = rng.integers(0, 60, (2, n))
+            w, h = rng.integers(1, 30, (2, n))
+            grid = np.zeros((90, 90), bool)
+            for a, b, c, d in zip(x, y, w, h, strict=True):
+                grid[a : a + c, b : b + d] = True
+            assert unions.covered_area(x * 0.5, y * 1.0, (x + w) * 0.5, (y + h) * 1.0) == grid.sum() * 0.5
+    rows = [(k % 5, f"g{k % 3}", *map(float, v)) for k, v in enumerate(np.concatenate([rng.integers(0, 50, (90, 2)), rng.integers(50, 99, (90, 2))], 1).tolist())]
+    parts = spark.createDataFrame([*rows, (None, None, 0.0, 0.0, 2.5, 2.0), (None, None, 1.0, 0.0, 3.0, 2.0)], "k int, name string, x0 double, y0 double, x1 double, y1 double")
+    got = {(r.k, r.name): r.area for r in unions.union_areas(parts, ["k", "name"]).collect()}
+    for key in {(r[0], r[1]) for r in rows}:
+        grid = np.zeros((100, 100), bool)
+        for r in rows:
+            if r[:2] == key:
+                grid[int(r[2]) : int(r[4]), int(r[3]) : int(r[5])] = True
+        assert got[key] == grid.sum()
+    assert got[None, None] == 6.0 and len(got) == 16
+
+
+def test_shares_off_the_grid(spark):
+    b = spark.createDataFrame([(D(2023, 5, 3), 1, 0.25, 0.5, 4.75, 3.0), (D(2023, 5, 3), 2, 3.0, 2.0, 9.0, 8.0), (D(2023, 5, 19), 1, 1.0, 1.0, 6.0, 5.0), (D(2023, 5, 19), 2, 50.0, 50.0, 51.0, 51.0), (D(2023, 5, 19), 3, 2.0, 2.0, 2.0, 3.0)], "date date, id long, x0 double, y0 double, x1 double, y1 double")
+    share = {(r.date.day, r.id): r.share for r in persistence.union_area_share(b).collect()}
+    assert share == {(3, 1): 0, (3, 2): 0, (19, 1): pytest.approx((3.75 * 2 + 3 * 3 - 1.75) / 20), (19, 2): 0, (19, 3): None}
+    assert [(r.date.day, r.id) for r in persistence.strict_filter(b).collect()] == [(19, 1)]
+
+
 def test_tracks_grace_and_one_count_a_date(spark):
     box, far = (1_200, 700, 1_300, 800), (7_000, 700, 7_100, 800)
     b = boxes(spark, [("2022-02-10", 1, box), ("2022-02-26", 2, box), ("2022-08-20", 3, box), ("2023-03-01", 4, box), ("2023-03-01", 5, far)])

@@ -47,6 +47,19 @@ def union_runs(shapes: DataFrame, by: list[str]) -> DataFrame:
     return opened.groupBy(*by, "row", "block", "_island").agg(F.min("c0").alias("c0"), F.max("c1").alias("c1")).drop("_island")
 
 
+def stretches(shapes: DataFrame, width: int = 1 << 21) -> DataFrame:
+    """``date, id, x0, y0, x1, y1, starts, ends``: each shape as one row, as ``persistence.fold_tracks`` takes it.
+
+    Cells are numbered by row, ``width`` to a row; a stretch ends before ``ends``.
+    The box is in cells, rows as y. A row holds one alert's runs, which an alert's
+    largest area bounds.
+    """
+    run = F.struct((F.col("row") * width + F.col("c0")).alias("a"), (F.col("row") * width + F.col("c1") + 1).alias("b"))
+    box = [F.min("c0").alias("x0"), F.min("row").alias("y0"), (F.max("c1") + 1).alias("x1"), (F.max("row") + 1).alias("y1")]
+    one = shapes.groupBy("date", "id").agg(*box, F.array_sort(F.collect_list(run)).alias("_runs"))
+    return one.select("date", "id", "x0", "y0", "x1", "y1", F.col("_runs.a").alias("starts"), F.col("_runs.b").alias("ends"))
+
+
 def ranked(shapes: DataFrame) -> DataFrame:
     """Shapes with ``rank``, the number of their date among all dates."""
     dates = shapes.select("date").distinct().withColumn("rank", F.row_number().over(Window.orderBy("date")))

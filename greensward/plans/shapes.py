@@ -8,7 +8,7 @@ import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from greensward.operators import areas, outlines, regions, shapes
+from greensward.operators import areas, outlines, persistence, regions, shapes
 from greensward.operators.grid import Grid
 from greensward.operators.spatial import utm_forward, utm_inverse
 from greensward.operators.warp import warp
@@ -87,6 +87,32 @@ def shape_strict(spark, d) -> DataFrame:
     return shapes.strict_shapes(_shapes(spark, d), 0.3, 2)
 
 
+# tracks of shapes: st carries the date and id of the alert that gives a track its shape
+_TRACK_SQL = f"""{_NEXT_SQL}, al AS (SELECT DATE '2020-01-01' + (img * 16)::INT AS date, img, region AS id, size FROM sz), r AS (SELECT *, dense_rank() OVER (ORDER BY date) AS rank FROM al),
+ov AS (SELECT a.img AS ai, a.region AS aid, b.img AS bi, b.region AS bid, count(*) AS n FROM reg a JOIN reg b ON a."row" = b."row" AND a.col = b.col AND b.img < a.img GROUP BY 1, 2, 3, 4),
+st AS (SELECT 0::BIGINT AS rank, 'S' AS kind, NULL::DATE AS date, ''::VARCHAR AS tid, 0::BIGINT AS id, 0::INT AS n, NULL::DATE AS first, NULL::DATE AS last, 0::BIGINT AS gi, 0::BIGINT AS gid
+UNION ALL (WITH now AS (SELECT max(rank) + 1 AS rank FROM st), c AS (SELECT r.* FROM r JOIN now USING (rank)), d AS (SELECT min(rank) AS rank, min(date) AS day FROM c HAVING count(*) > 0),
+t AS (SELECT st.* FROM st WHERE kind = 'T'), live AS (SELECT t.* FROM t, d WHERE n >= 15 OR day - last <= 180),
+pr AS (SELECT c.id, live.tid, ov.n::DOUBLE / c.size AS share FROM c JOIN ov ON ov.ai = c.img AND ov.aid = c.id JOIN live ON live.gi = ov.bi AND live.gid = ov.bid),
+best AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY share DESC, tid) AS rn FROM pr WHERE share >= 0.05::DOUBLE),
+m AS (SELECT c.*, best.tid FROM c LEFT JOIN best ON best.id = c.id AND best.rn = 1),
+big AS (SELECT *, row_number() OVER (PARTITION BY tid ORDER BY size DESC, id) AS rn FROM m WHERE tid IS NOT NULL),
+nt AS (SELECT t.tid, t.id, t.n + 1 AS n, t.first, day AS last, b.img AS gi, b.id AS gid FROM t JOIN big b ON b.tid = t.tid AND b.rn = 1, d
+  UNION ALL SELECT strftime(day, '%Y%m%d') || '-' || lpad(m.id::VARCHAR, 19, '0'), m.id, 1, day, day, m.img, m.id FROM m, d WHERE tid IS NULL
+  UNION ALL SELECT t.tid, t.id, t.n, t.first, t.last, t.gi, t.gid FROM t WHERE NOT EXISTS (SELECT 1 FROM big WHERE big.tid = t.tid))
+SELECT d.rank, 'T', day, nt.tid, nt.id, nt.n::INT, nt.first, nt.last, nt.gi, nt.gid FROM nt, d WHERE nt.n >= 15 OR day - nt.last <= 180
+UNION ALL SELECT d.rank, 'A', day, '', m.id, coalesce(t.n + 1, 1)::INT, coalesce(t.first, day), day, 0, 0 FROM m LEFT JOIN t ON t.tid = m.tid, d
+UNION ALL SELECT d.rank, 'S', day, '', 0, 0, NULL, NULL, 0, 0 FROM d))"""
+
+
+@query("shape_tracks", f"WITH {_TRACK_SQL} SELECT date, id, n AS persistence_count, CASE WHEN n >= 15 THEN 'confirmed' WHEN n >= 2 THEN 'candidate' ELSE 'first_observation' END AS persistence_status, first AS first_seen, last AS last_seen FROM st WHERE kind = 'A'")
+def shape_tracks(spark, d) -> DataFrame:
+    """Regions of dates 16 days apart followed by the cells that they share."""
+    s = _shapes(spark, d).withColumn("date", F.date_add(F.lit("2020-01-01").cast("date"), (F.col("date") * 16).cast("int")))
+    labelled, _ = persistence.fold_tracks(shapes.stretches(s))
+    return labelled.select("date", "id", "persistence_count", "persistence_status", "first_seen", "last_seen")
+
+
 # areas ------------------------------------------------------------------------------------
 
 # each nation's customers in order are the corners of a ring; what lies in an odd number of rings is inside

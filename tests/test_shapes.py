@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from greensward.operators import areas, outlines, regions, shapes
+from greensward.operators import areas, outlines, persistence, regions, shapes
 from greensward.operators.grid import Grid
 from greensward.operators.spatial import utm_forward, utm_inverse
 from greensward.operators.warp import warp
@@ -99,6 +99,27 @@ def test_interleaved_shapes_do_not_match(spark):
     assert all(x.c0 // 4 == x.c1 // 4 == x.block for x in r.collect())
 
 
+def test_stretches_overlap():
+    rng = np.random.default_rng(6)
+    for _ in range(200):
+        sets = [np.unique(rng.integers(0, 60, rng.integers(1, 40))) for _ in range(2)]
+        cut = [[g for g in np.split(s, np.flatnonzero(np.diff(s) > 1) + 1)] for s in sets]
+        a, b = (np.array([[g[0] for g in c], [g[-1] + 1 for g in c]]) for c in cut)
+        assert persistence.stretch_overlap(a, b) == len(np.intersect1d(*sets))
+
+
+def test_tracks_of_shapes(spark):
+    """Interleaved shapes are two tracks though their boxes meet; a track takes the shape of its largest alert."""
+    day = lambda k: F.date_add(F.lit("2024-01-01").cast("date"), k)
+    rows = [(0, 1, ELL), (10, 2, TURNED), (10, 3, ELL[2:]), (20, 4, TURNED + [(1, 4)]), (20, 5, ELL[:2]), (300, 6, TURNED)]
+    s = shapes.runs(shape_rows(spark, rows), ["date", "id"], 4).withColumn("date", day(F.col("date")))
+    for dates in (8, 1):
+        labelled, tracks = persistence.fold_tracks(shapes.stretches(s), dates, 1)
+        got = {r.id: (r.persistence_count, r.first_seen.isoformat()) for r in labelled.collect()}
+        assert got == {1: (1, "2024-01-01"), 2: (1, "2024-01-11"), 3: (2, "2024-01-01"), 4: (2, "2024-01-11"), 5: (1, "2024-01-21"), 6: (1, "2024-10-27")}
+        assert [r.n_sightings for r in tracks.collect()] == [1]
+
+
 def test_overlaps_of_random_shapes(spark):
     rng = np.random.default_rng(1)
     rows = [(d, 10 * d + k, list(map(tuple, (np.argwhere(rng.random((6, 40)) < 0.4) + [0, int(rng.integers(20))]).tolist()))) for d in range(4) for k in range(3)]

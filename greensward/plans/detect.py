@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from greensward import config
 from greensward.functions import indices as ix
 from greensward.functions.detection import clearing, confidence_label
-from greensward.operators import composites, outlines, persistence, regions
+from greensward.operators import composites, outlines, persistence, regions, shapes
 from greensward.sources import alerts as store
 from greensward.sources import baselines, scenes
 
@@ -33,7 +33,7 @@ def build_baselines(obs: DataFrame, values: dict[str, Column], path: str, *, for
     return baselines.stored_pairs(spark, path)
 
 
-def detect(obs: DataFrame, base: DataFrame, values: dict[str, Column], clear: Column, *, scene: str = "scene", rank: str = "obs_id", bsi: Column | None = None, spi: float = 0.0, min_clear: float = config.MIN_CLEAR["streaming"], most: float = config.MAX_ALERT_FRACTION, denominator: str = "all", min_ha: float = config.MIN_AREA_HA, max_ha: float = config.MAX_AREA_HA, res: float = 20.0, landcover: dict[str, str] | None = None, rings: bool = False) -> DataFrame:
+def detect(obs: DataFrame, base: DataFrame, values: dict[str, Column], clear: Column, *, scene: str = "scene", rank: str = "obs_id", bsi: Column | None = None, spi: float = 0.0, min_clear: float = config.MIN_CLEAR["streaming"], most: float = config.MAX_ALERT_FRACTION, denominator: str = "all", min_ha: float = config.MIN_AREA_HA, max_ha: float = config.MAX_AREA_HA, res: float = 20.0, landcover: dict[str, str] | None = None, rings: bool = False, cells: bool = False) -> DataFrame:
     """Alerts of all scenes: a row for each connected region of cells of an anomaly.
 
     ``obs`` has ``pixel, row, col, obs_date`` and the bands; of a cell's
@@ -45,7 +45,8 @@ def detect(obs: DataFrame, base: DataFrame, values: dict[str, Column], clear: Co
     ``x0, y0, x1, y1`` in metres from the grid's corner, and the land cover of
     its cells for each collection in ``landcover``; with ``rings`` also its
     outline, as rings of points in metres from that corner with y falling from
-    row to row (``outlines.polygons``). Several scenes are worked on at once;
+    row to row (``outlines.polygons``); with ``cells`` its cells as stretches
+    (``starts, ends``), so that tracks go by true shapes. Several scenes are worked on at once;
     nothing but the plan is on the driver.
     """
     good = composites.clear_gate(obs, scene, clear, min_clear).select(scene)
@@ -69,8 +70,12 @@ def detect(obs: DataFrame, base: DataFrame, values: dict[str, Column], clear: Co
     out = out.withColumn("confidence_label", confidence_label(F.col("confidence")))
     out = out.join(regions.zonal_mode(labelled, by, "clearing").withColumnRenamed("mode", "clearing"), by, "left")
     out = out.join(regions.annotate_all(labelled, by, landcover), by, "left") if landcover else out
-    if rings:
+    if rings or cells:
         kept = labelled.join(out.select(*by), by, "left_semi")
+    if cells:
+        whole = shapes.stretches(shapes.runs(kept.select(F.col(scene).alias("date"), F.col("region").alias("id"), "row", "col"), ["date", "id"]))
+        out = out.join(whole.select(F.col("date").alias(scene), F.col("id").alias("region"), "starts", "ends"), by, "left")
+    if rings:
         out = out.join(outlines.polygons(outlines.outlines(kept, scene), scene, res=res), by, "left")
     return out
 
@@ -79,8 +84,11 @@ def track_and_store(alerts: DataFrame, path: str, scene: str = "scene") -> DataF
     """Chain the alerts of all scenes to tracks, save them by date with count, status and dates, and return the last tracks.
 
     An alert's id is its region's number, which is unique within its scene.
+    Alerts with ``starts, ends`` are followed by the cells that they share,
+    others by their boxes.
     """
-    boxes = alerts.select(F.col(scene).alias("date"), F.col("region").alias("id"), "x0", "y0", "x1", "y1")
+    true = [c for c in ("starts", "ends") if c in alerts.columns]
+    boxes = alerts.select(F.col(scene).alias("date"), F.col("region").alias("id"), "x0", "y0", "x1", "y1", *true)
     labelled, tracks = persistence.fold_tracks(boxes)
     out = alerts.withColumnRenamed(scene, "date").withColumnRenamed("region", "id").join(labelled, ["date", "id"])
     store.save_alerts(out.withColumnRenamed("date", "detection_date"), path)

@@ -206,3 +206,10 @@ def test_detection_to_tracks(spark, tmp_path):
     assert [r.persistence_count for r in alerts.load_alerts(spark, path).collect()] == [1, 2]
     assert [r.persistence_status for r in alerts.load_alerts(spark, path, "2022-03-11").collect()] == ["candidate"]
     assert runs.detect(obs.where("false"), base, values, clear).count() == 0
+    # true shapes: outlines in metres, cells as stretches, metres that aren't whole stay so
+    shaped = runs.detect(obs.where(F.year("obs_date") == 2022), base, values, clear, res=12.5, min_ha=0.3, rings=True, cells=True).cache()
+    for r in shaped.collect():
+        assert sum(b - a for a, b in zip(r.starts, r.ends)) == r.n_cells and [(p.x, p.y) for p in r.rings[0]][0] == (r.rings[0][-1].x, r.rings[0][-1].y)
+        assert abs(sum(a.x * b.y - b.x * a.y for ring in r.rings for a, b in zip(ring, ring[1:]))) / 2 == pytest.approx(r.n_cells * 12.5**2)
+    kept = runs.track_and_store(shaped, str(tmp_path / "shaped")).collect()
+    assert [(r.n_sightings, r.x0, r.x1, len(r.starts)) for r in kept] == [(2, 37.5, 112.5, 6)]

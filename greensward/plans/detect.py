@@ -55,8 +55,8 @@ def detect(obs: DataFrame, base: DataFrame, values: dict[str, Column], clear: Co
     keep = {"row", "col", "obs_date", "_bsi", *(f"_v_{n}" for n in values), *(landcover or {}).values()}
     some = F.coalesce(*[F.col(f"_v_{n}") for n in values]).isNotNull()
     first = F.min(F.struct(F.col(rank).alias("_rank"), *sorted(keep)))
-    cells = found.where(some).groupBy(scene, "pixel").agg(first.alias("p")).select(scene, "pixel", *[F.col(f"p.{c}").alias(c) for c in sorted(keep)])
-    judged = composites.against_baseline(cells, base, {n: F.col(f"_v_{n}") for n in values}, spi)
+    pixels = found.where(some).groupBy(scene, "pixel").agg(first.alias("p")).select(scene, "pixel", *[F.col(f"p.{c}").alias(c) for c in sorted(keep)])
+    judged = composites.against_baseline(pixels, base, {n: F.col(f"_v_{n}") for n in values}, spi)
     judged = judged.withColumn("valid", F.coalesce(*[F.col(f"z_{n}") for n in values]).isNotNull())
     judged = composites.scene_guard(judged, scene, most, denominator).where("confidence > 0")
     kind = clearing(F.col("nbr_center") - F.col("nbr"), F.col("nbr"), F.col("_bsi")) if "nbr" in values and bsi is not None else F.lit(0)

@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 
 from greensward.sources.running import RunningBaselines, baseline, merged, states
 
-VALUES = {"a": F.col("v"), "b": F.col("v") * 1e-3 + 1e6}
+def values():
+    return {"a": F.col("v"), "b": F.col("v") * 1e-3 + 1e6}
 
 
 @pytest.fixture(scope="module")
@@ -27,37 +28,37 @@ def same(a, b):
 
 
 def test_increments_equal_one_pass(spark, obs, tmp_path):
-    want = figures(baseline(states(obs, VALUES)))
+    want = figures(baseline(states(obs, values())))
     one = {r.pixel: (r.n, r.m, r.s) for r in obs.where("month(obs_date) = 2").groupBy("pixel").agg(F.count("v").alias("n"), F.avg("v").alias("m"), F.stddev_pop("v").alias("s")).collect()}
     assert all(want["a", 2, p] == pytest.approx(x) for p, x in one.items())
     store = RunningBaselines(spark, str(tmp_path / "store"))
     assert store.states().count() == 0
     for k in range(4):
-        assert store.add(obs.where(F.substring("scene", 2, 2).cast("int") % 4 == k), VALUES) == 3
+        assert store.add(obs.where(F.substring("scene", 2, 2).cast("int") % 4 == k), values()) == 3
     same(figures(baseline(store.states())), want)
     # all of it again, and a part: nothing is added, and no version is written
     before = store.versions()
-    assert store.add(obs, VALUES) == store.add(obs.where("scene = 's01'"), VALUES) == 0
+    assert store.add(obs, values()) == store.add(obs.where("scene = 's01'"), values()) == 0
     assert store.versions() == before == [0, 1, 2, 3]
     same(figures(baseline(store.states())), want)
 
 
 def test_a_broken_version_does_not_count(spark, obs, tmp_path):
     store = RunningBaselines(spark, str(tmp_path / "store"))
-    store.add(obs.where("scene < 's06'"), VALUES)
+    store.add(obs.where("scene < 's06'"), values())
     kept = figures(baseline(store.states()))
     (tmp_path / "store" / "version=1" / "states").mkdir(parents=True)
     (tmp_path / "store" / "version=1" / "states" / "_SUCCESS").write_text("")
     same(figures(baseline(store.states())), kept)
-    assert store.add(obs, VALUES) == 6
-    same(figures(baseline(store.states())), figures(baseline(states(obs, VALUES))))
+    assert store.add(obs, values()) == 6
+    same(figures(baseline(store.states())), figures(baseline(states(obs, values()))))
 
 
 def test_single_observations_and_null_scenes(spark, obs, tmp_path):
     store = RunningBaselines(spark, str(tmp_path / "store"))
     row = obs.where("v is not null").limit(1).withColumn("scene", F.lit(None).cast("string"))
-    assert store.add(row, VALUES) == 0 and store.add(obs.where("false"), VALUES) == 0
-    one = states(row, VALUES)
+    assert store.add(row, values()) == 0 and store.add(obs.where("false"), values()) == 0
+    one = states(row, values())
     assert {r.std for r in baseline(one).collect()} == {None} and {r.std for r in baseline(one, 1).collect()} == {0.0}
     two = {r.index_name: r for r in merged(one, one).collect()}
     assert two["a"].n == 2 and two["a"].m2 == 0 and two["a"].mean == pytest.approx(one.where("index_name = 'a'").first().mean)

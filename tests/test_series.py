@@ -179,3 +179,52 @@ def test_quantiles_of_ranges_wider_than_a_double(spark):
     got = exact_quantiles(rows, ["g"], "v", [0.0, 0.3, 0.6, 1.0], most=5, cells=8).first()
     want = sorted(v for k in range(40) for v in (-1.7e308, 1.7e308, float(k), 5e-324))
     assert (got.q0, got.q3) == (want[0], want[-1]) and got.q1 == pytest.approx(np.interp(0.3 * 159, range(160), want)) and got.q2 == pytest.approx(np.interp(0.6 * 159, range(160), want))
+
+
+def test_gamma_by_closed_forms_and_quadrature():
+    for x in (0.01, 0.3, 1.0, 2.5, 9.0, 40.0):
+        assert series.gamma_cdf(1.0, x) == pytest.approx(1 - math.exp(-x), abs=1e-12)
+        assert series.gamma_cdf(0.5, x) == pytest.approx(math.erf(math.sqrt(x)), abs=1e-12)
+        assert series.gamma_cdf(3.0, x) == pytest.approx(1 - math.exp(-x) * (1 + x + x * x / 2), abs=1e-12)
+        for a in (3.3, 6.2, 25.0):
+            t = np.linspace(0, x, 20_001)
+            density = t ** (a - 1) * np.exp(-t - math.lgamma(a))
+            simpson = (density[0] + density[-1] + 4 * density[1:-1:2].sum() + 2 * density[2:-1:2].sum()) * (t[1] - t[0]) / 3
+            assert series.gamma_cdf(a, x) == pytest.approx(simpson, abs=1e-6)
+
+
+def test_gamma_fit_has_the_largest_likelihood():
+    rng = np.random.default_rng(12)
+    for k, scale in ((0.6, 30.0), (1.3, 150.0), (9.0, 4.0)):
+        x = rng.gamma(k, scale, 200)
+        likelihood = lambda a, b: float(((a - 1) * np.log(x) - x / b).sum()) - len(x) * (math.lgamma(a) + a * math.log(b))  # noqa: B023, E731
+        a, b = series.gamma_fit(x)
+        best = likelihood(a, b)
+        assert all(best >= likelihood(a * u, b * v) for u in (0.98, 0.999, 1.0, 1.001, 1.02) for v in (0.98, 0.999, 1.0, 1.001, 1.02))
+        assert a * b == pytest.approx(x.mean())
+
+
+def test_spi_of_exponential_rain():
+    """Sums whose fit is nearly exponential: the index is the normal quantile of q + (1 - q)(1 - exp(-x / mean)), within the fit's own shape."""
+    from statistics import NormalDist
+
+    rng = np.random.default_rng(3)
+    rain = np.append(rng.exponential(50.0, 4000), np.zeros(1000))
+    for target in (5.0, 40.0, 120.0):
+        q = 1000 / 5001
+        want = NormalDist().inv_cdf(q + (1 - q) * (1 - math.exp(-target / 50.0)))
+        assert series.spi(np.append(rain, target)) == pytest.approx(want, abs=0.05)
+
+
+@pytest.mark.parametrize("period", [6, 12])
+def test_stl_of_a_line_and_a_cycle(period):
+    """Local lines and means over whole cycles give a line and a steady cycle back; a spike stays in the residual."""
+    t = np.arange(10 * period, dtype=float)
+    line, cycle = 3 + 0.05 * t, np.sin(2 * np.pi * t / period) + 0.5 * np.cos(4 * np.pi * t / period)
+    trend, seasonal, residual = series.stl_decompose(line + cycle, period, outer=1)
+    assert np.abs(trend - line).max() < 1e-9 and np.abs(seasonal - cycle).max() < 1e-9 and np.abs(residual).max() < 1e-9
+    noise = np.random.default_rng(period).normal(size=len(t)) * 0.02
+    y = line + cycle + noise
+    y[5 * period + 2] += 8
+    trend, seasonal, residual = series.stl_decompose(y, period)
+    assert residual[5 * period + 2] > 7.8 and np.abs(trend - line).max() < 0.06 and np.abs(seasonal - cycle).max() < 0.1

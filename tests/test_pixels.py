@@ -69,5 +69,5 @@ def test_scene_search_and_fallback(spark):
     assert [r.scene_id for r in found.collect()] == ["a"]
     assert scenes.or_else(found.where("false"), sc).count() == 3
     assert [r.scene_id for r in scenes.clearest({"s2": sc}, 3).collect()] == ["a", "c", "b"]
-    keys = spark.createDataFrame([("x/2026-04-27.geojson",), ("x/2026-07-11.geojson",), ("x/2025-01-01.geojson",), ("x/z.txt",)], "key string")
-    assert [r.key[2:12] for r in scenes.latest_keys(keys, 2).collect()] == ["2026-04-27", "2026-07-11"]
+    keys = spark.createDataFrame([("x/2031-02-03.geojson",), ("x/2031-05-09.geojson",), ("x/2030-12-24.geojson",), ("x/z.txt",)], "key string")
+    assert [r.key[2:12] for r in scenes.latest_keys(keys, 2).collect()] == ["2031-02-03", "2031-05-09"]

@@ -21,8 +21,8 @@ def ring_edges(rings: DataFrame, by: list[str], ring: str = "ring") -> DataFrame
     is inside. Rings of any length are rows here, never one expression.
     """
     p = F.filter(ring, lambda q: q["x"].isNotNull() & q["y"].isNotNull())
-    closed = F.concat(p, F.slice(p, 1, 1))
-    pair = F.transform(F.sequence(F.lit(1), F.size(p)), lambda i: F.struct(F.get(closed, i - 1).alias("a"), F.get(closed, i).alias("b")))
+    # zipped with itself one corner on; an expression of the index would work the whole ring out again for each edge
+    pair = F.arrays_zip(p.alias("a"), F.concat(F.slice(p, 2, F.size(p)), F.slice(p, 1, 1)).alias("b"))
     e = rings.where(F.size(p) > 1).select(*by, F.explode(pair).alias("_e"))
     e = e.select(*by, F.col("_e.a.x").alias("x0"), F.col("_e.a.y").alias("y0"), F.col("_e.b.x").alias("x1"), F.col("_e.b.y").alias("y1"))
     return e.where((F.col("x0") != F.col("x1")) | (F.col("y0") != F.col("y1")))
@@ -46,17 +46,21 @@ def inside_runs(edges: DataFrame, by: list[str], grid: Grid) -> DataFrame:
 
     Each edge crosses the middle lines of the rows between its ends (the lower
     end counts, the upper one doesn't). A row's crossings in order are the two
-    ends of its spans in turn; a centre on a left end is inside.
+    ends of its spans in turn; a centre on a left end is inside. Crossings
+    before the same centre cancel in pairs, in each task already, so what is
+    shuffled and sorted is bounded by the grid, however many edges there are.
     """
     low, high = F.least("y0", "y1"), F.greatest("y0", "y1")
     first, last = F.floor((grid.top - high) / grid.res - 0.5) + 1, F.floor((grid.top - low) / grid.res - 0.5)
     at = edges.select(*by, *EDGE, F.explode(_rows(first, last, grid)).alias("row"))
     y = grid.y(F.col("row"))
-    cross = at.select(*by, "row", ((F.col("x1") - F.col("x0")) * (y - F.col("y0")) / (F.col("y1") - F.col("y0")) + F.col("x0")).alias("x"))
-    line = Window.partitionBy(*by, "row").orderBy("x")
-    spans = cross.select(*by, "row", "x", F.row_number().over(line).alias("k"), F.lead("x").over(line).alias("end")).where("k % 2 = 1")
-    centre = lambda c: F.ceil((F.col(c) - grid.left) / grid.res - 0.5)
-    return _in_blocks(spans.select(*by, "row", centre("x").alias("c0"), (centre("end") - 1).alias("c1")), by, grid)
+    x = (F.col("x1") - F.col("x0")) * (y - F.col("y0")) / (F.col("y1") - F.col("y0")) + F.col("x0")
+    # the first column whose centre isn't left of the crossing, on the grid or just behind it
+    c0 = F.least(F.greatest(F.ceil((x - grid.left) / grid.res - 0.5), F.lit(0).cast("long")), F.lit(grid.width).cast("long"))
+    ends = at.select(*by, "row", c0.alias("c0")).groupBy(*by, "row", "c0").agg((F.count(F.lit(1)) % 2).alias("odd")).where("odd = 1")
+    line = Window.partitionBy(*by, "row").orderBy("c0")
+    spans = ends.select(*by, "row", "c0", F.row_number().over(line).alias("k"), (F.lead("c0").over(line) - 1).alias("c1")).where("k % 2 = 1")
+    return _in_blocks(spans.select(*by, "row", "c0", "c1"), by, grid)
 
 
 def edge_runs(edges: DataFrame, by: list[str], grid: Grid) -> DataFrame:
@@ -77,7 +81,9 @@ def edge_runs(edges: DataFrame, by: list[str], grid: Grid) -> DataFrame:
 def area_runs(edges: DataFrame, by: list[str], grid: Grid, all_touched: bool = True) -> DataFrame:
     """Runs of the cells of areas that don't meet: those inside, and with ``all_touched`` those that an edge meets."""
     inside = inside_runs(edges, by, grid)
-    return union_runs(inside.unionByName(edge_runs(edges, by, grid)) if all_touched else inside, by)
+    if not all_touched:
+        return union_runs(inside, by)
+    return union_runs(inside.unionByName(edge_runs(edges, by, grid)), by)
 
 
 def clip_to(cells: DataFrame, runs: DataFrame) -> DataFrame:

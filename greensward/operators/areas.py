@@ -83,7 +83,10 @@ def area_runs(edges: DataFrame, by: list[str], grid: Grid, all_touched: bool = T
     inside = inside_runs(edges, by, grid)
     if not all_touched:
         return union_runs(inside, by)
-    return union_runs(inside.unionByName(edge_runs(edges, by, grid)), by)
+    touched = edge_runs(edges, by, grid)
+    if not by:  # the edges of one area may be far more than its grid has runs
+        touched = touched.distinct()
+    return union_runs(inside.unionByName(touched), by)
 
 
 def clip_to(cells: DataFrame, runs: DataFrame) -> DataFrame:

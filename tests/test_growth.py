@@ -36,3 +36,16 @@ def test_area_off_the_grid_on_either_side(spark):
     rings = spark.createDataFrame([(square(-500, 200),), (square(-300, -100),), (square(900, 2000),), (square(1500, 1800),)], "ring array<struct<x:double,y:double>>")
     got = cells(areas.area_runs(areas.ring_edges(rings, []), [], CIRCLE, all_touched=False))
     assert got == {(r, c) for r in range(100) for c in (*range(20), *range(90, 100))}
+
+
+def test_cells_that_many_edges_meet(spark):
+    """Edges of one area send a run once for each task, however many of them have it."""
+    edges = areas.ring_edges(circle(spark, 20_000), [])
+    runs = areas.area_runs(edges, [], CIRCLE)
+    inside = cells(areas.area_runs(edges, [], CIRCLE, all_touched=False))
+    far = lambda r, c: max(abs(10 * c + d - 500) for d in (0, 10)) ** 2 + max(abs(10 * r + d - 500) for d in (0, 10)) ** 2
+    got = cells(runs)
+    assert inside < got and all(far(r, c) >= 300**2 for r, c in got - inside)
+    assert areas.edge_runs(edges, [], CIRCLE).count() > 20_000 > 1_000 > runs.count()
+    plan = runs._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Aggregate") >= 3  # crossings, runs of edges, united runs

@@ -39,8 +39,8 @@ def tile_grid(spark: SparkSession, west: float, south: float, east: float, north
     return tile_grids(box, [], res, tile_px)
 
 
-def box_pairs(a: DataFrame, b: DataFrame, on: list[str], bucket: int = 100, *, corners: bool = False) -> DataFrame:
-    """Pairs of boxes that share some area, and that area; with ``corners`` also the box that they share.
+def box_pairs(a: DataFrame, b: DataFrame, on: list[str], bucket: int = 100, *, corners: bool = False, carry: list[str] | None = None) -> DataFrame:
+    """Pairs of boxes that share some area, and that area; with ``corners`` also the box that they share, and the columns ``carry`` of ``a``.
 
     ``a`` and ``b`` have ``id, x0, y0, x1, y1`` and the keys ``on``. A box has
     the level at which buckets (``bucket``, doubled for each level) are as large
@@ -55,17 +55,17 @@ def box_pairs(a: DataFrame, b: DataFrame, on: list[str], bucket: int = 100, *, c
     levels = sorted({r.lv for d in (a, b) for r in d.select(own().alias("lv")).distinct().collect()})  # a few dozens at most
     cut = lambda c: F.floor(c / (F.lit(float(bucket)) * F.pow(F.lit(2.0), F.col("level"))))
 
-    def dealt(d: DataFrame, p: str) -> DataFrame:
+    def dealt(d: DataFrame, p: str, *more: str) -> DataFrame:
         d = d.withColumn(f"{p}_level", own())
-        d = d.select(*on, f"{p}_level", *[F.col(c).alias(f"{p}_{c}") for c in ("id", "x0", "y0", "x1", "y1")])
+        d = d.select(*on, *more, f"{p}_level", *[F.col(c).alias(f"{p}_{c}") for c in ("id", "x0", "y0", "x1", "y1")])
         d = d.withColumn("level", F.explode(F.filter(F.array(*map(F.lit, levels or [0])), lambda v: v >= F.col(f"{p}_level"))))
         d = d.withColumn("bx", F.explode(F.sequence(cut(F.col(f"{p}_x0")), cut(F.col(f"{p}_x1")))))
         return d.withColumn("by", F.explode(F.sequence(cut(F.col(f"{p}_y0")), cut(F.col(f"{p}_y1")))))
 
-    j = dealt(a, "a").join(dealt(b, "b"), [*on, "level", "bx", "by"]).where(F.greatest("a_level", "b_level") == F.col("level"))
+    j = dealt(a, "a", *(carry or [])).join(dealt(b, "b"), [*on, "level", "bx", "by"]).where(F.greatest("a_level", "b_level") == F.col("level"))
     left, low = F.greatest("a_x0", "b_x0"), F.greatest("a_y0", "b_y0")
     w, h = F.least("a_x1", "b_x1") - left, F.least("a_y1", "b_y1") - low
-    return j.where((w > 0) & (h > 0) & (cut(left) == F.col("bx")) & (cut(low) == F.col("by"))).select(*on, F.col("a_id"), F.col("b_id"), (w * h).alias("overlap"), *([left.alias("x0"), low.alias("y0"), (left + w).alias("x1"), (low + h).alias("y1")] if corners else []))
+    return j.where((w > 0) & (h > 0) & (cut(left) == F.col("bx")) & (cut(low) == F.col("by"))).select(*on, F.col("a_id"), F.col("b_id"), (w * h).alias("overlap"), *(carry or []), *([left.alias("x0"), low.alias("y0"), (left + w).alias("x1"), (low + h).alias("y1")] if corners else []))
 
 
 # WGS84 to UTM by the Krueger series to the third order; zone 24 south by default.

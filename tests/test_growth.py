@@ -5,7 +5,7 @@ import time
 import numpy as np
 from pyspark.sql import functions as F
 
-from greensward.operators import areas
+from greensward.operators import areas, persistence
 from greensward.operators.grid import Grid
 
 CIRCLE = Grid(0.0, 1000.0, 10.0, 100, 100)
@@ -49,3 +49,27 @@ def test_cells_that_many_edges_meet(spark):
     assert areas.edge_runs(edges, [], CIRCLE).count() > 20_000 > 1_000 > runs.count()
     plan = runs._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("Aggregate") >= 3  # crossings, runs of edges, united runs
+
+
+def test_covered_boxes_of_all_sizes(spark):
+    """Shares by tiles are those of a grid of unit cells, for boxes of many sizes and with two observations before; no pair of boxes is a row."""
+    rng = np.random.default_rng(5)
+    n, side = 240, 5000
+    x, y = rng.integers(0, side, n), rng.integers(0, side, n)
+    w, h = (rng.choice([0, 3, 40, 90, 150, 700, 3000], n) for _ in range(2))
+    day = rng.integers(0, 20, n)
+    rows = [(int(i), f"2020-01-{d + 1:02d}", *map(int, b)) for i, d, *b in zip(range(n), day, x, y, x + w, y + h, strict=True)]
+    b = spark.createDataFrame(rows, "id long, date string, x0 long, y0 long, x1 long, y1 long").withColumn("date", F.col("date").cast("date"))
+    dates = sorted(set(day.tolist()))
+    shares = persistence.union_area_shares(b, 2)
+    got = {r.id: (r.share_1, r.share_2) for r in shares.collect()}
+    assert len(got) == n
+    for k in (1, 2):
+        for at in range(len(dates)):
+            cover = np.zeros((side + 3000, side + 3000), bool)
+            for i in np.flatnonzero(day == dates[at - k]) if at >= k else ():
+                cover[x[i] : x[i] + w[i], y[i] : y[i] + h[i]] = True
+            for i in np.flatnonzero(day == dates[at]):
+                hit = int(cover[x[i] : x[i] + w[i], y[i] : y[i] + h[i]].sum())
+                assert got[int(i)][k - 1] == (hit / (int(w[i]) * int(h[i])) if w[i] * h[i] else None)
+    assert "b_id" not in shares._jdf.queryExecution().optimizedPlan().toString()

@@ -73,3 +73,12 @@ def test_covered_boxes_of_all_sizes(spark):
                 hit = int(cover[x[i] : x[i] + w[i], y[i] : y[i] + h[i]].sum())
                 assert got[int(i)][k - 1] == (hit / (int(w[i]) * int(h[i])) if w[i] * h[i] else None)
     assert "b_id" not in shares._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_archive_joins_counts_only(spark):
+    """Counts meet by date: neither boxes nor the kept ones are joined, so no table of them can be broadcast."""
+    b = spark.createDataFrame([(1, "2020-01-01", 0, 0, 10, 10), (2, "2020-01-02", 5, 0, 15, 10), (3, "2020-01-02", 50, 0, 60, 10)], "id long, date string, x0 long, y0 long, x1 long, y1 long").withColumn("date", F.col("date").cast("date"))
+    table = persistence.archive(b)
+    assert sorted((str(r.date), r.raw, r.confirmed, r.dropped, r.drop_frac) for r in table.collect()) == [("2020-01-01", 1, 0, 1, 1.0), ("2020-01-02", 2, 1, 1, 0.5), ("None", 3, 1, 2, 0.6667)]
+    plan = table._jdf.queryExecution().optimizedPlan().toString()
+    assert not any("id#" in line for line in plan.splitlines() if "Join" in line)

@@ -82,3 +82,12 @@ def test_archive_joins_counts_only(spark):
     assert sorted((str(r.date), r.raw, r.confirmed, r.dropped, r.drop_frac) for r in table.collect()) == [("2020-01-01", 1, 0, 1, 1.0), ("2020-01-02", 2, 1, 1, 0.5), ("None", 3, 1, 2, 0.6667)]
     plan = table._jdf.queryExecution().optimizedPlan().toString()
     assert not any("id#" in line for line in plan.splitlines() if "Join" in line)
+
+
+def test_pairs_are_not_joined_again(spark):
+    """Date and area come with the box, so pairs pass no join of their own."""
+    b = spark.createDataFrame([(1, "2020-01-01", 0, 0, 10, 10), (2, "2020-01-02", 5, 0, 15, 10)], "id long, date string, x0 long, y0 long, x1 long, y1 long").withColumn("date", F.col("date").cast("date"))
+    pairs = persistence.with_previous(b)
+    assert [(str(r.date), r.a_id, r.b_id, r.overlap, r.a_area) for r in pairs.collect()] == [("2020-01-02", 2, 1, 50, 100)]
+    top = pairs._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    assert sum("a_level" in line and "Join" in line for line in top) == 1 and sum("Join" in line for line in top) == 3

@@ -5,7 +5,7 @@ import time
 import numpy as np
 from pyspark.sql import functions as F
 
-from greensward.operators import areas, persistence
+from greensward.operators import areas, matching, persistence
 from greensward.operators.grid import Grid
 
 CIRCLE = Grid(0.0, 1000.0, 10.0, 100, 100)
@@ -91,3 +91,38 @@ def test_pairs_are_not_joined_again(spark):
     assert [(str(r.date), r.a_id, r.b_id, r.overlap, r.a_area) for r in pairs.collect()] == [("2020-01-02", 2, 1, 50, 100)]
     top = pairs._jdf.queryExecution().optimizedPlan().toString().splitlines()
     assert sum("a_level" in line and "Join" in line for line in top) == 1 and sum("Join" in line for line in top) == 3
+
+
+def test_best_match_tries_few(spark):
+    """The best of all pairs, by share and by value, while only a small part of the pairs is tried."""
+    rng = np.random.default_rng(3)
+    make = lambda n, sides: (lambda c: np.concatenate([c, c + rng.choice(sides, (n, 2))], 1).astype(float))(rng.integers(0, 1000, (n, 2)))
+    tried = []
+    for sides in ([100], [5, 60, 400]):
+        a, b = make(600, sides), make(4000, sides)
+        value = rng.integers(1, 4, len(b)).astype(float)
+        size = (a[:, 2:] - a[:, :2]).prod(1)
+        w, h = (np.minimum(a[:, None, i + 2], b[None, :, i + 2]) - np.maximum(a[:, None, i], b[None, :, i]) for i in (0, 1))
+        share = np.where((w > 0) & (h > 0), w * h, 0) / size[:, None]
+        good = share >= 0.05
+        want = np.where(good.any(1), np.where(good, share, -1).argmax(1), -1)
+
+        def exact(i, j):
+            tried.append((i, j))
+            return share[i, j] * size[i]
+
+        assert (matching.best_match(a, size, b, 0.05) == want).all()
+        got = matching.best_match(a, size, b, 0.05, value=value)
+        assert (np.where(got >= 0, value[got], 0) == np.where(good, value, 0).max(1)).all() and good[got >= 0, got[got >= 0]].all()
+        tried.clear()
+        matching.best_match(a[:, :], size, b, 0.05, exact=exact)
+        assert len(tried) < good.sum() / 3
+
+
+def test_streaks_send_no_links(spark):
+    """Boxes that all meet give rows by box, not by pair: 300 a date, so 90,000 pairs of one date and the next."""
+    b = spark.range(1200).select("id", F.date_add(F.lit("2020-01-01").cast("date"), (F.col("id") % 4).cast("int")).alias("date"), (F.col("id") % 7).alias("x0"), (F.col("id") % 5).alias("y0"))
+    b = b.withColumns({"x1": F.col("x0") + 100, "y1": F.col("y0") + 100})
+    streaks = persistence.chained_streaks(b)
+    assert {(r.date.day, r.persistence_count) for r in streaks.select("date", "persistence_count").distinct().collect()} == {(k, k) for k in (1, 2, 3, 4)}
+    assert streaks.count() == 1200 and "b_id" not in streaks._jdf.queryExecution().optimizedPlan().toString()

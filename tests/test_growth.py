@@ -126,3 +126,8 @@ def test_streaks_send_no_links(spark):
     streaks = persistence.chained_streaks(b)
     assert {(r.date.day, r.persistence_count) for r in streaks.select("date", "persistence_count").distinct().collect()} == {(k, k) for k in (1, 2, 3, 4)}
     assert streaks.count() == 1200 and "b_id" not in streaks._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_dense_alerts_have_smaller_tiles():
+    """Tasks of tracks stay bounded as alerts come to lie denser, until one date and the least tile."""
+    assert [persistence.run_size(d, lambda n: 2 * n + 1) for d in (0.01, 44.0, 440.0)] == [(8, 64), (1, 9), (1, 4)]

@@ -131,3 +131,12 @@ def test_streaks_send_no_links(spark):
 def test_dense_alerts_have_smaller_tiles():
     """Tasks of tracks stay bounded as alerts come to lie denser, until one date and the least tile."""
     assert [persistence.run_size(d, lambda n: 2 * n + 1) for d in (0.01, 44.0, 440.0)] == [(8, 64), (1, 9), (1, 4)]
+
+
+def test_slabs_need_one_job_for_many_dates(spark):
+    """Alerts apart in x are followed over all dates at once, with the tracks of runs of dates; 60 dates were 8 jobs before."""
+    b = spark.range(360).select("id", F.date_add(F.lit("2020-01-01").cast("date"), (F.floor(F.col("id") / 6) * 16).cast("int")).alias("date"), (F.col("id") % 3 * 20 + F.col("id") % 2).alias("x0"), (F.col("id") * 7 % 5).alias("y0"))
+    b = b.withColumns({"x1": F.col("x0") + 10, "y1": F.col("y0") + 10})
+    (got, kept), (want, left) = persistence.fold_tracks(b), persistence.fold_tracks(b, 8, 4)
+    assert sorted(got.collect()) == sorted(want.collect()) and sorted(kept.collect()) == sorted(left.collect())
+    assert len({f.split("/steps/")[1].split("/")[0] for f in got.inputFiles()}) == 1

@@ -140,3 +140,28 @@ def test_slabs_need_one_job_for_many_dates(spark):
     (got, kept), (want, left) = persistence.fold_tracks(b), persistence.fold_tracks(b, 8, 4)
     assert sorted(got.collect()) == sorted(want.collect()) and sorted(kept.collect()) == sorted(left.collect())
     assert len({f.split("/steps/")[1].split("/")[0] for f in got.inputFiles()}) == 1
+
+
+def test_dense_dates_match_each_alert_once(spark):
+    """One date a task: hits name the alert that gives a track its box, and the next date finds it, as when all dates are followed at once."""
+    rng = np.random.default_rng(1)
+    for sides in ([20], [0, 10, 15, 20]):
+        n = 500
+        day, corner = np.sort(rng.integers(0, 30, n)) * 25, rng.integers(0, 90, (n, 2))
+        alerts = {"day": day, "id": rng.permutation(n), "box": np.concatenate([corner, corner + rng.choice(sides, (n, 2))], 1).astype(float)}
+        none = np.zeros(0, np.int64)
+        tracks = hits = {k: none for k in ("day", "id", "n", "first", "last")} | {"box": np.zeros((0, 4))}
+        want, left = persistence.fold_dates(alerts, tracks)
+        got = {}
+        for d in np.unique(day):
+            seen, tracks, hits = persistence.fold_day({k: v[day == d] for k, v in alerts.items()}, tracks, hits, int(d))
+            assert len(np.unique(np.stack([hits["day"], hits["id"]]), axis=1).T) == len(hits["id"])
+            got |= dict(zip(seen["id"].tolist(), zip(seen["n"].tolist(), seen["first"].tolist(), strict=True), strict=True))
+        assert got == dict(zip(want["id"].tolist(), zip(want["n"].tolist(), want["first"].tolist(), strict=True), strict=True))
+        _, tracks, _ = persistence.fold_day({k: v[:0] for k, v in alerts.items()}, tracks, hits, int(day.max()))
+        rows = lambda t: sorted(zip(*(t[k].tolist() for k in ("day", "id", "n", "first", "last", "box")), strict=True))
+        assert rows(tracks) == rows(left) and max(n for n, _ in got.values()) >= 14
+    b = spark.createDataFrame([(int(i), int(d), *map(int, x)) for d, i, x in zip(day, alerts["id"], alerts["box"], strict=True)], "id long, d int, x0 long, y0 long, x1 long, y1 long")
+    b = b.where("d < 250").select("id", F.date_add(F.lit("2020-01-01").cast("date"), F.col("d")).alias("date"), "x0", "y0", "x1", "y1")
+    for one, other in zip(persistence.fold_tracks(b, 1, 2), persistence.fold_tracks(b), strict=True):
+        assert sorted(one.collect()) == sorted(other.collect())

@@ -1,5 +1,6 @@
 """Operators on inputs whose work once grew faster than they do."""
 
+import datetime
 import time
 
 import numpy as np
@@ -165,3 +166,26 @@ def test_dense_dates_match_each_alert_once(spark):
     b = b.where("d < 250").select("id", F.date_add(F.lit("2020-01-01").cast("date"), F.col("d")).alias("date"), "x0", "y0", "x1", "y1")
     for one, other in zip(persistence.fold_tracks(b, 1, 2), persistence.fold_tracks(b), strict=True):
         assert sorted(one.collect()) == sorted(other.collect())
+
+
+def test_pairs_by_tiles_shuffle_boxes_only(spark):
+    """Pairs of boxes of all sizes, against all that could be; no join makes them, and each box is sent about once."""
+    rng = np.random.default_rng(8)
+    n = 500
+    corner, day = rng.integers(-900, 2500, (n, 2)), rng.integers(0, 20, n)
+    box = np.concatenate([corner, corner + rng.choice([0, 30, 100, 100, 150, 700, 2600], (n, 2))], 1)
+    b = spark.createDataFrame([(int(i), int(d), *map(int, x)) for i, d, x in zip(range(n), day, box, strict=True)], "id long, d int, x0 long, y0 long, x1 long, y1 long")
+    b = b.select("id", F.date_add(F.lit("2020-01-01").cast("date"), F.col("d")).alias("date"), "x0", "y0", "x1", "y1")
+    rank = np.searchsorted(np.unique(day), day)
+    w, h = (np.minimum(box[:, None, k + 2], box[None, :, k + 2]) - np.maximum(box[:, None, k], box[None, :, k]) for k in (0, 1))
+    for back in (1, 2):
+        want = {(int(i), int(j)): int(w[i, j] * h[i, j]) for i, j in np.argwhere((w > 0) & (h > 0) & (rank[:, None] == rank[None, :] + back))}
+        pairs = persistence.tile_pairs(b, back)
+        got = pairs.collect()
+        assert len(got) == len(want) > 100 and {(r.a_id, r.b_id): r.overlap for r in got} == want
+        assert all((r.date - datetime.date(2020, 1, 1)).days == day[r.a_id] for r in got)
+    one = b.withColumns({"x1": F.col("x0") + 100, "y1": F.col("y0") + 100})
+    plan = persistence.tile_pairs(one)._jdf.queryExecution().optimizedPlan().toString()
+    assert sum("Join" in line for line in plan.splitlines()) == 1  # dates' numbers
+    real = one.select(*("id", "date"), *[F.col(c).cast("double").alias(c) for c in ("x0", "y0", "x1", "y1")])
+    assert persistence.tile_pairs(real).count() == persistence.with_previous(real).count()

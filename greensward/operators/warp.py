@@ -9,26 +9,22 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from greensward.operators.batches import in_groups
 from greensward.operators.grid import Grid
 from greensward.operators.regions import TILE
 
 #: Points along each side of a tile by which its place on the target is found, target cells around it for safety, and cells in work at a time.
 SIDE, MARGIN, STRIP = 33, 2, 1 << 20
 
+#: Side of the largest tile that many images go through together, and how many at a time.
+SMALL, IMAGES = 32, 1024
+
 #: Takes x and y as arrays and gives x and y.
 Mapping = Callable[[np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray]]
 
 
-def warp_tile(row: np.ndarray, col: np.ndarray, v: np.ndarray, rows: tuple[int, int], cols: tuple[int, int], source: Grid, target: Grid, to_source: Mapping, to_target: Mapping, nearest: bool) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """``row, col, value`` of the target cells whose source cell (of bilinear taps the upper left one) lies in a tile.
-
-    ``rows`` and ``cols`` are the tile's first row and column and those behind
-    its last; the cells given may lie one row and column further on.
-    """
-    r0, r1, c0, c1 = max(rows[0], int(row.min()) - 1), min(rows[1], int(row.max()) + 1), max(cols[0], int(col.min()) - 1), min(cols[1], int(col.max()) + 1)
-    dense = np.full((r1 - r0 + 1, c1 - c0 + 1), np.nan)
-    inside = (row >= r0) & (row <= r1) & (col >= c0) & (col <= c1)
-    dense[row[inside] - r0, col[inside] - c0] = v[inside]
+def target_cells(r0: int, r1: int, c0: int, c1: int, source: Grid, target: Grid, to_source: Mapping, to_target: Mapping, nearest: bool) -> Iterator[tuple[np.ndarray, ...]]:
+    """Row and column of the target cells whose source cell lies in rows ``r0`` to ``r1`` and columns ``c0`` to ``c1``, the row and column of that cell in there, and where between it and the next they lie."""
     u = np.linspace(0.0, 1.0, SIDE)
     ends = (source.left + c0 * source.res, source.left + (c1 + 1) * source.res), (source.top - r0 * source.res, source.top - (r1 + 1) * source.res)
     x = np.concatenate([ends[0][0] + u * (ends[0][1] - ends[0][0])] * 2 + [np.full(SIDE, e) for e in ends[0]])
@@ -50,17 +46,35 @@ def warp_tile(row: np.ndarray, col: np.ndarray, v: np.ndarray, rows: tuple[int,
         br, bc = np.floor(fr).astype(np.int64), np.floor(fc).astype(np.int64)
         mine = (br >= r0) & (br < r1) & (bc >= c0) & (bc < c1)
         tr, tc, br, bc, fr, fc = (a[mine] for a in (tr, tc, br, bc, fr, fc))
-        if nearest:
-            value = dense[br - r0, bc - c0]
-        else:
-            total, weight = np.zeros(len(tr)), np.zeros(len(tr))
-            for dr in (0, 1):
-                for dc in (0, 1):
-                    tap = dense[br - r0 + dr, bc - c0 + dc]
-                    w = np.abs(1 - dr - (fr - br)) * np.abs(1 - dc - (fc - bc))
-                    w = np.where(np.isnan(tap) | (w <= 1e-12), 0.0, w)
-                    total, weight = total + w * np.nan_to_num(tap), weight + w
-            value = np.divide(total, weight, out=np.full(len(tr), np.nan), where=weight > 0)
+        yield tr, tc, br - r0, bc - c0, fr - br, fc - bc
+
+
+def read_cells(dense: np.ndarray, br: np.ndarray, bc: np.ndarray, fr: np.ndarray, fc: np.ndarray, nearest: bool) -> np.ndarray:
+    """Values of one window of cells, or of many along the first axis; nan where nothing is."""
+    if nearest:
+        return dense[..., br, bc]
+    total = weight = np.zeros((*dense.shape[:-2], len(br)))
+    for dr in (0, 1):
+        for dc in (0, 1):
+            tap = dense[..., br + dr, bc + dc]
+            w = np.abs(1 - dr - fr) * np.abs(1 - dc - fc)
+            w = np.where(np.isnan(tap) | (w <= 1e-12), 0.0, w)
+            total, weight = total + w * np.nan_to_num(tap), weight + w
+    return np.divide(total, weight, out=np.full(weight.shape, np.nan), where=weight > 0)
+
+
+def warp_tile(row: np.ndarray, col: np.ndarray, v: np.ndarray, rows: tuple[int, int], cols: tuple[int, int], source: Grid, target: Grid, to_source: Mapping, to_target: Mapping, nearest: bool) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """``row, col, value`` of the target cells whose source cell (of bilinear taps the upper left one) lies in a tile.
+
+    ``rows`` and ``cols`` are the tile's first row and column and those behind
+    its last; the cells given may lie one row and column further on.
+    """
+    r0, r1, c0, c1 = max(rows[0], int(row.min()) - 1), min(rows[1], int(row.max()) + 1), max(cols[0], int(col.min()) - 1), min(cols[1], int(col.max()) + 1)
+    dense = np.full((r1 - r0 + 1, c1 - c0 + 1), np.nan)
+    inside = (row >= r0) & (row <= r1) & (col >= c0) & (col <= c1)
+    dense[row[inside] - r0, col[inside] - c0] = v[inside]
+    for tr, tc, br, bc, fr, fc in target_cells(r0, r1, c0, c1, source, target, to_source, to_target, nearest):
+        value = read_cells(dense, br, bc, fr, fc, nearest)
         good = ~np.isnan(value)
         yield tr[good], tc[good], value[good]
 
@@ -76,8 +90,9 @@ def warp(raster: DataFrame, source: Grid, target: Grid, by: list[str], to_source
 
     A task has one tile of the source and the first row and column of the tiles
     behind it; it makes the target cells whose (upper left) source cell is its
-    own, so each is made once and nothing is shuffled after that. A source cell
-    must come once.
+    own, so each is made once and nothing is shuffled after that. Small tiles go
+    through a task many images at a time, and where their target cells lie is
+    worked out once for all. A source cell must come once.
     """
     near = lambda c: F.array_distinct(F.array(F.floor((F.col(c) - 1) / tile), F.floor(F.col(c) / tile)))
     v = F.col(value).cast("double")
@@ -86,13 +101,42 @@ def warp(raster: DataFrame, source: Grid, target: Grid, by: list[str], to_source
     dealt = cells.withColumn("_tr", F.explode(near("row"))).withColumn("_tc", F.explode(near("col")))
     kinds = dict(cells.dtypes)
 
-    def one(table: pa.Table) -> pa.Table:
+    small = tile <= SMALL
+
+    def many(table: pa.Table, first: np.ndarray) -> pa.Table:
         row, col, v, tr, tc = (table.column(c).to_numpy() for c in ("row", "col", "_v", "_tr", "_tc"))
-        rows, cols = ((int(t[0]) * tile, (int(t[0]) + 1) * tile) for t in (tr, tc))
-        found = list(warp_tile(row, col, v, rows, cols, source, target, to_source, to_target, nearest))
-        r, c, w = (np.concatenate([f[i] for f in found]) if found else np.zeros(0, k) for i, k in enumerate((np.int64, np.int64, np.float64)))
-        key = table.select(by).slice(0, 1).combine_chunks().take(pa.array(np.zeros(len(r), np.int64)))
+        stop, parts = np.append(first[1:], len(row)), []
+
+        def alone(g: int) -> None:
+            """An image's tile that is large enough to be read where it has cells only."""
+            at = slice(first[g], stop[g])
+            rows, cols = ((int(t[at][0]) * tile, (int(t[at][0]) + 1) * tile) for t in (tr, tc))
+            parts.extend((np.full(len(f[0]), first[g]), *f) for f in warp_tile(row[at], col[at], v[at], rows, cols, source, target, to_source, to_target, nearest))
+
+        def together(s: int, e: int, plan: list[tuple[np.ndarray, ...]]) -> None:
+            """The same tile of many images."""
+            at, r0, c0 = slice(first[s], stop[e - 1]), int(tr[first[s]]) * tile, int(tc[first[s]]) * tile
+            dense = np.full((e - s, tile + 1, tile + 1), np.nan)
+            dense[np.repeat(np.arange(e - s), (stop - first)[s:e]), row[at] - r0, col[at] - c0] = v[at]
+            for to_row, to_col, *place in plan:
+                value = read_cells(dense, *place, nearest)
+                image, k = np.nonzero(~np.isnan(value))
+                parts.append((first[s + image], to_row[k], to_col[k], value[image, k]))
+
+        if small:
+            cuts = [0, *(np.flatnonzero((np.diff(tr[first]) != 0) | (np.diff(tc[first]) != 0)) + 1).tolist(), len(first)]
+            for a, b in zip(cuts, cuts[1:]):
+                r0, c0 = int(tr[first[a]]) * tile, int(tc[first[a]]) * tile
+                plan = list(target_cells(r0, r0 + tile, c0, c0 + tile, source, target, to_source, to_target, nearest))
+                step = max(1, min(IMAGES, STRIP // max([1, *(len(p[0]) for p in plan)])))
+                for s in range(a, b, step):
+                    together(s, min(s + step, b), plan)
+        else:
+            for g in range(len(first)):
+                alone(g)
+        of, r, c, w = (np.concatenate([p[i] for p in parts]) if parts else np.zeros(0, k) for i, k in enumerate((np.int64, np.int64, np.int64, np.float64)))
+        key = table.select(by).take(pa.array(of))
         return pa.table({**{b: key.column(b) for b in by}, "row": pa.array(r), "col": pa.array(c), value: pa.array(w)})
 
     schema = ", ".join([*(f"{b} {kinds[b]}" for b in by), "row bigint", "col bigint", f"{value} double"])
-    return dealt.groupBy(*by, "_tr", "_tc").applyInArrow(one, schema)
+    return in_groups(dealt, ["_tr", "_tc", *by], many, schema)

@@ -294,3 +294,24 @@ def test_tiles_of_extents(spark):
     e = spark.createDataFrame([("a", -40.90, -7.85, -38.95, -6.95), ("b", 1.0, 0.0, 0.0, 1.0), ("c", None, 0.0, 1.0, 1.0), ("d", 0.0, 0.0, 0.1, 0.1)], "name string, west double, south double, east double, north double")
     got = {r.name: r["count"] for r in spatial.tile_grids(e, ["name"]).groupBy("name").count().collect()}
     assert got == {"a": 55, "d": 1}
+
+
+def test_images_warped_together(spark, monkeypatch):
+    """Small tiles go through a task many images at a time, with the values of each on its own."""
+    from greensward.operators import batches, warp as module
+    from greensward.operators.grid import Grid
+
+    rng = np.random.default_rng(2)
+    rows = [(k, r, c, None if rng.random() < 0.2 else float(rng.normal())) for k in range(40) for r in range(k % 3, 9) for c in range(k % 2, 11)]
+    raster = spark.createDataFrame(rows, "img long, row int, col int, v double")
+    source, target, turn = Grid(0.0, 90.0, 10.0, 11, 9), Grid(-20.0, 110.0, 7.0, 20, 20), lambda x, y: (0.9 * x - 0.2 * y, 0.2 * x + 0.9 * y)
+    back = lambda x, y: ((0.9 * x + 0.2 * y) / 0.85, (0.9 * y - 0.2 * x) / 0.85)
+    run = lambda nearest, tile: sorted(module.warp(raster, source, target, ["img"], back, turn, nearest=nearest, tile=tile).collect())
+    plan = module.warp(raster, source, target, ["img"], back, turn, tile=4)._jdf.queryExecution().optimizedPlan().toString()
+    assert "FlatMapGroupsInArrow" not in plan
+    together = {(n, t): run(n, t) for n in (False, True) for t in (4, 32)}
+    monkeypatch.setattr(module, "SMALL", 0)
+    monkeypatch.setattr(batches, "ROWS", 50)
+    for (nearest, tile), want in together.items():
+        got = run(nearest, tile)
+        assert len(got) == len(want) > 2_000 and [r[:3] for r in got] == [r[:3] for r in want] and np.allclose([r.v for r in got], [r.v for r in want], atol=1e-12)

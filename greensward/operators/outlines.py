@@ -7,6 +7,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from greensward.operators.batches import in_groups
 from greensward.operators.graph import connected_components
 from greensward.operators.regions import TILE
 from greensward.plans.scratch import Scratch
@@ -73,13 +74,27 @@ def trace_tile(row: np.ndarray, col: np.ndarray, region: np.ndarray, own: np.nda
     return region[cell[a]], name[a], name_to[b], chains
 
 
-def signed_cells(corners: np.ndarray, width: int) -> tuple[np.ndarray, int]:
-    """A ring's corners from the smallest on, those on straight lines left out, and its area in cells: below 0 for holes."""
+def closed_rings(corners: np.ndarray, first: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Rings one behind the other, of which ``first`` tells the starts: closed, from the smallest corner on, those on straight lines left out; how many corners each has then, and its area in cells, below 0 for holes."""
+
+    def turns(first: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+        """Places of the corners before and behind each one."""
+        before, behind, last = np.arange(n) - 1, np.arange(n) + 1, np.append(first[1:], n) - 1
+        before[first], behind[last] = last, first
+        return before, behind
+
     y, x = -(corners // (2 * width)), corners % (2 * width)
-    bend = (np.roll(x, 1) - x) * (np.roll(y, -1) - y) != (np.roll(y, 1) - y) * (np.roll(x, -1) - x)
+    before, behind = turns(first, len(corners))
+    bend = (x[before] - x) * (y[behind] - y) != (y[before] - y) * (x[behind] - x)
+    count = np.add.reduceat(bend, first, dtype=np.int64)
     corners, y, x = corners[bend], y[bend], x[bend]
-    twice = int((x * np.roll(y, -1) - np.roll(x, -1) * y).sum())
-    return np.roll(corners, -int(corners.argmin())), twice // 2
+    first = np.cumsum(count) - count
+    _, behind = turns(first, len(corners))
+    twice = np.add.reduceat(x * y[behind] - x[behind] * y, first)
+    at = np.flatnonzero(corners == np.repeat(np.minimum.reduceat(corners, first), count))
+    smallest = at[np.searchsorted(at, first)] - first
+    k = np.arange(int((count + 1).sum())) - np.repeat(np.cumsum(count + 1) - count - 1, count + 1)
+    return corners[np.repeat(first, count + 1) + (np.repeat(smallest, count + 1) + k) % np.repeat(count, count + 1)], count + 1, twice // 2
 
 
 def outlines(cells: DataFrame, image: str = "img", width: int = 1 << 20, tile: int = TILE) -> DataFrame:
@@ -89,7 +104,8 @@ def outlines(cells: DataFrame, image: str = "img", width: int = 1 << 20, tile: i
     run against the clock around a region and with it around holes, seen with
     north (row 0) up. A task chains the sides of one tile, which it sees with a
     border of one cell; chains that leave their tile are then joined to rings by
-    the components of their ends, so a task holds a tile, or one ring of it.
+    the components of their ends, so a task holds a tile, or one ring of it;
+    small ones are worked on many at a time.
     """
     spark = cells.sparkSession
     scratch = Scratch(spark, "outlines")
@@ -97,42 +113,59 @@ def outlines(cells: DataFrame, image: str = "img", width: int = 1 << 20, tile: i
     dealt = cells.select(F.col(image).alias("img"), F.col("row").cast("long"), F.col("col").cast("long"), F.col("region").cast("long"))
     dealt = dealt.withColumn("_tr", F.explode(around("row"))).withColumn("_tc", F.explode(around("col")))
 
-    def trace(table: pa.Table) -> pa.Table:
+    def trace(table: pa.Table, first: np.ndarray) -> pa.Table:
+        """Tiles with their borders below one another, where they don't meet; what is found goes back to its tile."""
         row, col, region, tr, tc = (table.column(c).to_numpy() for c in ("row", "col", "region", "_tr", "_tc"))
         own = (row // tile == tr) & (col // tile == tc)
-        found, head, after, chains = trace_tile(row, col, region, own, width)
-        offsets = np.concatenate([[0], np.cumsum([len(c) for c in chains])]).astype(np.int32)
-        flat = np.concatenate(chains) if chains else np.zeros(0, np.int64)
-        img = pa.chunked_array([table.column("img").slice(0, 1).combine_chunks().take(pa.array(np.zeros(len(chains), np.int64)))])
+        wide = tile + 4
+        down = np.repeat(np.arange(len(first)) * wide, np.diff(np.append(first, len(row))))
+        found, head, after, chains = trace_tile(row - tr * tile + 1 + down, col - tc * tile + 1, region, own, wide)
+        up, left = tr[first] * tile - 1, tc[first] * tile - 1
+
+        def placed(at: np.ndarray, of: np.ndarray, columns: int, whole: int) -> np.ndarray:
+            return (at // columns - of * wide + up[of]) * whole + at % columns + left[of]
+
+        of = head // (4 * wide * wide)
+        lengths = np.array([len(c) for c in chains], np.int64)
+        flat = placed(np.concatenate(chains), np.repeat(of, lengths), 2 * wide, 2 * width) if chains else np.zeros(0, np.int64)
+        head, after = (placed(k // 4, of, wide, width) * 4 + k % 4 for k in (head, after))
+        offsets = np.concatenate([[0], np.cumsum(lengths)]).astype(np.int32)
+        img = table.column("img").take(pa.array(first[of]))
         return pa.table({"img": img, "region": pa.array(found, pa.int64()), "head": pa.array(head, pa.int64()), "after": pa.array(after, pa.int64()), "corners": pa.ListArray.from_arrays(offsets, pa.array(flat, pa.int64()))})
 
     kind = dict(dealt.dtypes)["img"]
     chain = f"img {kind}, region bigint, head bigint, after bigint, corners array<bigint>"
-    chains = scratch.put(dealt.groupBy("img", "_tr", "_tc").applyInArrow(trace, chain), "chains")
+    chains = scratch.put(in_groups(dealt, ["img", "_tr", "_tc"], trace, chain), "chains")
     open_ = chains.where("head <> after")
     end = lambda c: F.struct("img", F.col(c).alias("edge"))
     ring_of = connected_components(open_.select(end("head").alias("src"), end("after").alias("dst")), scratch=scratch)
     ring_of = scratch.put(ring_of.select(F.col("id.img").alias("_img"), F.col("id.edge").alias("_edge"), F.col("component.edge").alias("ring")), "rings")
     parts = open_.join(ring_of, (F.col("img") == F.col("_img")) & (F.col("head") == F.col("_edge"))).drop("_img", "_edge")
 
-    def close(table: pa.Table) -> pa.Table:
-        heads = {h: k for k, h in enumerate(table.column("head").to_pylist())}
-        after, lists = table.column("after").to_pylist(), table.column("corners").to_pylist()
-        k = heads[min(heads)]
-        corners: list[int] = []
-        for _ in range(len(after)):
-            corners += lists[k]
-            k = heads[after[k]]
-        one = table.slice(0, 1)
-        return pa.table({"img": one.column("img"), "region": one.column("region"), "head": one.column("head"), "after": one.column("head"), "corners": pa.array([corners], pa.list_(pa.int64()))})
-
-    closed = chains.where("head = after").unionByName(scratch.put(parts.groupBy("img", "ring").applyInArrow(close, chain), "joined"))
+    def close(table: pa.Table, first: np.ndarray) -> pa.Table:
+        head, after, lists = (table.column(c).to_pylist() for c in ("head", "after", "corners"))
+        rings: list[list[int]] = []
+        for s, e in zip(first.tolist(), [*first[1:].tolist(), len(head)]):
+            place = {head[k]: k for k in range(s, e)}
+            k, corners = place[min(place)], []
+            for _ in range(s, e):
+                corners += lists[k]
+                k = place[after[k]]
+            rings.append(corners)
+        one = table.take(pa.array(first))
+        return pa.table({"img": one.column("img"), "region": one.column("region"), "head": one.column("head"), "after": one.column("head"), "corners": pa.array(rings, pa.list_(pa.int64()))})
+
+    closed = chains.where("head = after").unionByName(scratch.put(in_groups(parts, ["img", "ring"], close, chain), "joined"))
 
     def finish(batches):
         for b in batches:
-            done = [signed_cells(np.array(c, np.int64), width) for c in b.column("corners").to_pylist()]
-            rings = [[{"row": int(k) // (2 * width), "col": int(k) % (2 * width)} for k in [*c, c[0]]] for c, _ in done]
-            yield pa.RecordBatch.from_arrays([b.column("img"), b.column("region"), pa.array([n for _, n in done], pa.int64()), pa.array(rings, pa.list_(pa.struct([("row", pa.int64()), ("col", pa.int64())])))], names=["img", "region", "cells", "ring"])
+            if b.num_rows:
+                lists = b.column("corners")
+                ends = np.asarray(lists.offsets)
+                flat, count, area = closed_rings(np.asarray(lists.flatten()), (ends - ends[0])[:-1].astype(np.int64), width)
+                point = pa.StructArray.from_arrays([pa.array(flat // (2 * width)), pa.array(flat % (2 * width))], names=["row", "col"])
+                rings = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(count)]).astype(np.int32)), point)
+                yield pa.RecordBatch.from_arrays([b.column("img"), b.column("region"), pa.array(area), rings], names=["img", "region", "cells", "ring"])
 
     out = closed.select("img", "region", "corners").mapInArrow(finish, f"img {kind}, region bigint, cells bigint, ring array<struct<row:bigint,col:bigint>>")
     return out.withColumnRenamed("img", image)

@@ -10,6 +10,7 @@ from pyspark.sql.types import LongType, StructField, StructType
 
 from greensward import config
 from greensward.functions.detection import landcover_group
+from greensward.operators.batches import in_groups
 from greensward.operators.graph import connected_components
 from greensward.plans.scratch import Scratch
 
@@ -46,20 +47,25 @@ def label_tile(row: np.ndarray, col: np.ndarray, width: int) -> np.ndarray:
 def label_regions(cells: DataFrame, image: str = "img", width: int = 1 << 20, tile: int = TILE) -> DataFrame:
     """``cells`` with ``region``: the smallest ``row * width + col`` of its 4-connected region in its image.
 
-    A task labels the cells of one tile of ``tile`` x ``tile``, so its size is
-    bounded. Only cells on the edges of tiles are then joined to their
+    A task labels the cells of one tile of ``tile`` x ``tile``, or of small ones
+    many at a time, so its size is bounded. Only cells on the edges of tiles are then joined to their
     neighbours, and the pairs of labels found there, few beside the cells, go to
     the component search.
     """
     at = {"_tr": F.floor(F.col("row") / tile), "_tc": F.floor(F.col("col") / tile)}
     names, schema = cells.columns, StructType([*cells.schema.fields, StructField("_local", LongType())])
 
-    def label(table: pa.Table) -> pa.Table:
-        found = label_tile(table.column("row").to_numpy(), table.column("col").to_numpy(), width)
+    def label(table: pa.Table, first: np.ndarray) -> pa.Table:
+        """Tiles below one another, a column and a row apart."""
+        row, col, tr, tc = (table.column(c).to_numpy().astype(np.int64) for c in ("row", "col", "_tr", "_tc"))
+        wide = tile + 1
+        down = np.repeat(np.arange(len(first)) * wide, np.diff(np.append(first, len(row))))
+        found = label_tile(row - tr * tile + down, col - tc * tile, wide)
+        found = (found // wide - down + tr * tile) * width + found % wide + tc * tile
         return table.select(names).append_column("_local", pa.array(found, pa.int64()))
 
     scratch = Scratch(cells.sparkSession, "regions")
-    local = scratch.put(cells.withColumns(at).groupBy(image, "_tr", "_tc").applyInArrow(label, schema), "tiles")
+    local = scratch.put(in_groups(cells.withColumns(at), [image, "_tr", "_tc"], label, schema), "tiles")
     pairs = None
     for axis in ("row", "col"):
         side = local.select(image, "row", "col", F.struct(F.col(image).alias("img"), F.col("_local").alias("cell")).alias("id"))

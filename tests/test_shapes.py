@@ -315,3 +315,17 @@ def test_images_warped_together(spark, monkeypatch):
     for (nearest, tile), want in together.items():
         got = run(nearest, tile)
         assert len(got) == len(want) > 2_000 and [r[:3] for r in got] == [r[:3] for r in want] and np.allclose([r.v for r in got], [r.v for r in want], atol=1e-12)
+
+
+def test_small_tiles_traced_together(spark):
+    """Regions and rings of many small tiles are those of one tile for each image, and no task is called for each."""
+    rng = np.random.default_rng(4)
+    cells = spark.createDataFrame([(k, r, c) for k in range(60) for r in range(9) for c in range(11) if rng.random() < 0.6], "img long, row int, col int")
+    one, many = (regions.label_regions(cells, tile=t) for t in (64, 3))
+    assert sorted(one.collect()) == sorted(many.collect())
+    want, got = (outlines.outlines(one, tile=t) for t in (64, 3))
+    rings = sorted(got.collect())
+    assert rings == sorted(want.collect()) and min(r.cells for r in rings) < 0
+    assert sum(r.cells for r in rings) == cells.count() and all(r.ring[0] == r.ring[-1] == min(r.ring) for r in rings)
+    assert "FlatMapGroupsInArrow" not in "".join(d._jdf.queryExecution().optimizedPlan().toString() for d in (many, got))
+    assert list(outlines.closed_rings(np.array([0, 1, 2, 42, 40, 20]), np.array([0]), 10)[0]) == [0, 2, 42, 40, 0]

@@ -2,17 +2,27 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from greensward.operators.grid import Grid
 from greensward.operators.regions import annotate_landcover
 from greensward.operators.shapes import BLOCK, union_runs
+from greensward.plans.scratch import Scratch
 
 EDGE = ("x0", "y0", "x1", "y1")
 
+#: Columns of the blocks in which polygons' runs meet a raster: few, as a run is tried against all cells of its block.
+NARROW = 8
+
+#: Rows of edges in work at a time.
+STRIP = 1 << 20
+
 
 def ring_edges(rings: DataFrame, by: list[str], ring: str = "ring") -> DataFrame:
     """``by, x0, y0, x1, y1``: the edges of rings, arrays of points (x, y), closed or not.
@@ -96,27 +106,119 @@ def clip_to(cells: DataFrame, runs: DataFrame) -> DataFrame:
     return keyed.join(r, (F.col("row") == F.col("_row")) & (F.col("_block") == F.col("_b")) & F.col("col").between(F.col("_c0"), F.col("_c1")), "left_semi").drop("_block")
 
 
-def cells_of(runs: DataFrame, by: list[str], raster: DataFrame, values: list[str]) -> DataFrame:
-    """``by, row, col`` and the ``values`` of the raster's cells in each area's runs; a cell comes once for each area that holds it."""
-    r = raster.select(F.col("row").cast("long").alias("row"), F.col("col").cast("long").alias("col"), *values).withColumn("block", F.floor(F.col("col") / BLOCK))
+def cells_of(runs: DataFrame, by: list[str], raster: DataFrame, values: list[str], block: int = BLOCK) -> DataFrame:
+    """``by, row, col`` and the ``values`` of the raster's cells in each area's runs, which are cut into blocks of ``block`` columns; a cell comes once for each area that holds it."""
+    r = raster.select(F.col("row").cast("long").alias("row"), F.col("col").cast("long").alias("col"), *values).withColumn("block", F.floor(F.col("col") / block))
     return runs.join(r, ["row", "block"]).where(F.col("col").between(F.col("c0"), F.col("c1"))).select(*by, "row", "col", *values)
 
 
-def annotate_polygons(alerts: DataFrame, by: list[str], collections: dict[str, tuple[DataFrame, Grid]], to_raster: Callable[[Column, Column], tuple[Column, Column]] = lambda x, y: (x, y), all_touched: bool = True) -> DataFrame:
+def polygon_edges(rings: pa.Array, to_raster: Callable[[np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, ...]:
+    """Of polygons, arrays of rings of points (x, y): the place of the polygon and ``x0, y0, x1, y1`` of each edge, as ``ring_edges`` has them, each corner brought to the raster's system once."""
+    ring = pc.list_flatten(rings)
+    points = pc.list_flatten(ring)
+    of_ring = np.asarray(pc.list_parent_indices(ring))
+    polygon = np.asarray(pc.list_parent_indices(rings))[of_ring]
+    part = dict(zip((f.name for f in points.type), points.flatten()))
+    x, y = (np.asarray(part[c].cast(pa.float64()).fill_null(np.nan)) for c in "xy")
+    there = np.isfinite(x) & np.isfinite(y)
+    of_ring, polygon, x, y = of_ring[there], polygon[there], x[there], y[there]
+    first = np.flatnonzero(np.diff(of_ring, prepend=-1))
+    behind = np.arange(1, len(x) + 1)
+    behind[np.append(first[1:], len(x))[: len(first)] - 1] = first
+    edge = np.flatnonzero((x != x[behind]) | (y != y[behind]))
+    x, y = to_raster(x, y)
+    return polygon[edge], x[edge], y[edge], x[behind[edge]], y[behind[edge]]
+
+
+def runs_of_edges(polygon: np.ndarray, x0: np.ndarray, y0: np.ndarray, x1: np.ndarray, y1: np.ndarray, grid: Grid, all_touched: bool = True) -> tuple[np.ndarray, ...]:
+    """``polygon, row, c0, c1`` by the rules of ``inside_runs`` and ``edge_runs``, in runs that don't meet."""
+    low, high, wide = np.minimum(y0, y1), np.maximum(y0, y1), grid.width + 1
+
+    def over(first: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The edge and the row of each row of the grid from ``first`` to ``last``."""
+        first, last = np.maximum(first, 0).astype(np.int64), np.minimum(last, grid.height - 1).astype(np.int64)
+        n = np.maximum(last - first + 1, 0)
+        e = np.repeat(np.arange(len(n)), n)
+        return e, np.arange(len(e)) - np.repeat(np.cumsum(n) - n, n) + first[e]
+
+    e, row = over(np.floor((grid.top - high) / grid.res - 0.5) + 1, np.floor((grid.top - low) / grid.res - 0.5))
+    y = grid.top - (row + 0.5) * grid.res
+    x = (x1[e] - x0[e]) * (y - y0[e]) / (y1[e] - y0[e]) + x0[e]
+    c = np.clip(np.ceil((x - grid.left) / grid.res - 0.5), 0, grid.width).astype(np.int64)
+    # a line is a row of a polygon; crossings before the same centre cancel in pairs
+    at, count = np.unique((polygon[e] * grid.height + row) * wide + c, return_counts=True)
+    at = at[count % 2 == 1]
+    start, stop = at[::2], at[1::2] - 1
+    inside = start % wide < grid.width
+    start, stop = start[inside], stop[inside]
+    if all_touched:
+        e, row = over(np.ceil((grid.top - high) / grid.res) - 1, np.floor((grid.top - low) / grid.res))
+        north, south, dy = grid.top - row * grid.res, grid.top - (row + 1) * grid.res, (y1 - y0)[e]
+        flat, slope = dy == 0, np.where(dy == 0, 1.0, dy)
+        ends = [np.where(flat, f[e], (x1 - x0)[e] * (y - y0[e]) / slope + x0[e]) for f, y in ((x0, np.minimum(high[e], north)), (x1, np.maximum(low[e], south)))]
+        c0 = np.maximum(np.ceil((np.minimum(*ends) - grid.left) / grid.res) - 1, 0).astype(np.int64)
+        c1 = np.minimum(np.floor((np.maximum(*ends) - grid.left) / grid.res), grid.width - 1).astype(np.int64)
+        some = c0 <= c1
+        line = ((polygon[e] * grid.height + row) * wide)[some]
+        start, stop = np.concatenate([start, line + c0[some]]), np.concatenate([stop, line + c1[some]])
+    order = np.argsort(start, kind="stable")
+    start, reach = start[order], np.maximum.accumulate(stop[order])
+    # a column stands between lines, so runs of two lines never meet
+    new = np.flatnonzero(np.append(True, start[1:] > reach[:-1] + 1)) if len(start) else np.zeros(0, np.int64)
+    start, reach = start[new], reach[np.append(new[1:], len(start))[: len(new)] - 1]
+    return start // wide // grid.height, start // wide % grid.height, start % wide, reach % wide
+
+
+def polygon_runs(alerts: DataFrame, by: list[str], grids: list[Grid], to_raster: Callable[[np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray]], all_touched: bool = True, block: int = NARROW) -> DataFrame:
+    """``by, grid, row, block, c0, c1``: the cells that polygons have on each of ``grids`` (by its place in the list), many polygons at a time; nothing is shuffled. Each polygon has a row without a grid, too."""
+    kinds = dict(alerts.dtypes)
+    columns = {"grid": pa.int32(), **dict.fromkeys(("row", "block", "c0", "c1"), pa.int64())}
+
+    def many(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([*batch.select(by).columns, *(pa.nulls(len(batch), t) for t in columns.values())], names=[*by, *columns])
+            polygon, *edge = polygon_edges(batch.column("rings"), to_raster)
+            for g, grid in enumerate(grids):
+                rows = np.minimum(np.abs(edge[3] - edge[1]) / grid.res, grid.height) + 2
+                strip = np.cumsum(rows) // STRIP
+                s = 0
+                while s < len(polygon):
+                    # whole polygons, of which names of lines must fit 64 bits
+                    e = min(int(np.searchsorted(strip, strip[s], "right")), int(np.searchsorted(polygon, polygon[s] + max(1, (1 << 62) // (grid.height * (grid.width + 1))))))
+                    e = int(np.searchsorted(polygon, polygon[e - 1], "right"))
+                    p, row, c0, c1 = runs_of_edges(polygon[s:e] - polygon[s], *(c[s:e] for c in edge), grid, all_touched)
+                    n = c1 // block - c0 // block + 1
+                    k = np.repeat(np.arange(len(n)), n)
+                    b = np.arange(len(k)) - np.repeat(np.cumsum(n) - n, n) + c0[k] // block
+                    key = batch.select(by).take(pa.array(p[k] + polygon[s]))
+                    found = np.full(len(k), g, np.int32), row[k], b, np.maximum(c0[k], b * block), np.minimum(c1[k], (b + 1) * block - 1)
+                    yield pa.RecordBatch.from_arrays([*key.columns, *map(pa.array, found)], names=[*by, *columns])
+                    s = e
+
+    return alerts.select(*by, "rings").mapInArrow(many, ", ".join([*(f"{b} {kinds[b]}" for b in by), "grid int, row bigint, block bigint, c0 bigint, c1 bigint"]))
+
+
+def annotate_polygons(alerts: DataFrame, by: list[str], collections: dict[str, tuple[DataFrame, Grid]], to_raster: Callable[[np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray]] = lambda x, y: (x, y), all_touched: bool = True) -> DataFrame:
     """Land cover of polygons on rasters of any grid and coordinate system: ``by`` and class, group and natural share for each collection.
 
     ``alerts`` has ``by`` and ``rings``; each collection is a table ``row, col,
-    code`` and its grid. Corners go to the raster's system by ``to_raster``, the
-    polygons' cells there come from scanlines, and cells meet the raster in a
-    join by row and block of columns. Polygons without a cell have nulls.
+    code`` and its grid. Corners go to the raster's system by ``to_raster``, and
+    the polygons' cells there come from scanlines as runs. Of the raster only
+    blocks of columns that a run needs are kept; where they are small, they go
+    to the runs, so places that very many polygons hold aren't one task's.
+    Polygons without a cell have nulls.
     """
-    rings = alerts.select(*by, F.explode("rings").alias("ring"))
-    edges = ring_edges(rings, by)
-    (ax, ay), (bx, by_) = to_raster(F.col("x0"), F.col("y0")), to_raster(F.col("x1"), F.col("y1"))
-    edges = edges.select(*by, ax.alias("x0"), ay.alias("y0"), bx.alias("x1"), by_.alias("y1"))
-    out = alerts.select(*by)
-    for name, (raster, grid) in collections.items():
-        cells = cells_of(area_runs(edges, by, grid, all_touched), by, raster, ["code"])
+    scratch = Scratch(alerts.sparkSession, "zones")
+    runs = scratch.put(polygon_runs(alerts, by, [grid for _, grid in collections.values()], to_raster, all_touched), "runs")
+    kept, out = [runs], runs.where("grid is null").select(*by)
+    for g, (name, (raster, _)) in enumerate(collections.items()):
+        mine = runs.where(F.col("grid") == g)
+        needed = scratch.put(mine.select("row", "block").distinct(), "needed")
+        block = {"row": F.col("row").cast("long"), "block": F.floor(F.col("col") / NARROW)}
+        codes = scratch.put(raster.select("row", "col", "code").withColumns(block).join(scratch.small(needed), ["row", "block"], "left_semi").drop("block"), "codes")
+        kept.append(codes)
+        cells = cells_of(mine.repartition(*by), by, scratch.small(codes), ["code"], NARROW)
         found = annotate_landcover(cells, by, "code", name)
         out = out.join(found.select(*by, *[F.col(c).alias(f"{c}_{name}") for c in found.columns if c not in by]), by, "left")
+    scratch.keep(*kept)
     return out

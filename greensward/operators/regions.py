@@ -101,11 +101,15 @@ def zonal_mode(cells: DataFrame, by: list[str], code: str) -> DataFrame:
 
 def annotate_landcover(cells: DataFrame, by: list[str], code: str, collection: str = "10m") -> DataFrame:
     """Dominant class, its group and the share of natural cells among those with a class."""
-    seen = cells.withColumn("grp", landcover_group(F.col(code), collection)).groupBy(*by, code, "grp").agg(F.count(F.lit(1)).alias("n"))
+    seen = cells.groupBy(*by, code).agg(F.count(F.lit(1)).alias("n"))
     some = F.col(code) != 0
-    best = F.max(F.when(some, F.struct("n", (-F.col(code)).alias("neg"), "grp")))
-    share = F.try_divide(F.sum(F.when(some & (F.col("grp") == "natural"), F.col("n")).otherwise(0)).cast("double"), F.sum(F.when(some, F.col("n"))))
-    return seen.groupBy(*by).agg((-best["neg"]).cast("int").alias("lc_class"), best["grp"].alias("lc_group"), F.bround(share, 3).alias("lc_natural_frac"))
+    # count and class, the smaller before, in one number: a struct's maximum would have all rows sorted
+    best = F.max(F.when(some, F.col("n") * (1 << 32) + ((1 << 31) - 1 - F.col(code).cast("long")))).alias("_best")
+    natural = landcover_group(F.col(code), collection) == "natural"
+    share = F.try_divide(F.sum(F.when(some & natural, F.col("n")).otherwise(0)).cast("double"), F.sum(F.when(some, F.col("n"))))
+    zones = seen.groupBy(*by).agg(best, F.bround(share, 3).alias("lc_natural_frac"))
+    zones = zones.withColumn("lc_class", ((1 << 31) - 1 - F.pmod("_best", F.lit(1 << 32))).cast("int"))
+    return zones.select(*by, "lc_class", F.when(F.col("lc_class").isNotNull(), landcover_group(F.col("lc_class"), collection)).alias("lc_group"), "lc_natural_frac")
 
 
 def annotate_all(cells: DataFrame, by: list[str], codes: dict[str, str], default: str = "10m") -> DataFrame:

@@ -205,4 +205,4 @@ def zonal_landcover(spark, d) -> DataFrame:
     """Outlines on a grid of 20 m in metres against land cover of 10 m and 30 m in degrees, all cells that they touch."""
     codes = {c: table(spark, d, "part").select(F.floor((F.col("p_partkey") - 1) / g.width).alias("row"), ((F.col("p_partkey") - 1) % g.width).alias("col"), F.col("p_size").alias("code")) for c, g in LANDCOVER.items()}
     alerts = outlines.polygons(_rings(spark, d), left=UTM.left, top=UTM.top)
-    return areas.annotate_polygons(alerts, ["img", "region"], {c: (codes[c], g) for c, g in LANDCOVER.items()}, utm_inverse)
+    return areas.annotate_polygons(alerts, ["img", "region"], {c: (codes[c], g) for c, g in LANDCOVER.items()}, _INVERSE)

@@ -329,3 +329,39 @@ def test_small_tiles_traced_together(spark):
     assert sum(r.cells for r in rings) == cells.count() and all(r.ring[0] == r.ring[-1] == min(r.ring) for r in rings)
     assert "FlatMapGroupsInArrow" not in "".join(d._jdf.queryExecution().optimizedPlan().toString() for d in (many, got))
     assert list(outlines.closed_rings(np.array([0, 1, 2, 42, 40, 20]), np.array([0]), 10)[0]) == [0, 2, 42, 40, 0]
+
+
+def test_polygons_as_runs(spark, monkeypatch):
+    """Many polygons with holes and parts on two grids at a time give the cells of plain scanlines, in runs that don't meet; few rows of edges in work at a time."""
+    monkeypatch.setattr(areas, "STRIP", 40)
+    grids = [Grid(0.0, 100.0, 10.0, 30, 10), Grid(-20.0, 130.0, 7.0, 40, 25)]
+    names = list(RINGS) * 3
+    polygons = [[[{"x": float(x), "y": float(y)} for x, y in ring] for ring in RINGS[n]] for n in names] + [None, []]
+    alerts = spark.createDataFrame(list(enumerate(polygons)), "id long, rings array<array<struct<x:double,y:double>>>").coalesce(1)
+    for touched in (False, True):
+        rows = areas.polygon_runs(alerts, ["id"], grids, lambda x, y: (x, y), touched).collect()
+        assert sorted(r.id for r in rows if r.grid is None) == list(range(len(polygons)))
+        for g, grid in enumerate(grids):
+            for k, n in enumerate(names):
+                want, mine = brute_inside(RINGS[n], grid)[touched], [r for r in rows if (r.id, r.grid) == (k, g)]
+                got = np.zeros(want.shape, int)
+                for r in mine:
+                    assert r.c0 // areas.NARROW == r.c1 // areas.NARROW == r.block
+                    got[r.row, r.c0 : r.c1 + 1] += 1
+                assert (got == want).all()
+
+
+def test_zones_of_many_polygons(spark):
+    """Land cover of polygons on one place: cells with repeated, missing and absent classes; rows are neither sorted for a maximum nor tried against a raster's whole line."""
+    square = lambda x, y: [[{"x": x + a, "y": y - b} for a, b in ((0.0, 0.0), (0.0, 20.0), (30.0, 20.0), (30.0, 0.0))]]
+    alerts = spark.createDataFrame([(k, square(10.0 * (k % 5), -10.0)) for k in range(200)] + [(200, square(50_000.0, 0.0))], "id long, rings array<array<struct<x:double,y:double>>>")
+    code = {(r, c): (None, 0, 3, 15, 15, 3, 24)[(r + 2 * c) % 7] for r in range(4) for c in range(3000) if c != 5}
+    codes = spark.createDataFrame([(r, c, v) for (r, c), v in code.items()], "row int, col int, code int")
+    zones = areas.annotate_polygons(alerts, ["id"], {"10m": (codes, Grid(0.0, 0.0, 10.0, 3000, 4))}, all_touched=False)
+    for r in zones.collect():
+        seen = [code[k] for k in ((i, r.id % 5 + j) for i in (1, 2) for j in range(3)) if code.get(k)] if r.id < 200 else []
+        best = min(set(seen), key=lambda v: (-seen.count(v), v)) if seen else None
+        assert (r.lc_class_10m, r.lc_natural_frac_10m) == (best, round(seen.count(3) / len(seen), 3) if seen else None)
+        assert r.lc_group_10m == {None: None, 3: "natural", 15: "farming", 24: "urban"}[best]
+    assert zones.count() == 201
+    assert "SortAggregate" not in zones._jdf.queryExecution().toString()

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -46,11 +48,22 @@ def load_alerts(spark: SparkSession, path: str, date: str | None = None) -> Data
 
 def degree_rings(alerts: DataFrame, rings: str = "rings") -> DataFrame:
     """Rings of points (x, y) in metres as GeoJSON has them: pairs of degrees to six decimals, both ends the same."""
-    def pair(p: Column) -> Column:
-        lon, lat = utm_inverse(p["x"], p["y"])
-        return F.array(F.bround(lon, 6), F.bround(lat, 6))
 
-    return alerts.withColumn(rings, F.transform(rings, lambda r: F.transform(r, pair)))
+    @F.arrow_udf("array<array<array<double>>>")
+    def degrees(column: pa.Array) -> pa.Array:
+        """All corners of a batch at once; the lists around them stay."""
+        column = pa.concat_arrays([column])
+        ring = column.values
+        part = dict(zip((f.name for f in ring.values.type), ring.values.flatten()))
+        x, y = (np.asarray(part[c].cast(pa.float64()).fill_null(np.nan)) for c in "xy")
+        pairs = np.stack(utm_inverse(x, y, m=np), 1).round(6)
+        gone = np.isnan(x) | np.isnan(y)
+        pair = pa.ListArray.from_arrays(np.arange(0, 2 * len(x) + 1, 2, dtype=np.int32), pa.array(pairs.ravel(), mask=np.repeat(gone, 2)))
+        for lists in (ring, column):
+            pair = pa.ListArray.from_arrays(pa.array(np.asarray(lists.offsets)), pair, mask=lists.is_null())
+        return pair
+
+    return alerts.withColumn(rings, degrees(F.col(rings)))
 
 
 def as_features(alerts: DataFrame, properties: list[str]) -> DataFrame:

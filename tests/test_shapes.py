@@ -365,3 +365,14 @@ def test_zones_of_many_polygons(spark):
         assert r.lc_group_10m == {None: None, 3: "natural", 15: "farming", 24: "urban"}[best]
     assert zones.count() == 201
     assert "SortAggregate" not in zones._jdf.queryExecution().toString()
+
+
+def test_degrees_of_rings(spark):
+    """Missing rings and points stay missing, and corners are no expressions that are worked out one by one."""
+    ring = [{"x": 400_000.0 + 20 * k, "y": 9_150_000.0 - 20 * k} for k in range(3)]
+    rows = [(0, None), (1, [ring, None, []]), (2, []), (3, [[ring[2], None, {"x": None, "y": 1.0}]])]
+    degrees = store.degree_rings(spark.createDataFrame(rows, "id long, rings array<array<struct<x:double,y:double>>>").coalesce(1))
+    got = {r.id: r.rings for r in degrees.where("id <> 2").collect()}
+    want = [[round(float(v), 6) for v in INVERSE(np.float64(p["x"]), np.float64(p["y"]))] for p in ring]
+    assert got == {0: None, 1: [want, None, []], 3: [[want[2], [None, None], [None, None]]]}
+    assert "lambda" not in degrees._jdf.queryExecution().optimizedPlan().toString()

@@ -88,17 +88,18 @@ def warp(raster: DataFrame, source: Grid, target: Grid, by: list[str], to_source
     missing, null or not finite are left out and the others weigh more.
     ``to_target`` only finds where a tile comes to lie.
 
-    A task has one tile of the source and the first row and column of the tiles
-    behind it; it makes the target cells whose (upper left) source cell is its
-    own, so each is made once and nothing is shuffled after that. Small tiles go
-    through a task many images at a time, and where their target cells lie is
-    worked out once for all. A source cell must come once.
+    A task has one tile of the source and, but for ``nearest``, the first row and
+    column of the tiles behind it; it makes the target cells whose (upper left)
+    source cell is its own, so each is made once and nothing is shuffled after
+    that. Small tiles go through a task many images at a time, and where their
+    target cells lie is worked out once for them. A source cell must come once.
     """
-    near = lambda c: F.array_distinct(F.array(F.floor((F.col(c) - 1) / tile), F.floor(F.col(c) / tile)))
+    own = lambda c: F.floor(F.col(c) / tile)
+    near = lambda c: F.explode(F.array_distinct(F.array(F.floor((F.col(c) - 1) / tile), own(c))))
     v = F.col(value).cast("double")
     cells = raster.select(*by, F.col("row").cast("long").alias("row"), F.col("col").cast("long").alias("col"), v.alias("_v")).where(F.abs("_v") < F.lit(float("inf")))
-    # a centre half a cell outside the first row still has taps in it
-    dealt = cells.withColumn("_tr", F.explode(near("row"))).withColumn("_tc", F.explode(near("col")))
+    # a centre half a cell outside the first row still has taps in it; the nearest cell is in the tile itself
+    dealt = cells.withColumn("_tr", (own if nearest else near)("row")).withColumn("_tc", (own if nearest else near)("col"))
     kinds = dict(cells.dtypes)
 
     small = tile <= SMALL
@@ -113,24 +114,26 @@ def warp(raster: DataFrame, source: Grid, target: Grid, by: list[str], to_source
             rows, cols = ((int(t[at][0]) * tile, (int(t[at][0]) + 1) * tile) for t in (tr, tc))
             parts.extend((np.full(len(f[0]), first[g]), *f) for f in warp_tile(row[at], col[at], v[at], rows, cols, source, target, to_source, to_target, nearest))
 
-        def together(s: int, e: int, plan: list[tuple[np.ndarray, ...]]) -> None:
+        def together(g: np.ndarray, plan: list[tuple[np.ndarray, ...]]) -> None:
             """The same tile of many images."""
-            at, r0, c0 = slice(first[s], stop[e - 1]), int(tr[first[s]]) * tile, int(tc[first[s]]) * tile
-            dense = np.full((e - s, tile + 1, tile + 1), np.nan)
-            dense[np.repeat(np.arange(e - s), (stop - first)[s:e]), row[at] - r0, col[at] - c0] = v[at]
+            n = (stop - first)[g]
+            at, r0, c0 = np.arange(n.sum()) + np.repeat(first[g] - np.cumsum(n) + n, n), int(tr[first[g[0]]]) * tile, int(tc[first[g[0]]]) * tile
+            dense = np.full((len(g), tile + 1, tile + 1), np.nan)
+            dense[np.repeat(np.arange(len(g)), n), row[at] - r0, col[at] - c0] = v[at]
             for to_row, to_col, *place in plan:
                 value = read_cells(dense, *place, nearest)
                 image, k = np.nonzero(~np.isnan(value))
-                parts.append((first[s + image], to_row[k], to_col[k], value[image, k]))
+                parts.append((first[g[image]], to_row[k], to_col[k], value[image, k]))
 
         if small:
-            cuts = [0, *(np.flatnonzero((np.diff(tr[first]) != 0) | (np.diff(tc[first]) != 0)) + 1).tolist(), len(first)]
-            for a, b in zip(cuts, cuts[1:]):
-                r0, c0 = int(tr[first[a]]) * tile, int(tc[first[a]]) * tile
+            order = np.lexsort((tc[first], tr[first]))
+            cuts = np.flatnonzero((np.diff(tr[first[order]]) != 0) | (np.diff(tc[first[order]]) != 0)) + 1
+            for g in np.split(order, cuts) if len(order) else []:
+                r0, c0 = int(tr[first[g[0]]]) * tile, int(tc[first[g[0]]]) * tile
                 plan = list(target_cells(r0, r0 + tile, c0, c0 + tile, source, target, to_source, to_target, nearest))
                 step = max(1, min(IMAGES, STRIP // max([1, *(len(p[0]) for p in plan)])))
-                for s in range(a, b, step):
-                    together(s, min(s + step, b), plan)
+                for s in range(0, len(g), step):
+                    together(g[s : s + step], plan)
         else:
             for g in range(len(first)):
                 alone(g)
@@ -139,4 +142,5 @@ def warp(raster: DataFrame, source: Grid, target: Grid, by: list[str], to_source
         return pa.table({**{b: key.column(b) for b in by}, "row": pa.array(r), "col": pa.array(c), value: pa.array(w)})
 
     schema = ", ".join([*(f"{b} {kinds[b]}" for b in by), "row bigint", "col bigint", f"{value} double"])
-    return in_groups(dealt, ["_tr", "_tc", *by], many, schema)
+    # images first: in the order of tiles nearly all rows would be equal by the sort's first key
+    return in_groups(dealt, [*by, "_tr", "_tc"], many, schema)

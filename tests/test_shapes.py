@@ -8,6 +8,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from greensward.operators import areas, outlines, persistence, regions, shapes
+from greensward.operators import warp as warps
+from greensward.operators.batches import in_groups
 from greensward.operators.grid import Grid
 from greensward.operators.spatial import utm_forward, utm_inverse
 from greensward.operators.warp import warp
@@ -376,3 +378,18 @@ def test_degrees_of_rings(spark):
     want = [[round(float(v), 6) for v in INVERSE(np.float64(p["x"]), np.float64(p["y"]))] for p in ring]
     assert got == {0: None, 1: [want, None, []], 3: [[want[2], [None, None], [None, None]]]}
     assert "lambda" not in degrees._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_nearest_needs_no_borders(spark, monkeypatch):
+    """With ``nearest`` a cell goes to its own tile alone, images before tiles; values of many images are those of each one."""
+    grid, fine = Grid(0.0, 160.0, 20.0, 8, 8), Grid(-15.0, 175.0, 10.0, 19, 19)
+    v = np.random.default_rng(4).random((40, 8, 8))
+    rows = spark.createDataFrame([(k, r, c, float(v[k, r, c])) for k, r, c in np.ndindex(v.shape)], "img long, row int, col int, v double")
+    seen = []
+    monkeypatch.setattr(warps, "in_groups", lambda dealt, keys, *more: seen.append((dealt.count(), keys)) or in_groups(dealt, keys, *more))
+    got = warp(rows, grid, fine, ["img"], lambda x, y: (x, y), lambda x, y: (x, y), nearest=True, tile=4).collect()
+    r, c = np.indices((19, 19))
+    sr, sc = np.floor((160 - (175 - (r + 0.5) * 10)) / 20).astype(int), np.floor((-15 + (c + 0.5) * 10) / 20).astype(int)
+    inside = (sr >= 0) & (sr < 8) & (sc >= 0) & (sc < 8)
+    assert {(g.img, g.row, g.col): g.v for g in got} == {(k, i, j): v[k, sr[i, j], sc[i, j]] for k in range(40) for i, j in zip(*(a.tolist() for a in np.nonzero(inside)))}
+    assert seen == [(40 * 64, ["img", "_tr", "_tc"])]

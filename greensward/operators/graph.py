@@ -2,12 +2,54 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from greensward.operators.batches import in_groups
 from greensward.plans.scratch import Scratch
 
 
+def smallest_joined(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """For each of ``n`` nodes the smallest one that the edges ``a`` to ``b`` join it to."""
+    label = np.arange(n)
+    while True:
+        low = np.minimum(label[a], label[b])
+        new = label.copy()
+        for at in (a, b, label[a], label[b]):
+            np.minimum.at(new, at, low)
+        new = new[new]
+        if (new == label).all():
+            return label
+        label = new
+
+
+def joined_nearby(edges: DataFrame, width: int, side: int, scale: int = 1) -> DataFrame:
+    """Edges ``src, dst`` that join the same nodes as ``edges`` (``img`` and two numbers, of cells times ``scale``), as structs of ``img`` and ``cell``.
+
+    The edges of one square of ``side`` x ``side`` cells are joined in a task,
+    many squares at a time, and each node gets one edge to the smallest that it
+    is joined to there. So a component that squares don't cut is a star, which
+    the component search has in one round.
+    """
+    place = F.floor(F.col("src") / scale)
+    dealt = edges.withColumn("_pr", F.floor(place / width / side)).withColumn("_pc", F.floor(place % width / side))
+
+    def star(table: pa.Table, first: np.ndarray) -> pa.Table:
+        group = np.repeat(np.arange(len(first)), np.diff(np.append(first, len(table))))
+        cells, code = np.unique(np.concatenate([table.column(c).to_numpy() for c in ("src", "dst")]), return_inverse=True)
+        nodes, at = np.unique(np.tile(group, 2) * len(cells) + code, return_inverse=True)
+        low = smallest_joined(len(nodes), at[: len(table)], at[len(table) :])
+        leaf = np.flatnonzero(low != np.arange(len(nodes)))
+        img = table.column("img").take(pa.array(first[nodes[leaf] // len(cells)]))
+        return pa.table({"img": img, "src": pa.array(cells[nodes[leaf] % len(cells)]), "dst": pa.array(cells[nodes[low[leaf]] % len(cells)])})
+
+    kind = dict(edges.dtypes)["img"]
+    stars = in_groups(dealt, ["img", "_pr", "_pc"], star, f"img {kind}, src bigint, dst bigint")
+    return stars.select(*[F.struct("img", F.col(c).alias("cell")).alias(c) for c in ("src", "dst")])
+
+
 def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst", scratch: Scratch | None = None) -> DataFrame:
     """``(id, component)`` for every endpoint of ``edges``; component is its smallest id.
 

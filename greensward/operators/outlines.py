@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from greensward.operators.batches import in_groups
-from greensward.operators.graph import connected_components
+from greensward.operators.graph import connected_components, joined_nearby
 from greensward.operators.regions import TILE
 from greensward.plans.scratch import Scratch
 
@@ -104,12 +104,12 @@ def outlines(cells: DataFrame, image: str = "img", width: int = 1 << 20, tile: i
     run against the clock around a region and with it around holes, seen with
     north (row 0) up. A task chains the sides of one tile, which it sees with a
     border of one cell; chains that leave their tile are then joined to rings by
-    the components of their ends, so a task holds a tile, or one ring of it;
+    the components of their ends, in squares of ``TILE`` x ``TILE`` cells first, so a task holds a tile, or one ring of it;
     small ones are worked on many at a time.
     """
     spark = cells.sparkSession
     scratch = Scratch(spark, "outlines")
-    around = lambda c: F.array_distinct(F.transform(F.array(*map(F.lit, (-1, 0, 1))), lambda k: F.floor((F.col(c) + k) / tile)))
+    around = lambda c: F.array_distinct(F.array(*(F.floor((F.col(c) + k) / tile) for k in (-1, 0, 1))))
     dealt = cells.select(F.col(image).alias("img"), F.col("row").cast("long"), F.col("col").cast("long"), F.col("region").cast("long"))
     dealt = dealt.withColumn("_tr", F.explode(around("row"))).withColumn("_tc", F.explode(around("col")))
 
@@ -137,9 +137,9 @@ def outlines(cells: DataFrame, image: str = "img", width: int = 1 << 20, tile: i
     chain = f"img {kind}, region bigint, head bigint, after bigint, corners array<bigint>"
     chains = scratch.put(in_groups(dealt, ["img", "_tr", "_tc"], trace, chain), "chains")
     open_ = chains.where("head <> after")
-    end = lambda c: F.struct("img", F.col(c).alias("edge"))
-    ring_of = connected_components(open_.select(end("head").alias("src"), end("after").alias("dst")), scratch=scratch)
-    ring_of = scratch.put(ring_of.select(F.col("id.img").alias("_img"), F.col("id.edge").alias("_edge"), F.col("component.edge").alias("ring")), "rings")
+    ends = joined_nearby(open_.select("img", F.col("head").alias("src"), F.col("after").alias("dst")), width, TILE, 4)
+    ring_of = connected_components(ends, scratch=scratch)
+    ring_of = scratch.put(ring_of.select(F.col("id.img").alias("_img"), F.col("id.cell").alias("_edge"), F.col("component.cell").alias("ring")), "rings")
     parts = open_.join(ring_of, (F.col("img") == F.col("_img")) & (F.col("head") == F.col("_edge"))).drop("_img", "_edge")
 
     def close(table: pa.Table, first: np.ndarray) -> pa.Table:

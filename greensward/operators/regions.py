@@ -11,7 +11,7 @@ from pyspark.sql.types import LongType, StructField, StructType
 from greensward import config
 from greensward.functions.detection import landcover_group
 from greensward.operators.batches import in_groups
-from greensward.operators.graph import connected_components
+from greensward.operators.graph import connected_components, joined_nearby, smallest_joined
 from greensward.plans.scratch import Scratch
 
 #: Cells of a side of the tiles that regions are labelled in.
@@ -23,22 +23,12 @@ def label_tile(row: np.ndarray, col: np.ndarray, width: int) -> np.ndarray:
     key = row.astype(np.int64) * width + col
     order = np.argsort(key)
     k = key[order]
-    label = np.arange(len(k))
     pairs = []
     for step in (1, width):
         at = np.minimum(np.searchsorted(k, k + step), len(k) - 1)
         here = np.flatnonzero(k[at] == k + step)
         pairs.append((here, at[here]))
-    a, b = (np.concatenate([p[i] for p in pairs]) for i in (0, 1))
-    while True:
-        low = np.minimum(label[a], label[b])
-        new = label.copy()
-        for at in (a, b, label[a], label[b]):
-            np.minimum.at(new, at, low)
-        new = new[new]
-        if (new == label).all():
-            break
-        label = new
+    label = smallest_joined(len(k), *(np.concatenate([p[i] for p in pairs]) for i in (0, 1)))
     out = np.empty(len(k), np.int64)
     out[order] = k[label]
     return out
@@ -49,8 +39,9 @@ def label_regions(cells: DataFrame, image: str = "img", width: int = 1 << 20, ti
 
     A task labels the cells of one tile of ``tile`` x ``tile``, or of small ones
     many at a time, so its size is bounded. Only cells on the edges of tiles are then joined to their
-    neighbours, and the pairs of labels found there, few beside the cells, go to
-    the component search.
+    neighbours, and the pairs of labels found there, few beside the cells, are
+    joined in squares of ``TILE`` x ``TILE`` cells first and then go to the
+    component search.
     """
     at = {"_tr": F.floor(F.col("row") / tile), "_tc": F.floor(F.col("col") / tile)}
     names, schema = cells.columns, StructType([*cells.schema.fields, StructField("_local", LongType())])
@@ -68,12 +59,12 @@ def label_regions(cells: DataFrame, image: str = "img", width: int = 1 << 20, ti
     local = scratch.put(in_groups(cells.withColumns(at), [image, "_tr", "_tc"], label, schema), "tiles")
     pairs = None
     for axis in ("row", "col"):
-        side = local.select(image, "row", "col", F.struct(F.col(image).alias("img"), F.col("_local").alias("cell")).alias("id"))
+        side = local.select(F.col(image).alias("img"), "row", "col", F.col("_local").alias("src"))
         upper = side.where(F.col(axis) % tile == tile - 1).withColumn(axis, F.col(axis) + 1)
-        lower = side.where(F.col(axis) % tile == 0).withColumnRenamed("id", "dst")
-        found = upper.join(lower, [image, "row", "col"]).select(F.col("id").alias("src"), "dst").distinct()
+        lower = side.where(F.col(axis) % tile == 0).withColumnRenamed("src", "dst")
+        found = upper.join(lower, ["img", "row", "col"]).select("img", "src", "dst")
         pairs = found if pairs is None else pairs.unionByName(found)
-    joined = scratch.put(connected_components(pairs, scratch=scratch).select(F.col("id.img").alias("_img"), F.col("id.cell").alias("_cell"), F.col("component.cell").alias("_region")), "joined")
+    joined = scratch.put(connected_components(joined_nearby(pairs, width, TILE), scratch=scratch).select(F.col("id.img").alias("_img"), F.col("id.cell").alias("_cell"), F.col("component.cell").alias("_region")), "joined")
     scratch.keep(local, joined)
     out = local.join(scratch.small(joined), (F.col(image) == F.col("_img")) & (F.col("_local") == F.col("_cell")), "left")
     return out.withColumn("region", F.coalesce("_region", "_local")).select(*names, "region")

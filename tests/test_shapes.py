@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from greensward.operators import areas, outlines, persistence, regions, shapes
 from greensward.operators import warp as warps
 from greensward.operators.batches import in_groups
+from greensward.operators.graph import connected_components, joined_nearby
 from greensward.operators.grid import Grid
 from greensward.operators.spatial import utm_forward, utm_inverse
 from greensward.operators.warp import warp
@@ -393,3 +394,17 @@ def test_nearest_needs_no_borders(spark, monkeypatch):
     inside = (sr >= 0) & (sr < 8) & (sc >= 0) & (sc < 8)
     assert {(g.img, g.row, g.col): g.v for g in got} == {(k, i, j): v[k, sr[i, j], sc[i, j]] for k in range(40) for i, j in zip(*(a.tolist() for a in np.nonzero(inside)))}
     assert seen == [(40 * 64, ["img", "_tr", "_tc"])]
+
+
+def test_joined_nearby(spark):
+    """Paths of cells of many images: in one square each is a star around its smallest cell; squares that cut them leave their components."""
+    rng = np.random.default_rng(5)
+    paths = [(f"i{i}", [k // 7 + 20 * (k % 7 + 8 * half) for k in rng.permutation(30).tolist()]) for i in range(40) for half in range(2)]
+    edges = spark.createDataFrame([(i, a, b) for i, p in paths for a, b in zip(p, p[1:])] * 2, "img string, src long, dst long")
+    want = {(i, c): min(p) for i, p in paths for c in p}
+    stars = joined_nearby(edges, 20, 1024).collect()
+    assert len(stars) == 40 * 2 * 29
+    assert all(r.src.img == r.dst.img and r.dst.cell == want[tuple(r.src)] for r in stars)
+    for side in (3, 1024):
+        found = connected_components(joined_nearby(edges, 20, side)).collect()
+        assert {tuple(r.id): r.component.cell for r in found} == want

@@ -4,9 +4,10 @@ import datetime
 import time
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
-from greensward.operators import areas, matching, persistence
+from greensward.operators import areas, matching, persistence, unions
 from greensward.operators.grid import Grid
 
 CIRCLE = Grid(0.0, 1000.0, 10.0, 100, 100)
@@ -189,3 +190,35 @@ def test_pairs_by_tiles_shuffle_boxes_only(spark):
     assert sum("Join" in line for line in plan.splitlines()) == 1  # dates' numbers
     real = one.select(*("id", "date"), *[F.col(c).cast("double").alias(c) for c in ("x0", "y0", "x1", "y1")])
     assert persistence.tile_pairs(real).count() == persistence.with_previous(real).count()
+
+
+def test_pairs_shuffle_few_bytes_a_box(spark, monkeypatch):
+    """Boxes are shuffled in packs; whole corners and others, ids of any kind, and packs of any size give the same pairs."""
+    b = spark.range(0, 12_000, 1, 1).select("id", F.date_add(F.lit("2020-01-01").cast("date"), (F.col("id") % 12).cast("int")).alias("date"), (F.xxhash64("id") % 800).alias("x0"), (F.xxhash64("id", F.lit(1)) % 800).alias("y0"))
+    b = b.withColumns({"x1": F.col("x0") + 100, "y1": F.col("y0") + 100})
+
+    def sent(plan):
+        """Bytes of the shuffles of a plan that has run."""
+        name = plan.getClass().getSimpleName()
+        if name == "AdaptiveSparkPlanExec":
+            return sent(plan.executedPlan())
+        if name.endswith("QueryStageExec"):
+            return sent(plan.plan())
+        own = plan.metrics().get("shuffleBytesWritten").get().value() if name == "ShuffleExchangeExec" else 0
+        return own + sum(sent(plan.children().apply(k)) for k in range(plan.children().size()))
+
+    n = persistence.tile_pairs(b).groupBy().agg(F.count(F.lit(1)).alias("n"), F.sum("overlap"))
+    rows = n.collect()
+    assert rows[0].n > 100_000 and sent(n._jdf.queryExecution().executedPlan()) < 20 * 12_000  # 45 a box as rows
+
+    some = b.where("id < 600").select(F.concat(F.lit("a"), "id").alias("id"), "date", *[(F.col(c) / 7).alias(c) for c in ("x0", "y0", "x1", "y1")])
+    want = {(r.a_id, r.b_id, r.overlap) for r in persistence.tile_pairs(some).collect()}
+    box = {r.id: (r.date, r.x0, r.y0, r.x1, r.y1) for r in some.collect()}
+    left = {(i, j) for i, a in box.items() for j, c in box.items() if (a[0] - c[0]).days == 1 and min(a[3], c[3]) > max(a[1], c[1]) and min(a[4], c[4]) > max(a[2], c[2])}
+    assert {w[:2] for w in want} == left and len(want) > 100
+    for i, j, o in want:
+        a, c = box[i], box[j]
+        assert o == pytest.approx((min(a[3], c[3]) - max(a[1], c[1])) * (min(a[4], c[4]) - max(a[2], c[2])), rel=1e-9, abs=1e-9)
+    for size in (1, 50):
+        monkeypatch.setattr(unions, "PACKED", size)
+        assert {(r.a_id, r.b_id, r.overlap) for r in persistence.tile_pairs(some).collect()} == want

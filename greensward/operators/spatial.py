@@ -27,8 +27,9 @@ def tile_grids(extents: DataFrame, by: list[str], res: float = 20.0, tile_px: in
     count = lambda low, high, step: F.sequence(F.lit(0), (F.ceil((F.col(high) - F.col(low)) / step) - 1).cast("int"))
     e = extents.where("west < east and south < north").select(*by, "west", "south", "east", "north", dx.alias("dx"), dy.alias("dy"))
     e = e.withColumn("tile_row", F.explode(count("south", "north", F.col("dy")))).withColumn("tile_col", F.explode(count("west", "east", F.col("dx"))))
-    x0, y0 = F.col("west") + F.col("tile_col") * F.col("dx"), F.col("south") + F.col("tile_row") * F.col("dy")
-    return e.select(*by, "tile_row", "tile_col", x0.alias("west"), y0.alias("south"), F.least(x0 + F.col("dx"), "east").alias("east"), F.least(y0 + F.col("dy"), "north").alias("north"))
+    x, y = (lambda k: F.col("west") + k * F.col("dx")), (lambda k: F.col("south") + k * F.col("dy"))  # one line for both tiles that meet at it
+    row, col = F.col("tile_row"), F.col("tile_col")
+    return e.select(*by, "tile_row", "tile_col", x(col).alias("west"), y(row).alias("south"), F.least(x(col + 1), "east").alias("east"), F.least(y(row + 1), "north").alias("north"))
 
 
 def tile_grid(spark: SparkSession, west: float, south: float, east: float, north: float, res: float = 20.0, tile_px: int = 1024) -> DataFrame:

@@ -171,11 +171,15 @@ s AS (SELECT *, 1024 * 20.0::DOUBLE / 110540 AS dy, 1024 * 20.0::DOUBLE / (11132
 SELECT area, r::INT AS tile_row, c::INT AS tile_col, round(west + c * dx, 6) AS west, round(south + r * dy, 6) AS south, round(least(west + (c + 1) * dx, east), 6) AS east, round(least(south + (r + 1) * dy, north), 6) AS north
 FROM s, range(0, 3000) b(c), range(0, 30) a(r) WHERE west < east AND south < north AND r < ceil((north - south) / dy) AND c < ceil((east - west) / dx)""")
 def tile_grid(spark, d) -> DataFrame:
-    """Tiles over the extents of areas that a table holds."""
+    """Tiles over the extents of areas that a table holds.
+
+    A cent of a balance is half of a degree's sixth place, so many sides lie
+    between two of them: they are scaled and rounded as the SQL does it.
+    """
     c = table(spark, d, "customer").groupBy(F.col("c_nationkey").alias("area"))
     k, b = "c_custkey", "c_acctbal"
-    e = c.agg((F.min(k) * 0.003 - 40.9).alias("west"), (F.min(b) / 20000 - 7.85).alias("south"), (F.max(k) * 0.003 - 40.7).alias("east"), (F.max(b) / 20000 - 7.5).alias("north"))
-    return spatial.tile_grids(e, ["area"]).select("area", "tile_row", "tile_col", *[F.round(c, 6).alias(c) for c in ("west", "south", "east", "north")])
+    e = c.agg((F.min(k) * 3 / 1000 - 40.9).alias("west"), (F.min(b) / 20000 - 7.85).alias("south"), (F.max(k) * 3 / 1000 - 40.7).alias("east"), (F.max(b) / 20000 - 7.5).alias("north"))
+    return spatial.tile_grids(e, ["area"]).select("area", "tile_row", "tile_col", *[(F.round(F.col(c) * 1e6) / 1e6).alias(c) for c in ("west", "south", "east", "north")])
 
 
 @query("regional_stats", f"""WITH {OBS_SQL}, v AS (SELECT CAST(date_trunc('month', obs_date) AS DATE) AS date, {_NDVI_CLEAR} AS v FROM obs)

@@ -299,6 +299,31 @@ def test_tiles_of_extents(spark):
     assert got == {"a": 55, "d": 1}
 
 
+def test_tiles_to_the_last_place(spark, tmp_path):
+    """Sides between two sixth places, against the SQL's own values; columns beyond the SQL's 3,000 stay."""
+    import duckdb
+
+    from greensward.operators import spatial
+    from greensward.plans import catalog
+
+    rng = np.random.default_rng(6)
+    rows = [(k, k % 100, cents / 100) for k, cents in enumerate(rng.integers(-99_999, 999_999, 400).tolist())]
+    schema, names = "c_custkey long, c_nationkey int, c_acctbal double", ["area", "tile_row", "tile_col", "west", "south", "east", "north"]
+    spark.createDataFrame(rows, schema).coalesce(1).write.parquet(f"{tmp_path}/few/customer.parquet")
+    con = duckdb.connect()
+    con.execute(f"create view customer as select * from '{tmp_path}/few/customer.parquet/*.parquet'")
+    want = sorted(con.execute(f"select {', '.join(names)} from ({catalog.SQL['tile_grid']})").fetchall())
+    assert sorted(map(tuple, catalog.QUERIES["tile_grid"](spark, f"{tmp_path}/few").select(names).collect())) == want and len(want) > 100
+
+    spark.createDataFrame([(0, 1, 0.0), (899_999, 1, 0.0)], schema).coalesce(1).write.parquet(f"{tmp_path}/wide/customer.parquet")
+    wide = catalog.QUERIES["tile_grid"](spark, f"{tmp_path}/wide").where("tile_row = 0").orderBy("tile_col").collect()
+    assert [r.tile_col for r in wide] == list(range(len(wide))) and len(wide) > 14_000 and wide[-1].east == 2659.297
+
+    e = spark.createDataFrame([("a", -40.9, -7.85, 200.0, -6.95)], "name string, west double, south double, east double, north double")
+    line = spatial.tile_grids(e, ["name"]).where("tile_row = 0").orderBy("tile_col").collect()
+    assert all(a.east == b.west for a, b in zip(line, line[1:])) and len(line) > 1000
+
+
 def test_images_warped_together(spark, monkeypatch):
     """Small tiles go through a task many images at a time, with the values of each on its own."""
     from greensward.operators import batches, warp as module
